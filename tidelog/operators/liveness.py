@@ -83,7 +83,9 @@ def quiet_periods(
         ).alias("p"),
     )
     quiet = F.col("until_us") - F.col("from_us")
-    limit = F.when(F.col("missing") == "frames", warn_no_frames_secs).otherwise(warn_no_events_secs) * SECOND
+    limit = F.when(F.col("missing") == "frames", F.lit(warn_no_frames_secs * SECOND)).otherwise(
+        F.lit(warn_no_events_secs * SECOND)
+    )
     watched = {"no_frames_for": "frames", "no_events_for": "events"}.get(policy.kind)
     dead = F.lit(False) if watched is None else (F.col("missing") == watched) & (quiet > policy.seconds * SECOND)
     return (

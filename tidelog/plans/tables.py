@@ -100,7 +100,7 @@ def event_json(payload: Column) -> Column:
         F.lit('{"data_type":"'), F.col("event_type"), F.lit('","data_op":"'), op, F.lit('","data":'), payload, F.lit(","), metadata, F.lit("}")
     )
     # The payload's own braces give way to those of the event.
-    business = F.concat(F.expr("substring(_payload, 1, length(_payload) - 1)"), F.lit(","), metadata, F.lit("}"))
+    business = F.concat(F.left(payload, F.length(payload) - 1), F.lit(","), metadata, F.lit("}"))
     return F.when(F.col("event_type").isin(*DATA_TYPES), change).otherwise(business)
 
 

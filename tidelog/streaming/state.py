@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tidelog.functions.times import SECOND
-from tidelog.model import PARTITION_INACTIVITY_SECS
+from tidelog.model import NO_EVENTS_WARNING_SECS, NO_FRAMES_WARNING_SECS, PARTITION_INACTIVITY_SECS
 from tidelog.operators.liveness import StreamDeadPolicy
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -90,74 +90,76 @@ class PartitionActivity(_Timed):
 
 
 class StreamLiveness(_Timed):
-    """Warns of, and declares dead, streams that go quiet while they are watched."""
+    """Warns of, and declares dead, streams that go quiet while they are watched.
 
-    STATE = "last_frame bigint, last_events bigint"
+    Each limit is told once per quiet period: ``told`` is a bit set of limits.
+    """
+
+    STATE = "last_frame bigint, last_events bigint, told bigint"
     OUTPUT = "stream_id string, severity string, missing string, last_us bigint"
 
     def __init__(
         self,
         policy: StreamDeadPolicy = StreamDeadPolicy(),
-        warn_no_frames_secs: int = 30,
-        warn_no_events_secs: int = 60,
+        warn_no_frames_secs: int = NO_FRAMES_WARNING_SECS,
+        warn_no_events_secs: int = NO_EVENTS_WARNING_SECS,
         at: str = "started_at",
     ):
-        self._policy, self._at = policy, at
-        self._limits = [("warning", "frames", warn_no_frames_secs), ("warning", "events", warn_no_events_secs)]
+        self._at = at
+        self._limits = [
+            ("warning", "frames", warn_no_frames_secs * SECOND),
+            ("warning", "events", warn_no_events_secs * SECOND),
+        ]
         if policy.kind != "never":
-            self._limits.append(("dead", policy.kind.removeprefix("no_").removesuffix("_for"), policy.seconds))
-
-    def _due(self, severity: str, last: int, secs: int) -> int:
-        # Warnings are due at the limit, death only beyond it.
-        at = last + secs * SECOND
-        return _due_ms(at) if severity == "dead" else -(-at // 1000)
-
-    def _arm(self, last: dict[str, int], after_ms: int) -> None:
-        due = [self._due(s, last[m], n) for s, m, n in self._limits]
-        due = [d for d in due if d > after_ms]
+            missing = "frames" if policy.kind == "no_frames_for" else "events"
+            # Dead is beyond the limit, a warning is due at it.
+            self._limits.append(("dead", missing, policy.seconds * SECOND + 1))
+
+    def _tell(self, key, last: dict, told: int, now: int, out: list) -> int:
+        for i, (severity, missing, limit) in enumerate(self._limits):
+            if not told >> i & 1 and now - last[missing] >= limit:
+                out.append((key[0], severity, missing, last[missing]))
+                told |= 1 << i
+        return told
+
+    def _keep(self, last: dict, told: int) -> None:
+        self._state.update((last["frames"], last["events"], told))
         for old in list(self._handle.listTimers()):
             self._handle.deleteTimer(old)
+        due = [last[m] + limit for i, (_, m, limit) in enumerate(self._limits) if not told >> i & 1]
         if due:
-            self._handle.registerTimer(min(due))
+            self._handle.registerTimer(-(-min(due) // 1000))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         got = _in_order(rows, [self._at])
-        out, last = [], None
+        out: list[tuple] = []
+        last, told = None, 0
         if self._state.exists():
-            frame, events = self._state.get()
+            frame, events, told = self._state.get()
             last = {"frames": frame, "events": events}
-        fresh = True
         for at, kind in zip(_micros(got[self._at]), got["kind"].tolist()):
-            if last is None:
-                last = {"frames": at, "events": at}
-            else:
-                # Within a micro-batch no timer fires: look at the gaps themselves. What
-                # was due before the watermark has been told by its timer.
-                done_ms = timerValues.getCurrentWatermarkInMs() if fresh else -1
-                for severity, missing, secs in self._limits:
-                    ends = missing == "frames" or kind == "batch"
-                    due = self._due(severity, last[missing], secs)
-                    if ends and due <= at // 1000 and due > done_ms:
-                        out.append((key[0], severity, missing, last[missing]))
-            last["frames"] = at
-            if kind == "batch":
-                last["events"] = at
-                fresh = False
-        self._state.update((last["frames"], last["events"]))
-        self._arm(last, -1)
-        yield pd.DataFrame(out, columns=["stream_id", "severity", "missing", "last_us"]).astype({"last_us": "int64"})
+            last = last or {"frames": at, "events": at}
+            told = self._tell(key, last, told, at, out)
+            heard = ("frames", "events") if kind == "batch" else ("frames",)
+            for i, (_, missing, _) in enumerate(self._limits):
+                if missing in heard:
+                    told &= ~(1 << i)
+            last.update({h: max(at, last[h]) for h in heard})
+        self._keep(last, told)
+        yield self._frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        frame, events = self._state.get()
+        frame, events, told = self._state.get()
         last = {"frames": frame, "events": events}
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        told = [
-            (key[0], severity, missing, last[missing])
-            for severity, missing, secs in self._limits
-            if self._due(severity, last[missing], secs) == now
-        ]
-        self._arm(last, now)
-        yield pd.DataFrame(told, columns=["stream_id", "severity", "missing", "last_us"]).astype({"last_us": "int64"})
+        out: list[tuple] = []
+        told = self._tell(key, last, told, expiredTimerInfo.getExpiryTimeInMs() * 1000, out)
+        self._keep(last, told)
+        yield self._frame(out)
+
+    @staticmethod
+    def _frame(out: list[tuple]) -> pd.DataFrame:
+        frame = pd.DataFrame(out, columns=["stream_id", "severity", "missing", "last_us"])
+        return frame.astype({"last_us": "int64"})
 
 
 class HandlerSlot(_Timed):
