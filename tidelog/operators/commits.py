@@ -238,7 +238,7 @@ def cut_commits(
     """
     keys = list(keys)
     if strategy.kind == "immediately":
-        segment = position_segment("seq", segment_rows)
+        segment = position_segment("seq", segment_rows, n_rows)
         numbered = segmented_scan(cursors, keys, ["seq"], segment, row_number="commit_no")
         return numbered.withColumn("trigger", F.lit("deadline")).withColumn(
             "triggered_us", F.unix_micros("arrived_at")
@@ -272,7 +272,7 @@ def cut_commits(
         segment_rows=segment_rows,
         n_rows=n_rows,
     )
-    segment = position_segment("seq", segment_rows)
+    segment = position_segment("seq", segment_rows, n_rows)
     numbered = segmented_scan(cuts, keys, ["seq"], segment, running_sum={"commit_no": F.col("opens")})
     closings = (
         numbered.select(

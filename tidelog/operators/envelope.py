@@ -23,34 +23,42 @@ _LINE = (
 )
 
 
+def _once(parsed: Column, *names: str) -> Column:
+    """The fields of a parsed struct as columns, parsed once per row.
+
+    A filter on a parsed field would otherwise be pushed below the projection and parse
+    the text again; it is not pushed through a generator.
+    """
+    return F.inline(F.array(parsed)).alias(*names)
+
+
 def parse_lines(frames: DataFrame, value: str = "value") -> DataFrame:
     """Add cursor fields, ``events`` (JSON texts, NULL for a keep-alive), ``info``,
     ``n_events``, ``kind``, ``has_info`` and ``problem`` (NULL for a valid line)."""
-    parsed = frames.withColumn(
-        "_line",
-        F.from_json(value, _LINE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}),
-    )
-    cursor = F.col("_line.cursor")
+    line = F.from_json(value, _LINE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
+    parsed = frames.select("*", _once(line, "_cursor", "_events", "_info", "_broken"))
+    cursor, events, info = F.col("_cursor"), F.col("_events"), F.col("_info")
     empty = F.array_compact(
         F.array(*[F.when(F.coalesce(cursor[f], F.lit("")) == "", F.lit(f)) for f in CURSOR_FIELDS])
     )
     problem = (
-        F.when(F.col("_line").isNull() | F.col("_line._broken").isNotNull(), F.lit("not a JSON line"))
+        F.when(F.col(value).isNull() | F.col("_broken").isNotNull(), F.lit("not a JSON line"))
         .when(cursor.isNull(), F.lit("no cursor"))
         .when(F.size(empty) > 0, F.concat(F.lit("no cursor "), F.array_join(empty, ",")))
     )
-    events = F.col("_line.events")
+    kind = (
+        F.when(problem.isNotNull(), F.lit("bad"))
+        .when(events.isNull(), F.lit("keep_alive"))
+        .otherwise(F.lit("batch"))
+    )
     return parsed.select(
         *frames.columns,
         *[cursor[f].alias(f) for f in ("event_type", "partition", "offset", "cursor_token")],
         events.alias("events"),
-        F.col("_line.info").alias("info"),
+        info.alias("info"),
         F.coalesce(F.array_size(events), F.lit(0)).alias("n_events"),
-        F.when(problem.isNotNull(), F.lit("bad"))
-        .when(events.isNull(), F.lit("keep_alive"))
-        .otherwise(F.lit("batch"))
-        .alias("kind"),
-        F.col("_line.info").isNotNull().alias("has_info"),
+        kind.alias("kind"),
+        info.isNotNull().alias("has_info"),
         problem.alias("problem"),
     )
 
@@ -117,17 +125,14 @@ def decode_events(
     parsing neither fails on missing fields nor tells which: ``required`` does.
     """
     with_corrupt = T.StructType([*schema.fields, T.StructField("_broken", T.StringType())])
-    parsed = rows.withColumn(
-        "_d",
-        F.from_json(event, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}),
-    )
-    d = F.col("_d")
-    missing = _required_missing(d, schema, required)
-    error = (
-        F.when(d.isNull() | d["_broken"].isNotNull(), F.lit("does not match the schema"))
-        .when(F.size(missing) > 0, F.concat(F.lit("missing "), F.array_join(missing, ",")))
-    )
-    decoded = F.struct(*[d[f.name].alias(f.name) for f in schema.fields])
+    parse = F.from_json(event, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
+    names = [f"_d_{f.name}" for f in schema.fields]
+    parsed = rows.select("*", _once(parse, *names, "_broken"))
+    decoded = F.struct(*[F.col(n).alias(f.name) for n, f in zip(names, schema.fields)])
+    missing = _required_missing(decoded, schema, required)
+    error = F.when(
+        F.col(event).isNull() | F.col("_broken").isNotNull(), F.lit("does not match the schema")
+    ).when(F.size(missing) > 0, F.concat(F.lit("missing "), F.array_join(missing, ",")))
     return parsed.select(
         *rows.columns, error.alias("error"), F.when(error.isNull(), decoded).alias("decoded")
     )

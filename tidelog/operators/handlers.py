@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidelog.model import ABORT_STREAM, COMMIT, DO_NOT_COMMIT, SHUT_DOWN
 from tidelog.operators.envelope import decode_events, event_batches, explode_events
+from tidelog.session import stored
 
 # Dispatch modes and the columns that make a scope.
 DISPATCH_SCOPES = {
@@ -149,8 +150,10 @@ def settle(results: DataFrame, mode: str = DEFAULT_DISPATCH) -> DataFrame:
 
     From the first abort or shut-down of a scope on nothing of that scope is committed:
     that batch stopped the scope and later ones are held back. Only ``commit`` yields a
-    cursor. The first stop is aggregated per scope and joined back.
+    cursor. The results are stored first, as they are read twice and handlers must not
+    run again; the first stop is aggregated per scope and joined back.
     """
+    results = stored(results, "handled")
     scope = ["stream_id", *DISPATCH_SCOPES[mode]]
     stop = F.col("action").isin(ABORT_STREAM, SHUT_DOWN)
     stops = results.groupBy(*scope).agg(F.min(F.when(stop, F.col("frame_id"))).alias("_stop"))

@@ -32,6 +32,7 @@ def quiet_periods(
     warn_no_frames_secs: int = NO_FRAMES_WARNING_SECS,
     warn_no_events_secs: int = NO_EVENTS_WARNING_SECS,
     segment_rows: int = SEGMENT_ROWS,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Periods between frames and between event batches that were long enough to matter.
 
@@ -43,7 +44,7 @@ def quiet_periods(
     rows = lines.select(
         "stream_id", "frame_id", (F.col("kind") == "batch").alias("_is_batch"), F.unix_micros("started_at").alias("_at")
     ).withColumn("_batch_at", F.when(F.col("_is_batch"), F.col("_at")))
-    segment = position_segment("frame_id", segment_rows)
+    segment = position_segment("frame_id", segment_rows, n_rows)
     scanned = segmented_scan(
         rows, ["stream_id"], ["frame_id"], segment, running_max={"_events_upto": F.col("_batch_at")}, lag={"_frame_before": "_at"}
     )

@@ -79,7 +79,14 @@ def stats_report(stats: DataFrame, by: Sequence[str] = ("event_type",)) -> DataF
     return stats.groupBy(*by).agg(F.coalesce(F.sum("unconsumed"), F.lit(0)).alias("unconsumed"))
 
 
-def cursor_lag(log: DataFrame, cursors: DataFrame, *, dense: bool = True) -> DataFrame:
+def cursor_lag(
+    log: DataFrame,
+    cursors: DataFrame,
+    *,
+    dense: bool = True,
+    segment_rows: int = SEGMENT_ROWS,
+    n_rows: int | None = None,
+) -> DataFrame:
     """Events after each cursor (columns event_type, partition, offset).
 
     ``dense`` logs need only the newest offset; after compaction the remaining events
@@ -99,7 +106,11 @@ def cursor_lag(log: DataFrame, cursors: DataFrame, *, dense: bool = True) -> Dat
         cursors.distinct().select(*ETP, F.col("cursor_offset").alias("_pos"), F.lit(1).alias("_mark"))
     )
     counted = segmented_scan(
-        marks, ETP, ["_pos", "_mark"], position_segment("_pos"), running_sum={"_upto": (1 - F.col("_mark")).cast("long")}
+        marks,
+        ETP,
+        ["_pos", "_mark"],
+        position_segment("_pos", segment_rows, n_rows),
+        running_sum={"_upto": (1 - F.col("_mark")).cast("long")},
     )
     totals = log.groupBy(*ETP).agg(F.max("offset").alias("newest"), F.count(F.lit(1)).alias("_n"))
     return (

@@ -31,11 +31,17 @@ SEGMENT_ROWS = 1_000_000
 _SEG = "_segment"
 
 
-def position_segment(position: str | Column, segment_rows: int = SEGMENT_ROWS) -> Column:
+def position_segment(
+    position: str | Column, segment_rows: int = SEGMENT_ROWS, n_rows: int | None = None
+) -> Column | None:
     """Segment of a row that carries a gapless or nearly gapless integer position.
 
-    Segments hold at most ``segment_rows`` rows whatever the distribution is.
+    Segments hold at most ``segment_rows`` rows whatever the distribution is. ``n_rows``
+    is an upper bound of the rows of any key when the caller knows one; None comes back
+    if each key fits one segment.
     """
+    if n_rows is not None and n_rows <= segment_rows:
+        return None
     position = F.col(position) if isinstance(position, str) else position
     return F.floor(position / F.lit(segment_rows)).cast("long")
 
@@ -45,19 +51,19 @@ def order_segment(
     order_by: Sequence[str],
     segment_rows: int = SEGMENT_ROWS,
     n_rows: int | None = None,
-) -> Column:
+) -> Column | None:
     """Segment of a row that has an order key but no position yet.
 
     Cut points are order-key values taken from a sample, about one for each
     ``segment_rows`` rows of the *whole* table, so no key can own a segment bigger
     than that. The sample only decides where the cuts lie, never which rows or
-    numbers come out. A table that fits one segment needs no cuts. ``n_rows`` is an
-    upper bound of the row count when the caller knows one.
+    numbers come out. None comes back for a table that fits one segment. ``n_rows`` is
+    an upper bound of the row count when the caller knows one.
     """
     n_rows = df.count() if n_rows is None else n_rows
     n_segments = -(-n_rows // segment_rows)
     if n_segments <= 1:
-        return F.lit(0).cast("long")
+        return None
 
     per_cut = 50
     fraction = min(1.0, n_segments * per_cut / n_rows)
@@ -68,7 +74,7 @@ def order_segment(
     step = max(1, int(n_rows * fraction) // n_segments)
     cuts = [r["k"] for r in ranked.filter(F.col("rn") % step == 0).select("k").distinct().orderBy("k").collect()]
     if not cuts:
-        return F.lit(0).cast("long")
+        return None
 
     fields = df.select(key.alias("k")).schema["k"].dataType
     literal = F.array(
@@ -89,7 +95,7 @@ def segmented_scan(
     df: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str],
-    segment: Column,
+    segment: Column | None,
     *,
     row_number: str | None = None,
     running_sum: Mapping[str, Column] | None = None,
@@ -101,13 +107,23 @@ def segmented_scan(
     ``row_number`` names a 1-based counter; ``running_sum`` and ``running_max`` are
     inclusive of the row; ``lag`` maps a new column to the column whose previous
     value it takes. ``segment`` must not decrease along the order, and ``order_by``
-    must order the rows of a key totally. Keys must not be NULL.
+    must order the rows of a key totally. Keys must not be NULL. Without a segment each
+    key is known to be small and gets a plain window.
     """
     sums, maxs, lags = dict(running_sum or {}), dict(running_max or {}), dict(lag or {})
     if row_number:
         sums[row_number] = F.lit(1).cast("long")
 
     kept = df.columns
+    if segment is None:
+        along = Window.partitionBy(*keys).orderBy(*order_by)
+        upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.select(
+            *kept,
+            *[F.sum(col).over(upto).alias(n) for n, col in sums.items()],
+            *[F.max(col).over(upto).alias(n) for n, col in maxs.items()],
+            *[F.lag(c).over(along).alias(n) for n, c in lags.items()],
+        )
     rows = df.withColumn(_SEG, segment)
     for name, col in sums.items():
         rows = rows.withColumn(f"_s_{name}", col)

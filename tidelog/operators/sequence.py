@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.window import Window
 
 from tidelog.functions.times import SECOND
 from tidelog.model import ETP, NO_FRAMES_WARNING_SECS, PARTITION_INACTIVITY_SECS
@@ -23,6 +24,7 @@ def frame_gaps(
     frames: DataFrame,
     warn_secs: int = NO_FRAMES_WARNING_SECS,
     segment_rows: int = SEGMENT_ROWS,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Time since the previous frame of the stream, flagged from ``warn_secs`` on.
 
@@ -31,7 +33,7 @@ def frame_gaps(
     """
     rows = frames.withColumn("_at", F.unix_micros("started_at"))
     scanned = segmented_scan(
-        rows, ["stream_id"], ["frame_id"], position_segment("frame_id", segment_rows), lag={"_before": "_at"}
+        rows, ["stream_id"], ["frame_id"], position_segment("frame_id", segment_rows, n_rows), lag={"_before": "_at"}
     )
     return (
         scanned.withColumn("gap_us", F.col("_at") - F.col("_before"))
@@ -40,13 +42,19 @@ def frame_gaps(
     )
 
 
-def frame_order(frames: DataFrame, keys: Sequence[str], segment_rows: int = SEGMENT_ROWS) -> DataFrame:
+def frame_order(
+    frames: DataFrame, keys: Sequence[str], segment_rows: int = SEGMENT_ROWS, n_rows: int | None = None
+) -> DataFrame:
     """Frames per assignment in order of arrival that do not have a higher id than before.
 
     ``frames`` has ``arrival`` (an increasing number per stream) and ``frame_id``.
     """
     scanned = segmented_scan(
-        frames, keys, ["arrival"], position_segment("arrival", segment_rows), lag={"previous_frame_id": "frame_id"}
+        frames,
+        keys,
+        ["arrival"],
+        position_segment("arrival", segment_rows, n_rows),
+        lag={"previous_frame_id": "frame_id"},
     )
     return scanned.withColumn(
         "increasing",
@@ -102,15 +110,38 @@ def activity_intervals(
     A partition is active from its first event and becomes inactive once more than
     ``timeout_secs`` passed since its last one. The interval open at ``stream_end`` and
     not yet timed out lasts until then; closed ones last until their last event.
+
+    Each segment of a partition finds its own intervals in one shuffle; only the first
+    one of a segment can continue the last one of the segment before, which the
+    segments' ends decide.
     """
     timeout = timeout_secs * SECOND
-    timed = rows.select(*keys, position, F.unix_micros(at).alias("_at"))
-    segment = position_segment(position, segment_rows)
-    gaps = segmented_scan(timed, keys, [position], segment, lag={"_before": "_at"})
-    opens = (F.col("_before").isNull() | (F.col("_at") - F.col("_before") > timeout)).cast("long")
-    numbered = segmented_scan(gaps, keys, [position], segment, running_sum={"interval_no": opens})
-    intervals = numbered.groupBy(*keys, "interval_no").agg(
-        F.min("_at").alias("from_us"), F.max("_at").alias("last_us"), F.count(F.lit(1)).alias("n_events")
+    group = [*keys, "_segment"]
+    timed = rows.select(
+        *keys, position, F.unix_micros(at).alias("_at"), position_segment(position, segment_rows).alias("_segment")
+    )
+    local = Window.partitionBy(*group).orderBy(position)
+    gap = F.col("_at") - F.col("_before")
+    opens = (F.col("_before").isNull() | (gap > timeout)).cast("long")
+    parts = (
+        timed.withColumn("_before", F.lag("_at").over(local))
+        .withColumn("_no", F.sum(opens).over(local))
+        .groupBy(*group, "_no")
+        .agg(F.min("_at").alias("from_us"), F.max("_at").alias("last_us"), F.count(F.lit(1)).alias("n_events"))
+    )
+    along = Window.partitionBy(*keys).orderBy("_segment")
+    # The last interval ends with the segment's last event, which need not be its latest.
+    ends = (
+        parts.groupBy(*group)
+        .agg(F.min_by("from_us", "_no").alias("_from"), F.max_by("last_us", "_no").alias("_last"), F.max("_no").alias("_n"))
+        .withColumn("_joins", F.coalesce(F.col("_from") - F.lag("_last").over(along) <= timeout, F.lit(False)).cast("long"))
+        .withColumn("_n_before", F.sum(F.col("_n") - F.col("_joins")).over(along.rowsBetween(Window.unboundedPreceding, -1)))
+        .select(*group, (F.coalesce("_n_before", F.lit(0)) - F.col("_joins")).alias("_shift"))
+    )
+    intervals = (
+        parts.join(ends, group)
+        .groupBy(*keys, (F.col("_shift") + F.col("_no")).alias("interval_no"))
+        .agg(F.min("from_us").alias("from_us"), F.max("last_us").alias("last_us"), F.sum("n_events").alias("n_events"))
     )
     if stream_end is None:
         return intervals.withColumn("active_us", F.col("last_us") - F.col("from_us"))
@@ -122,7 +153,14 @@ def activity_intervals(
     )
 
 
-def batches_by_count(log: DataFrame, batch_limit: int, *, dense: bool = True, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
+def batches_by_count(
+    log: DataFrame,
+    batch_limit: int,
+    *,
+    dense: bool = True,
+    segment_rows: int = SEGMENT_ROWS,
+    n_rows: int | None = None,
+) -> DataFrame:
     """Add ``batch_no``: at most ``batch_limit`` events per batch of a partition.
 
     With gapless offsets the batch follows from the offset and nothing is shuffled
@@ -135,7 +173,7 @@ def batches_by_count(log: DataFrame, batch_limit: int, *, dense: bool = True, se
         place = log.join(oldest, ETP).withColumn("_place", F.col("offset") - F.col("_oldest"))
     else:
         place = segmented_scan(
-            log, ETP, ["offset"], position_segment("offset", segment_rows), row_number="_rn"
+            log, ETP, ["offset"], position_segment("offset", segment_rows, n_rows), row_number="_rn"
         ).withColumn("_place", F.col("_rn") - 1)
     return place.select(*log.columns, F.floor(F.col("_place") / batch_limit).cast("long").alias("batch_no"))
 
@@ -181,7 +219,7 @@ def batches_by_timespan(
         n_rows=n_rows,
     )
     numbered = segmented_scan(
-        starts, ETP, ["offset"], position_segment("offset", segment_rows), running_sum={"_no": F.col("starts")}
+        starts, ETP, ["offset"], position_segment("offset", segment_rows, n_rows), running_sum={"_no": F.col("starts")}
     )
     return numbered.select(*ETP, "offset", F.col("at").alias("received_us"), (F.col("_no") - 1).alias("batch_no"))
 
@@ -201,6 +239,6 @@ def order_inversions(
     order = [*order_keys, "partition", "offset"]
     placed = number_rows(log, ["event_type"], order, "key_place", segment_rows=segment_rows, n_rows=n_rows)
     scanned = segmented_scan(
-        placed, ETP, ["offset"], position_segment("offset", segment_rows), running_max={"_max": F.col("key_place")}
+        placed, ETP, ["offset"], position_segment("offset", segment_rows, n_rows), running_max={"_max": F.col("key_place")}
     )
     return scanned.withColumn("inverted", F.col("key_place") < F.col("_max")).drop("_max")

@@ -43,7 +43,7 @@ def query(function: Query) -> Query:
 
 def _lines(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> DataFrame:
     """Batch lines over the whole log. Frames number fewer than events."""
-    n = tb.events(spark, sf_dir).count()
+    n = tb.n_events(spark, sf_dir)
     return tb.frames(tb.log(spark, sf_dir), corrupt, n_rows=n)
 
 
@@ -105,7 +105,9 @@ def cursor_lag(spark, sf_dir):
 def cursor_lag_after_compaction(spark, sf_dir):
     log = tb.log(spark, sf_dir)
     cursors = tb.commits(log).select(*ETP, "offset")
-    return of.cursor_lag(of.compacted(log.select(*ETP, "offset", "key")), cursors, dense=False)
+    return of.cursor_lag(
+        of.compacted(log.select(*ETP, "offset", "key")), cursors, dense=False, n_rows=2 * tb.n_events(spark, sf_dir)
+    )
 
 
 @query
@@ -417,12 +419,12 @@ def partition_counts(spark, sf_dir):
 
 @query
 def frame_gaps(spark, sf_dir):
-    return sq.frame_gaps(_lines(spark, sf_dir)).select("stream_id", "frame_id", "gap_us", "warning")
+    return sq.frame_gaps(_lines(spark, sf_dir), n_rows=tb.n_events(spark, sf_dir)).select("stream_id", "frame_id", "gap_us", "warning")
 
 
 @query
 def batch_gaps(spark, sf_dir):
-    return sq.frame_gaps(env.event_batches(_parsed(spark, sf_dir))).select("stream_id", "frame_id", "gap_us")
+    return sq.frame_gaps(env.event_batches(_parsed(spark, sf_dir)), n_rows=tb.n_events(spark, sf_dir)).select("stream_id", "frame_id", "gap_us")
 
 
 def _deltas(spark, sf_dir) -> DataFrame:
@@ -454,7 +456,7 @@ def _deltas(spark, sf_dir) -> DataFrame:
 @query
 def in_flight_totals(spark, sf_dir):
     # At most three changes per frame, and a frame has at least one event or follows one.
-    n = 3 * tb.events(spark, sf_dir).count()
+    n = 3 * tb.n_events(spark, sf_dir)
     totals = sq.in_flight(_deltas(spark, sf_dir), n_rows=n)
     return totals.withColumn("at_us", _us("at")).drop("at")
 
@@ -475,9 +477,9 @@ def frame_order_per_assignment(spark, sf_dir):
     b = env.event_batches(_parsed(spark, sf_dir)).withColumn(
         "_at", _us("completed_at") + F.when(F.col("frame_id") % 17 == 0, 400_000_000_000).otherwise(0)
     )
-    n = tb.events(spark, sf_dir).count()
+    n = tb.n_events(spark, sf_dir)
     arrived = of.number_rows(b, ["stream_id"], ["_at", "frame_id"], "arrival", n_rows=n)
-    return sq.frame_order(arrived, ["stream_id", *ETP]).select(
+    return sq.frame_order(arrived, ["stream_id", *ETP], n_rows=n).select(
         "stream_id", *ETP, "arrival", "frame_id", "previous_frame_id", "increasing"
     )
 
@@ -492,19 +494,19 @@ def batches_by_count(spark, sf_dir):
 @query
 def batches_by_count_after_compaction(spark, sf_dir):
     log = of.compacted(tb.log(spark, sf_dir).select(*ETP, "key", "offset"))
-    return sq.batches_by_count(log, 7, dense=False).select(*ETP, "offset", "batch_no")
+    return sq.batches_by_count(log, 7, dense=False, n_rows=tb.n_events(spark, sf_dir)).select(*ETP, "offset", "batch_no")
 
 
 @query
 def batches_by_timespan(spark, sf_dir):
-    n = tb.events(spark, sf_dir).count()
+    n = tb.n_events(spark, sf_dir)
     return sq.batches_by_timespan(tb.log(spark, sf_dir), 36_000, n_rows=n).select(*ETP, "offset", "batch_no")
 
 
 @query
 def ordering_key_inversions(spark, sf_dir):
     log = tb.log(spark, sf_dir).withColumn("k", F.get_json_object("payload", "$.props.k").cast("long"))
-    n = tb.events(spark, sf_dir).count()
+    n = tb.n_events(spark, sf_dir)
     return sq.order_inversions(log, ["k", "key"], n_rows=n).select(*ETP, "offset", "key_place", "inverted")
 
 
@@ -527,7 +529,7 @@ def _cursors(spark, sf_dir) -> DataFrame:
 
 
 def _cut(spark, sf_dir, strategy: cm.CommitStrategy, commit_timeout_secs: int = 60) -> DataFrame:
-    n = tb.events(spark, sf_dir).count()
+    n = tb.n_events(spark, sf_dir)
     return cm.cut_commits(_cursors(spark, sf_dir), strategy, commit_timeout_secs=commit_timeout_secs, n_rows=n)
 
 
@@ -587,7 +589,7 @@ def _attempts(spark, sf_dir) -> DataFrame:
 
 
 def _outcomes(spark, sf_dir) -> DataFrame:
-    n = tb.events(spark, sf_dir).count()
+    n = tb.n_events(spark, sf_dir)
     return cm.commit_outcomes(_attempts(spark, sf_dir), ["at_us", "offset"], n_rows=n)
 
 
@@ -788,7 +790,9 @@ def typed_handler_totals(spark, sf_dir):
 def quiet_streams(spark, sf_dir):
     lines = env.parse_lines(_lines(spark, sf_dir))
     policy = liveness.StreamDeadPolicy("no_events_for", 40_000)
-    return liveness.quiet_periods(lines, tb.as_of(), policy, 10_000, 15_000).drop("open")
+    return liveness.quiet_periods(
+        lines, tb.as_of(), policy, 10_000, 15_000, n_rows=tb.n_events(spark, sf_dir)
+    ).drop("open")
 
 
 @query

@@ -6,12 +6,15 @@ with the input.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidelog.functions.cursors import empty_as_null
 from tidelog.model import ETP
 from tidelog.operators.offsets import append_offsets, number_rows
 from tidelog.operators.segments import SEGMENT_ROWS
+from tidelog.session import stored
 
 N_PARTITIONS = 8
 N_STREAMS = 4
@@ -51,12 +54,26 @@ def to_log_rows(events: DataFrame) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=64)
+def _count(application: str, sf_dir: str) -> int:
+    return SparkSession.active().read.parquet(f"{sf_dir}/events.parquet").count()
+
+
+def n_events(spark: SparkSession, sf_dir: str) -> int:
+    """Rows of the events table: an upper bound of what any derived key can hold."""
+    return _count(spark.sparkContext.applicationId, sf_dir)
+
+
 def log(spark: SparkSession, sf_dir: str, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
-    """The event log, with offsets in order of (ts, event_id)."""
-    source = events(spark, sf_dir)
-    n = source.count()
-    rows = append_offsets(to_log_rows(source), ["received_at", "event_id"], segment_rows=segment_rows, n_rows=n)
-    return rows
+    """The event log, with offsets in order of (ts, event_id).
+
+    A log of several segments is written once, as a broker would hold it, instead of
+    being derived again wherever a plan reads it twice.
+    """
+    n = n_events(spark, sf_dir)
+    rows = to_log_rows(events(spark, sf_dir))
+    rows = append_offsets(rows, ["received_at", "event_id"], segment_rows=segment_rows, n_rows=n)
+    return rows if n <= segment_rows else stored(rows, "log")
 
 
 def stream_of(partition: Column) -> Column:
@@ -104,8 +121,21 @@ def event_json(payload: Column) -> Column:
     return F.when(F.col("event_type").isin(*DATA_TYPES), change).otherwise(business)
 
 
-def batches(log: DataFrame, corrupt: bool = False) -> DataFrame:
+def _batch_no() -> Column:
+    return F.floor(F.col("offset") / FRAME_EVENTS).cast("long").alias("batch_no")
+
+
+def batch_heads(log: DataFrame) -> DataFrame:
     """One row per batch line to be: ten events of one partition, in order."""
+    return log.groupBy(*ETP, _batch_no()).agg(
+        F.max("offset").alias("offset"),
+        F.max("received_at").alias("started_at"),
+        F.count(F.lit(1)).alias("n_events"),
+    )
+
+
+def batch_texts(log: DataFrame, corrupt: bool = False) -> DataFrame:
+    """The events of each batch as JSON texts, in order; at most FRAME_EVENTS of them."""
     payload = F.col("payload")
     if corrupt:
         payload = (
@@ -114,19 +144,9 @@ def batches(log: DataFrame, corrupt: bool = False) -> DataFrame:
             .otherwise(payload)
         )
     rows = log.withColumn("_payload", payload)
-    rows = rows.select(
-        *ETP,
-        "offset",
-        "received_at",
-        F.floor(F.col("offset") / FRAME_EVENTS).cast("long").alias("batch_no"),
-        event_json(F.col("_payload")).alias("event"),
-    )
-    # A batch has at most FRAME_EVENTS rows, so the collected list is bounded.
+    rows = rows.select(*ETP, "offset", _batch_no(), event_json(F.col("_payload")).alias("event"))
     return rows.groupBy(*ETP, "batch_no").agg(
-        F.max("offset").alias("offset"),
-        F.max("received_at").alias("started_at"),
-        F.count(F.lit(1)).alias("n_events"),
-        F.array_sort(F.collect_list(F.struct("offset", "event"))).alias("events"),
+        F.array_sort(F.collect_list(F.struct("offset", "event"))).alias("events")
     )
 
 
@@ -139,7 +159,8 @@ def frames(log: DataFrame, corrupt: bool = False, segment_rows: int = SEGMENT_RO
     """
     from tidelog.operators.envelope import assemble_line
 
-    rows = batches(log, corrupt).withColumn(
+    texts = batch_texts(log, corrupt)
+    heads = batch_heads(log).withColumn(
         "kinds",
         F.filter(
             F.array(
@@ -150,11 +171,13 @@ def frames(log: DataFrame, corrupt: bool = False, segment_rows: int = SEGMENT_RO
             lambda k: k.isNotNull(),
         ),
     )
-    rows = rows.select(
+    heads = heads.select(
         stream_of(F.col("partition")).alias("stream_id"), "*", F.posexplode("kinds").alias("line_no", "kind")
     ).withColumn("started_at", F.timestamp_micros(F.unix_micros("started_at") + F.col("line_no") * 1_000_000))
     order = ["started_at", "event_type", "partition", "batch_no", "line_no"]
-    rows = number_rows(rows, ["stream_id"], order, "frame_id", segment_rows=segment_rows, n_rows=n_rows)
+    # Lines are numbered without their texts, which stay where their partition is.
+    heads = number_rows(heads, ["stream_id"], order, "frame_id", segment_rows=segment_rows, n_rows=n_rows)
+    rows = heads.join(texts, [*ETP, "batch_no"])
 
     token = F.concat(F.lit("token-"), F.col("offset").cast("string"))
     partition = F.col("partition")
@@ -171,13 +194,14 @@ def frames(log: DataFrame, corrupt: bool = False, segment_rows: int = SEGMENT_RO
     if corrupt:
         value = F.when(F.col("batch_no") % 8 == 7, F.left(value, F.lit(60))).otherwise(value)
     n_events = F.when(F.col("kind") == "batch", F.col("n_events")).otherwise(0)
-    return rows.select(
+    lines = rows.select(
         "stream_id",
         "frame_id",
         value.alias("value"),
         "started_at",
         F.timestamp_micros(F.unix_micros("started_at") + 2000 + n_events * 1000).alias("completed_at"),
     )
+    return lines if n_rows is not None and n_rows <= segment_rows else stored(lines, "frames")
 
 
 def stats_rows(log: DataFrame, commits: DataFrame) -> DataFrame:
