@@ -26,16 +26,25 @@ def test_running_columns_do_not_depend_on_segments(spark, segment_rows):
     segment = order_segment(df, ["t", "id"], segment_rows)
     assert (segment is None) == (segment_rows == 10_000)
     got = segmented_scan(
-        df, ["k"], ["t", "id"], segment, row_number="rn", running_sum={"s": F.col("v")}, running_max={"m": F.col("v")}, lag={"p": "v"}
+        df,
+        ["k"],
+        ["t", "id"],
+        segment,
+        row_number="rn",
+        running_sum={"s": F.col("v")},
+        running_max={"m": F.col("v")},
+        max_before={"b": F.col("v")},
+        lag={"p": "v"},
     )
     want = []
     for key in {d[0] for d in data}:
         s, m, p = 0, None, None
         for rn, (k, t, i, v) in enumerate(sorted((d for d in data if d[0] == key), key=lambda d: d[1:3]), 1):
+            before = m
             s, m = s + v, v if m is None else max(m, v)
-            want.append((k, t, i, v, rn, s, m, p))
+            want.append((k, t, i, v, rn, s, m, before, p))
             p = v
-    assert rows(got.select("k", "t", "id", "v", "rn", "s", "m", "p")) == sorted(want, key=repr)
+    assert rows(got.select("k", "t", "id", "v", "rn", "s", "m", "b", "p")) == sorted(want, key=repr)
 
 
 def test_segments_are_bounded_under_skew(spark):
@@ -51,9 +60,9 @@ def test_order_segment_on_times(spark):
     assert numbered.filter(F.col("n") != F.col("id")).count() == 0
 
 
-@pytest.mark.parametrize("limit", [5, 40])
+@pytest.mark.parametrize("limit", [5, 40, 10**6])
 def test_carry_scan_is_the_sequential_rule(spark, limit):
-    """A resetting sum, which knows nothing of segments."""
+    """A resetting sum, which knows nothing of segments; the last one never resets."""
     data, df = skewed(spark, 600)
     df = number_rows(df, ["k"], ["t", "id"], "n")
 

@@ -102,9 +102,7 @@ def commit_outcomes(
 ) -> DataFrame:
     """``committed``, or ``outdated`` if the same or a newer offset was committed before."""
     segment = order_segment(attempts, order_by, segment_rows, n_rows)
-    reached = segmented_scan(attempts, keys, order_by, segment, running_max={"_max": F.col("offset")})
-    # The running maximum does not rise at an attempt that is not beyond all before it.
-    before = segmented_scan(reached, keys, order_by, segment, lag={"_before": "_max"})
+    before = segmented_scan(attempts, keys, order_by, segment, max_before={"_before": F.col("offset")})
     outdated = F.coalesce(F.col("offset") <= F.col("_before"), F.lit(False))
     return before.select(
         *attempts.columns, F.when(outdated, F.lit("outdated")).otherwise(F.lit("committed")).alias("result")

@@ -46,9 +46,13 @@ def quiet_periods(
     ).withColumn("_batch_at", F.when(F.col("_is_batch"), F.col("_at")))
     segment = position_segment("frame_id", segment_rows, n_rows)
     scanned = segmented_scan(
-        rows, ["stream_id"], ["frame_id"], segment, running_max={"_events_upto": F.col("_batch_at")}, lag={"_frame_before": "_at"}
+        rows,
+        ["stream_id"],
+        ["frame_id"],
+        segment,
+        max_before={"_events_before": F.col("_batch_at")},
+        lag={"_frame_before": "_at"},
     )
-    scanned = segmented_scan(scanned, ["stream_id"], ["frame_id"], segment, lag={"_events_before": "_events_upto"})
     closed = scanned.select(
         "stream_id",
         F.explode(

@@ -95,13 +95,15 @@ def verdict(events: DataFrame, write_failed: Column | None = None) -> DataFrame:
 
     An event turned down before writing fails and the rest of its batch is aborted
     (422). Otherwise only events for which the write failed fail (207); a batch
-    without failures is 200. The batch flags are aggregated before they are joined
-    back, so a big batch is not gathered in one task.
+    without failures is 200. Only batches with a failure are aggregated and joined back:
+    few, as a rule, so that the events themselves need no shuffle.
     """
     lost = F.coalesce(write_failed, F.lit(False)) if write_failed is not None else F.lit(False)
     rows = events.withColumn("_lost", lost)
-    flags = rows.groupBy("batch_id").agg(
-        F.bool_or(F.col("step").isNotNull()).alias("_bad"), F.bool_or("_lost").alias("_some_lost")
+    flags = (
+        rows.filter(F.col("step").isNotNull() | F.col("_lost"))
+        .groupBy("batch_id")
+        .agg(F.bool_or(F.col("step").isNotNull()).alias("_bad"), F.lit(True).alias("_some_lost"))
     )
     turned_down = F.col("step").isNotNull()
     status = (
@@ -113,7 +115,8 @@ def verdict(events: DataFrame, write_failed: Column | None = None) -> DataFrame:
     code = F.when(F.col("_bad"), 422).when(F.col("_some_lost"), 207).otherwise(200)
     write_error = ~F.col("_bad") & F.col("_lost")
     return (
-        rows.join(flags, "batch_id")
+        rows.join(flags, "batch_id", "left")
+        .withColumn("_bad", F.coalesce("_bad", F.lit(False)))
         .withColumns(
             {
                 "publishing_status": status,
@@ -204,7 +207,7 @@ def publish_rounds(
     nor does its plan grow with the rounds before. An event keeps its ``pos``.
     """
     responses: DataFrame | None = None
-    todo = events
+    todo = stored(events, "to-publish")
     for n in range(1, max_attempts + 1):
         answered = stored(attempt(todo, n).withColumn("attempt", F.lit(n)), "responses")
         responses = answered if responses is None else responses.unionByName(answered)

@@ -19,7 +19,7 @@ again only where the assumption was wrong.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -100,17 +100,20 @@ def segmented_scan(
     row_number: str | None = None,
     running_sum: Mapping[str, Column] | None = None,
     running_max: Mapping[str, Column] | None = None,
+    max_before: Mapping[str, Column] | None = None,
     lag: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Add running columns per key in ``order_by`` order.
 
     ``row_number`` names a 1-based counter; ``running_sum`` and ``running_max`` are
-    inclusive of the row; ``lag`` maps a new column to the column whose previous
-    value it takes. ``segment`` must not decrease along the order, and ``order_by``
+    inclusive of the row, ``max_before`` is the maximum of the rows before it; ``lag``
+    maps a new column to the column whose previous value it takes. ``segment`` must not decrease along the order, and ``order_by``
     must order the rows of a key totally. Keys must not be NULL. Without a segment each
     key is known to be small and gets a plain window.
     """
-    sums, maxs, lags = dict(running_sum or {}), dict(running_max or {}), dict(lag or {})
+    sums, lags = dict(running_sum or {}), dict(lag or {})
+    earlier = dict(max_before or {})
+    maxs = {**dict(running_max or {}), **earlier}
     if row_number:
         sums[row_number] = F.lit(1).cast("long")
 
@@ -118,10 +121,11 @@ def segmented_scan(
     if segment is None:
         along = Window.partitionBy(*keys).orderBy(*order_by)
         upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ahead = along.rowsBetween(Window.unboundedPreceding, -1)
         return df.select(
             *kept,
             *[F.sum(col).over(upto).alias(n) for n, col in sums.items()],
-            *[F.max(col).over(upto).alias(n) for n, col in maxs.items()],
+            *[F.max(col).over(ahead if n in earlier else upto).alias(n) for n, col in maxs.items()],
             *[F.lag(c).over(along).alias(n) for n, c in lags.items()],
         )
     rows = df.withColumn(_SEG, segment)
@@ -148,11 +152,14 @@ def segmented_scan(
 
     local = Window.partitionBy(*group).orderBy(*order_by)
     upto = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = rows.select(
+    ahead = local.rowsBetween(Window.unboundedPreceding, -1)
+    # Spread by segment even if the input comes partitioned by key already, which would
+    # satisfy the windows and leave a busy key in one task.
+    inside = rows.repartition(*group).select(
         *kept,
         _SEG,
         *[F.sum(f"_s_{n}").over(upto).alias(f"_ls_{n}") for n in sums],
-        *[F.max(f"_m_{n}").over(upto).alias(f"_lm_{n}") for n in maxs],
+        *[F.max(f"_m_{n}").over(ahead if n in earlier else upto).alias(f"_lm_{n}") for n in maxs],
         *([F.lag(F.struct(*lags.values())).over(local).alias("_lag")] if lags else []),
     )
     previous = F.coalesce("_lag", "_prev") if lags else None
@@ -164,6 +171,9 @@ def segmented_scan(
     )
 
 
+SPECULATIVE_ROUNDS = 3
+
+
 def carry_scan(
     df: DataFrame,
     keys: Sequence[str],
@@ -177,70 +187,98 @@ def carry_scan(
 ) -> DataFrame:
     """Run a sequential rule along ``position`` within each key, segment by segment.
 
-    ``step(rows, entry)`` gets one segment in order and the state before it (None at
-    the start of a key) and returns the output rows and the state after it. Output
+    ``step(rows, entry)`` gets consecutive rows in order and the state before them (None
+    at the start of a key) and returns the output rows and the state after them. Output
     rows start with the key columns.
 
-    Segments are bounded and run in parallel. First each one runs from None, then
-    those whose true entry state differs run again, until nothing changes; a rule
-    that forgets its past within a segment needs two rounds. The result is always
-    the sequential one. ``n_rows`` is an upper bound of rows per key; a table known
-    to fit one segment per key is run at once.
+    Segments are bounded and run in parallel: first each one from None, then those whose
+    true entry state differs again. A rule that forgets its past within a segment is
+    through after two rounds. One that never does (say, every n-th row) depends on all
+    rows before by nature: after a few rounds the keys that are not settled are passed
+    through once in order, in bounded memory, to get their segments' entry states. So
+    the result is always the sequential one and the work stays linear. ``n_rows`` is an
+    upper bound of rows per key; a table known to fit one segment per key is run at once.
     """
     group = [*keys, _SEG]
     rows = df.withColumn(_SEG, position_segment(position, segment_rows))
     out_schema = T.StructType(output.fields)
     names = [f.name for f in state.fields]
-    key_types = [df.schema[k] for k in keys]
-    seg_field = T.StructField(_SEG, T.LongType())
 
     if n_rows is not None and n_rows <= segment_rows:
 
         def whole(pdf: pd.DataFrame) -> pd.DataFrame:
             return step(pdf.sort_values(position), None)[0]
 
-        return rows.groupBy(*group).applyInPandas(whole, out_schema)
+        return df.groupBy(*keys).applyInPandas(whole, out_schema)
 
     rows = stored(rows, "segments")
-    exit_schema = T.StructType([*key_types, seg_field, *[T.StructField(f"x_{f.name}", f.dataType) for f in state.fields]])
+    exit_schema = T.StructType(
+        [
+            *[df.schema[k] for k in keys],
+            T.StructField(_SEG, T.LongType()),
+            *[T.StructField(f"x_{f.name}", f.dataType) for f in state.fields],
+        ]
+    )
 
     def entry_of(edf: pd.DataFrame) -> tuple | None:
         if edf.empty or pd.isna(edf[names[0]].iloc[0]):
             return None
-        return tuple(edf[n].iloc[0].item() if hasattr(edf[n].iloc[0], "item") else edf[n].iloc[0] for n in names)
+        return tuple(v.item() if hasattr(v, "item") else v for v in (edf[n].iloc[0] for n in names))
 
     def exits(pdf: pd.DataFrame, edf: pd.DataFrame) -> pd.DataFrame:
         # A segment without an entry row is not run in this round.
         if pdf.empty or edf.empty:
             return pd.DataFrame({f.name: [] for f in exit_schema.fields})
         after = step(pdf.sort_values(position), entry_of(edf))[1]
-        head = [pdf[c].iloc[0] for c in group]
-        return pd.DataFrame([[*head, *after]], columns=exit_schema.fieldNames())
+        return pd.DataFrame([[*[pdf[c].iloc[0] for c in group], *after]], columns=exit_schema.fieldNames())
 
     def emit(pdf: pd.DataFrame, edf: pd.DataFrame) -> pd.DataFrame:
         if pdf.empty:
             return pd.DataFrame({f.name: [] for f in out_schema.fields})
         return step(pdf.sort_values(position), entry_of(edf))[0]
 
-    segments = rows.select(*group).distinct()
-    entries = stored(segments.select(*group, *[F.lit(None).cast(f.dataType).alias(f.name) for f in state.fields]), "entries")
+    def pass_through(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Sorted rows of whole keys → the state after each of their segments."""
+        current, after = None, None
+        for part in parts:
+            out = []
+            for head, piece in part.groupby(group, sort=False, dropna=False):
+                if current is not None and head != current:
+                    out.append((*current, *after))
+                if current is None or head[:-1] != current[:-1]:
+                    after = None
+                current, after = head, step(piece, after)[1]
+            yield pd.DataFrame(out, columns=exit_schema.fieldNames())
+        if current is not None:
+            yield pd.DataFrame([(*current, *after)], columns=exit_schema.fieldNames())
+
+    def entries_from(done: DataFrame) -> DataFrame:
+        after = F.struct(*[F.col(f"x_{n}").alias(n) for n in names])
+        before = F.lag(after).over(Window.partitionBy(*keys).orderBy(_SEG))
+        return done.select(*group, before.alias("_e")).select(*group, *[F.col("_e")[n].alias(n) for n in names])
+
+    unknown = [F.lit(None).cast(f.dataType).alias(f.name) for f in state.fields]
+    entries = todo = stored(rows.select(*group).distinct().select(*group, *unknown), "entries")
     done = None
-    todo = entries
-    while True:
+    for _ in range(SPECULATIVE_ROUNDS):
         wanted = rows.join(todo.select(*group), group, "left_semi")
         ran = wanted.groupBy(*group).cogroup(todo.groupBy(*group)).applyInPandas(exits, exit_schema)
         done = ran if done is None else done.join(todo.select(*group), group, "left_anti").unionByName(ran)
         done = stored(done, "exits")
-        after = F.struct(*[F.col(f"x_{n}").alias(n) for n in names])
-        nxt = done.select(
-            *group, F.lag(after).over(Window.partitionBy(*keys).orderBy(_SEG)).alias("_entry")
-        ).select(*group, *[F.col("_entry")[n].alias(n) for n in names])
+        old = entries.select(*group, *[F.col(n).alias(f"o_{n}") for n in names])
+        entries = stored(entries_from(done), "entries")
         same = F.lit(True)
         for n in names:
             same = same & F.col(f"o_{n}").eqNullSafe(F.col(n))
-        old = entries.select(*group, *[F.col(n).alias(f"o_{n}") for n in names])
-        todo = stored(nxt.join(old, group).filter(~same).select(*group, *names), "todo")
+        todo = stored(entries.join(old, group).filter(~same).select(*group, *names), "todo")
         if todo.isEmpty():
             break
-        entries = stored(nxt, "entries")
+    else:
+        open_keys = todo.select(*keys).distinct()
+        in_order = (
+            rows.join(open_keys, list(keys), "left_semi").repartition(*keys).sortWithinPartitions(*keys, position)
+        )
+        passed = in_order.mapInPandas(pass_through, exit_schema)
+        settled = done.join(open_keys, list(keys), "left_anti")
+        entries = stored(entries_from(settled.unionByName(passed)), "entries")
     return rows.groupBy(*group).cogroup(entries.groupBy(*group)).applyInPandas(emit, out_schema)

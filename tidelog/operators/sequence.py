@@ -104,6 +104,7 @@ def activity_intervals(
     at: str = "received_at",
     position: str = "offset",
     segment_rows: int = SEGMENT_ROWS,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Active intervals per partition.
 
@@ -117,9 +118,12 @@ def activity_intervals(
     """
     timeout = timeout_secs * SECOND
     group = [*keys, "_segment"]
+    segment = position_segment(position, segment_rows, n_rows)
     timed = rows.select(
-        *keys, position, F.unix_micros(at).alias("_at"), position_segment(position, segment_rows).alias("_segment")
+        *keys, position, F.unix_micros(at).alias("_at"), (F.lit(0) if segment is None else segment).alias("_segment")
     )
+    if segment is not None:
+        timed = timed.repartition(*group)
     local = Window.partitionBy(*group).orderBy(position)
     gap = F.col("_at") - F.col("_before")
     opens = (F.col("_before").isNull() | (gap > timeout)).cast("long")

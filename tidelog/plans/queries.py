@@ -468,7 +468,7 @@ def left_over_totals(spark, sf_dir):
 
 @query
 def partition_activity_intervals(spark, sf_dir):
-    return sq.activity_intervals(tb.log(spark, sf_dir), 7200, tb.as_of())
+    return sq.activity_intervals(tb.log(spark, sf_dir), 7200, tb.as_of(), n_rows=tb.n_events(spark, sf_dir))
 
 
 @query
@@ -747,7 +747,7 @@ def handler_outcomes(spark, sf_dir):
 @query
 def handler_outcomes_by_event_type(spark, sf_dir):
     handlers = {t: _sample_handler for t in ("click", "error", "purchase", "signup", "view")}
-    results = hd.dispatch(_parsed(spark, sf_dir), handlers, "event_type_par", ordered=True)
+    results = hd.dispatch(_parsed(spark, sf_dir), handlers, "event_type_par")
     return hd.settle(results, "event_type_par").groupBy("stream_id", "event_type", "settled").agg(
         F.count(F.lit(1)).alias("n_batches"), F.sum("n_events").cast("long").alias("n_events")
     )
