@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidelog.functions.times import SECOND
 from tidelog.model import BEGIN, ETP, STREAM_DEFAULTS
+from tidelog.operators.joins import join_small
 from tidelog.operators.segments import (
     SEGMENT_ROWS,
     carry_scan,
@@ -16,6 +17,7 @@ from tidelog.operators.segments import (
     position_segment,
     segmented_scan,
 )
+from tidelog.session import stored
 
 
 def safe_timeout_us(commit_timeout_secs: int) -> int:
@@ -135,17 +137,18 @@ def reset_cursors(commits: DataFrame, at: Column, to: DataFrame | None = None) -
     )
 
 
-def effective_commits(commits: DataFrame) -> DataFrame:
+def effective_commits(commits: DataFrame, n_rows: int | None = None) -> DataFrame:
     """The committed offset per subscription and partition with resets in force.
 
     After the last reset counts the reset offset or a higher one committed since.
+    ``n_rows`` is an upper bound of the partitions that were reset.
     """
     keys = ["subscription_id", *ETP]
-    reset_at = commits.groupBy(*keys).agg(F.max(F.when(F.col("reset"), F.col("committed_at"))).alias("_reset_at"))
+    reset_at = commits.filter("reset").groupBy(*keys).agg(F.max("committed_at").alias("_reset_at"))
     since = F.col("_reset_at").isNull() | (F.col("committed_at") > F.col("_reset_at")) | (
         F.col("reset") & (F.col("committed_at") == F.col("_reset_at"))
     )
-    return commits.join(reset_at, keys).filter(since).groupBy(*keys).agg(F.max("offset").alias("committed"))
+    return join_small(commits, reset_at, keys, "left", n_rows).filter(since).groupBy(*keys).agg(F.max("offset").alias("committed"))
 
 
 # --- cutting cursors into commits -------------------------------------------------
@@ -158,10 +161,17 @@ _CUT_STATE = T.StructType(
         T.StructField("next_at", T.LongType()),
     ]
 )
-_NEVER = (1 << 62)
+_CUT_COLUMNS = [
+    T.StructField("_opens", T.LongType()),
+    T.StructField("_closed_before", T.StringType()),
+    T.StructField("_at_before", T.LongType()),
+    T.StructField("_closed_here", T.StringType()),
+    T.StructField("_at_here", T.LongType()),
+]
+_NEVER = 1 << 62
 
 
-def _cut_rule(strategy: CommitStrategy, safe_us: int, keys: list[str]):
+def _cut_rule(strategy: CommitStrategy, safe_us: int, kept: list[str]):
     """The sequential rule over the cursors of one stream in order of arrival."""
     interval = None if strategy.interval_secs is None else strategy.interval_secs * SECOND
     max_events = strategy.events if strategy.kind == "after" and strategy.events else _NEVER
@@ -172,7 +182,7 @@ def _cut_rule(strategy: CommitStrategy, safe_us: int, keys: list[str]):
         # next_at: the interval clock; 0 means elapsed, so the first cursor goes at once.
         batches, events, deadline, next_at = entry or (0, 0, _NEVER, 0 if interval is not None else _NEVER)
         opens, closed_before, closed_here, at_before, at_here = [], [], [], [], []
-        for now, started, n in zip(pdf["arrived"].tolist(), pdf["started"].tolist(), pdf["n"].tolist()):
+        for now, started, n in zip(pdf["_arrived"].tolist(), pdf["_started"].tolist(), pdf["_n"].tolist()):
             before = before_at = here = here_at = None
             due = min(deadline, next_at)
             if batches and due < now:
@@ -200,12 +210,12 @@ def _cut_rule(strategy: CommitStrategy, safe_us: int, keys: list[str]):
             at_before.append(before_at)
             closed_here.append(here)
             at_here.append(here_at)
-        out = pdf[[*keys, "seq"]].assign(
-            opens=opens,
-            closed_before=closed_before,
-            at_before=pd.array(at_before, dtype="Int64"),
-            closed_here=closed_here,
-            at_here=pd.array(at_here, dtype="Int64"),
+        out = pdf[kept].assign(
+            _opens=opens,
+            _closed_before=closed_before,
+            _at_before=pd.array(at_before, dtype="Int64"),
+            _closed_here=closed_here,
+            _at_here=pd.array(at_here, dtype="Int64"),
         )
         return out, (batches, events, deadline, next_at)
 
@@ -242,48 +252,39 @@ def cut_commits(
             "triggered_us", F.unix_micros("arrived_at")
         )
 
-    rows = cursors.select(
-        *keys,
-        "seq",
-        F.unix_micros("arrived_at").alias("arrived"),
-        F.unix_micros("started_at").alias("started"),
-        F.col("n_events").cast("long").alias("n"),
-    )
-    output = T.StructType(
-        [
-            *[cursors.schema[k] for k in keys],
-            T.StructField("seq", T.LongType()),
-            T.StructField("opens", T.LongType()),
-            T.StructField("closed_before", T.StringType()),
-            T.StructField("at_before", T.LongType()),
-            T.StructField("closed_here", T.StringType()),
-            T.StructField("at_here", T.LongType()),
-        ]
+    rows = cursors.withColumns(
+        {
+            "_arrived": F.unix_micros("arrived_at"),
+            "_started": F.unix_micros("started_at"),
+            "_n": F.col("n_events").cast("long"),
+        }
     )
     cuts = carry_scan(
         rows,
         keys,
         "seq",
-        _cut_rule(strategy, safe_timeout_us(commit_timeout_secs), keys),
+        _cut_rule(strategy, safe_timeout_us(commit_timeout_secs), cursors.columns),
         _CUT_STATE,
-        output,
+        T.StructType([*cursors.schema.fields, *_CUT_COLUMNS]),
         segment_rows=segment_rows,
         n_rows=n_rows,
     )
     segment = position_segment("seq", segment_rows, n_rows)
-    numbered = segmented_scan(cuts, keys, ["seq"], segment, running_sum={"commit_no": F.col("opens")})
+    numbered = segmented_scan(cuts, keys, ["seq"], segment, running_sum={"commit_no": F.col("_opens")})
+    # Read twice below: the rule must not run twice.
+    numbered = stored(numbered, "cuts")
     closings = (
         numbered.select(
             *keys,
             F.explode(
                 F.array(
                     F.struct(
-                        F.col("commit_no"), F.col("closed_here").alias("trigger"), F.col("at_here").alias("triggered_us")
+                        F.col("commit_no"), F.col("_closed_here").alias("trigger"), F.col("_at_here").alias("triggered_us")
                     ),
                     F.struct(
                         (F.col("commit_no") - 1).alias("commit_no"),
-                        F.col("closed_before").alias("trigger"),
-                        F.col("at_before").alias("triggered_us"),
+                        F.col("_closed_before").alias("trigger"),
+                        F.col("_at_before").alias("triggered_us"),
                     ),
                 )
             ).alias("c"),
@@ -292,7 +293,7 @@ def cut_commits(
         .filter(F.col("trigger").isNotNull())
     )
     return (
-        cursors.join(numbered.select(*keys, "seq", "commit_no"), [*keys, "seq"])
+        numbered.select(*cursors.columns, "commit_no")
         .join(closings, [*keys, "commit_no"], "left")
         .withColumn("trigger", F.coalesce("trigger", F.lit("stream_end")))
     )

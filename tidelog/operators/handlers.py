@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidelog.model import ABORT_STREAM, COMMIT, DO_NOT_COMMIT, SHUT_DOWN
+from tidelog.operators.joins import join_small
 from tidelog.operators.envelope import decode_events, event_batches, explode_events
 from tidelog.session import stored
 
@@ -145,18 +146,19 @@ def typed_handler(
     raise ValueError(f"unknown on_decode_error: {on_decode_error}")
 
 
-def settle(results: DataFrame, mode: str = DEFAULT_DISPATCH) -> DataFrame:
+def settle(results: DataFrame, mode: str = DEFAULT_DISPATCH, n_rows: int | None = None) -> DataFrame:
     """Add ``settled``: ``committed``, ``not_committed``, ``stopped`` or ``held_back``.
 
     From the first abort or shut-down of a scope on nothing of that scope is committed:
     that batch stopped the scope and later ones are held back. Only ``commit`` yields a
     cursor. The results are stored first, as they are read twice and handlers must not
-    run again; the first stop is aggregated per scope and joined back.
+    run again; the first stop is aggregated per scope and joined back. ``n_rows`` is an
+    upper bound of the scopes.
     """
     results = stored(results, "handled")
     scope = ["stream_id", *DISPATCH_SCOPES[mode]]
     stop = F.col("action").isin(ABORT_STREAM, SHUT_DOWN)
-    stops = results.groupBy(*scope).agg(F.min(F.when(stop, F.col("frame_id"))).alias("_stop"))
+    stops = results.filter(stop).groupBy(*scope).agg(F.min("frame_id").alias("_stop"))
     after = F.col("frame_id") > F.col("_stop")
     settled = (
         F.when(after, F.lit("held_back"))
@@ -164,7 +166,7 @@ def settle(results: DataFrame, mode: str = DEFAULT_DISPATCH) -> DataFrame:
         .when(F.col("action") == COMMIT, F.lit("committed"))
         .otherwise(F.lit("not_committed"))
     )
-    return results.join(stops, scope).withColumn("settled", settled).drop("_stop")
+    return join_small(results, stops, scope, "left", n_rows).withColumn("settled", settled).drop("_stop")
 
 
 def cursors_to_commit(settled: DataFrame) -> DataFrame:

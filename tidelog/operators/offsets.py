@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidelog.functions.times import SECOND
 from tidelog.model import BEGIN, ETP
+from tidelog.operators.joins import join_small
 from tidelog.operators.segments import SEGMENT_ROWS, order_segment, position_segment, segmented_scan
 
 
@@ -136,30 +137,29 @@ def cursor_distance(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("error", error).withColumn("distance", F.when(F.col("error").isNull(), difference))
 
 
-def time_lag(log: DataFrame, committed: DataFrame, as_of: Column) -> DataFrame:
+def time_lag(log: DataFrame, committed: DataFrame, as_of: Column, n_rows: int | None = None) -> DataFrame:
     """Age in seconds of the oldest unconsumed event per partition, NULL if none is pending.
 
-    A partition without a commit counts from its first event.
+    A partition without a commit counts from its first event. ``n_rows`` is an upper
+    bound of the rows of ``committed``.
     """
     pending = F.when(F.col("offset") > F.coalesce("committed", F.lit(BEGIN)), F.col("received_at"))
-    oldest = (
-        log.select(*ETP, "offset", "received_at")
-        .join(committed.select(*ETP, "committed"), ETP, "left")
-        .groupBy(*ETP)
-        .agg(F.min(pending).alias("oldest_pending_at"))
-    )
+    rows = join_small(log.select(*ETP, "offset", "received_at"), committed.select(*ETP, "committed"), ETP, "left", n_rows)
+    oldest = rows.groupBy(*ETP).agg(F.min(pending).alias("oldest_pending_at"))
     age = F.floor((F.unix_micros(as_of) - F.unix_micros("oldest_pending_at")) / SECOND)
     return oldest.withColumn("lag_seconds", age.cast("long"))
 
 
-def in_partitions(df: DataFrame, partitions: DataFrame | None) -> DataFrame:
+def in_partitions(df: DataFrame, partitions: DataFrame | None, n_rows: int | None = None) -> DataFrame:
     """Keep the listed (event_type, partition) pairs; None means all of them."""
     if partitions is None:
         return df
-    return df.join(partitions.select(*ETP), ETP, "left_semi")
+    return join_small(df, partitions.select(*ETP), ETP, "left_semi", n_rows)
 
 
-def read_from(log: DataFrame, start: str, initial_cursors: DataFrame | None = None) -> DataFrame:
+def read_from(
+    log: DataFrame, start: str, initial_cursors: DataFrame | None = None, n_rows: int | None = None
+) -> DataFrame:
     """Events after the start position.
 
     ``begin``: everything; ``end``: nothing that is there already; ``cursors``: what
@@ -176,7 +176,7 @@ def read_from(log: DataFrame, start: str, initial_cursors: DataFrame | None = No
     else:
         raise ValueError(f"unknown start position: {start}")
     return (
-        log.join(after, ETP, "left")
+        join_small(log, after, ETP, "left", n_rows)
         .filter(F.col("offset") > F.coalesce("_start", F.lit(BEGIN)))
         .select(*log.columns)
     )

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from tidelog.functions.times import SECOND
 from tidelog.model import ETP, NO_FRAMES_WARNING_SECS, PARTITION_INACTIVITY_SECS
+from tidelog.operators.joins import join_small
 from tidelog.operators.offsets import number_rows
 from tidelog.operators.segments import (
     SEGMENT_ROWS,
@@ -174,7 +175,7 @@ def batches_by_count(
         raise ValueError("batch_limit must be at least 1")
     if dense:
         oldest = log.groupBy(*ETP).agg(F.min("offset").alias("_oldest"))
-        place = log.join(oldest, ETP).withColumn("_place", F.col("offset") - F.col("_oldest"))
+        place = join_small(log, oldest, ETP, n_rows=n_rows).withColumn("_place", F.col("offset") - F.col("_oldest"))
     else:
         place = segmented_scan(
             log, ETP, ["offset"], position_segment("offset", segment_rows, n_rows), row_number="_rn"

@@ -19,7 +19,7 @@ from tidelog.operators import handlers as hd
 from tidelog.operators import liveness, metrics, offsets as of, partitioning as pt, publishing as pb
 from tidelog.operators import sequence as sq
 from tidelog.plans import tables as tb
-from tidelog.session import scratch_path
+from tidelog.session import scratch_path, stored
 from tidelog.sources import frames as fr, log as lg, registry, sink
 from tidelog.streaming import consume as sc, state as ss
 
@@ -136,7 +136,7 @@ def cursor_distance(spark, sf_dir):
 @query
 def time_lag(spark, sf_dir):
     log = tb.log(spark, sf_dir)
-    lag = of.time_lag(log, of.latest_commits(tb.commits(log)), tb.as_of())
+    lag = of.time_lag(log, of.latest_commits(tb.commits(log)), tb.as_of(), tb.n_events(spark, sf_dir))
     return lag.select(*ETP, _us("oldest_pending_at").alias("oldest_pending_us"), "lag_seconds")
 
 
@@ -145,7 +145,7 @@ def subscribed_events(spark, sf_dir):
     log = tb.log(spark, sf_dir)
     odd = of.partition_info(log).filter(F.col("partition").cast("int") % 2 == 1)
     cursors = of.latest_commits(tb.commits(log)).select(*ETP, F.floor(F.col("committed") / 2).cast("long").alias("offset"))
-    rows = lg.subscribe(log, ["click", "view"], odd, "cursors", cursors)
+    rows = lg.subscribe(log, ["click", "view"], odd, "cursors", cursors, tb.n_events(spark, sf_dir))
     return rows.select(*ETP, "offset", "eid")
 
 
@@ -154,7 +154,7 @@ def events_by_start_position(spark, sf_dir):
     log = tb.log(spark, sf_dir)
     cursors = of.latest_commits(tb.commits(log)).withColumnRenamed("committed", "offset")
     parts = [
-        of.read_from(log, start, cursors).groupBy("event_type").agg(F.count(F.lit(1)).alias("n_events")).select(F.lit(start).alias("start"), "*")
+        of.read_from(log, start, cursors, tb.n_events(spark, sf_dir)).groupBy("event_type").agg(F.count(F.lit(1)).alias("n_events")).select(F.lit(start).alias("start"), "*")
         for start in ("begin", "end", "cursors")
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -350,14 +350,14 @@ def new_event_metadata(spark, sf_dir):
 
 @query
 def key_hashes(spark, sf_dir):
-    rows = tb.events(spark, sf_dir)
+    rows = tb.spread(tb.events(spark, sf_dir))
     key = F.concat(F.lit("user-"), F.col("user_id").cast("string"), F.lit("-é"))
     return rows.select("event_id", key.alias("key"), unsigned_text(key_hash(key)).alias("hash"))
 
 
 @query
 def partitions_by_key(spark, sf_dir):
-    rows = tb.to_log_rows(tb.events(spark, sf_dir))
+    rows = tb.to_log_rows(tb.spread(tb.events(spark, sf_dir)))
     none = F.lit(None).cast("string")
     events = rows.select("event_id", "key", F.struct(F.col("eid"), none.alias("partition")).alias("metadata"))
     assigned = pt.assign_partitions(events, F.col("key"), TWELVE)
@@ -366,7 +366,7 @@ def partitions_by_key(spark, sf_dir):
 
 @query
 def partitions_by_compound_key(spark, sf_dir):
-    rows = tb.to_log_rows(tb.events(spark, sf_dir)).drop("partition")
+    rows = tb.to_log_rows(tb.spread(tb.events(spark, sf_dir))).drop("partition")
     assigned = pt.assign_by_strategy(rows, "hash", PARTITIONS, key_fields=["event_type", "key"])
     return assigned.select("event_id", "assigned")
 
@@ -486,7 +486,7 @@ def frame_order_per_assignment(spark, sf_dir):
 
 @query
 def batches_by_count(spark, sf_dir):
-    return sq.batches_by_count(tb.log(spark, sf_dir), 7).groupBy(*ETP, "batch_no").agg(
+    return sq.batches_by_count(tb.log(spark, sf_dir), 7, n_rows=tb.n_events(spark, sf_dir)).groupBy(*ETP, "batch_no").agg(
         F.count(F.lit(1)).alias("n_events"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset")
     )
 
@@ -619,7 +619,7 @@ def commits_after_reset(spark, sf_dir):
     commits = tb.commits(tb.log(spark, sf_dir)).withColumn("reset", F.lit(False))
     at = F.lit("2024-01-15 00:00:00").cast("timestamp")
     resets = cm.reset_cursors(commits.filter(F.col("partition").cast("int") % 2 == 0), at)
-    return cm.effective_commits(commits.unionByName(resets))
+    return cm.effective_commits(commits.unionByName(resets), tb.n_events(spark, sf_dir))
 
 
 # --- publishing -----------------------------------------------------------------------
@@ -627,7 +627,7 @@ def commits_after_reset(spark, sf_dir):
 
 def _to_publish(spark, sf_dir) -> DataFrame:
     """Batches of 50 events, a few of which break each rule."""
-    e = tb.to_log_rows(tb.events(spark, sf_dir))
+    e = tb.to_log_rows(tb.spread(tb.events(spark, sf_dir)))
     id_ = F.col("event_id")
     none = F.lit(None).cast("string")
     text = F.when(id_ % 1009 == 7, F.lit('{"props":{"k":1}}')).when(id_ % 1013 == 11, F.lit('{"value":"x"}')).otherwise(F.col("payload"))
@@ -691,7 +691,7 @@ def _answers(judged: DataFrame) -> DataFrame:
 @query
 def publish_retry_set(spark, sf_dir):
     """Every seventh batch came back one response short."""
-    judged = _judged(spark, sf_dir)
+    judged = stored(_judged(spark, sf_dir), "judged")
     answers = _answers(judged).filter(~((F.col("batch_id") % 7 == 0) & (F.col("pos") == 49)))
     again = pb.retry_set(judged.select("batch_id", "pos", "event"), answers)
     return again.select("batch_id", "pos", "error")
@@ -699,7 +699,7 @@ def publish_retry_set(spark, sf_dir):
 
 @query
 def publish_retry_all(spark, sf_dir):
-    judged = _judged(spark, sf_dir)
+    judged = stored(_judged(spark, sf_dir), "judged")
     return pb.retry_set(judged.select("batch_id", "pos"), _answers(judged), "retry_all").select("batch_id", "pos")
 
 
@@ -739,7 +739,7 @@ def _handled(spark, sf_dir) -> DataFrame:
 
 @query
 def handler_outcomes(spark, sf_dir):
-    return hd.settle(_handled(spark, sf_dir)).select(
+    return hd.settle(_handled(spark, sf_dir), n_rows=tb.n_events(spark, sf_dir)).select(
         "stream_id", *ETP, "frame_id", "n_events", "action", "settled"
     )
 
@@ -748,14 +748,14 @@ def handler_outcomes(spark, sf_dir):
 def handler_outcomes_by_event_type(spark, sf_dir):
     handlers = {t: _sample_handler for t in ("click", "error", "purchase", "signup", "view")}
     results = hd.dispatch(_parsed(spark, sf_dir), handlers, "event_type_par")
-    return hd.settle(results, "event_type_par").groupBy("stream_id", "event_type", "settled").agg(
+    return hd.settle(results, "event_type_par", tb.n_events(spark, sf_dir)).groupBy("stream_id", "event_type", "settled").agg(
         F.count(F.lit(1)).alias("n_batches"), F.sum("n_events").cast("long").alias("n_events")
     )
 
 
 @query
 def handled_cursors(spark, sf_dir):
-    last = cm.coalesce_cursors(hd.cursors_to_commit(hd.settle(_handled(spark, sf_dir))), ["stream_id"])
+    last = cm.coalesce_cursors(hd.cursors_to_commit(hd.settle(_handled(spark, sf_dir), n_rows=tb.n_events(spark, sf_dir))), ["stream_id"])
     return last.select("stream_id", *ETP, "offset", "n_batches", "n_events")
 
 

@@ -33,6 +33,15 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def spread(events: DataFrame) -> DataFrame:
+    """Spread a table of fewer splits than cores before row work that is heavy on CPU.
+
+    A table of many splits, as any big one is, is left as it is.
+    """
+    cores = events.sparkSession.sparkContext.defaultParallelism
+    return events if events.rdd.getNumPartitions() >= cores else events.repartition(cores, "event_id")
+
+
 def to_log_rows(events: DataFrame) -> DataFrame:
     """Event rows in the shape of the log, before they have an offset."""
     payload = F.concat(

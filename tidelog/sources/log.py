@@ -30,13 +30,15 @@ def subscribe(
     partitions: DataFrame | None = None,
     start: str = "begin",
     initial_cursors: DataFrame | None = None,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """The events a subscription reads: several event types, from a start position.
 
-    On a stored log the event types prune folders.
+    On a stored log the event types prune folders. ``n_rows`` is an upper bound of the
+    number of partitions.
     """
     wanted = log.filter(F.col("event_type").isin(*event_types))
-    return read_from(in_partitions(wanted, partitions), start, initial_cursors)
+    return read_from(in_partitions(wanted, partitions, n_rows), start, initial_cursors, n_rows)
 
 
 def read_log(spark: SparkSession, path: str, event_types: Sequence[str] | None = None, **options) -> DataFrame:
