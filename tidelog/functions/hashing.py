@@ -24,6 +24,11 @@ def _byte_table() -> list[int]:
     return table
 
 
+def _long_array(values: list[int]) -> Column:
+    """A literal array in one call; a literal per value takes a second for a table."""
+    return F.from_json(F.lit(str(values)), "array<bigint>")
+
+
 def _after_length(table: list[int]) -> list[int]:
     """The state after the length prefix, for keys of up to 255 bytes."""
     states = []
@@ -44,7 +49,7 @@ def key_hash(key: Column) -> Column:
     way to byte values inside an expression.
     """
     values = _byte_table()
-    table = F.array(*[F.lit(v) for v in values])
+    table = _long_array(values)
     n_bytes = F.octet_length(key)
 
     def absorb(crc: Column, byte: Column) -> Column:
@@ -55,7 +60,7 @@ def key_hash(key: Column) -> Column:
         *[F.shiftrightunsigned(n_bytes.cast("long"), 8 * i).bitwiseAND(F.lit(255)) for i in range(8)]
     )
     start = F.when(
-        n_bytes < 256, F.get(F.array(*[F.lit(v) for v in _after_length(values)]), n_bytes)
+        n_bytes < 256, F.get(_long_array(_after_length(values)), n_bytes)
     ).otherwise(F.aggregate(length_bytes, F.lit(-1).cast("long"), absorb))
     chars = F.split(F.decode(F.encode(key, "UTF-8"), "ISO-8859-1"), "")
     body = F.when(n_bytes > 0, chars).otherwise(F.array().cast("array<string>"))
