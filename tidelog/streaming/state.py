@@ -40,6 +40,13 @@ def _due_ms(at_us: int) -> int:
 
 
 class _Timed(StatefulProcessor):
+    event_time = False
+
+    def _now_ms(self, timerValues, expiredTimerInfo) -> int:
+        """How far time has come when a timer fires, which may be past its due time."""
+        clock = timerValues.getCurrentWatermarkInMs if self.event_time else timerValues.getCurrentProcessingTimeInMs
+        return max(clock(), expiredTimerInfo.getExpiryTimeInMs())
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
         self._state = handle.getValueState("state", self.STATE)
@@ -152,7 +159,9 @@ class StreamLiveness(_Timed):
         frame, events, told = self._state.get()
         last = {"frames": frame, "events": events}
         out: list[tuple] = []
-        told = self._tell(key, last, told, expiredTimerInfo.getExpiryTimeInMs() * 1000, out)
+        # Everything due by now is told here: a timer set for a past time would wait for
+        # the next micro-batch.
+        told = self._tell(key, last, told, self._now_ms(timerValues, expiredTimerInfo) * 1000, out)
         self._keep(last, told)
         yield self._frame(out)
 
@@ -231,6 +240,7 @@ def with_state(
 ) -> DataFrame:
     """Run a processor over a stream, by event time if a column is named."""
     use_state_store(rows.sparkSession)
+    processor.event_time = event_time is not None
     if event_time is None:
         return rows.groupBy(*keys).transformWithStateInPandas(
             processor, processor.OUTPUT, "Append", "ProcessingTime"
