@@ -1,6 +1,7 @@
 """Run every registered query and its SQL twin side by side and compare the rows.
 
-``python tests/check_oracle.py [sf_dir] [name …]``
+``python tests/check_oracle.py [--segments=N] [sf_dir] [name …]``. With ``--segments`` keys
+are cut into segments of N rows and nothing counts as small, as on a big table.
 """
 
 from __future__ import annotations
@@ -56,6 +57,12 @@ def types(df, con, sql: str) -> dict:
 
 
 if __name__ == "__main__":
+    if len(sys.argv) > 1 and sys.argv[1].startswith("--segments="):
+        # Defaults are taken over when the modules below are imported.
+        from tidelog.operators import joins, segments
+
+        segments.SEGMENT_ROWS = segments.CARRY_ROWS = int(sys.argv.pop(1).split("=")[1])
+        joins.BROADCAST_ROWS = 5
     import __spark_entry__ as entry
     from tidelog.session import local_session
 

@@ -11,6 +11,7 @@ from tidelog.functions.times import SECOND
 from tidelog.model import BEGIN, ETP, STREAM_DEFAULTS
 from tidelog.operators.joins import join_small
 from tidelog.operators.segments import (
+    CARRY_ROWS,
     SEGMENT_ROWS,
     carry_scan,
     order_segment,
@@ -228,7 +229,7 @@ def cut_commits(
     *,
     commit_timeout_secs: int = 60,
     keys: tuple[str, ...] = ("stream_id",),
-    segment_rows: int = SEGMENT_ROWS,
+    segment_rows: int = CARRY_ROWS,
     n_rows: int | None = None,
 ) -> DataFrame:
     """Give each cursor its ``commit_no`` and that commit's trigger and time.

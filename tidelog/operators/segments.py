@@ -28,6 +28,10 @@ from pyspark.sql.window import Window
 from tidelog.session import stored
 
 SEGMENT_ROWS = 1_000_000
+# Segments that go through Python are held there as a whole.
+CARRY_ROWS = 200_000
+# Cut points travel with the plan; beyond this many, segments by order key grow instead.
+MAX_CUTS = 10_000
 _SEG = "_segment"
 
 
@@ -61,7 +65,7 @@ def order_segment(
     an upper bound of the row count when the caller knows one.
     """
     n_rows = df.count() if n_rows is None else n_rows
-    n_segments = -(-n_rows // segment_rows)
+    n_segments = min(-(-n_rows // segment_rows), MAX_CUTS)
     if n_segments <= 1:
         return None
 
@@ -182,7 +186,7 @@ def carry_scan(
     state: T.StructType,
     output: T.StructType,
     *,
-    segment_rows: int = SEGMENT_ROWS,
+    segment_rows: int = CARRY_ROWS,
     n_rows: int | None = None,
 ) -> DataFrame:
     """Run a sequential rule along ``position`` within each key, segment by segment.

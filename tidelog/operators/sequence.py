@@ -13,6 +13,7 @@ from tidelog.model import ETP, NO_FRAMES_WARNING_SECS, PARTITION_INACTIVITY_SECS
 from tidelog.operators.joins import join_small
 from tidelog.operators.offsets import number_rows
 from tidelog.operators.segments import (
+    CARRY_ROWS,
     SEGMENT_ROWS,
     carry_scan,
     order_segment,
@@ -190,7 +191,7 @@ def batches_by_timespan(
     log: DataFrame,
     span_secs: int,
     *,
-    segment_rows: int = SEGMENT_ROWS,
+    segment_rows: int = CARRY_ROWS,
     n_rows: int | None = None,
 ) -> DataFrame:
     """Add ``batch_no``: a batch ends before the event that is more than ``span_secs``
