@@ -89,3 +89,75 @@ def bpe(rows, path):
         ids = tokenizer.encode(text or "", add_special_tokens=False).ids
         out.append((i, len(ids), sha(" ".join(map(str, ids))), sha(tokenizer.decode(ids, skip_special_tokens=False))))
     return sorted(out, key=repr)
+
+
+def token_files(rows, path):
+    import struct
+    import zlib
+
+    from tokenizers import Tokenizer
+
+    tokenizer, out, start = Tokenizer.from_file(path), [], 0
+    for i, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+        out.append((i, start, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))))
+        start += len(ids)
+    return sorted(out, key=repr)
+
+
+def _listed(spans, kinds):
+    return ",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in sorted(spans))
+
+
+def secrets(rows):
+    kinds, out = ("assign", "access", "hex"), []
+    assign = re.compile(r"""((?:p|P)(?:a|A)(?:s|S)(?:s|S)(?:(?:w|W)(?:o|O)(?:r|R)(?:d|D)|(?:w|W)(?:d|D))|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+    for i, text in rows:
+        t, spans = text or "", []
+        spans += [(m.start(), 0, m.end()) for m in assign.finditer(t) if len(m[2]) >= 8]
+        spans += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 16]
+        spans += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 32]
+        out.append((i, *(sum(s[1] == k for s in spans) for k in range(3)), sha(_listed(spans, kinds))))
+    return sorted(out, key=repr)
+
+
+def _luhn(digits):
+    total = 0
+    for k, d in enumerate(reversed(digits)):
+        n = int(d) * (1 + k % 2)
+        total += n - 9 if n > 9 else n
+    return total % 10 == 0
+
+
+def pii(rows):
+    kinds, out = ("email", "ip", "card", "phone"), []
+    for i, text in rows:
+        t, spans = text or "", []
+        spans += [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+        spans += [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(p) <= 255 for p in m[0].split("."))]
+        for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
+            d = re.sub("[^0-9]", "", m[0])
+            spans += [(m.start(), 2, m.end())] if 14 <= len(d) <= 19 and _luhn(d) else []
+        for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t):
+            spans += [(m.start(), 3, m.end())] if 10 <= len(re.sub("[^0-9]", "", m[0])) <= 15 else []
+        out.append((i, *(sum(s[1] == k for s in spans) for k in range(4)), sha(_listed(spans, kinds))))
+    return sorted(out, key=repr)
+
+
+def repeats(rows, size=50):
+    least, data = {}, [((_i is None, _i or 0), _i, (t or "").encode()) for _i, t in rows]
+    for order, _, d in data:
+        for a in range(len(d) - size + 1):
+            s = d[a : a + size]
+            if s not in least or order < least[s]:
+                least[s] = order
+    out = []
+    for order, i, d in data:
+        gone = bytearray(len(d))
+        for a in range(len(d) - size + 1):
+            if least[d[a : a + size]] < order:
+                gone[a : a + size] = b"\1" * size
+        kept = bytes(c for c, g in zip(d, gone, strict=True) if not g)
+        spans = len([x for x in bytes(gone).split(b"\0") if x])
+        out.append((i, len(d), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)

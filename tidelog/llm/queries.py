@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import bpe, decontaminate, exact_dedup, quality, simhash
+from tidelog.llm import bpe, decontaminate, exact_dedup, pii, quality, secret_scan, simhash, suffix_dedup, token_files, toxicity
 from tidelog.llm.common import documents
 
 #: Folder of the vocabulary files on every machine.
@@ -32,15 +32,50 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(documents(spark, sf_dir))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(documents(spark, sf_dir), benchmark(spark, sf_dir))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.train(docs, labels(spark, sf_dir)))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(documents(spark, sf_dir), f"{VOCABULARIES}/word_bpe_49k.json", keep_text=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_simhash, op3_exact_dedup, op5_decontamination, op7_bpe)}
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir), keep_text=False)
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.write_and_read(documents(spark, sf_dir), f"{VOCABULARIES}/byte_bpe_50k.json")
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(documents(spark, sf_dir))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality,
+        op2_simhash,
+        op3_exact_dedup,
+        op4_secrets,
+        op5_decontamination,
+        op6_toxicity,
+        op7_bpe,
+        op8_suffix_dedup,
+        op9_token_files,
+        op10_pii,
+    )
+}
 
 ORACLE = {
     "op3_exact_dedup": r"""
