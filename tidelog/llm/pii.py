@@ -173,7 +173,7 @@ def fit(patterns: list[tuple[tuple[int, ...], tuple[int, ...], int]]) -> SpanMod
     for _ in range(FIT_ROUNDS):
         p = 1 / (1 + np.exp(-weights[-1] - weights[at].sum(axis=1)))
         g = share * (p - right)
-        step = np.bincount(at.reshape(-1), np.repeat(g, at.shape[1]), len(weights))
+        step = np.bincount(at.reshape(-1), np.repeat(g, at.shape[1]), len(weights)).astype(np.float64)
         step[-1] = g.sum()
         step += 1e-4 * weights
         squares += step * step

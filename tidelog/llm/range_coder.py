@@ -180,6 +180,7 @@ def _decode_lanes(blocks: list[tuple[int, int, bytes]]) -> np.ndarray:
     code = (words[:, 0] << _U(31)) | (words[:, 1] >> _U(1))
     more = (((words[:, 1:-1] & _U(1)) << _U(31)) | (words[:, 2:] >> _U(1))).reshape(-1)
     at = np.arange(lanes) * (length - 2)
+    end = at + length - 3  # a damaged block may ask for more than it has
     del words
     model = _Model(lanes)
     width = np.full(lanes, 2**63 - 1, _U)
@@ -210,7 +211,7 @@ def _decode_lanes(blocks: list[tuple[int, int, bytes]]) -> np.ndarray:
             ids &= 0xFFFF
             full = np.flatnonzero(width < _LEAST)
             if len(full):
-                code[full] = (code[full] << _U(32)) | more[at[full]]
+                code[full] = (code[full] << _U(32)) | more[np.minimum(at[full], end[full])]
                 width[full] <<= _U(32)
                 at[full] += 1
             result[t0 + k] = ids

@@ -27,10 +27,9 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    with np.errstate(over="ignore"):
-        up = np.cumprod(np.concatenate([[1], np.full(n, _BASE, np.uint64)]).astype(np.uint64), dtype=np.uint64)
-        down = np.cumprod(np.concatenate([[1], np.full(n, pow(_BASE, -1, 1 << 64), np.uint64)]).astype(np.uint64), dtype=np.uint64)
-    return up, down
+    up, down = np.full((2, n + 1), 1, np.uint64)
+    up[1:], down[1:] = np.uint64(_BASE), np.uint64(pow(_BASE, -1, 1 << 64))
+    return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:

@@ -85,7 +85,7 @@ class Toxicity:
     """``stems``: insulting words (ending in ``$``) and beginnings, with weights. The rest calibrates scores."""
 
     stems: dict[str, float]
-    scale: tuple[float, float, float]
+    scale: tuple[float, float, float, float]
 
     def weight(self, word: str) -> float:
         find = self.stems.get
@@ -129,8 +129,8 @@ class Toxicity:
 
     def score(self, text: str) -> float:
         total, most = self.evidence(text)
-        bias, a, b = self.scale
-        return float(1 / (1 + np.exp(-np.clip(bias + a * total + b * most, -30, 30))))
+        bias, some, a, b = self.scale
+        return float(1 / (1 + np.exp(-np.clip(bias + (some if total else 0) + a * total + b * most, -30, 30))))
 
 
 def _stem_contexts(sample: DataFrame) -> DataFrame:
@@ -163,16 +163,22 @@ def _stem_contexts(sample: DataFrame) -> DataFrame:
     )
 
 
-def calibrate(evidence: Iterable[tuple[tuple[float, float], int]]) -> tuple[float, float, float]:
-    """Logistic regression on (sum, maximum); its slopes are never negative."""
+def calibrate(evidence: Iterable[tuple[tuple[float, float], int]]) -> tuple[float, float, float, float]:
+    """Logistic regression on (any match, sum, maximum) by Newton steps; its slopes are never negative."""
     counted = Counter(evidence)
     x = np.array([k[0] for k in counted], np.float64).reshape(-1, 2)
+    x = np.column_stack([np.ones(len(x)), x[:, 0] > 0, x])
     y, n = np.array([k[1] for k in counted], np.float64), np.array(list(counted.values()), np.float64)
-    w = np.array([-2.0, 1.0, 1.0])
-    for _ in range(3000):
-        g = n / max(n.sum(), 1) * (1 / (1 + np.exp(-np.clip(w[0] + x @ w[1:], -30, 30))) - y)
-        w -= 0.5 * np.array([g.sum(), *(g @ x)]) + 1e-5 * np.array([0, *w[1:]])
-        w[1:] = np.maximum(w[1:], 0)
+    w, free = np.array([-2.0, 1.0, 0.5, 0.5]), [0, 1, 2, 3]
+    ridge = np.diag([1e-3, 1e-2, 1e-2, 1e-2])
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (n * (p - y)) + ridge @ w
+        bend = (x.T * (n * p * (1 - p))) @ x + ridge
+        w[free] -= np.clip(np.linalg.solve(bend[np.ix_(free, free)], slope[free]), -2, 2)
+        if (low := min(free[1:], key=lambda k: w[k], default=0)) and w[low] < 0:
+            free.remove(low)
+            w[low] = 0.0
     return tuple(w.tolist())
 
 
@@ -203,7 +209,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         .collect()
     )
     stems = {r["stem"]: r["weight"] for r in rows}
-    first = docs.sparkSession.sparkContext.broadcast(Toxicity(stems, (0.0, 0.0, 0.0)))
+    first = docs.sparkSession.sparkContext.broadcast(Toxicity(stems, (0.0,) * 4))
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [first.value.evidence(t) for t in batch.column("text").to_pylist()]
