@@ -11,21 +11,25 @@ from tidelog.operators import envelope as env
 
 from helpers import rows
 
-CURSOR = {"partition": "6", "offset": "543", "event_type": "order.ORDER_RECEIVED", "cursor_token": "a-token"}
-EVENT = {
-    "metadata": {
-        "occurred_at": "1996-10-15T16:39:57+07:00",
-        "eid": "00000000-0000-4000-8000-000000000001",
-        "event_type": "order.ORDER_RECEIVED",
-        "partition": "6",
-        "received_at": "1996-10-15T09:40:00Z",
-        "flow_id": "a-flow",
-    },
-    "data_op": "C",
-    "data": {"order_number": "abc", "id": "111"},
-    "data_type": "order",
-}
-INFO = {"debug": "a note"}
+# Lines as our own log gives them: clicks and purchases of the ``events`` table.
+CURSOR = {"partition": "3", "offset": "1207", "event_type": "purchase", "cursor_token": "token-1207"}
+
+
+def purchase(event_id: int, user_id: int, value: float, at: str) -> dict:
+    return {
+        "metadata": {"eid": f"e{event_id}", "event_type": "purchase", "partition": str(user_id % 8), "occurred_at": at},
+        "data_type": "purchase",
+        "data_op": "S" if event_id % 2 else "U",
+        "data": {"user_id": user_id, "value": value, "props": {"k": event_id % 100}},
+    }
+
+
+EVENTS = [
+    purchase(4410, 883, 12.25, "2024-01-07T23:30:00-03:30"),
+    purchase(4411, 811, 0.5, "2024-01-08T03:00:01Z"),
+    purchase(4412, 3, 199.99, "2024-01-08T05:00:02.250+02:00"),
+]
+INFO = {"frames": 12, "late": [True, None]}
 PAYLOAD = T.StructType([T.StructField("count", T.LongType())])
 
 
@@ -34,7 +38,7 @@ def line(spark, *values):
 
 
 @pytest.mark.parametrize("info", [None, INFO])
-@pytest.mark.parametrize("events", [None, [EVENT]])
+@pytest.mark.parametrize("events", [None, EVENTS[:1], EVENTS])
 def test_batch_lines(spark, info, events):
     parts = {"cursor": CURSOR} | ({"events": events} if events else {}) | ({"info": info} if info else {})
     got = line(spark, json.dumps(parts)).first()
@@ -45,19 +49,19 @@ def test_batch_lines(spark, info, events):
     assert got["kind"] == ("batch" if events else "keep_alive")
     assert got["has_info"] == (info is not None)
     assert got["info"] == (json.dumps(info, separators=(",", ":")) if info else None)
-    assert got["n_events"] == (1 if events else 0)
+    assert got["n_events"] == len(events or [])
 
 
 @pytest.mark.parametrize(
     "array, n",
     [
         ("[]", 0),
-        ("[  ]", 0),
-        ('["[]"]', 1),
-        ('[{"a":"]"}]', 1),
-        ("[null, null]", 2),
-        ("[null, {}, []]", 3),
-        ('[ "\\\\" , "a\\"b", {"x":[1,2]} , [3,4] ]', 4),
+        ("[\\n\\t ]".encode().decode("unicode_escape"), 0),
+        ("[[[]]]", 1),
+        ('[{"k":{"k":[1,{"k":"],["}]}}]', 1),
+        ('["\\\\", "\\"], ["]', 2),
+        ('[null,{"value":1.50},"}{"]', 3),
+        ('[ 0 ,[1 , 2], true,"\\u005d" ,{} ]', 5),
     ],
 )
 def test_array_counts(spark, array, n):
@@ -82,13 +86,19 @@ def test_bad_lines(spark):
         env.valid_lines(parsed, "fail").collect()
 
 
-def test_data_change_event_in_utc(spark):
-    lines = env.valid_lines(line(spark, json.dumps({"cursor": CURSOR, "events": [EVENT]})))
-    data = T.StructType([T.StructField("order_number", T.StringType()), T.StructField("id", T.StringType())])
-    decoded = env.decode_events(env.explode_events(env.event_batches(lines)), data_change_event(data), ["data.id"])
-    got = env.flatten_data_change(decoded).first()
-    assert got["meta_occurred_at"] == datetime(1996, 10, 15, 9, 39, 57)
-    assert (got["order_number"], got["id"], got["data_op_name"]) == ("abc", "111", "create")
+def test_data_change_events_in_utc(spark):
+    lines = env.valid_lines(line(spark, json.dumps({"cursor": CURSOR, "events": EVENTS})))
+    data = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("value", T.DoubleType())])
+    decoded = env.decode_events(env.explode_events(env.event_batches(lines)), data_change_event(data), ["data.value"])
+    got = [
+        (r["meta_eid"], r["user_id"], r["value"], r["data_op_name"], r["meta_occurred_at"])
+        for r in env.flatten_data_change(decoded).orderBy("meta_eid").collect()
+    ]
+    assert got == [
+        ("e4410", 883, 12.25, "update", datetime(2024, 1, 8, 3)),
+        ("e4411", 811, 0.5, "snapshot", datetime(2024, 1, 8, 3, 0, 1)),
+        ("e4412", 3, 199.99, "update", datetime(2024, 1, 8, 3, 0, 2, 250_000)),
+    ]
 
 
 def test_decode_each_event_on_its_own(spark):
