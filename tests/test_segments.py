@@ -24,7 +24,6 @@ def skewed(spark, n=2000, seed=1):
 def test_running_columns_do_not_depend_on_segments(spark, segment_rows):
     data, df = skewed(spark)
     segment = order_segment(df, ["t", "id"], segment_rows)
-    assert (segment is None) == (segment_rows == 10_000)
     got = segmented_scan(
         df,
         ["k"],
@@ -93,7 +92,7 @@ def test_carry_scan_is_the_sequential_rule(spark, limit):
 def test_log_and_frames_do_not_depend_on_segments(spark):
     whole, cut = tb.log(spark, SF), tb.log(spark, SF, segment_rows=60)
     assert rows(whole) == rows(cut)
-    assert rows(tb.frames(whole, n_rows=1000)) == rows(tb.frames(cut, segment_rows=9))
+    assert rows(tb.frames(whole)) == rows(tb.frames(cut, segment_rows=9))
 
 
 def test_sequence_operators_do_not_depend_on_segments(spark):
@@ -106,7 +105,36 @@ def test_sequence_operators_do_not_depend_on_segments(spark):
         assert rows(run(1_000_000)) == rows(run(4))
 
 
+@pytest.mark.parametrize("segment_rows", [5, 1_000_000])
+def test_null_keys_are_a_key(spark, segment_rows):
+    rnd = random.Random(4)
+    data = [(rnd.choice([None, None, "a"]), None if i == 3 else i, i) for i in range(120)]
+    df = spark.createDataFrame(data, "k string, t int, id int")
+    got = {(r["k"], r["id"]): r["n"] for r in number_rows(df, ["k"], ["t", "id"], "n", segment_rows=segment_rows).collect()}
+    for key in (None, "a"):
+        own = sorted((d for d in data if d[0] == key), key=lambda d: (d[1] is not None, d[1] or 0, d[2]))
+        assert [got[key, d[2]] for d in own] == list(range(len(own)))
+
+
+@pytest.mark.parametrize("segment_rows", [4, 1_000_000])
+def test_null_partitions_in_sequence_operators(spark, segment_rows):
+    data = [(None if i % 2 else "e", None if i % 3 else "0", i, at(100 * i)) for i in range(60)]
+    log = spark.createDataFrame(data, "event_type string, partition string, offset long, received_at timestamp")
+    keys = {(d[0], d[1]) for d in data}
+    intervals = activity_intervals(log, 700, segment_rows=segment_rows).collect()
+    batches = batches_by_timespan(log, 1000, segment_rows=segment_rows).collect()
+    assert len(batches) == len(data) and {(r["event_type"], r["partition"]) for r in batches} == keys
+    for key in keys:
+        times = [d[3].timestamp() for d in data if (d[0], d[1]) == key]
+        assert sum(r["n_events"] for r in intervals if (r["event_type"], r["partition"]) == key) == len(times)
+        anchor, number, want = None, -1, []
+        for t in times:
+            if anchor is None or t - anchor > 1000:
+                anchor, number = t, number + 1
+            want.append(number)
+        assert [r["batch_no"] for r in sorted(batches, key=lambda r: r["offset"]) if (r["event_type"], r["partition"]) == key] == want
+
+
 def test_position_segment(spark):
-    assert position_segment("x", 10, n_rows=10) is None
     df = spark.createDataFrame([(-1,), (0,), (9,), (10,)], "x long")
     assert [r[0] for r in df.select(position_segment("x", 10)).collect()] == [-1, 0, 0, 1]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from tidelog.session import stored
@@ -24,3 +26,11 @@ def join_small(
         small = stored(small, "small")
         n_rows = small.count()
     return big.join(F.broadcast(small) if n_rows <= BROADCAST_ROWS else small, list(on), how)
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal columns where NULL equals NULL; an ordinary join in all else."""
+    for name in on:
+        right = right.withColumnRenamed(name, f"_on_{name}")
+    met = reduce(lambda a, b: a & b, (left[name].eqNullSafe(right[f"_on_{name}"]) for name in on))
+    return left.join(right, met, how).drop(*(f"_on_{name}" for name in on))

@@ -25,6 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
+from tidelog.operators.joins import join_null_safe
 from tidelog.session import stored
 
 SEGMENT_ROWS = 1_000_000
@@ -35,17 +36,12 @@ MAX_CUTS = 10_000
 _SEG = "_segment"
 
 
-def position_segment(
-    position: str | Column, segment_rows: int = SEGMENT_ROWS, n_rows: int | None = None
-) -> Column | None:
+def position_segment(position: str | Column, segment_rows: int = SEGMENT_ROWS) -> Column:
     """Segment of a row that carries a gapless or nearly gapless integer position.
 
-    Segments hold at most ``segment_rows`` rows whatever the distribution is. ``n_rows``
-    is an upper bound of the rows of any key when the caller knows one; None comes back
-    if each key fits one segment.
+    Segments hold at most ``segment_rows`` rows whatever the distribution is. Rows
+    without a position share a segment of their own.
     """
-    if n_rows is not None and n_rows <= segment_rows:
-        return None
     position = F.col(position) if isinstance(position, str) else position
     return F.floor(position / F.lit(segment_rows)).cast("long")
 
@@ -55,19 +51,17 @@ def order_segment(
     order_by: Sequence[str],
     segment_rows: int = SEGMENT_ROWS,
     n_rows: int | None = None,
-) -> Column | None:
+) -> Column:
     """Segment of a row that has an order key but no position yet.
 
     Cut points are order-key values taken from a sample, about one for each
     ``segment_rows`` rows of the *whole* table, so no key can own a segment bigger
     than that. The sample only decides where the cuts lie, never which rows or
-    numbers come out. None comes back for a table that fits one segment. ``n_rows`` is
-    an upper bound of the row count when the caller knows one.
+    numbers come out. A small table is cut as well, in two. ``n_rows`` is an upper bound
+    of the row count that spares counting; it decides nothing else.
     """
-    n_rows = df.count() if n_rows is None else n_rows
-    n_segments = min(-(-n_rows // segment_rows), MAX_CUTS)
-    if n_segments <= 1:
-        return None
+    n_rows = max(1, df.count() if n_rows is None else n_rows)
+    n_segments = max(2, min(-(-n_rows // segment_rows), MAX_CUTS))
 
     per_cut = 50
     fraction = min(1.0, n_segments * per_cut / n_rows)
@@ -75,10 +69,10 @@ def order_segment(
     sample = df.select(key.alias("k")).sample(withReplacement=False, fraction=fraction, seed=17)
     # At most about 50 sampled keys for each cut are ranked, and one in 50 kept.
     ranked = sample.select("k", F.row_number().over(Window.orderBy("k")).alias("rn"))
-    step = max(1, int(n_rows * fraction) // n_segments)
+    step = max(1, round(n_rows * fraction) // n_segments)
     cuts = [r["k"] for r in ranked.filter(F.col("rn") % step == 0).select("k").distinct().orderBy("k").collect()]
     if not cuts:
-        return None
+        return F.lit(0).cast("long")
 
     fields = df.select(key.alias("k")).schema["k"].dataType
     literal = F.array(
@@ -99,7 +93,7 @@ def segmented_scan(
     df: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str],
-    segment: Column | None,
+    segment: Column,
     *,
     row_number: str | None = None,
     running_sum: Mapping[str, Column] | None = None,
@@ -111,9 +105,9 @@ def segmented_scan(
 
     ``row_number`` names a 1-based counter; ``running_sum`` and ``running_max`` are
     inclusive of the row, ``max_before`` is the maximum of the rows before it; ``lag``
-    maps a new column to the column whose previous value it takes. ``segment`` must not decrease along the order, and ``order_by``
-    must order the rows of a key totally. Keys must not be NULL. Without a segment each
-    key is known to be small and gets a plain window.
+    maps a new column to the column whose previous value it takes. ``segment`` must not
+    decrease along the order, and ``order_by`` must order the rows of a key totally. NULL
+    keys form a key of their own; NULL order values and segments come first.
     """
     sums, lags = dict(running_sum or {}), dict(lag or {})
     earlier = dict(max_before or {})
@@ -122,16 +116,6 @@ def segmented_scan(
         sums[row_number] = F.lit(1).cast("long")
 
     kept = df.columns
-    if segment is None:
-        along = Window.partitionBy(*keys).orderBy(*order_by)
-        upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ahead = along.rowsBetween(Window.unboundedPreceding, -1)
-        return df.select(
-            *kept,
-            *[F.sum(col).over(upto).alias(n) for n, col in sums.items()],
-            *[F.max(col).over(ahead if n in earlier else upto).alias(n) for n, col in maxs.items()],
-            *[F.lag(c).over(along).alias(n) for n, c in lags.items()],
-        )
     rows = df.withColumn(_SEG, segment)
     for name, col in sums.items():
         rows = rows.withColumn(f"_s_{name}", col)
@@ -167,7 +151,7 @@ def segmented_scan(
         *([F.lag(F.struct(*lags.values())).over(local).alias("_lag")] if lags else []),
     )
     previous = F.coalesce("_lag", "_prev") if lags else None
-    return inside.join(carry, group, "left").select(
+    return join_null_safe(inside, carry, group, "left").select(
         *kept,
         *[(F.coalesce(f"_cs_{n}", F.lit(0)) + F.col(f"_ls_{n}")).alias(n) for n in sums],
         *[F.greatest(f"_cm_{n}", f"_lm_{n}").alias(n) for n in maxs],
@@ -187,7 +171,6 @@ def carry_scan(
     output: T.StructType,
     *,
     segment_rows: int = CARRY_ROWS,
-    n_rows: int | None = None,
 ) -> DataFrame:
     """Run a sequential rule along ``position`` within each key, segment by segment.
 
@@ -200,21 +183,14 @@ def carry_scan(
     through after two rounds. One that never does (say, every n-th row) depends on all
     rows before by nature: after a few rounds the keys that are not settled are passed
     through once in order, in bounded memory, to get their segments' entry states. So
-    the result is always the sequential one and the work stays linear. ``n_rows`` is an
-    upper bound of rows per key; a table known to fit one segment per key is run at once.
+    the result is always the sequential one and the work stays linear. A NULL in a key is
+    a value like any other.
     """
     group = [*keys, _SEG]
     rows = df.withColumn(_SEG, position_segment(position, segment_rows))
     out_schema = T.StructType(output.fields)
     names = [f.name for f in state.fields]
 
-    if n_rows is not None and n_rows <= segment_rows:
-
-        def whole(pdf: pd.DataFrame) -> pd.DataFrame:
-            return step(pdf.sort_values(position), None)[0]
-
-        return df.groupBy(*keys).applyInPandas(whole, out_schema)
-
     rows = stored(rows, "segments")
     exit_schema = T.StructType(
         [
@@ -265,24 +241,24 @@ def carry_scan(
     entries = todo = stored(rows.select(*group).distinct().select(*group, *unknown), "entries")
     done = None
     for _ in range(SPECULATIVE_ROUNDS):
-        wanted = rows.join(todo.select(*group), group, "left_semi")
+        wanted = join_null_safe(rows, todo.select(*group), group, "left_semi")
         ran = wanted.groupBy(*group).cogroup(todo.groupBy(*group)).applyInPandas(exits, exit_schema)
-        done = ran if done is None else done.join(todo.select(*group), group, "left_anti").unionByName(ran)
+        done = ran if done is None else join_null_safe(done, todo.select(*group), group, "left_anti").unionByName(ran)
         done = stored(done, "exits")
         old = entries.select(*group, *[F.col(n).alias(f"o_{n}") for n in names])
         entries = stored(entries_from(done), "entries")
         same = F.lit(True)
         for n in names:
             same = same & F.col(f"o_{n}").eqNullSafe(F.col(n))
-        todo = stored(entries.join(old, group).filter(~same).select(*group, *names), "todo")
+        todo = stored(join_null_safe(entries, old, group).filter(~same).select(*group, *names), "todo")
         if todo.isEmpty():
             break
     else:
         open_keys = todo.select(*keys).distinct()
         in_order = (
-            rows.join(open_keys, list(keys), "left_semi").repartition(*keys).sortWithinPartitions(*keys, position)
+            join_null_safe(rows, open_keys, keys, "left_semi").repartition(*keys).sortWithinPartitions(*keys, position)
         )
         passed = in_order.mapInPandas(pass_through, exit_schema)
-        settled = done.join(open_keys, list(keys), "left_anti")
+        settled = join_null_safe(done, open_keys, keys, "left_anti")
         entries = stored(entries_from(settled.unionByName(passed)), "entries")
     return rows.groupBy(*group).cogroup(entries.groupBy(*group)).applyInPandas(emit, out_schema)

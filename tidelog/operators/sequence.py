@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from tidelog.functions.times import SECOND
 from tidelog.model import ETP, NO_FRAMES_WARNING_SECS, PARTITION_INACTIVITY_SECS
-from tidelog.operators.joins import join_small
+from tidelog.operators.joins import join_null_safe, join_small
 from tidelog.operators.offsets import number_rows
 from tidelog.operators.segments import (
     CARRY_ROWS,
@@ -26,7 +26,6 @@ def frame_gaps(
     frames: DataFrame,
     warn_secs: int = NO_FRAMES_WARNING_SECS,
     segment_rows: int = SEGMENT_ROWS,
-    n_rows: int | None = None,
 ) -> DataFrame:
     """Time since the previous frame of the stream, flagged from ``warn_secs`` on.
 
@@ -35,7 +34,7 @@ def frame_gaps(
     """
     rows = frames.withColumn("_at", F.unix_micros("started_at"))
     scanned = segmented_scan(
-        rows, ["stream_id"], ["frame_id"], position_segment("frame_id", segment_rows, n_rows), lag={"_before": "_at"}
+        rows, ["stream_id"], ["frame_id"], position_segment("frame_id", segment_rows), lag={"_before": "_at"}
     )
     return (
         scanned.withColumn("gap_us", F.col("_at") - F.col("_before"))
@@ -45,7 +44,7 @@ def frame_gaps(
 
 
 def frame_order(
-    frames: DataFrame, keys: Sequence[str], segment_rows: int = SEGMENT_ROWS, n_rows: int | None = None
+    frames: DataFrame, keys: Sequence[str], segment_rows: int = SEGMENT_ROWS
 ) -> DataFrame:
     """Frames per assignment in order of arrival that do not have a higher id than before.
 
@@ -55,7 +54,7 @@ def frame_order(
         frames,
         keys,
         ["arrival"],
-        position_segment("arrival", segment_rows, n_rows),
+        position_segment("arrival", segment_rows),
         lag={"previous_frame_id": "frame_id"},
     )
     return scanned.withColumn(
@@ -106,7 +105,6 @@ def activity_intervals(
     at: str = "received_at",
     position: str = "offset",
     segment_rows: int = SEGMENT_ROWS,
-    n_rows: int | None = None,
 ) -> DataFrame:
     """Active intervals per partition.
 
@@ -120,12 +118,8 @@ def activity_intervals(
     """
     timeout = timeout_secs * SECOND
     group = [*keys, "_segment"]
-    segment = position_segment(position, segment_rows, n_rows)
-    timed = rows.select(
-        *keys, position, F.unix_micros(at).alias("_at"), (F.lit(0) if segment is None else segment).alias("_segment")
-    )
-    if segment is not None:
-        timed = timed.repartition(*group)
+    segment = position_segment(position, segment_rows)
+    timed = rows.select(*keys, position, F.unix_micros(at).alias("_at"), segment.alias("_segment")).repartition(*group)
     local = Window.partitionBy(*group).orderBy(position)
     gap = F.col("_at") - F.col("_before")
     opens = (F.col("_before").isNull() | (gap > timeout)).cast("long")
@@ -145,7 +139,7 @@ def activity_intervals(
         .select(*group, (F.coalesce("_n_before", F.lit(0)) - F.col("_joins")).alias("_shift"))
     )
     intervals = (
-        parts.join(ends, group)
+        join_null_safe(parts, ends, group)
         .groupBy(*keys, (F.col("_shift") + F.col("_no")).alias("interval_no"))
         .agg(F.min("from_us").alias("from_us"), F.max("last_us").alias("last_us"), F.sum("n_events").alias("n_events"))
     )
@@ -179,7 +173,7 @@ def batches_by_count(
         place = join_small(log, oldest, ETP, n_rows=n_rows).withColumn("_place", F.col("offset") - F.col("_oldest"))
     else:
         place = segmented_scan(
-            log, ETP, ["offset"], position_segment("offset", segment_rows, n_rows), row_number="_rn"
+            log, ETP, ["offset"], position_segment("offset", segment_rows), row_number="_rn"
         ).withColumn("_place", F.col("_rn") - 1)
     return place.select(*log.columns, F.floor(F.col("_place") / batch_limit).cast("long").alias("batch_no"))
 
@@ -192,7 +186,6 @@ def batches_by_timespan(
     span_secs: int,
     *,
     segment_rows: int = CARRY_ROWS,
-    n_rows: int | None = None,
 ) -> DataFrame:
     """Add ``batch_no``: a batch ends before the event that is more than ``span_secs``
     after the batch's first one.
@@ -222,10 +215,9 @@ def batches_by_timespan(
         _SPAN_STATE,
         T.StructType([*fields, T.StructField("starts", T.LongType())]),
         segment_rows=segment_rows,
-        n_rows=n_rows,
     )
     numbered = segmented_scan(
-        starts, ETP, ["offset"], position_segment("offset", segment_rows, n_rows), running_sum={"_no": F.col("starts")}
+        starts, ETP, ["offset"], position_segment("offset", segment_rows), running_sum={"_no": F.col("starts")}
     )
     return numbered.select(*ETP, "offset", F.col("at").alias("received_us"), (F.col("_no") - 1).alias("batch_no"))
 
@@ -245,6 +237,6 @@ def order_inversions(
     order = [*order_keys, "partition", "offset"]
     placed = number_rows(log, ["event_type"], order, "key_place", segment_rows=segment_rows, n_rows=n_rows)
     scanned = segmented_scan(
-        placed, ETP, ["offset"], position_segment("offset", segment_rows, n_rows), running_max={"_max": F.col("key_place")}
+        placed, ETP, ["offset"], position_segment("offset", segment_rows), running_max={"_max": F.col("key_place")}
     )
     return scanned.withColumn("inverted", F.col("key_place") < F.col("_max")).drop("_max")

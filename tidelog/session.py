@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 from uuid import uuid4
 
@@ -29,13 +31,15 @@ def local_session(cpus: int | str = "*", app: str = "tidelog", shuffle_partition
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests, a laptop) a local folder is made.
+    Only where the cluster names none (tests, a laptop) a local folder is made; it goes
+    with the process. On a cluster the folder belongs to its owner, who clears it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
         made = tempfile.mkdtemp(prefix="tidelog-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", made)
         return made
     raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
