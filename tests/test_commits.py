@@ -125,14 +125,14 @@ def test_cuts_equal_a_simulation_whatever_the_segments(spark, seed):
     kind = cm.CommitStrategy("latest_possible") if interval is None else cm.CommitStrategy("after", interval, n_cursors, n_events)
     df = cursors(spark, *items).unionByName(cursors(spark, *items[:50], stream="t"))
     want_t = simulated(items[:50], interval, n_cursors, n_events, timeout - 1)
-    assert cut(df, kind, timeout, n_rows=1000) == want + want_t
+    assert cut(df, kind, timeout) == want + want_t
     if seed < 2:
         assert cut(df, kind, timeout, segment_rows=17) == want + want_t
 
 
 def test_entries_ages_and_metrics(spark):
     df = cursors(spark, (0, 0, 1), (1, 1, 2), (2, 2, 3), (3, 3, 4))
-    cutted = cm.cut_commits(df, cm.CommitStrategy("after", cursors=3), n_rows=10)
+    cutted = cm.cut_commits(df, cm.CommitStrategy("after", cursors=3))
     entries = cm.commit_table(cutted)
     got = rows(entries, "commit_no", "partition", "offset", "n_batches", "n_events")
     assert got == [(1, "0", 0, 1, 1), (2, "0", 2, 1, 3), (2, "1", 3, 2, 6)]
@@ -161,7 +161,12 @@ def test_commits_never_go_back_but_by_a_reset(spark):
     begin = df.unionByName(cm.reset_cursors(df, F.lit(at(2))))
     assert rows(cm.effective_commits(begin), "partition", "committed") == [("0", -1), ("1", -1)]
     to = spark.createDataFrame([("e", "1", 3)], "event_type string, partition string, offset long")
-    given = df.unionByName(cm.reset_cursors(df, F.lit(at(2)), to))
+    given = df.unionByName(cm.reset_cursors(df, F.lit(at(2)), to, "sub"))
+    with pytest.raises(ValueError, match="subscription_id"):
+        cm.reset_cursors(df, F.lit(at(2)), to)
+    never = to.union(spark.createDataFrame([("e", "9", 4)], to.schema))
+    both = df.unionByName(cm.reset_cursors(df, F.lit(at(2)), never, "sub"))
+    assert rows(cm.effective_commits(both), "partition", "committed") == [("0", 5), ("1", 3), ("9", 4)]
     assert rows(cm.effective_commits(given), "partition", "committed") == [("0", 5), ("1", 3)]
     later = given.unionByName(df.filter("partition = '1'").withColumn("committed_at", F.lit(at(3))).withColumn("offset", F.lit(4).cast("long")))
     assert rows(cm.effective_commits(later), "partition", "committed") == [("0", 5), ("1", 4)]
@@ -170,7 +175,7 @@ def test_commits_never_go_back_but_by_a_reset(spark):
 def test_every_batch_is_in_exactly_one_commit(spark):
     rnd = random.Random(9)
     items = [(i, i + 0.5, rnd.randrange(4)) for i in range(60)]
-    got = cut(cursors(spark, *items), cm.CommitStrategy("after", seconds=5, events=6), n_rows=100)
+    got = cut(cursors(spark, *items), cm.CommitStrategy("after", seconds=5, events=6))
     sizes = defaultdict(int)
     for no, *_ in got:
         sizes[no] += 1

@@ -60,6 +60,18 @@ def test_ordered_calls_follow_frame_ids(spark):
     assert longest == "0,1,2,3,5,8"
 
 
+@pytest.mark.parametrize("mode, called", [("all_seq", [0, 1, 2]), ("event_type_par", [0, 1, 2, 5]), ("event_type_partition_par", [0, 1, 2, 4, 5])])
+def test_no_call_after_a_stop(spark, tmp_path, mode, called):
+    def noted(events, meta):
+        (tmp_path / str(meta.frame_id)).touch()
+        return by_frame(events, meta)
+
+    results = hd.dispatch(frames(spark, *ITEMS), noted, mode, ordered=True)
+    got = {r["frame_id"]: r["action"] for r in results.collect()}
+    assert sorted(int(p.name) for p in tmp_path.iterdir()) == called
+    assert sorted(f for f, a in got.items() if a == hd.HELD_BACK) == [f for f in range(6) if f not in called]
+
+
 def test_handlers_by_event_type(spark):
     with pytest.raises(Exception, match="no handler for event type b"):
         hd.dispatch(frames(spark, *ITEMS), {"a": by_frame}).collect()

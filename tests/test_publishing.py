@@ -94,7 +94,14 @@ def test_retry_sets(spark):
     assert rows(pb.retry_set(sent, answers, "retry_all"), "batch_id", "pos") == [(1, 0), (1, 1), (1, 2)]
     assert pb.retry_set(sent, answers, "abort").count() == 0
     short = answers.filter("not (batch_id = 1 and pos = 2)")
-    assert rows(pb.retry_set(sent, short), "batch_id", "pos", "error") == [(1, None, "3 events but 2 responses")]
+    assert rows(pb.retry_set(sent, short), "batch_id", "pos", "error") == [
+        (1, p, "3 events but 2 responses") for p in range(3)
+    ]
+    silent = answers.filter("batch_id <> 1")
+    nameless = answers.withColumn("code", F.when(F.col("batch_id") != 1, F.col("code")))
+    for lost in (silent, nameless):
+        for strategy in ("retry_all", "retry_not_submitted"):
+            assert rows(pb.retry_set(sent, lost, strategy), "batch_id", "pos", "error") == [(1, p, None) for p in range(3)]
     with pytest.raises(ValueError):
         pb.retry_set(sent, answers, "sometimes")
 
@@ -113,6 +120,28 @@ def test_rounds_until_nothing_is_left(spark):
     assert out.filter("publishing_status = 'submitted'").select("batch_id", "pos").distinct().count() == 6
 
 
+def test_no_event_gets_lost(spark):
+    """One batch a response short, one never answered, one answered without a code, one turned down."""
+
+    def attempt(todo, n):
+        out = pb.verdict(todo, (F.col("pos") == 1) & (F.col("batch_id") <= 2) & F.lit(n == 1))
+        out = out.select("batch_id", "pos", "publishing_status", "code", "detail")
+        short = (F.col("batch_id") == 1) & (F.col("pos") == 2) & F.lit(n == 1)
+        out = out.filter(~short & (F.col("batch_id") != 3))
+        return out.withColumn("code", F.when((F.col("batch_id") != 4) | F.lit(n > 1), F.col("code")))
+
+    df = pb.submit(events(spark, *[(b, p, OK, None, None, "0") for b in (1, 2, 3, 4) for p in range(3)]))
+    got = rows(pb.publish_accounts(df, attempt, max_attempts=3))
+    assert got == [
+        *[(1, p, "unpaired", 1 if p < 2 else 0, "3 events but 2 responses") for p in range(3)],
+        (2, 0, "submitted", 1, None),
+        (2, 1, "submitted", 2, None),
+        (2, 2, "submitted", 1, None),
+        *[(3, p, "given_up", 0, "no response") for p in range(3)],
+        *[(4, p, "submitted", 2, None) for p in range(3)],
+    ]
+
+
 def test_sink_replaces_a_repeated_attempt(spark, tmp_path):
     path = str(tmp_path / "log")
     for _ in range(2):

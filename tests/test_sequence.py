@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from tidelog.operators import liveness, sequence as sq
-from tidelog.operators.offsets import cursor_distance, cursor_lag, read_from, retained, stats_report, stream_limit, time_lag, unconsumed
+from tidelog.operators.offsets import cursor_distance, cursor_lag, partition_stats, read_from, retained, stats_report, stream_limit, time_lag, unconsumed
 
 from helpers import at, rows, us
 
@@ -101,3 +101,15 @@ def test_in_flight_running_totals(spark):
     end = sq.left_over(d).first()
     assert (end["uncommitted_events"], end["warning"]) == (8, True)
     assert us(1) - us(0) == 1_000_000
+
+
+def test_lag_after_retention(spark):
+    log = spark.createDataFrame([("e", "0", i) for i in range(100, 110)], "event_type string, partition string, offset long")
+    cursors = spark.createDataFrame(
+        [("e", "0", o) for o in (-1, 50, 99, 100, 104, 109, 200)] + [("e", "1", 7)], log.schema
+    )
+    want = [("0", -1, 10), ("0", 50, 10), ("0", 99, 10), ("0", 100, 9), ("0", 104, 5), ("0", 109, 0), ("0", 200, 0), ("1", 7, None)]
+    for dense in (True, False):
+        assert rows(cursor_lag(log, cursors, dense=dense), "partition", "cursor_offset", "lag") == sorted(want, key=repr)
+    committed = spark.createDataFrame([("e", "0", 50)], "event_type string, partition string, committed long")
+    assert partition_stats(log, committed).first()["unconsumed"] == 10

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidelog.functions.times import SECOND
 from tidelog.model import BEGIN, ETP, STREAM_DEFAULTS
-from tidelog.operators.joins import join_small
+from tidelog.operators.joins import join_null_safe, join_small
 from tidelog.operators.segments import (
     CARRY_ROWS,
     SEGMENT_ROWS,
@@ -122,17 +122,29 @@ def all_committed(outcomes: DataFrame, by: list[str] | None = None) -> DataFrame
     return outcomes.groupBy(*by).agg(every) if by else outcomes.agg(every)
 
 
-def reset_cursors(commits: DataFrame, at: Column, to: DataFrame | None = None) -> DataFrame:
+def reset_cursors(
+    commits: DataFrame, at: Column, to: DataFrame | None = None, subscription_id: str | None = None
+) -> DataFrame:
     """Commit rows that set a subscription back, to be appended to the commits table.
 
-    ``to`` has the wanted event_type, partition and offset; without it every partition
-    is replayed from the beginning. ``reset`` marks them: see :func:`effective_commits`.
+    ``to`` has the wanted event_type, partition and offset, and subscription_id unless that
+    is given apart; every row of it gives a commit row, also for a partition that was never
+    committed (its stream is NULL then). Without ``to`` every partition is
+    replayed from the beginning. ``reset`` marks them: see :func:`effective_commits`.
+    The stream is the one that committed last.
     """
-    held = commits.select("subscription_id", "stream_id", *ETP).dropDuplicates(["subscription_id", *ETP])
+    keys = ["subscription_id", *ETP]
+    held = commits.groupBy(*keys).agg(
+        F.max_by("stream_id", F.struct("committed_at", "offset", "stream_id")).alias("stream_id")
+    )
     if to is None:
         target = held.withColumn("offset", F.lit(BEGIN).cast("long"))
     else:
-        target = held.join(to.select(*ETP, "offset"), ETP)
+        if "subscription_id" not in to.columns:
+            if subscription_id is None:
+                raise ValueError("whose cursors are they? give subscription_id")
+            to = to.withColumn("subscription_id", F.lit(subscription_id))
+        target = to.select(*keys, "offset").join(held, keys, "left")
     return target.select(
         "subscription_id", "stream_id", *ETP, "offset", at.alias("committed_at"), F.lit(True).alias("reset")
     )
@@ -230,7 +242,6 @@ def cut_commits(
     commit_timeout_secs: int = 60,
     keys: tuple[str, ...] = ("stream_id",),
     segment_rows: int = CARRY_ROWS,
-    n_rows: int | None = None,
 ) -> DataFrame:
     """Give each cursor its ``commit_no`` and that commit's trigger and time.
 
@@ -247,7 +258,7 @@ def cut_commits(
     """
     keys = list(keys)
     if strategy.kind == "immediately":
-        segment = position_segment("seq", segment_rows, n_rows)
+        segment = position_segment("seq", segment_rows)
         numbered = segmented_scan(cursors, keys, ["seq"], segment, row_number="commit_no")
         return numbered.withColumn("trigger", F.lit("deadline")).withColumn(
             "triggered_us", F.unix_micros("arrived_at")
@@ -268,9 +279,8 @@ def cut_commits(
         _CUT_STATE,
         T.StructType([*cursors.schema.fields, *_CUT_COLUMNS]),
         segment_rows=segment_rows,
-        n_rows=n_rows,
     )
-    segment = position_segment("seq", segment_rows, n_rows)
+    segment = position_segment("seq", segment_rows)
     numbered = segmented_scan(cuts, keys, ["seq"], segment, running_sum={"commit_no": F.col("_opens")})
     # Read twice below: the rule must not run twice.
     numbered = stored(numbered, "cuts")
@@ -294,8 +304,7 @@ def cut_commits(
         .filter(F.col("trigger").isNotNull())
     )
     return (
-        numbered.select(*cursors.columns, "commit_no")
-        .join(closings, [*keys, "commit_no"], "left")
+        join_null_safe(numbered.select(*cursors.columns, "commit_no"), closings, [*keys, "commit_no"], "left")
         .withColumn("trigger", F.coalesce("trigger", F.lit("stream_end")))
     )
 

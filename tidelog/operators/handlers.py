@@ -29,6 +29,8 @@ DISPATCH_SCOPES = {
 }
 DEFAULT_DISPATCH = "event_type_partition_par"
 ACTIONS = (COMMIT, DO_NOT_COMMIT, ABORT_STREAM, SHUT_DOWN)
+# Not an outcome of a handler: it wasn't called any more.
+HELD_BACK = "held_back"
 
 
 @dataclass(frozen=True)
@@ -86,7 +88,9 @@ def dispatch(
 
     ``ordered=True`` gives the calls of one scope in order of frame_id from one task;
     ``all_seq`` then means a single task for everything, as its name says, and does not
-    scale. Otherwise the mode only decides what :func:`settle` holds back.
+    scale. Once a batch aborts the stream or shuts down, the handler isn't called again in
+    its scope: later batches get the action ``held_back``. Without order the mode only
+    decides what :func:`settle` holds back, and calls in flight elsewhere aren't stopped.
     """
     scope = DISPATCH_SCOPES[mode]
     rows = event_batches(batches).select(
@@ -94,13 +98,21 @@ def dispatch(
     )
     if ordered:
         place = ["stream_id", *scope] if scope else []
-        rows = rows.repartition(*place) if place else rows.coalesce(1)
-        rows = rows.sortWithinPartitions(*place, "frame_id")
+        rows = rows.repartition(*place) if place else rows.repartition(1)
+        rows = rows.sortWithinPartitions(*(place or ["stream_id"]), "frame_id")
+
+    place = ["stream_id", *(scope or [])]
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        stopped = None  # rows of a scope follow each other, so the last stop is enough
         for part in parts:
             out = []
             for r in part.itertuples(index=False):
+                own = tuple(getattr(r, c) for c in place)
+                if ordered and own == stopped:
+                    seen = (r.stream_id, r.event_type, r.partition, r.offset, r.frame_id, r.started_at)
+                    out.append((*seen, len(r.events), 0, HELD_BACK, None, 0))
+                    continue
                 events = list(r.events)
                 meta = BatchMeta(
                     r.stream_id, r.event_type, r.partition, r.offset, r.frame_id, len(events), r.started_at, r.completed_at
@@ -111,6 +123,8 @@ def dispatch(
                 action, detail = outcome if isinstance(outcome, tuple) else (outcome, None)
                 if action not in ACTIONS:
                     raise ValueError(f"unknown handler outcome: {action}")
+                if action in (ABORT_STREAM, SHUT_DOWN):
+                    stopped = own
                 n_bytes = sum(len(e.encode()) for e in events) + max(len(events) - 1, 0) + 2
                 out.append(
                     (*[getattr(meta, f) for f in ("stream_id", "event_type", "partition", "offset", "frame_id", "started_at")],
@@ -161,7 +175,7 @@ def settle(results: DataFrame, mode: str = DEFAULT_DISPATCH, n_rows: int | None
     stops = results.filter(stop).groupBy(*scope).agg(F.min("frame_id").alias("_stop"))
     after = F.col("frame_id") > F.col("_stop")
     settled = (
-        F.when(after, F.lit("held_back"))
+        F.when(after, F.lit(HELD_BACK))
         .when(stop, F.lit("stopped"))
         .when(F.col("action") == COMMIT, F.lit("committed"))
         .otherwise(F.lit("not_committed"))
@@ -188,10 +202,11 @@ def raise_if_stopped(settled: DataFrame) -> None:
 def processing_metrics(results: DataFrame, by: tuple[str, ...] = ("event_type",)) -> DataFrame:
     """Batches, events, bytes and handling time per group.
 
-    Events of a batch whose handler stopped are not counted as processed.
+    Events of a batch whose handler stopped are not counted as processed; batches that no
+    handler was called for aren't counted at all.
     """
     processed = F.col("action").isin(COMMIT, DO_NOT_COMMIT)
-    return results.groupBy(*by).agg(
+    return results.filter(F.col("action") != HELD_BACK).groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_batches"),
         F.sum(F.when(processed, F.col("n_events")).otherwise(0)).cast("long").alias("n_events"),
         F.sum("n_bytes").cast("long").alias("n_bytes"),
@@ -201,4 +216,4 @@ def processing_metrics(results: DataFrame, by: tuple[str, ...] = ("event_type",)
 
 def events_handled(results: DataFrame) -> DataFrame:
     """Events per event type that went through the handlers."""
-    return results.groupBy("event_type").agg(F.sum("n_events").cast("long").alias("n_events"))
+    return results.filter(F.col("action") != HELD_BACK).groupBy("event_type").agg(F.sum("n_events").cast("long").alias("n_events"))

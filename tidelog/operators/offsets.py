@@ -53,10 +53,12 @@ def partition_stats(log: DataFrame, committed: DataFrame) -> DataFrame:
     """Per partition: newest, committed and unconsumed.
 
     ``unconsumed`` stays NULL where nothing was committed: unknown is not zero.
-    ``committed`` has one row per partition.
+    ``committed`` has one row per partition. Events that retention removed can't be
+    consumed any more, so a commit before the oldest event counts from that event.
     """
+    from_here = F.greatest("committed", F.col("oldest") - 1)
     return partition_info(log).join(committed, ETP, "left").withColumn(
-        "unconsumed", F.col("newest") - F.col("committed")
+        "unconsumed", F.when(F.col("committed").isNotNull(), F.greatest(F.col("newest") - from_here, F.lit(0)))
     )
 
 
@@ -86,12 +88,12 @@ def cursor_lag(
     *,
     dense: bool = True,
     segment_rows: int = SEGMENT_ROWS,
-    n_rows: int | None = None,
 ) -> DataFrame:
     """Events after each cursor (columns event_type, partition, offset).
 
-    ``dense`` logs need only the newest offset; after compaction the remaining events
-    are counted.
+    ``dense`` logs need only the oldest and newest offset; after compaction the remaining
+    events are counted. Both give the same on a dense log: events that are still there
+    and come after the cursor. In a partition without events nothing is known: NULL.
     """
     cursors = cursors.select(*ETP, F.col("offset").alias("cursor_offset"))
     if dense:
@@ -99,7 +101,10 @@ def cursor_lag(
             *ETP,
             "cursor_offset",
             "newest",
-            F.greatest(F.col("newest") - F.col("cursor_offset"), F.lit(0)).alias("lag"),
+            F.when(
+                F.col("newest").isNotNull(),
+                F.greatest(F.col("newest") - F.greatest("cursor_offset", F.col("oldest") - 1), F.lit(0)),
+            ).alias("lag"),
         )
     # Cursors are put among the events and counted along, so many cursors on one
     # partition do not multiply its events.
@@ -110,7 +115,7 @@ def cursor_lag(
         marks,
         ETP,
         ["_pos", "_mark"],
-        position_segment("_pos", segment_rows, n_rows),
+        position_segment("_pos", segment_rows),
         running_sum={"_upto": (1 - F.col("_mark")).cast("long")},
     )
     totals = log.groupBy(*ETP).agg(F.max("offset").alias("newest"), F.count(F.lit(1)).alias("_n"))

@@ -160,37 +160,39 @@ def retry_set(
 
     ``events`` and ``responses`` share (batch_id, pos); ``responses`` has
     publishing_status and the batch's code. Unprocessable batches (422) and fully
-    submitted ones (200) are not retried. ``retry_not_submitted`` pairs by position
-    and needs as many responses as events; a batch where the counts differ keeps no
-    event but one row with the error.
+    submitted ones (200) are not retried. A batch without any response, or with one that
+    has no code, failed on the way: nothing is known of its events, so both retry
+    strategies send all of them again. ``retry_not_submitted`` pairs by position and
+    needs as many responses as events; where the counts differ every event of the batch
+    comes back with the error, none to be sent again.
     """
     if strategy not in ("abort", "retry_all", "retry_not_submitted"):
         raise ValueError(f"unknown strategy: {strategy}")
     error = F.lit(None).cast("string")
-    out = [*events.columns, "error"]
     if strategy == "abort":
         return events.limit(0).withColumn("error", error)
-    partial = responses.groupBy("batch_id").agg(F.max("code").alias("_code"), F.count(F.lit(1)).alias("_n_responses"))
-    partial = partial.filter(F.col("_code") == 207)
-    if strategy == "retry_all":
-        return events.join(partial, "batch_id", "left_semi").withColumn("error", error)
+    answered = responses.groupBy("batch_id").agg(
+        F.max("code").alias("_code"),
+        F.count_if(F.col("code").isNull()).alias("_n_unknown"),
+        F.count(F.lit(1)).alias("_n_responses"),
+    )
     sizes = events.groupBy("batch_id").agg(F.count(F.lit(1)).alias("_n_events"))
-    checked = partial.join(sizes, "batch_id")
-    paired = checked.filter(F.col("_n_events") == F.col("_n_responses"))
+    batches = sizes.join(answered, "batch_id", "left")
+    failed = F.col("_n_responses").isNull() | (F.col("_n_unknown") > 0)
+    partial = ~failed & (F.col("_code") == 207)
+    whole = events.join(batches.filter(failed).select("batch_id"), "batch_id", "left_semi").withColumn("error", error)
+    if strategy == "retry_all":
+        again = events.join(batches.filter(partial).select("batch_id"), "batch_id", "left_semi")
+        return whole.unionByName(again.withColumn("error", error))
+    paired = F.col("_n_events") == F.col("_n_responses")
     again = (
         events.join(not_submitted(responses).select("batch_id", "pos"), ["batch_id", "pos"], "left_semi")
-        .join(paired, "batch_id", "left_semi")
+        .join(batches.filter(partial & paired).select("batch_id"), "batch_id", "left_semi")
         .withColumn("error", error)
-        .select(*out)
     )
-    unpaired = checked.filter(F.col("_n_events") != F.col("_n_responses")).select(
-        *[
-            F.col(f.name) if f.name == "batch_id" else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in events.schema.fields
-        ],
-        F.concat(F.col("_n_events"), F.lit(" events but "), F.col("_n_responses"), F.lit(" responses")).alias("error"),
-    )
-    return again.unionByName(unpaired)
+    reason = F.concat(F.col("_n_events"), F.lit(" events but "), F.col("_n_responses"), F.lit(" responses"))
+    odd = batches.filter(partial & ~paired).select("batch_id", reason.alias("error"))
+    return whole.unionByName(again).unionByName(events.join(odd, "batch_id").select(*events.columns, "error"))
 
 
 def publish_rounds(
@@ -206,12 +208,66 @@ def publish_rounds(
     Each round's rows are written to the shared folder, so a round is neither repeated
     nor does its plan grow with the rounds before. An event keeps its ``pos``.
     """
-    responses: DataFrame | None = None
+    return _rounds(events, attempt, strategy, max_attempts)[0]
+
+
+def _rounds(
+    events: DataFrame, attempt: Callable[[DataFrame, int], DataFrame], strategy: str, max_attempts: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All responses; the events of batches that couldn't be paired; what was still to be sent at the end."""
+    responses, unpaired = None, None
     todo = stored(events, "to-publish")
     for n in range(1, max_attempts + 1):
         answered = stored(attempt(todo, n).withColumn("attempt", F.lit(n)), "responses")
         responses = answered if responses is None else responses.unionByName(answered)
-        todo = stored(retry_set(todo, answered, strategy).filter(F.col("error").isNull()).drop("error"), "retry")
+        again = stored(retry_set(todo, answered, strategy), "retry")
+        odd = again.filter(F.col("error").isNotNull())
+        unpaired = odd if unpaired is None else unpaired.unionByName(odd)
+        todo = again.filter(F.col("error").isNull()).drop("error")
         if todo.isEmpty():
             break
-    return responses
+    return responses, unpaired, todo
+
+
+def publish_accounts(
+    events: DataFrame,
+    attempt: Callable[[DataFrame, int], DataFrame],
+    strategy: str = "retry_not_submitted",
+    max_attempts: int = 3,
+) -> DataFrame:
+    """What became of every event: one row (batch_id, pos, outcome, attempts, error) each.
+
+    ``submitted``: a response of a batch with a code says so, or the batch's code is 200.
+    ``unpaired``: its batch came back with another number of responses than events.
+    ``given_up``: all others, whether turned down, not to be retried, or still failing
+    after the last attempt; ``error`` is then the detail of the last response, or that
+    there was none.
+    """
+    responses, unpaired, _ = _rounds(events, attempt, strategy, max_attempts)
+    detail = F.col("detail") if "detail" in responses.columns else F.lit(None).cast("string")
+    said = F.col("code").isNotNull() & (F.col("publishing_status") == SUBMITTED)
+    last = responses.groupBy("batch_id", "pos").agg(
+        F.bool_or(said).alias("_submitted"),
+        F.max("attempt").alias("_attempts"),
+        F.max_by(detail, "attempt").alias("_detail"),
+    )
+    whole = responses.groupBy("batch_id").agg(F.bool_or(F.col("code") == 200).alias("_whole"))
+    odd = unpaired.select("batch_id", "pos", F.col("error").alias("_odd"))
+    key = ["batch_id", "pos"]
+    no = F.lit(False)
+    submitted = F.coalesce("_submitted", no) | F.coalesce("_whole", no)
+    return (
+        events.select(*key)
+        .join(last, key, "left")
+        .join(whole, "batch_id", "left")
+        .join(odd, key, "left")
+        .select(
+            *key,
+            F.when(F.col("_odd").isNotNull(), "unpaired").when(submitted, "submitted").otherwise("given_up").alias("outcome"),
+            F.coalesce("_attempts", F.lit(0)).alias("attempts"),
+            F.when(F.col("_odd").isNotNull(), F.col("_odd"))
+            .when(~submitted & F.col("_attempts").isNull(), F.lit("no response"))
+            .when(~submitted, F.col("_detail"))
+            .alias("error"),
+        )
+    )

@@ -280,7 +280,7 @@ ORACLE: dict[str, str] = {
     ),
     "cursor_forms": _plain(
         """SELECT event_type, "partition", "offset", event_type AS read_event_type, "partition" AS read_partition,
-        CASE WHEN "offset" % 3 = 0 THEN -1 ELSE "offset" END AS read_offset, 'begin' AS begin_offset FROM commits"""
+        CASE WHEN "offset" % 3 = 0 THEN -1 ELSE "offset" END AS read_offset, 'begin' AS begin_offset FROM log"""
     ),
     "parsed_lines": _plain(
         """SELECT stream_id, frame_id, event_type, "partition", "offset", 'token-' || CAST("offset" AS VARCHAR) AS cursor_token,
@@ -316,8 +316,7 @@ ORACLE: dict[str, str] = {
         "SELECT stream_id, frame_id, CAST(pos AS INTEGER) AS pos, error, eid FROM corrupt_events WHERE error IS NOT NULL"
     ),
     "decode_failures_per_batch": _plain(
-        """SELECT stream_id, frame_id, count(error) AS n_failed, count(*) AS n_events FROM corrupt_events
-        WHERE event_type NOT IN ('purchase', 'signup') GROUP BY ALL"""
+        """SELECT stream_id, frame_id, count(error) AS n_failed, count(*) AS n_events FROM corrupt_events GROUP BY ALL"""
     ),
     "line_bytes": _plain("SELECT stream_id, frame_id, n_bytes, n_events_bytes FROM line_bytes"),
     "assembled_bodies": _plain(
@@ -328,7 +327,7 @@ ORACLE: dict[str, str] = {
     ),
     "republished_metadata": _plain(
         """SELECT eid, event_type, us AS occurred_us, 0::BIGINT AS n_parents, NULL::VARCHAR AS "partition",
-        'flow-' || CAST(event_id AS VARCHAR) AS flow_id FROM log WHERE event_type NOT IN ('purchase', 'signup')"""
+        'flow-' || CAST(event_id AS VARCHAR) AS flow_id FROM log"""
     ),
     "new_event_metadata": _plain(
         "SELECT eid, us AS occurred_us, 0::BIGINT AS n_parents, NULL::VARCHAR AS event_type FROM ev"
@@ -470,7 +469,8 @@ chain AS (
     "commits_after_reset": _plain(
         """SELECT 'sub-1' AS subscription_id, event_type, "partition", coalesce(max("offset") FILTER (WHERE
           CAST("partition" AS INTEGER) % 2 = 1 OR us > epoch_us(TIMESTAMP '2024-01-15 00:00:00')), -1) AS committed
-        FROM commits GROUP BY ALL"""
+        FROM commits GROUP BY ALL
+        UNION ALL SELECT 'sub-1', event_type, "partition", max("offset") - 3 FROM log WHERE event_type = 'view' GROUP BY ALL"""
     ),
     "publish_verdicts": _sql(
         "SELECT batch_id, pos, eid, publishing_status, step, detail, code FROM judged", _PUBLISH
@@ -487,8 +487,9 @@ chain AS (
     "publish_retry_set": _sql(
         """SELECT batch_id, pos, NULL::VARCHAR AS error FROM judged WHERE code = 207 AND publishing_status <> 'submitted'
           AND NOT (batch_id % 7 = 0 AND batch_id IN (SELECT batch_id FROM judged WHERE pos = 49))
-        UNION ALL SELECT batch_id, NULL, CAST(count(*) AS VARCHAR) || ' events but ' || CAST(count(*) - 1 AS VARCHAR) || ' responses'
-        FROM judged WHERE code = 207 AND batch_id % 7 = 0 AND batch_id IN (SELECT batch_id FROM judged WHERE pos = 49) GROUP BY batch_id""",
+        UNION ALL SELECT batch_id, pos, CAST(n AS VARCHAR) || ' events but ' || CAST(n - 1 AS VARCHAR) || ' responses'
+        FROM (SELECT *, count(*) OVER (PARTITION BY batch_id) AS n FROM judged)
+        WHERE code = 207 AND batch_id % 7 = 0 AND batch_id IN (SELECT batch_id FROM judged WHERE pos = 49)""",
         _PUBLISH,
     ),
     "publish_retry_all": _sql("SELECT batch_id, pos FROM judged WHERE code = 207", _PUBLISH),
@@ -504,6 +505,21 @@ chain AS (
           WHERE code = 207 AND publishing_status <> 'submitted' AND event_id % 2 = 0) GROUP BY attempt""",
         _PUBLISH,
     ),
+    "publish_accounts": _sql(
+        """SELECT batch_id, pos, outcome, attempts,
+          CASE WHEN outcome = 'unpaired' THEN CAST(n AS VARCHAR) || ' events but ' || CAST(n - 1 AS VARCHAR) || ' responses'
+               WHEN outcome = 'given_up' AND attempts = 0 THEN 'no response' WHEN outcome = 'given_up' THEN detail END AS error
+        FROM (
+          SELECT *,
+            CASE WHEN code = 422 THEN 'given_up' WHEN code = 200 THEN 'submitted' WHEN short AND NOT unheard THEN 'unpaired'
+                 WHEN publishing_status = 'failed' AND event_id % 4 = 0 THEN 'given_up' ELSE 'submitted' END AS outcome,
+            CASE WHEN code <> 207 OR (short AND NOT unheard) THEN CASE WHEN unheard THEN 2 WHEN short AND pos = 49 THEN 0 ELSE 1 END
+                 WHEN publishing_status = 'submitted' THEN CASE WHEN unheard THEN 2 ELSE 1 END
+                 WHEN event_id % 2 = 0 THEN 3 ELSE 2 END::BIGINT AS attempts
+          FROM (SELECT *, count(*) OVER (PARTITION BY batch_id) AS n, batch_id % 11 = 5 OR batch_id % 13 = 3 AS unheard,
+                  batch_id % 7 = 0 AND max(pos) OVER (PARTITION BY batch_id) = 49 AS short FROM judged))""",
+        _PUBLISH,
+    ),
     "published_log": _sql(
         f"""SELECT event_type, "partition", count(*) AS n_events, {_AS_OF} AS received_us, max(eid) AS last_eid
         FROM judged WHERE publishing_status = 'submitted' GROUP BY event_type, "partition" """,
@@ -531,9 +547,9 @@ chain AS (
         FROM handled h JOIN line_bytes b USING (stream_id, frame_id, event_type) GROUP BY event_type"""
     ),
     "typed_handler_totals": _plain(
-        """SELECT "partition", count(*) FILTER (WHERE error IS NULL) AS n_events,
+        """SELECT event_type, "partition", count(*) FILTER (WHERE error IS NULL) AS n_events,
         CAST(sum(CAST(round(value * 100) AS BIGINT)) FILTER (WHERE error IS NULL) AS BIGINT) AS cents, count(error) AS n_bad
-        FROM corrupt_events WHERE event_type = 'click' GROUP BY "partition" HAVING count(*) FILTER (WHERE error IS NULL) > 0"""
+        FROM corrupt_events GROUP BY event_type, "partition" """
     ),
     "quiet_streams": _sql(
         """SELECT *, CASE WHEN missing = 'events' AND quiet_us > 40000000000 THEN 'dead'

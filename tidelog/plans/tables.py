@@ -6,15 +6,16 @@ with the input.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidelog.functions.cursors import empty_as_null
 from tidelog.model import ETP
 from tidelog.operators.offsets import append_offsets, number_rows
 from tidelog.operators.segments import SEGMENT_ROWS
-from tidelog.session import stored
+from tidelog.session import scratch_path
 
 N_PARTITIONS = 8
 N_STREAMS = 4
@@ -76,13 +77,32 @@ def n_events(spark: SparkSession, sf_dir: str) -> int:
 def log(spark: SparkSession, sf_dir: str, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
     """The event log, with offsets in order of (ts, event_id).
 
-    A log of several segments is written once, as a broker would hold it, instead of
-    being derived again wherever a plan reads it twice.
+    It is written once for a session and source, as a broker would hold it, instead of
+    being derived again wherever a plan reads it.
     """
-    n = n_events(spark, sf_dir)
     rows = to_log_rows(events(spark, sf_dir))
-    rows = append_offsets(rows, ["received_at", "event_id"], segment_rows=segment_rows, n_rows=n)
-    return rows if n <= segment_rows else stored(rows, "log")
+    return _once(
+        spark,
+        ("log", sf_dir, segment_rows),
+        lambda: append_offsets(
+            rows, ["received_at", "event_id"], segment_rows=segment_rows, n_rows=n_events(spark, sf_dir)
+        ),
+    )
+
+
+_WRITTEN: dict[tuple, tuple[str, T.StructType]] = {}
+
+
+def _once(spark: SparkSession, key: tuple, make: Callable[[], DataFrame]) -> DataFrame:
+    """The table of that name, written to the shared folder when it is first asked for."""
+    key = (spark.sparkContext.applicationId, *key)
+    if key not in _WRITTEN:
+        table = make()
+        path = scratch_path(spark, key[1])
+        table.write.parquet(path)
+        _WRITTEN[key] = path, table.schema
+    path, schema = _WRITTEN[key]
+    return spark.read.schema(schema).parquet(path)
 
 
 def stream_of(partition: Column) -> Column:
@@ -210,7 +230,13 @@ def frames(log: DataFrame, corrupt: bool = False, segment_rows: int = SEGMENT_RO
         "started_at",
         F.timestamp_micros(F.unix_micros("started_at") + 2000 + n_events * 1000).alias("completed_at"),
     )
-    return lines if n_rows is not None and n_rows <= segment_rows else stored(lines, "frames")
+    return lines
+
+
+def lines(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> DataFrame:
+    """The frames of the whole log, written once."""
+    rows = log(spark, sf_dir)
+    return _once(spark, ("frames", sf_dir, corrupt), lambda: frames(rows, corrupt, n_rows=n_events(spark, sf_dir)))
 
 
 def stats_rows(log: DataFrame, commits: DataFrame) -> DataFrame:
