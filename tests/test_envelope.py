@@ -152,3 +152,25 @@ def test_metadata(spark):
     assert fresh.select("m.eid").distinct().count() == 3
     with pytest.raises(Exception, match="unknown data_op"):
         spark.sql("select 'X' as op").select(checked_data_op_name(F.col("op"))).collect()
+
+
+def test_texts_as_received(spark):
+    events = [' {"value": 1.50,"n":12345678901234567890.12345 }', '"]"', "[ 1,\t2 ]", '{"é": "\\u00e9"}']
+    text = '{ "info" : {"a": [1 , {}]}, "events":[%s ] ,"cursor":%s}' % (" ,".join(events), json.dumps(CURSOR))
+    parsed = env.parse_lines(spark.createDataFrame([(text,), (json.dumps({"cursor": CURSOR}),), ("{",), (None,)], "value string"), exact=True)
+    got = parsed.collect()
+    assert got[0]["events"] == [e.strip() for e in events] and got[0]["info"] == '{"a": [1 , {}]}'
+    assert [g["kind"] for g in got] == ["batch", "keep_alive", "bad", "bad"]
+    sizes = [r["n_events_bytes"] for r in env.byte_stats(parsed).collect()]
+    assert sizes == [len(f"[{' ,'.join(events)} ]".encode()), 0, 0, 0]
+    number = T.StructType([T.StructField("n", T.DecimalType(30, 5)), T.StructField("value", T.StringType())])
+    decoded = env.decode_events(env.explode_events(env.valid_lines(parsed)), number).orderBy("pos").first()
+    assert str(decoded["decoded"]["n"]) == "12345678901234567890.12345"
+
+
+def test_offsets_that_are_no_numbers(spark):
+    opaque = json.dumps({"cursor": CURSOR | {"offset": "001-0001-000000000000001207"}, "events": []})
+    frames = spark.createDataFrame([(opaque,)], "value string")
+    assert [r["problem"] for r in env.quarantined_lines(env.parse_lines(frames)).collect()] == ["cursor offset is no number"]
+    kept = env.valid_lines(env.parse_lines(frames, numeric_offsets=False)).first()
+    assert (kept["offset"], kept["offset_text"]) == (None, "001-0001-000000000000001207")

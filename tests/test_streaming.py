@@ -141,13 +141,15 @@ def test_limits_lifecycle_reports_and_live_metrics(spark, tmp_path):
     try:
         lines = observed(env.parse_lines(frame_stream(spark, src)), "lines")
 
+        passed = []
+
         def step(batch, batch_id):
-            batch.write.format("noop").mode("overwrite").save()
+            passed.append(batch.count())
             report(batch, batch_id)
 
         query = lines.writeStream.foreachBatch(step).option("checkpointLocation", str(tmp_path / "ck")).start()
         # A rate of one line per trigger keeps the overshoot small.
-        assert sc.run_with_limits(query, stream_limit=3, timeout_secs=120) == "limit"
+        assert sc.run_with_limits(query, stream_limit=3, timeout_secs=120, count=lambda: sum(passed)) == "limit"
         deadline = time.time() + 20
         while time.time() < deadline and not (seen and rows(spark.read.parquet(out)) and "stopped" in {r["event"] for r in spark.read.parquet(out).collect()}):
             time.sleep(0.5)
@@ -161,6 +163,8 @@ def test_limits_lifecycle_reports_and_live_metrics(spark, tmp_path):
     assert sc.run_with_limits(idle, timeout_secs=3) == "timeout"
     ended = frame_stream(spark, src).writeStream.format("noop").option("checkpointLocation", str(tmp_path / "ck3")).trigger(availableNow=True).start()
     assert sc.run_with_limits(ended) == "ended"
+    with pytest.raises(ValueError, match="count of events"):
+        sc.run_with_limits(ended, stream_limit=1)
 
 
 def test_live_metrics_count_what_passes(spark, tmp_path):

@@ -1,19 +1,3 @@
-"""Time arithmetic in whole microseconds."""
-
-from __future__ import annotations
-
-from pyspark.sql import Column, functions as F
+"""Time in whole microseconds."""
 
 SECOND = 1_000_000
-
-
-def micros(ts: Column | str) -> Column:
-    return F.unix_micros(ts)
-
-
-def gap_us(later: Column, earlier: Column) -> Column:
-    return F.unix_micros(later) - F.unix_micros(earlier)
-
-
-def at_us(us: Column) -> Column:
-    return F.timestamp_micros(us)

@@ -11,12 +11,8 @@ BEGIN_TEXT = "begin"
 # Data operations of data-change events.
 DATA_OPS = {"C": "create", "U": "update", "D": "delete", "S": "snapshot"}
 
-# Event categories.
-CATEGORIES = ("undefined", "data", "business")
-
-# Publishing status and steps.
+# Publishing status.
 SUBMITTED, FAILED, ABORTED = "submitted", "failed", "aborted"
-STEPS = ("none", "validating", "partitioning", "enriching", "publishing")
 
 # Handler outcomes.
 COMMIT, DO_NOT_COMMIT, ABORT_STREAM, SHUT_DOWN = "commit", "do_not_commit", "abort_stream", "shut_down"
@@ -37,7 +33,6 @@ PARTITION_INACTIVITY_SECS = 90
 NO_FRAMES_WARNING_SECS = 30
 NO_EVENTS_WARNING_SECS = 60
 STREAM_DEAD_NO_FRAMES_SECS = 300
-STATS_REPORT_SECS = 41
 
 ETP = ["event_type", "partition"]
 
@@ -65,10 +60,6 @@ METADATA = _struct(
     "eid string, event_type string, occurred_at timestamp, received_at timestamp,"
     " parent_eids array<string>, partition string, version string, flow_id string"
 )
-METADATA_PUB = _struct(
-    "eid string, event_type string, occurred_at timestamp, parent_eids array<string>,"
-    " partition string, flow_id string"
-)
 FRAMES = _struct(
     "stream_id string, frame_id bigint, value string, started_at timestamp, completed_at timestamp"
 )

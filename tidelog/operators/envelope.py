@@ -2,13 +2,18 @@
 
 A line is parsed once, into the cursor, the events as an array of JSON texts and the
 info text. Spark's JSON functions re-render nested values (whitespace goes, ``1.50``
-becomes ``1.5``), so texts and byte counts of nested parts are exact for compact JSON.
+becomes ``1.5``, long numbers become doubles), so texts and byte counts of nested parts
+are exact for compact JSON with short numbers. With ``exact=True`` they are cut out of
+the line as they were received, at the price of a second pass in Arrow batches.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+import re
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidelog.functions.cursors import offset_value
@@ -32,9 +37,69 @@ def _once(parsed: Column, *names: str) -> Column:
     return F.inline(F.array(parsed)).alias(*names)
 
 
-def parse_lines(frames: DataFrame, value: str = "value") -> DataFrame:
+_BLANK = re.compile(r"[ \t\n\r]*")
+
+
+def _members(text: str, at: int, end: str) -> Iterator[tuple[str | None, int, int]]:
+    """Key (None in an array) and place of each member of the JSON object or array at ``at``."""
+    decode, key = json.JSONDecoder().raw_decode, None
+    at = _BLANK.match(text, at + 1).end()
+    while text[at] != end:
+        if end == "}":
+            key, at = decode(text, at)
+            at = _BLANK.match(text, _BLANK.match(text, at).end() + 1).end()
+        start, at = at, decode(text, at)[1]
+        yield key, start, at
+        at = _BLANK.match(text, at).end()
+        if text[at] == ",":
+            at = _BLANK.match(text, at + 1).end()
+
+
+def raw_parts(text: str | None) -> tuple[list[str] | None, str | None, int | None]:
+    """The events, the info and the size in bytes of the events array, as they stand in a line."""
+    events, info, size = None, None, None
+    try:
+        for key, start, end in _members(text, _BLANK.match(text).end(), "}"):
+            if key == "events" and text[start] == "[":
+                events = [text[a:b] for _, a, b in _members(text, start, "]")]
+                size = len(text[start:end].encode())
+            elif key == "info" and text[start:end] != "null":
+                info = text[start:end]
+    except (ValueError, IndexError, TypeError, RecursionError):
+        return None, None, None
+    return events, info, size
+
+
+_RAW = T.StructType(
+    [
+        T.StructField("events", T.ArrayType(T.StringType())),
+        T.StructField("info", T.StringType()),
+        T.StructField("events_bytes", T.IntegerType()),
+    ]
+)
+
+
+def _raw_parts(values: pd.Series) -> pd.DataFrame:
+    parts = [raw_parts(v) for v in values]
+    return pd.DataFrame(
+        {
+            "events": [p[0] for p in parts],
+            "info": [p[1] for p in parts],
+            "events_bytes": pd.Series([p[2] for p in parts], dtype="Int32"),
+        }
+    )
+
+
+def parse_lines(
+    frames: DataFrame, value: str = "value", *, exact: bool = False, numeric_offsets: bool = True
+) -> DataFrame:
     """Add cursor fields, ``events`` (JSON texts, NULL for a keep-alive), ``info``,
-    ``n_events``, ``kind``, ``has_info`` and ``problem`` (NULL for a valid line)."""
+    ``n_events``, ``kind``, ``has_info`` and ``problem`` (NULL for a valid line).
+
+    ``exact`` keeps the texts as received and adds ``events_bytes``. A broker may hand out
+    offsets that are no numbers: with ``numeric_offsets`` such a line has a problem,
+    otherwise it is valid, and :func:`valid_lines` keeps its text in ``offset_text``.
+    """
     line = F.from_json(value, _LINE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
     parsed = frames.select("*", _once(line, "_cursor", "_events", "_info", "_broken"))
     cursor, events, info = F.col("_cursor"), F.col("_events"), F.col("_info")
@@ -46,16 +111,23 @@ def parse_lines(frames: DataFrame, value: str = "value") -> DataFrame:
         .when(cursor.isNull(), F.lit("no cursor"))
         .when(F.size(empty) > 0, F.concat(F.lit("no cursor "), F.array_join(empty, ",")))
     )
+    if numeric_offsets:
+        problem = problem.when(offset_value(cursor["offset"]).isNull(), F.lit("cursor offset is no number"))
     kind = (
         F.when(problem.isNotNull(), F.lit("bad"))
         .when(events.isNull(), F.lit("keep_alive"))
         .otherwise(F.lit("batch"))
     )
+    if exact:
+        parsed = parsed.withColumn("_raw", F.pandas_udf(_raw_parts, _RAW)(F.col(value)))
+        events = F.when(events.isNotNull(), F.col("_raw.events"))
+        info = F.when(info.isNotNull(), F.col("_raw.info"))
     return parsed.select(
         *frames.columns,
         *[cursor[f].alias(f) for f in ("event_type", "partition", "offset", "cursor_token")],
         events.alias("events"),
         info.alias("info"),
+        *([F.col("_raw.events_bytes").alias("events_bytes")] if exact else []),
         F.coalesce(F.array_size(events), F.lit(0)).alias("n_events"),
         kind.alias("kind"),
         info.isNotNull().alias("has_info"),
@@ -64,7 +136,10 @@ def parse_lines(frames: DataFrame, value: str = "value") -> DataFrame:
 
 
 def valid_lines(parsed: DataFrame, mode: str = "quarantine") -> DataFrame:
-    """Valid lines with a numeric offset. ``mode='fail'`` raises on a bad line."""
+    """Valid lines with the offset as a number, and as it was received in ``offset_text``.
+
+    ``mode='fail'`` raises on a bad line.
+    """
     if mode == "fail":
         reason = F.concat(F.lit("bad batch line: "), F.col("problem"))
         checked = F.when(F.col("problem").isNull(), F.lit(True)).otherwise(F.raise_error(reason).cast("boolean"))
@@ -73,7 +148,7 @@ def valid_lines(parsed: DataFrame, mode: str = "quarantine") -> DataFrame:
         good = parsed.filter(F.col("problem").isNull())
     else:
         raise ValueError(f"unknown mode: {mode}")
-    return good.drop("problem").withColumn("offset", offset_value(F.col("offset")))
+    return good.drop("problem").withColumns({"offset_text": F.col("offset"), "offset": offset_value(F.col("offset"))})
 
 
 def quarantined_lines(parsed: DataFrame) -> DataFrame:
@@ -89,9 +164,8 @@ def byte_stats(lines: DataFrame, value: str = "value") -> DataFrame:
     """Add n_bytes of the line and n_events_bytes of its events array."""
     texts = F.aggregate("events", F.lit(0), lambda n, e: n + F.octet_length(e))
     commas = F.greatest(F.array_size("events") - 1, F.lit(0))
-    return lines.withColumn("n_bytes", F.octet_length(value)).withColumn(
-        "n_events_bytes", F.coalesce(texts + commas + 2, F.lit(0))
-    )
+    size = F.col("events_bytes") if "events_bytes" in lines.columns else texts + commas + 2
+    return lines.withColumn("n_bytes", F.octet_length(value)).withColumn("n_events_bytes", F.coalesce(size, F.lit(0)))
 
 
 def explode_events(batches: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -99,7 +173,7 @@ def explode_events(batches: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
     ``pos`` is the event's place in its batch.
     """
-    head = [c for c in ("stream_id", "frame_id", "event_type", "partition", "offset") if c in batches.columns]
+    head = [c for c in ("stream_id", "frame_id", "event_type", "partition", "offset", "offset_text") if c in batches.columns]
     return batches.select(*head, *keep, F.posexplode("events").alias("pos", "event"))
 
 
@@ -209,15 +283,3 @@ def assemble_line(
         F.coalesce(F.concat(F.lit(',"info":'), info), F.lit("")),
         F.lit("}"),
     )
-
-
-def batch_decoder(schemas: Mapping[str, tuple[T.StructType, Sequence[str]]]):
-    """Decoder per event type: a function from exploded rows to decoded rows of one type."""
-
-    def decode(rows: DataFrame, event_type: str) -> DataFrame:
-        if event_type not in schemas:
-            raise ValueError(f"no schema for event type {event_type}")
-        schema, required = schemas[event_type]
-        return decode_events(rows.filter(F.col("event_type") == event_type), schema, required)
-
-    return decode

@@ -292,8 +292,7 @@ ORACLE: dict[str, str] = {
         FROM lines GROUP BY ALL"""
     ),
     "lines_from_text_files": _plain(
-        """SELECT stream_id, count(*) AS n_lines, CAST(sum(n_events) AS BIGINT) AS n_events, true AS numbered
-        FROM lines GROUP BY ALL"""
+        """SELECT stream_id, frame_id, event_type, "partition", "offset", CAST(n_events AS BIGINT) AS n_events FROM lines"""
     ),
     "quarantined_lines": _plain(
         """SELECT stream_id, frame_id, CASE batch_no % 8 WHEN 5 THEN 'no cursor cursor_token' WHEN 6 THEN 'no cursor partition'

@@ -222,19 +222,11 @@ def line_kinds(spark, sf_dir):
 
 @query
 def lines_from_text_files(spark, sf_dir):
-    """Lines written as newline-delimited files and read back with new numbers."""
+    """Lines written as newline-delimited files and read back, with their numbers in the stream."""
     path = scratch_path(spark, "lines")
     fr.write_lines(_lines(spark, sf_dir), path)
-    lines = env.parse_lines(fr.read_lines(spark, path))
-    stream = F.regexp_extract("file", "stream_id=([^/]+)", 1)
-    per_file = lines.groupBy("file").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("n_events").alias("e"), F.max("frame_id").alias("last")
-    )
-    return per_file.groupBy(stream.alias("stream_id")).agg(
-        F.sum("n").cast("long").alias("n_lines"),
-        F.sum("e").cast("long").alias("n_events"),
-        F.bool_and(F.col("last") == F.col("n") - 1).alias("numbered"),
-    )
+    lines = env.valid_lines(env.parse_lines(fr.read_lines(spark, path)))
+    return lines.select("stream_id", "frame_id", *ETP, "offset", F.col("n_events").cast("long").alias("n_events"))
 
 
 @query

@@ -11,30 +11,37 @@ from tidelog.operators.segments import segmented_scan
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Non-empty lines of newline-delimited files, numbered from 0 within each file.
+    """Non-empty lines of newline-delimited files, numbered from 0.
 
-    Columns: file, frame_id, value. A file may be read in several splits; a split is a
-    segment of the file's line order, so numbering shuffles lines by split, not by file.
+    Columns: file, frame_id, value, and stream_id for the folders of :func:`write_lines`.
+    Those are numbered along each stream, whose files continue each other in the order of
+    their names; other files each for itself. A split of a file is a segment of the order,
+    so numbering shuffles lines by split, not by file.
     """
-    lines = (
-        spark.read.text(path, lineSep="\n")
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("_split"),
-            F.monotonically_increasing_id().alias("_place"),
-            "value",
-        )
-        .filter(F.length("value") > 0)
-    )
-    numbered = segmented_scan(lines, ["file"], ["_place"], F.col("_split"), row_number="_rn")
-    return numbered.select("file", (F.col("_rn") - 1).alias("frame_id"), "value")
+    lines = spark.read.text(path, lineSep="\n")
+    stream = ["stream_id"] if "stream_id" in lines.columns else []
+    lines = lines.select(
+        *[F.col(c).cast("string").alias(c) for c in stream],
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("_split"),
+        F.monotonically_increasing_id().alias("_place"),
+        "value",
+    ).filter(F.length("value") > 0)
+    order = ["file", "_split", "_place"] if stream else ["_split", "_place"]
+    segment = F.struct("file", "_split") if stream else F.col("_split")
+    numbered = segmented_scan(lines, stream or ["file"], order, segment, row_number="_rn")
+    return numbered.select(*stream, "file", (F.col("_rn") - 1).alias("frame_id"), "value")
 
 
 def write_lines(frames: DataFrame, path: str) -> None:
-    """Write the lines of frames, one folder per stream, in order within each file."""
-    frames.sortWithinPartitions("stream_id", "frame_id").select("stream_id", "value").write.partitionBy(
-        "stream_id"
-    ).text(path)
+    """Write the lines of frames, one folder per stream.
+
+    Tasks take ranges of (stream_id, frame_id), so the files of a stream, in the order of
+    their names, hold its lines in order, and :func:`read_lines` gives back their numbers.
+    """
+    frames.repartitionByRange("stream_id", "frame_id").sortWithinPartitions("stream_id", "frame_id").select(
+        "stream_id", "value"
+    ).write.partitionBy("stream_id").text(path)
 
 
 def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -45,11 +52,6 @@ def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | No
     return reader.load(path).filter(F.length("value") > 0)
 
 
-def read_frames(spark: SparkSession, path: str) -> DataFrame:
-    """Frames stored as parquet with their ids and times."""
-    return spark.read.parquet(path)
-
-
 def read_events(
     frames: DataFrame,
     schema: T.StructType | None = None,

@@ -10,13 +10,22 @@ import time
 from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidelog.model import ETP
 from tidelog.operators.commits import coalesce_cursors
 from tidelog.operators.envelope import parse_lines, quarantined_lines, valid_lines
-from tidelog.operators.handlers import DEFAULT_DISPATCH, Handler, cursors_to_commit, dispatch, raise_if_stopped, settle
+from tidelog.operators.handlers import (
+    DEFAULT_DISPATCH,
+    HELD_BACK,
+    Handler,
+    cursors_to_commit,
+    dispatch,
+    raise_if_stopped,
+    settle,
+)
 from tidelog.operators.offsets import stats_report
 
 
@@ -32,13 +41,14 @@ def consume(
     """Run a handler over a stream of frames and record results and commits.
 
     ``frames`` is a stream with stream_id, frame_id, value, started_at, completed_at.
-    Each micro-batch writes ``results``, ``commits`` (the last cursor per partition) and
-    ``bad_lines`` below ``out``, in a folder of its own that a repetition replaces; then
-    it raises if a handler aborted or shut down.
+    Each micro-batch is read and parsed once, into ``lines``, and writes ``results``,
+    ``commits`` (the last cursor per partition) and ``bad_lines`` below ``out``, in a folder
+    of its own that a repetition replaces; then it raises if a handler aborted or shut down.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_lines(batch)
+        parse_lines(batch).write.mode("overwrite").parquet(f"{out}/lines/batch={batch_id}")
+        parsed = batch.sparkSession.read.parquet(f"{out}/lines/batch={batch_id}")
         good = valid_lines(parsed)
         quarantined_lines(parsed).write.mode("overwrite").parquet(f"{out}/bad_lines/batch={batch_id}")
         results = dispatch(good, handler, mode, ordered=ordered)
@@ -59,6 +69,15 @@ def committed(spark: SparkSession, out: str) -> DataFrame:
     return rows.groupBy(*ETP).agg(F.max("offset").alias("committed"))
 
 
+def events_seen(spark: SparkSession, out: str) -> int:
+    """Events of all batches handed to handlers so far: what a stream limit counts."""
+    try:
+        rows = spark.read.option("basePath", f"{out}/results").parquet(f"{out}/results/batch=*")
+    except AnalysisException:  # no micro-batch has ended yet
+        return 0
+    return rows.filter(F.col("action") != HELD_BACK).agg(F.coalesce(F.sum("n_events"), F.lit(0))).first()[0]
+
+
 def distinct_events(events: DataFrame, delay: str, at: str = "received_at") -> DataFrame:
     """Drop events whose eid was seen within ``delay``: opt-in, as it needs a watermark."""
     return events.withWatermark(at, delay).dropDuplicatesWithinWatermark(["eid"])
@@ -76,18 +95,18 @@ def run_with_limits(
 
     Returns ``ended``, ``timeout`` or ``limit``; 0 means no limit. The limit is looked at
     between micro-batches: rate options of the source bound how far it is overshot.
-    ``count`` tells the events so far; without it the query's progress is summed up.
+    ``count`` tells the events so far, as :func:`events_seen` does.
     """
+    if stream_limit and count is None:
+        raise ValueError("a stream limit needs a count of events")
     begun = time.monotonic()
     while not query.awaitTermination(poll_secs):
         if timeout_secs and time.monotonic() - begun > timeout_secs:
             query.stop()
             return "timeout"
-        if stream_limit:
-            seen = count() if count else sum(p["numInputRows"] for p in query.recentProgress)
-            if seen >= stream_limit:
-                query.stop()
-                return "limit"
+        if stream_limit and count() >= stream_limit:
+            query.stop()
+            return "limit"
     return "ended"
 
 
