@@ -85,4 +85,51 @@ ORACLE = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(n.norm) AS text_sha256
         FROM n JOIN g ON n.norm = g.norm
     """,
+    "op5_decontamination": r"""
+        WITH docs AS (
+            SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents
+        ), items AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM benchmark
+        ), wins AS (
+            SELECT DISTINCT item_id, w[i : i + 9] AS win
+            FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)
+        ), sizes AS (SELECT DISTINCT len(win) AS n FROM wins
+        ), places AS (
+            SELECT r, n, i, w[i : i + n - 1] AS win
+            FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, sizes WHERE len(w) >= n)
+        ), found AS (SELECT r, n, i, item_id FROM places JOIN wins ON places.win = wins.win
+        ), hit AS (
+            SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM found) GROUP BY r
+        ), named AS (
+            SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+            FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM found WHERE item_id IS NOT NULL) GROUP BY r
+        )
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM docs LEFT JOIN hit ON docs.r = hit.r LEFT JOIN named ON docs.r = named.r
+    """,
+    "op8_suffix_dedup": r"""
+        WITH docs AS (
+            SELECT doc_id, row_number() OVER () AS r, hex(encode(coalesce(text, ''))) AS h FROM documents
+        ), starts AS (
+            SELECT r, doc_id, i, substr(h, 2 * i + 1, 100) AS s
+            FROM (SELECT r, doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM docs WHERE length(h) >= 100)
+        ), repeated AS (
+            SELECT r, i FROM (SELECT r, i, doc_id, min(doc_id) OVER (PARTITION BY s) AS first FROM starts) WHERE first < doc_id
+        ), runs AS (
+            SELECT r, i, sum(opens) OVER (PARTITION BY r ORDER BY i) AS run FROM (
+                SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 50 THEN 0 ELSE 1 END AS opens FROM repeated)
+        ), spans AS (SELECT r, min(i) AS a, max(i) + 50 AS b FROM runs GROUP BY r, run
+        ), pieces AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS z FROM spans
+        ), cut AS (
+            SELECT d.r, sum(b - a) AS n_removed, count(*) AS n_spans,
+                string_agg(substr(h, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) || substr(max(h), 2 * max(b) + 1) AS kept
+            FROM pieces JOIN docs d ON pieces.r = d.r GROUP BY d.r
+        )
+        SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+            coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+        FROM docs LEFT JOIN cut ON docs.r = cut.r
+    """,
 }
