@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 from collections.abc import Iterable
 from functools import lru_cache
 
@@ -19,7 +20,7 @@ from tidelog.llm.common import id_and_text, map_batches
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 END = "</w>"
 #: Characters for which Python's lower() and split() are the file's normaliser: printable ASCII, line ends, Latin.
-PLAIN = regex.compile("[^\\t\\n\\r -~¡-įĲ-ňŊ-ž]")
+PLAIN = re.compile("[^\\t\\n\\r -~¡-įĲ-ňŊ-ž]")
 #: Chunks remembered by a task; the memory of older ones is dropped by half.
 REMEMBERED = 400_000
 

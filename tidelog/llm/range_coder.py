@@ -17,8 +17,10 @@ import zlib
 
 import numpy as np
 
-#: Ids of a block, ids between two updates of its statistics, lanes coded together at most.
-BLOCK, TURN, LANES = 2048, 128, 4096
+#: Ids of a block, and ids between two updates of its statistics.
+BLOCK, TURN = 2048, 128
+#: Blocks coded together at most: more lanes are faster, fewer take less memory.
+ENCODE_LANES, DECODE_LANES = 2048, 4096
 #: log2 of the slots of the order-1 and order-2 memories of a block.
 SLOT_BITS = 11
 #: Bits of a prediction's weight and of the class frequencies.
@@ -109,15 +111,15 @@ def encode(ids: np.ndarray) -> list[tuple[int, int, bytes]]:
     if len(ids) and int(ids.max()) >= (1 << 16) - 1:
         raise ValueError("ids up to 65,534 are supported")
     out = []
-    for at in range(0, len(ids), BLOCK * LANES):
-        out += _encode_lanes(ids[at : at + BLOCK * LANES].astype(np.int64))
+    for at in range(0, len(ids), BLOCK * ENCODE_LANES):
+        out += _encode_lanes(ids[at : at + BLOCK * ENCODE_LANES])
     return out
 
 
 def _encode_lanes(ids: np.ndarray) -> list[tuple[int, int, bytes]]:
     lanes = -(-len(ids) // BLOCK)
     steps = min(BLOCK, len(ids))
-    padded = np.zeros(lanes * BLOCK, np.int64)
+    padded = np.zeros(lanes * BLOCK, np.uint16)
     padded[: len(ids)] = ids
     table = np.ascontiguousarray(padded.reshape(lanes, BLOCK)[:, :steps].T)
     model = _Model(lanes)
@@ -126,7 +128,7 @@ def _encode_lanes(ids: np.ndarray) -> list[tuple[int, int, bytes]]:
     low, width = np.zeros(lanes, _U), np.full(lanes, 2**63 - 1, _U)
     before = np.zeros((2, lanes), np.int64)
     for t0 in range(0, steps, TURN):
-        turn = table[t0 : t0 + TURN]
+        turn = table[t0 : t0 + TURN].astype(np.int64)
         past = np.concatenate([before, turn])
         before = past[-2:]
         c1, c2 = model.contexts(past[1:-1], past[:-2])
@@ -156,7 +158,8 @@ def _encode_lanes(ids: np.ndarray) -> list[tuple[int, int, bytes]]:
         low, at = _renew(low), at + 1
     for j in range(len(words) - 1, 0, -1):  # carries
         words[j - 1] += words[j] >> _U(32)
-    stream = (words & _U(0xFFFFFFFF)).astype(">u4").T
+    stream = words.astype(np.uint32).astype(">u4").T
+    del words, flat
     raw = ids.astype("<u4")
     return [
         (len(own := raw[i * BLOCK : (i + 1) * BLOCK]), zlib.crc32(own.tobytes()), stream[i, : at[i]].tobytes())
@@ -166,7 +169,7 @@ def _encode_lanes(ids: np.ndarray) -> list[tuple[int, int, bytes]]:
 
 def decode(blocks: list[tuple[int, int, bytes]]) -> np.ndarray:
     """The ids of the blocks, in order. A block whose checksum doesn't fit is an error."""
-    parts = [_decode_lanes(blocks[i : i + LANES]) for i in range(0, len(blocks), LANES)]
+    parts = [_decode_lanes(blocks[i : i + DECODE_LANES]) for i in range(0, len(blocks), DECODE_LANES)]
     return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
 
 
@@ -185,7 +188,7 @@ def _decode_lanes(blocks: list[tuple[int, int, bytes]]) -> np.ndarray:
     model = _Model(lanes)
     width = np.full(lanes, 2**63 - 1, _U)
     result = np.zeros((steps, lanes), np.int64)
-    before = np.zeros((2, lanes), np.int64)
+    one, two = np.zeros((2, lanes), np.int64)
     logs, sizes = LOGS.astype(_U), (_U(1) << LOGS.astype(_U)) - _U(1)
     last = _U((1 << CLASS_BITS) - 1)
     by_value, by_class, by_state = (model.row << CLASS_BITS, model.row * model.n_classes, model.row * _STATES)
@@ -193,29 +196,27 @@ def _decode_lanes(blocks: list[tuple[int, int, bytes]]) -> np.ndarray:
         inverse, n = model.inverse(), min(TURN, steps - t0)
         c1s, c2s, states, hits = [], [], [], []
         for k in range(n):
-            c1, c2 = model.contexts(before[1], before[0])
+            c1, c2 = model.contexts(one, two)
             guess, state = model.predict(c1, c2)
             bound = (width >> _U(WEIGHT_BITS)) * model.weight[by_state + state]
             hit = code < bound
             rest = code - bound
             unit = (width - bound) >> _U(CLASS_BITS)
-            kind = inverse[by_value + np.minimum(rest // unit, last).astype(np.int64)].astype(np.int64)
+            kind = inverse[by_value + np.minimum(rest // unit, last).view(np.int64)]
             where = by_class + kind
             rest -= unit * model.cum[where]
             part = unit * model.freq[where] >> logs[kind]
             off = np.minimum(rest // part, sizes[kind])
             code = np.where(hit, code, rest - part * off)
             width = np.where(hit, bound, part)
-            ids = np.where(hit, guess.astype(np.int64) - 1, FIRST[kind] + off.astype(np.int64))
             # Lanes that have ended may run on; what they make up is cut off below.
-            ids &= 0xFFFF
+            one, two = np.where(hit, guess.astype(np.int64) - 1, FIRST[kind] + off.view(np.int64)) & 0xFFFF, one
             full = np.flatnonzero(width < _LEAST)
             if len(full):
                 code[full] = (code[full] << _U(32)) | more[np.minimum(at[full], end[full])]
                 width[full] <<= _U(32)
                 at[full] += 1
-            result[t0 + k] = ids
-            before = np.stack([before[1], ids])
+            result[t0 + k] = one
             c1s.append(c1)
             c2s.append(c2)
             states.append(state)

@@ -16,13 +16,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidelog.llm import range_coder
-from tidelog.llm.bpe import PLAIN, Memory
+from tidelog.llm.bpe import PLAIN
 from tidelog.llm.common import Rows, id_and_text, map_batches
 from tidelog.session import scratch_path
 
 #: Ids after which a group of blocks is closed, at the next end of a document.
-GROUP = range_coder.BLOCK * range_coder.LANES
+GROUP = range_coder.BLOCK * range_coder.DECODE_LANES
 END_ID = 2
+#: Words that a task remembers, about; twice as many just after.
+REMEMBERED = 250_000
 #: A blank before white space or the end: there the words of a text can't be taken apart at blanks.
 _LOOSE_BLANK = re.compile(r" (?:\s|\Z)")
 
@@ -34,6 +36,30 @@ GROUPS = (
 _BLOCKS = pa.list_(pa.struct([("n", pa.int32()), ("crc32", pa.int64()), ("code", pa.binary())]))
 
 
+class _New:
+    """Stands for the ids of a word that is yet to be asked for."""
+
+    __slots__ = ("ids",)
+
+
+class _Known(dict):
+    """Ids of the words met of late. A new word gets a place for its ids and waits for them; the words of the
+    time before, of which many come back, are taken over when met again."""
+
+    def __init__(self, older: dict[str, bytes] | None = None):
+        super().__init__()
+        self.older: dict[str, bytes] = dict(older or {})
+        self.waiting: dict[str, _New] = {}
+
+    def __missing__(self, word: str) -> bytes | _New:
+        if (found := self.older.get(word)) is not None:
+            self[word] = found
+            return found
+        if (cell := self.waiting.get(word)) is None:
+            cell = self.waiting[word] = _New()
+        return cell
+
+
 class ByteBpe:
     """The library's encoding, asked once for each new word (a blank and what follows it up to the next)."""
 
@@ -45,49 +71,69 @@ class ByteBpe:
         self.library.no_truncation()
         self.library.no_padding()
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        if self.library.get_vocab_size() > (1 << 16) - 1:
+        size = self.library.get_vocab_size()
+        if size > (1 << 16) - 1:
             raise ValueError("ids of 16 bits are supported")
-        self.first, self.later = Memory(), Memory()
+        #: Whether a token begins with a blank (which byte-level files write as U+0120).
+        self.opens = np.array([(self.library.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
+        self.known = _Known()
+        self.marks = {c: self._ask([c])[0].tobytes() for c in ".,"}
 
-    def _ask(self, texts: list[str]) -> list[bytes]:
+    def _ask(self, texts: list[str]) -> list[np.ndarray]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, np.uint16).tobytes() for e in found]
+        return [np.array(e.ids, np.uint16) for e in found]
+
+    def _ask_words(self, words: list[str]) -> list[bytes]:
+        """The ids of words without blanks, each after a blank: asked as one text, cut where a token has the blank."""
+        if not words:
+            return []
+        ids = self._ask([" " + " ".join(words)])[0]
+        at = np.flatnonzero(self.opens[ids])
+        if len(at) != len(words) or at[0]:
+            return [x.tobytes() for x in self._ask([" " + w for w in words])]
+        raw, ends = ids.tobytes(), (2 * np.append(at, len(ids))).tolist()
+        return [raw[a:b] for a, b in zip(ends, ends[1:], strict=False)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as 16-bit numbers."""
         chunks: list[list[str] | None] = []
-        whole: list[str] = []
-        new: tuple[dict[str, None], dict[str, None]] = ({}, {})
+        # A text's beginning has no blank before it, so it is asked for by itself.
+        alone: list[str] = []
+        get = self.known.__getitem__
         for text in texts:
             if PLAIN.search(text) or _LOOSE_BLANK.search(text) or any(a in text for a in self.added):
                 chunks.append(None)
-                whole.append(text)
-                continue
-            parts = text.split(" ")
-            chunks.append(parts)
-            if self.first.get(parts[0]) is None:
-                new[0][parts[0]] = None
-            for c in set(parts[1:]):
-                if c not in new[1] and self.later.get(c) is None:
-                    new[1][c] = None
-        asked = iter(self._ask([*whole, *new[0], *(" " + c for c in new[1])]))
-        odd = iter([next(asked) for _ in whole])
-        own = [{c: next(asked) for c in n} for n in new]
+                alone.append(text)
+            else:
+                head, *parts = text.split(" ")
+                chunks.append(list(map(get, parts)))
+                alone.append(head)
+        self._learn()
         found = []
-        for parts in chunks:
+        for parts, head in zip(chunks, self._ask(alone), strict=True):
             if parts is None:
-                raw = next(odd)
+                found.append(head)
             else:
-                get, old = own[1].get, self.later.get
-                head = own[0].get(parts[0])
-                head = self.first.get(parts[0]) if head is None else head
-                raw = b"".join([head, *[got if (got := get(c)) is not None else old(c) for c in parts[1:]]])
-            found.append(np.frombuffer(raw, np.uint16))
-        for memory, got in zip((self.first, self.later), own, strict=True):
-            memory.young.update(got)
-            memory.turn()
+                raw = [p if p.__class__ is bytes else p.ids for p in parts]
+                found.append(np.frombuffer(b"".join([head.tobytes(), *raw]), np.uint16))
+        if len(self.known) > REMEMBERED:
+            self.known = _Known(self.known)
         return found
 
+    def _learn(self) -> None:
+        """Ask for the new words. A stop or comma after a letter is a token of its own, so it is cut off."""
+        known, waiting = self.known, self.known.waiting
+        ended = {w for w in waiting if w[-1] in ".," and w[-2:-1].isalpha()}
+        bare = {w[:-1] for w in ended}.difference(known)
+        ask = [*(w for w in waiting if w not in ended), *bare]
+        answers = dict(zip(ask, self._ask_words(ask), strict=True))
+        known.update(answers)
+        for w in ended:
+            known[w] = answers[w] = known[w[:-1]] + self.marks[w[-1]]
+        for w, cell in waiting.items():
+            cell.ids = answers[w]
+        waiting.clear()
+
 
 @lru_cache(maxsize=2)
 def byte_bpe(path: str) -> ByteBpe:
