@@ -12,6 +12,9 @@ from tidelog.session import stored
 
 Rows = Iterator[pa.RecordBatch]
 
+#: Column of the row key in :func:`keyed` tables.
+ROW = "__row"
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -41,6 +44,16 @@ def keep_ids(docs: DataFrame, kept: DataFrame) -> DataFrame:
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept_id"]), "left_semi")
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key of each row, written to the shared folder, so that the keys stay the same."""
+    return stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "keyed")
+
+
+def keep_rows(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of a :func:`keyed` table whose key is in ``kept`` (one column of keys), without the key."""
+    return rows.join(kept.toDF(ROW), ROW, "left_semi").drop(ROW)
+
+
 def components(links: DataFrame, name: str = "links") -> DataFrame:
     """``(node, root)`` for every node of the links ``(a, b)``; the root is the smallest node of its component.
 
