@@ -51,7 +51,8 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def keep_rows(rows: DataFrame, kept: DataFrame) -> DataFrame:
     """The rows of a :func:`keyed` table whose key is in ``kept`` (one column of keys), without the key."""
-    return rows.join(kept.toDF(ROW), ROW, "left_semi").drop(ROW)
+    # A short stored list is known to be short, so the rows stay where they are.
+    return rows.join(stored(kept.toDF(ROW), "kept"), ROW, "left_semi").drop(ROW)
 
 
 def components(links: DataFrame, name: str = "links") -> DataFrame:
