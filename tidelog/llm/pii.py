@@ -78,7 +78,7 @@ def base_spans(text: str) -> list[Span]:
     """The base kinds, leftmost and not overlapping within a kind."""
     found: list[Span] = [(a, 0, b) for a, b in _emails(text)] if "@" in text else []
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(p) <= 3 and int(p or "0") <= 255 for p in (p.lstrip("0") for p in m[0].split("."))):
             found.append((m.start(), 1, m.end()))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 14 and 14 <= len(d := _NOT_DIGIT.sub("", m[0])) <= 19 and luhn(d):
