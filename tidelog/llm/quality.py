@@ -137,7 +137,8 @@ def held_out(doc_id: str, parts: int, part: int):
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, label_col: str = "quality", sample_rows: int = SAMPLE_ROWS) -> FactorisationMachine:
     """Fit on at most ``sample_rows`` labelled rows that aren't held out, chosen by a hash of the id.
 
-    The driver sees the features of the sample only, which the two bounds limit: rows, and buckets per row.
+    Of a repeated id one row is taken, by a hash of its text. The driver sees the features of the sample only,
+    which the two bounds limit: rows, and buckets per row.
     Without labels of both kinds every weight stays near zero and scores stay near one half.
     """
     chosen = (
@@ -158,15 +159,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         for doc_id, text, n_chars in zip(*columns, strict=True):
             if doc_id in known.value:
                 index, value = features(text, n_chars)
-                out.append((doc_id, zlib.crc32(text.encode("utf-8", "surrogatepass")), index.tobytes(), value.tobytes()))
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], ["doc_id", "crc", "i", "x"])
+                out.append((doc_id, index.tobytes(), value.tobytes()))
+        kinds = (pa.int64(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], ["doc_id", "i", "x"])
 
     ids = spark.createDataFrame([(r["doc_id"],) for r in chosen], "doc_id long")
     # The ids are bounded by sample_rows.
     texts = _inputs(docs, id_col, text_col).join(F.broadcast(ids), "doc_id", "left_semi")
-    got = map_batches(texts.select("doc_id", "text", "n_chars"), step, "doc_id long, crc long, i binary, x binary").collect()
-    got = {r["doc_id"]: r for r in sorted(got, key=lambda r: (r["doc_id"], r["crc"]))}.values()
+    one = F.max(F.struct(F.crc32(F.col("text").cast("binary")).alias("crc"), "text", "n_chars")).alias("one")
+    texts = texts.groupBy("doc_id").agg(one).select("doc_id", "one.text", "one.n_chars")
+    got = map_batches(texts.select("doc_id", "text", "n_chars"), step, "doc_id long, i binary, x binary").collect()
+    got = sorted(got, key=lambda r: r["doc_id"])
     rows = [(np.frombuffer(r["i"], np.int32), np.frombuffer(r["x"], np.float32)) for r in got]
     return fit(rows, [known.value[r["doc_id"]] for r in got])
 

@@ -185,7 +185,8 @@ def calibrate(evidence: Iterable[tuple[tuple[float, float], int]]) -> tuple[floa
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> Toxicity:
     """Learn insulting stems and the calibration from at most ``sample_rows`` labelled rows that aren't held out.
 
-    Without toxic rows there are no stems, and all scores are low.
+    Of a repeated id one row is taken, by a hash of its text. Without toxic rows there are no stems, and all
+    scores are low.
     """
     chosen = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
@@ -196,7 +197,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         .limit(sample_rows)
     )
     # Bounded by sample_rows.
-    sample = stored(id_and_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").select("text", "label"), "toxic-sample")
+    labelled = id_and_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")
+    one = F.max(F.struct(F.crc32(F.col("text").cast("binary")).alias("crc"), "text", "label")).alias("one")
+    sample = stored(labelled.groupBy("doc_id").agg(one).select("one.text", "one.label"), "toxic-sample")
     counted = stored(_stem_contexts(sample), "stems")
     sums = counted.where(F.col("stem").endswith("$")).agg(F.sum("toxic"), F.sum("clean")).first()
     all_toxic, all_clean = (float(s or 0) + 1 for s in sums)
