@@ -73,8 +73,9 @@ def build_index(rows: DataFrame, bucket_entries: int = BUCKET_ENTRIES) -> HashIn
     """Index the distinct texts of ``rows`` (doc_id, text, key).
 
     Copies are folded before the shuffle by an aggregate on key and text, which compares whole texts; a text
-    that fills a third of the table reaches its reducer as one row per map task. The index is then dealt by
-    key range: an owner task holds whole buckets, chains the texts that share a key, and writes its file.
+    that fills a third of the table reaches its reducer as one row per map task. That grouping
+    decides, and a window over the key numbers the texts that share one. The finished entries are then dealt by
+    key range, so that the files hold whole buckets; results don't depend on it.
     """
     texts = rows.groupBy("key", "text").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("n_rows"))
     sha = F.sha2("text", 256)
