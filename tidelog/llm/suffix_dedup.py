@@ -1,4 +1,4 @@
-"""Removal of repeated passages by longest previous factors, in suffix order."""
+"""Removal of passages that occur in a smaller document, told in suffix order."""
 
 from __future__ import annotations
 
@@ -259,9 +259,8 @@ def suffix_order(data: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.nd
 def previous_factors(ids: np.ndarray, breaks: np.ndarray) -> np.ndarray:
     """For suffixes in suffix order: whether a smaller id has a factor of the full size in common.
 
-    The longest previous factor of a suffix is met at the nearest smaller id before it or the nearest after it
-    in suffix order. It has the full size if that neighbour lies in the same stretch between two breaks, so
-    running minima inside the stretch, from both sides, answer for the previous and the next smaller one.
+    Suffixes of one stretch between two breaks agree in their first ``size`` bytes. Running minima inside the
+    stretch, from both sides, tell whether it has a smaller id. The lengths of the factors aren't computed.
     """
     if not len(ids):
         return np.zeros(0, bool)
@@ -339,8 +338,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     All passages of all documents take part, but only those come together that can be equal. A passage has an
     anchor, the gram of least hash inside it. The documents, dealt into groups by a hash, tell buckets of keys
     their anchors; the buckets answer which are shared; the runs of passages around shared anchors go to the
-    buckets with their bytes, where they are brought into suffix order and judged by their longest previous
-    factors; the spans found go back to the groups. The text itself is shuffled once, and that exchange is read three times.
+    buckets with their bytes, where they are brought into suffix order and judged by whether a smaller
+    document has the same ``min_bytes`` bytes; the spans found go back to the groups. The text itself is shuffled once, and that exchange is read three times.
     """
     if min_bytes < 8:
         raise ValueError("min_bytes must be 8 or more")
