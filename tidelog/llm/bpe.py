@@ -14,15 +14,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tidelog.llm.common import id_and_text, map_batches
+from tidelog.llm.common import Rows, id_and_text
 
 #: Fixed pattern of the vocabulary file: what is a word.
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 END = "</w>"
 #: Characters for which Python's lower() and split() are the file's normaliser: printable ASCII, line ends, Latin.
 PLAIN = re.compile("[^\\t\\n\\r -~¡-įĲ-ňŊ-ž]")
-#: Chunks remembered by a task; the memory of older ones is dropped by half.
-REMEMBERED = 400_000
+#: Chunks and words remembered by a task, none of them longer than so many characters; older ones are dropped by half.
+REMEMBERED, REMEMBERED_CHARS = 400_000, 200
 
 
 def byte_chars() -> list[str]:
@@ -98,6 +98,9 @@ class WordBpe:
         self.split = regex.compile(PIECE)
         self.added_at = regex.compile("|".join(map(regex.escape, self.added)) or r"(?!)")
         self.chars = dict(enumerate(byte_chars()))
+        self.forget()
+
+    def forget(self) -> None:
         self.words, self.chunks = Memory(), Memory()
 
     def _pair_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -207,7 +210,8 @@ class WordBpe:
         own = {}
         for w, ids in zip(new, self.encode_words(new)[0], strict=True):
             own[w] = (" ".join(map(str, ids)), " ".join([self.names[i] for i in ids]), len(ids))
-            self.words.add(w, own[w])
+            if len(w) <= REMEMBERED_CHARS:
+                self.words.add(w, own[w])
         found = {}
         for chunk, pieces in pieces_of.items():
             each = [own.get(w) or self.words.get(w) for w in pieces]
@@ -253,7 +257,7 @@ class WordBpe:
             each = [e for e in each if e[2]]
             ids = " ".join([e[0] for e in each])
             answers.append((ids.count(" ") + 1 if ids else 0, ids, " ".join([e[1] for e in each])))
-        known.young.update(new)
+        known.young.update((c, e) for c, e in new.items() if len(c) <= REMEMBERED_CHARS)
         known.turn()
         self.words.turn()
         return answers
@@ -295,4 +299,12 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     kinds = {"doc_id": "long", "n_tokens": "long", "ids_sha256": "string", "ids": "string", "decoded_sha256": "string", "decoded": "string"}
     names = [c for c in kinds if keep_text or c not in ("ids", "decoded")]
-    return map_batches(id_and_text(docs, id_col, text_col), step, ", ".join(f"{c} {kinds[c]}" for c in names))
+
+    def run(batches: Rows) -> Rows:
+        try:
+            yield from map(step, batches)
+        finally:
+            # Workers are used again by other tasks: what this one remembered goes with it.
+            word_bpe(path).forget()
+
+    return id_and_text(docs, id_col, text_col).mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in names))
