@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, decontaminate, exact_dedup, near_copies, quality
+from tidelog.llm import bpe, decontaminate, exact_dedup, quality, simhash
 from tidelog.llm.common import ROW, keep_rows, keyed
 from tidelog.llm.queries import VOCABULARIES, benchmark, labels
 from tidelog.session import scratch_path
@@ -18,19 +18,28 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return keep_rows(rows, scored.where("predicted = 1").select("doc_id"))
 
 
+def first_of_each(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows whose group (a row key in each of ``groups``'s rows) has none of smaller doc_id, of equal ids the first."""
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", ROW)
+    best = groups.join(rows.select(ROW, "doc_id"), ROW).groupBy("group").agg(F.min(order).alias("best"))
+    return keep_rows(rows, best.select(f"best.{ROW}"))
+
+
 def first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts: that of the smallest doc_id, of equal ids the first row."""
     rows = keyed(docs)
     groups = exact_dedup.exact_duplicates(rows, ROW).select(F.col("doc_id").alias(ROW), F.col("keep_id").alias("group"))
-    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", ROW)
-    best = groups.join(rows.select(ROW, "doc_id"), ROW).groupBy("group").agg(F.min(order).alias("best"))
-    return keep_rows(rows, best.select(f"best.{ROW}"))
+    return first_of_each(rows, groups)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies: that of the smallest doc_id, of equal ids the first row."""
+    """One row of each group that SimHash links: that of the smallest doc_id, of equal ids the first row.
+
+    Texts without words, null or empty, have one fingerprint and so are one group.
+    """
     rows = keyed(docs)
-    return keep_rows(rows, near_copies.first_rows(rows))
+    linked = simhash.near_duplicates(rows, ROW)
+    return first_of_each(rows, linked.select(F.col("doc_id").alias(ROW), F.col("component_id").alias("group")))
 
 
 def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
