@@ -1,9 +1,12 @@
 """Plain versions of the operators' contracts, for small tables."""
 
+import functools
 import hashlib
 import itertools
 import re
+import zlib
 
+import numpy as np
 from xxhash import xxh64_intdigest
 
 BLANKS = re.compile("[\x20\x09-\x0d]+")
@@ -93,7 +96,6 @@ def bpe(rows, path):
 
 def token_files(rows, path):
     import struct
-    import zlib
 
     from tokenizers import Tokenizer
 
@@ -161,3 +163,53 @@ def repeats(rows, size=50):
         spans = len([x for x in bytes(gone).split(b"\0") if x])
         out.append((i, len(d), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
     return sorted(out, key=repr)
+
+
+def runs(words):
+    """(start, length, period) of every stretch of four periods and six words at least, by comparing at all distances."""
+    named, found = np.array([*map({w: k for k, w in enumerate(dict.fromkeys(words))}.get, words)]), []
+    for q in range(1, len(words) // 4 + 1):
+        edges = np.flatnonzero(np.diff(np.concatenate(([0], named[:-q] == named[q:], [0])).astype(int)))
+        for i, j in zip(edges[::2].tolist(), (edges[1::2] + q).tolist(), strict=True):
+            if j - i >= max(6, 4 * q) and not any(q % d == 0 and words[i : i + q] == words[i : i + d] * (q // d) for d in range(1, q)):
+                found.append((i, j - i, q))
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+def periodic(rows):
+    out = []
+    for i, text in rows:
+        words, n = (text or "").encode().split(), len((text or "").encode().split())
+        if i is not None and n:
+            h = zlib.crc32(str(i).encode())
+            if h % 10 == 0:
+                a = h // 10 % n
+                p = 1 + (n - a) // (3 + h // 10 % 8)
+                words = [words[k] if k < a else words[a + (k - a) % p] for k in range(n)]
+        found = runs(words)
+        gone = {k for s, length, q in found for k in range(s + q, s + length)}
+        best = max(found, key=lambda r: (r[1], -r[0], -r[2]), default=None)
+        largest = (None,) * 4 if best is None else (*best, 1000 * best[1] // best[2])
+        kept = b" ".join(w for k, w in enumerate(words) if k not in gone)
+        out.append((i, len(found), *largest, sha("".join(f"{s},{n},{q}\n" for s, n, q in found)), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+@functools.cache
+def ranks(path):
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+
+    with open(path, "rb") as file:
+        table = {base64.b64decode(t): int(r) for t, r in map(bytes.split, file)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+
+
+def byte_bpe(rows, path):
+    library, out = ranks(path), []
+    for i, text in rows:
+        ids = library.encode_ordinary(text or "")
+        out.append((i, len(ids), sha(",".join(map(str, ids))), hashlib.sha256(library.decode_bytes(ids)).hexdigest()))
+    return sorted(out, key=repr)

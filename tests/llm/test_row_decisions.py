@@ -5,6 +5,7 @@ import pytest
 import corpus_pipeline
 from tests.llm.test_contracts import frame
 from tidelog.llm import quality
+from tidelog.llm.common import ROW
 
 SF = "/root/testdata/sf0.001"
 LEAK = "some words before and then the whole of {} and a few words after it"
@@ -39,3 +40,16 @@ def test_rejected_rows_go(spark, monkeypatch, id_):
     kept = corpus_pipeline.good_documents(spark, spark.createDataFrame([{**r.asDict(), "doc_id": id_} for r in rows], docs.schema), SF)
     assert 0 < len(good) < len(rows)
     assert texts(kept) == sorted(((id_, r["text"]) for r in rows if r["doc_id"] in good), key=repr)
+
+
+def test_a_column_of_the_name_of_the_row_key_stays(spark):
+    docs = frame(spark, [(3, CLEAN), (2, CLEAN), (4, None), (5, "")]).withColumnRenamed("lang", ROW)
+    kept = corpus_pipeline.first_copies(spark, docs, None)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.select("doc_id", ROW).collect())) == [(2, "en"), (4, "en")]
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_empty_table(spark, name, stage):
+    docs = frame(spark, [])
+    got = stage(spark, docs, SF)
+    assert got.collect() == [] and (name == "bpe" or got.columns == docs.columns)

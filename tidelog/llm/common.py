@@ -7,13 +7,14 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelog.session import stored
 
 Rows = Iterator[pa.RecordBatch]
 
-#: Column of the row key in :func:`keyed` tables.
-ROW = "__row"
+#: Column of the row key in :func:`keyed` tables, and where a column of that name waits meanwhile.
+ROW, _HELD = "__row", "__row_of_table"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +28,7 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def map_batches(rows: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table], schema: str) -> DataFrame:
+def map_batches(rows: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table], schema: str | T.StructType) -> DataFrame:
     """``step`` on every Arrow batch where it lies; no shuffle."""
 
     def run(batches: Rows) -> Rows:
@@ -38,21 +39,15 @@ def map_batches(rows: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch
     return rows.mapInArrow(run, schema)
 
 
-def keep_ids(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, whose ``doc_id`` is in ``kept`` (one column of ids; null matches null)."""
-    kept = kept.toDF("__kept_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept_id"]), "left_semi")
-
-
 def keyed(docs: DataFrame) -> DataFrame:
     """``docs`` with a key of each row, written to the shared folder, so that the keys stay the same."""
-    return stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "keyed")
+    return stored(docs.withColumnRenamed(ROW, _HELD).withColumn(ROW, F.monotonically_increasing_id()), "keyed")
 
 
-def keep_rows(rows: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of a :func:`keyed` table whose key is in ``kept`` (one column of keys), without the key."""
+def without_rows(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows of a :func:`keyed` table whose key isn't in ``dropped`` (one column of keys), without the key."""
     # A short stored list is known to be short, so the rows stay where they are.
-    return rows.join(stored(kept.toDF(ROW), "kept"), ROW, "left_semi").drop(ROW)
+    return rows.join(stored(dropped.toDF(ROW), "dropped"), ROW, "left_anti").drop(ROW).withColumnRenamed(_HELD, ROW)
 
 
 def components(links: DataFrame, name: str = "links") -> DataFrame:

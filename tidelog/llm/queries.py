@@ -4,7 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import bpe, decontaminate, exact_dedup, pii, quality, secret_scan, simhash, suffix_dedup, token_files, toxicity
+from tidelog.llm import (
+    bpe,
+    byte_bpe,
+    decontaminate,
+    exact_dedup,
+    periodic_runs,
+    pii,
+    quality,
+    secret_scan,
+    simhash,
+    suffix_dedup,
+    token_files,
+    toxicity,
+)
 from tidelog.llm.common import documents
 
 #: Folder of the vocabulary files on every machine.
@@ -61,6 +74,14 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(documents(spark, sf_dir))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.find(documents(spark, sf_dir), prepare=periodic_runs.planted_words, keep_text=False)
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.encode(documents(spark, sf_dir), f"{VOCABULARIES}/byte_bpe_multi_50k.tiktoken", keep_text=False)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -74,6 +95,8 @@ QUERIES = {
         op8_suffix_dedup,
         op9_token_files,
         op10_pii,
+        op11_periodic_runs,
+        op12_byte_bpe,
     )
 }
 
