@@ -9,6 +9,7 @@ from tidelog.llm import (
     byte_bpe,
     decontaminate,
     exact_dedup,
+    filter_audit,
     periodic_runs,
     pii,
     quality,
@@ -82,6 +83,10 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode(documents(spark, sf_dir), f"{VOCABULARIES}/byte_bpe_multi_50k.tiktoken", keep_text=False)
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(spark, f"{sf_dir}/documents.parquet", labels(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -97,6 +102,7 @@ QUERIES = {
         op10_pii,
         op11_periodic_runs,
         op12_byte_bpe,
+        op13_filter_audit,
     )
 }
 
@@ -155,4 +161,43 @@ ORACLE = {
             coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
         FROM docs LEFT JOIN cut ON docs.r = cut.r
     """,
+    "op13_filter_audit": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents
+        ), w AS (
+            SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, coalesce(doc_id, 9223372036854775807) AS place FROM d
+        ), marks AS (
+            SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+        ), masks AS (
+            SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                (len(ws) < 200)::INT + 2 * (100 * len(list_distinct(ws)) < 50 * len(ws))::INT
+                + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t))::INT
+                + 8 * regexp_matches(t, '[#$%&*|]')::INT
+                + 16 * (min(place) OVER (PARTITION BY t) < place)::INT AS mask
+            FROM w LEFT JOIN marks ON w.doc_id = marks.doc_id
+        ), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS bit
+        ), orders AS (
+            SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+            FROM letters a, letters b, letters c, letters d, letters e
+            WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+        ), steps AS (
+            SELECT filter_order, step, bits[step] AS own, coalesce(list_sum(bits[1 : step - 1]), 0)::INT AS before
+            FROM (SELECT filter_order, bits, unnest([1, 2, 3, 4, 5]) AS step FROM orders)
+        ), counted AS (
+            SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic
+            FROM masks GROUP BY part, mask
+        ), each AS (
+            SELECT part, filter_order, step, own,
+                coalesce(sum(n) FILTER (mask & (before + own) = 0), 0)::BIGINT AS kept,
+                coalesce(sum(n) FILTER (mask & before = 0 AND mask & own > 0), 0)::BIGINT AS removed,
+                coalesce(sum(n) FILTER (mask & before > 0 AND mask & own > 0), 0)::BIGINT AS redundant,
+                coalesce(sum(n) FILTER (mask = own), 0)::BIGINT AS unique_fails,
+                coalesce(sum(n_good) FILTER (mask & before = 0 AND mask & own > 0), 0)::BIGINT AS good_lost,
+                coalesce(sum(n_toxic) FILTER (mask & before = 0 AND mask & own > 0), 0)::BIGINT AS toxic_lost
+            FROM counted, steps GROUP BY part, filter_order, step, own
+        )
+        SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+            (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+        FROM each
+    """,
 }
