@@ -60,7 +60,7 @@ if __name__ == "__main__":
         # Defaults are taken over when the modules below are imported.
         from tidelog.operators import joins, segments
 
-        segments.SEGMENT_ROWS = segments.CARRY_ROWS = int(sys.argv.pop(1).split("=")[1])
+        segments.SEGMENT_ROWS = segments.CARRY_ROWS = segments.CUT_ROWS = int(sys.argv.pop(1).split("=")[1])
         joins.BROADCAST_ROWS = 5
     import __spark_entry__ as entry
     from tidelog.session import local_session

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from tidelog.operators.offsets import number_rows
-from tidelog.operators.segments import carry_scan, order_segment, position_segment, segmented_scan
+from tidelog.operators.segments import carry_scan, chained_cuts, position_segment, ranged, segmented_scan
 from tidelog.operators.sequence import activity_intervals, batches_by_timespan, order_inversions
 from tidelog.plans import tables as tb
 
@@ -20,15 +20,14 @@ def skewed(spark, n=2000, seed=1):
     return data, spark.createDataFrame(data, "k string, t int, id int, v int")
 
 
-@pytest.mark.parametrize("segment_rows", [37, 400, 10_000])
-def test_running_columns_do_not_depend_on_segments(spark, segment_rows):
+@pytest.mark.parametrize("segments", [60, 5, 1, None])
+def test_running_columns_do_not_depend_on_segments(spark, segments):
     data, df = skewed(spark)
-    segment = order_segment(df, ["t", "id"], segment_rows)
     got = segmented_scan(
         df,
         ["k"],
         ["t", "id"],
-        segment,
+        segments,
         row_number="rn",
         running_sum={"s": F.col("v")},
         running_max={"m": F.col("v")},
@@ -48,14 +47,29 @@ def test_running_columns_do_not_depend_on_segments(spark, segment_rows):
 
 def test_segments_are_bounded_under_skew(spark):
     _, df = skewed(spark, 4000)
-    sizes = df.groupBy("k", order_segment(df, ["t", "id"], 200).alias("s")).count().agg(F.max("count")).first()[0]
-    # Cuts come from a sample, so segments are about, not exactly, as big as asked.
-    assert sizes <= 500
+    sizes = ranged(df, ["k", "t", "id"], 20).groupBy("k", "_segment").count().agg(F.max("count")).first()[0]
+    # Bounds come from a sample, so segments are about, not exactly, of a size.
+    assert sizes <= 600
+
+
+def test_input_is_evaluated_once(spark):
+    """One scan of the source in the plan, and no cut points in it."""
+    _, df = skewed(spark)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = df.mapInArrow(counted, df.schema)
+    segmented_scan(rows, ["k"], ["id"], position_segment("id", 100), row_number="rn").collect()
+    assert seen.value == 2000
 
 
 def test_order_segment_on_times(spark):
     df = spark.createDataFrame([(at(i // 3), i) for i in range(300)], "t timestamp, id int")
-    numbered = number_rows(df.withColumn("k", F.lit(1)), ["k"], ["t", "id"], "n", segment_rows=20)
+    numbered = number_rows(df.withColumn("k", F.lit(1)), ["k"], ["t", "id"], "n", segments=15)
     assert numbered.filter(F.col("n") != F.col("id")).count() == 0
 
 
@@ -90,9 +104,9 @@ def test_carry_scan_is_the_sequential_rule(spark, limit):
 
 
 def test_log_and_frames_do_not_depend_on_segments(spark):
-    whole, cut = tb.log(spark, SF), tb.log(spark, SF, segment_rows=60)
+    whole, cut = tb.log(spark, SF), tb.log(spark, SF, segments=17)
     assert rows(whole) == rows(cut)
-    assert rows(tb.frames(whole)) == rows(tb.frames(cut, segment_rows=9))
+    assert rows(tb.frames(whole)) == rows(tb.frames(cut, segments=11))
 
 
 def test_sequence_operators_do_not_depend_on_segments(spark):
@@ -100,17 +114,17 @@ def test_sequence_operators_do_not_depend_on_segments(spark):
     for run in (
         lambda n: activity_intervals(log, 50_000, segment_rows=n),
         lambda n: batches_by_timespan(log, 200_000, segment_rows=n),
-        lambda n: order_inversions(log, ["key"], segment_rows=n),
+        lambda n: order_inversions(log, ["key"], segment_rows=n, segments=7 if n == 4 else None),
     ):
         assert rows(run(1_000_000)) == rows(run(4))
 
 
-@pytest.mark.parametrize("segment_rows", [5, 1_000_000])
-def test_null_keys_are_a_key(spark, segment_rows):
+@pytest.mark.parametrize("segments", [24, None])
+def test_null_keys_are_a_key(spark, segments):
     rnd = random.Random(4)
     data = [(rnd.choice([None, None, "a"]), None if i == 3 else i, i) for i in range(120)]
     df = spark.createDataFrame(data, "k string, t int, id int")
-    got = {(r["k"], r["id"]): r["n"] for r in number_rows(df, ["k"], ["t", "id"], "n", segment_rows=segment_rows).collect()}
+    got = {(r["k"], r["id"]): r["n"] for r in number_rows(df, ["k"], ["t", "id"], "n", segments=segments).collect()}
     for key in (None, "a"):
         own = sorted((d for d in data if d[0] == key), key=lambda d: (d[1] is not None, d[1] or 0, d[2]))
         assert [got[key, d[2]] for d in own] == list(range(len(own)))
@@ -138,3 +152,40 @@ def test_null_partitions_in_sequence_operators(spark, segment_rows):
 def test_position_segment(spark):
     df = spark.createDataFrame([(-1,), (0,), (9,), (10,)], "x long")
     assert [r[0] for r in df.select(position_segment("x", 10)).collect()] == [-1, 0, 0, 1]
+
+
+@pytest.mark.parametrize("through", [False, True])
+@pytest.mark.parametrize("segment_rows", [3, 16, 100_000])
+def test_chained_cuts_follow_the_pointers(spark, through, segment_rows):
+    rnd = random.Random(segment_rows)
+    data = []
+    for key, n in (("hot", 300), (None, 40), ("one", 1), ("slow", 25)):
+        level, least = 0, []
+        for i in range(n):
+            level += rnd.choice([0, 0, 1, 2, 30]) if key != "slow" else 100
+            least.append((key, 3 * i, level, level + rnd.choice([0, 1, 4, 25]) + (not through)))
+        # Limits must not fall along the rows.
+        for i in range(n - 2, -1, -1):
+            least[i] = (*least[i][:3], min(least[i][3], least[i + 1][3]))
+        data += least
+    df = spark.createDataFrame(data, "k string, pos long, lvl long, lim long")
+    got = chained_cuts(df, ["k"], "pos", "lvl", "lim", through_limit=through, segment_rows=segment_rows)
+    want = []
+    for key in {d[0] for d in data}:
+        piece, limit = 0, None
+        for k, pos, level, u in (d for d in data if d[0] == key):
+            if limit is None:
+                limit = u
+            elif level > limit or level == limit and not through:
+                piece, limit = piece + 1, u
+            want.append((k, pos, piece, limit))
+            if through and level == limit:
+                piece, limit = piece + 1, None
+    assert rows(got.select("k", "pos", "piece", "piece_until")) == sorted(want, key=repr)
+
+
+def test_a_long_chain_over_many_segments(spark):
+    """Ways that never meet: every third row, whatever the first one is."""
+    df = spark.range(20_000).select(F.lit("k").alias("k"), F.col("id").alias("pos"), F.col("id").alias("lvl"), (F.col("id") + 3).alias("lim"))
+    got = chained_cuts(df, ["k"], "pos", "lvl", "lim", segment_rows=50)
+    assert got.filter("piece <> pos div 3 or piece_until <> pos - pos % 3 + 3").count() == 0 and got.count() == 20_000

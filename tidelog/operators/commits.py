@@ -12,9 +12,8 @@ from tidelog.model import BEGIN, ETP, STREAM_DEFAULTS
 from tidelog.operators.joins import join_null_safe, join_small
 from tidelog.operators.segments import (
     CARRY_ROWS,
-    SEGMENT_ROWS,
     carry_scan,
-    order_segment,
+    chained_cuts,
     position_segment,
     segmented_scan,
 )
@@ -100,12 +99,10 @@ def commit_outcomes(
     order_by: list[str],
     *,
     keys: tuple[str, ...] = ("subscription_id", *ETP),
-    segment_rows: int = SEGMENT_ROWS,
-    n_rows: int | None = None,
+    segments: int | None = None,
 ) -> DataFrame:
     """``committed``, or ``outdated`` if the same or a newer offset was committed before."""
-    segment = order_segment(attempts, order_by, segment_rows, n_rows)
-    before = segmented_scan(attempts, keys, order_by, segment, max_before={"_before": F.col("offset")})
+    before = segmented_scan(attempts, keys, order_by, segments, max_before={"_before": F.col("offset")})
     outdated = F.coalesce(F.col("offset") <= F.col("_before"), F.lit(False))
     return before.select(
         *attempts.columns, F.when(outdated, F.lit("outdated")).otherwise(F.lit("committed")).alias("result")
@@ -235,6 +232,30 @@ def _cut_rule(strategy: CommitStrategy, safe_us: int, kept: list[str]):
     return cut
 
 
+def _cut_by_deadline(cursors: DataFrame, keys: list[str], safe_us: int, segment_rows: int) -> DataFrame:
+    """Cuts where only the safe timeout counts: pending cursors go at the earliest due time among them.
+
+    A cursor is due at its frame start plus the timeout, but not before it arrives. The earliest due time from a
+    cursor on, whatever comes later, is when a commit that starts there goes: later cursors aren't due before they
+    arrive. The cursor that arrives at that very moment goes with it.
+    """
+    arrived = F.unix_micros("arrived_at")
+    due = F.greatest(F.unix_micros("started_at") + safe_us, arrived)
+    rows = cursors.withColumns({"_at": arrived, "_back": -F.col("seq"), "_due": -due})
+    segment = position_segment("_back", segment_rows)
+    rows = segmented_scan(rows, keys, ["_back"], segment, running_max={"_until": F.col("_due")})
+    rows = rows.withColumn("_until", -F.col("_until"))
+    cut = chained_cuts(rows, keys, "seq", "_at", "_until", through_limit=True, segment_rows=segment_rows)
+    last = cut.groupBy(*keys).agg(F.max("_at").alias("_top"), F.max("piece").alias("_last"))
+    went = (F.col("piece") < F.col("_last")) | (F.col("piece_until") <= F.col("_top"))
+    return join_small(cut, last, keys, null_safe=True).select(
+        *cursors.columns,
+        (F.col("piece") + 1).alias("commit_no"),
+        F.when(went, F.lit("deadline")).otherwise(F.lit("stream_end")).alias("trigger"),
+        F.when(went, F.col("piece_until")).alias("triggered_us"),
+    )
+
+
 def cut_commits(
     cursors: DataFrame,
     strategy: CommitStrategy,
@@ -254,7 +275,9 @@ def cut_commits(
 
     A stream commits across its partitions, which is one chain of cursors; with
     ``keys=("stream_id", "event_type", "partition")`` each partition commits on its own.
-    ``immediately`` needs no chain at all.
+    ``immediately`` needs no chain at all, and ``latest_possible`` runs along pointers (:func:`chained_cuts`),
+    for which arrived_at must not decrease along seq. The clock of the others restarts at moments that no
+    cursor marks, so their rule is carried from segment to segment.
     """
     keys = list(keys)
     if strategy.kind == "immediately":
@@ -264,6 +287,9 @@ def cut_commits(
             "triggered_us", F.unix_micros("arrived_at")
         )
 
+    if strategy.kind == "latest_possible":
+        return _cut_by_deadline(cursors, keys, safe_timeout_us(commit_timeout_secs), segment_rows)
+
     rows = cursors.withColumns(
         {
             "_arrived": F.unix_micros("arrived_at"),

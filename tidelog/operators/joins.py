@@ -14,7 +14,13 @@ BROADCAST_ROWS = 500_000
 
 
 def join_small(
-    big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", n_rows: int | None = None
+    big: DataFrame,
+    small: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    n_rows: int | None = None,
+    *,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Join without shuffling ``big`` if ``small`` is proven to be small.
 
@@ -25,7 +31,8 @@ def join_small(
     if n_rows is None or n_rows > BROADCAST_ROWS:
         small = stored(small, "small")
         n_rows = small.count()
-    return big.join(F.broadcast(small) if n_rows <= BROADCAST_ROWS else small, list(on), how)
+    small = F.broadcast(small) if n_rows <= BROADCAST_ROWS else small
+    return join_null_safe(big, small, on, how) if null_safe else big.join(small, list(on), how)
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:

@@ -9,33 +9,20 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidelog.functions.times import SECOND
 from tidelog.model import BEGIN, ETP
 from tidelog.operators.joins import join_small
-from tidelog.operators.segments import SEGMENT_ROWS, order_segment, position_segment, segmented_scan
+from tidelog.operators.segments import SEGMENT_ROWS, position_segment, segmented_scan
 
 
 def number_rows(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_by: Sequence[str],
-    name: str,
-    *,
-    segment_rows: int = SEGMENT_ROWS,
-    n_rows: int | None = None,
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], name: str, *, segments: int | None = None
 ) -> DataFrame:
     """Number the rows of each key from 0 in a total order."""
-    segment = order_segment(df, order_by, segment_rows, n_rows)
-    numbered = segmented_scan(df, keys, order_by, segment, row_number="_rn")
+    numbered = segmented_scan(df, keys, order_by, segments, row_number="_rn")
     return numbered.select(*df.columns, (F.col("_rn") - 1).alias(name))
 
 
-def append_offsets(
-    events: DataFrame,
-    order_by: Sequence[str],
-    *,
-    segment_rows: int = SEGMENT_ROWS,
-    n_rows: int | None = None,
-) -> DataFrame:
+def append_offsets(events: DataFrame, order_by: Sequence[str], *, segments: int | None = None) -> DataFrame:
     """Give events their offsets: 0, 1, 2, … per (event_type, partition) in order."""
-    return number_rows(events, ETP, order_by, "offset", segment_rows=segment_rows, n_rows=n_rows)
+    return number_rows(events, ETP, order_by, "offset", segments=segments)
 
 
 def partition_info(log: DataFrame) -> DataFrame:

@@ -4,13 +4,12 @@ A window over ``(event_type, partition)`` puts a whole partition into one task,
 and one busy partition may hold a third of the log. The functions here cut every
 key's ordered rows into *segments* of bounded size:
 
-1. each segment computes its local part (a window over key + segment),
+1. each segment computes its local part (a window over key + segment), which is written,
 2. one summary row per segment is carried along the key (a window over the
    summaries only: rows / segment_rows of them),
-3. the carry is joined back to the rows on key + segment.
+3. what is carried into a segment is joined to its rows, which stay where they are.
 
-Windows of step 1 and the join of step 3 need the same partitioning, so the rows
-are shuffled once.
+So the input is evaluated once and its rows are shuffled once.
 
 Where a segment cannot be summarised before its entry state is known
 (:func:`carry_scan`), segments run in parallel from an assumed state and are run
@@ -25,14 +24,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
-from tidelog.operators.joins import join_null_safe
+from tidelog.operators.joins import join_null_safe, join_small
 from tidelog.session import stored
 
 SEGMENT_ROWS = 1_000_000
 # Segments that go through Python are held there as a whole.
 CARRY_ROWS = 200_000
-# Cut points travel with the plan; beyond this many, segments by order key grow instead.
-MAX_CUTS = 10_000
+# Segments whose rows are packed into arrays.
+CUT_ROWS = 100_000
 _SEG = "_segment"
 
 
@@ -46,54 +45,22 @@ def position_segment(position: str | Column, segment_rows: int = SEGMENT_ROWS) -
     return F.floor(position / F.lit(segment_rows)).cast("long")
 
 
-def order_segment(
-    df: DataFrame,
-    order_by: Sequence[str],
-    segment_rows: int = SEGMENT_ROWS,
-    n_rows: int | None = None,
-) -> Column:
-    """Segment of a row that has an order key but no position yet.
-
-    Cut points are order-key values taken from a sample, about one for each
-    ``segment_rows`` rows of the *whole* table, so no key can own a segment bigger
-    than that. The sample only decides where the cuts lie, never which rows or
-    numbers come out. A small table is cut as well, in two. ``n_rows`` is an upper bound
-    of the row count that spares counting; it decides nothing else.
+def ranged(df: DataFrame, order: Sequence[str], n: int | None = None) -> DataFrame:
+    """``df`` in range partitions of ``order``, written with the partition's number as segment.
+
+    Spark takes the bounds from a sample of its own, which decides where segments lie, not what comes out; rows of
+    equal order stay together, and the number of partitions grows with the data (or is ``n``). The table is
+    written because other bounds would give other segments.
     """
-    n_rows = max(1, df.count() if n_rows is None else n_rows)
-    n_segments = max(2, min(-(-n_rows // segment_rows), MAX_CUTS))
-
-    per_cut = 50
-    fraction = min(1.0, n_segments * per_cut / n_rows)
-    key = F.struct(*order_by)
-    sample = df.select(key.alias("k")).sample(withReplacement=False, fraction=fraction, seed=17)
-    # At most about 50 sampled keys for each cut are ranked, and one in 50 kept.
-    ranked = sample.select("k", F.row_number().over(Window.orderBy("k")).alias("rn"))
-    step = max(1, round(n_rows * fraction) // n_segments)
-    cuts = [r["k"] for r in ranked.filter(F.col("rn") % step == 0).select("k").distinct().orderBy("k").collect()]
-    if not cuts:
-        return F.lit(0).cast("long")
-
-    fields = df.select(key.alias("k")).schema["k"].dataType
-    literal = F.array(
-        *[F.struct(*[F.lit(cut[f.name]).cast(f.dataType).alias(f.name) for f in fields]) for cut in cuts]
-    )
-    steps = [1 << b for b in reversed(range(len(cuts).bit_length()))]
-    # Binary search: the number of cut points that are <= the row's key.
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda found, s: F.when(
-            (found + s <= F.lit(len(cuts))) & (F.get(literal, found + s - 1) <= key), found + s
-        ).otherwise(found),
-    ).cast("long")
+    parts = df.repartitionByRange(n, *order) if n else df.repartitionByRange(*order)
+    return stored(parts.withColumn(_SEG, F.spark_partition_id().cast("long")), "ranged")
 
 
 def segmented_scan(
     df: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str],
-    segment: Column,
+    segment: Column | int | None = None,
     *,
     row_number: str | None = None,
     running_sum: Mapping[str, Column] | None = None,
@@ -105,9 +72,15 @@ def segmented_scan(
 
     ``row_number`` names a 1-based counter; ``running_sum`` and ``running_max`` are
     inclusive of the row, ``max_before`` is the maximum of the rows before it; ``lag``
-    maps a new column to the column whose previous value it takes. ``segment`` must not
-    decrease along the order, and ``order_by`` must order the rows of a key totally. NULL
-    keys form a key of their own; NULL order values and segments come first.
+    maps a new column to the column whose previous value it takes. ``order_by`` must order the rows of a key
+    totally. NULL keys form a key of their own; NULL order values and segments come first.
+
+    ``segment`` is a column that doesn't decrease along the order. Without one (or with a number of
+    segments) the segments are range partitions of key and order, see :func:`ranged`.
+
+    ``df`` is evaluated once: the windows inside segments are written, and the last row of each
+    segment is its summary. Only segments that aren't the first of their key have something carried in, so there are
+    fewer such rows than segments, and rows are joined with them where they lie.
     """
     sums, lags = dict(running_sum or {}), dict(lag or {})
     earlier = dict(max_before or {})
@@ -116,28 +89,16 @@ def segmented_scan(
         sums[row_number] = F.lit(1).cast("long")
 
     kept = df.columns
-    rows = df.withColumn(_SEG, segment)
+    if isinstance(segment, Column):
+        rows = df.withColumn(_SEG, segment)
+    else:
+        rows = ranged(df, [*keys, *order_by], segment)
     for name, col in sums.items():
         rows = rows.withColumn(f"_s_{name}", col)
     for name, col in maxs.items():
         rows = rows.withColumn(f"_m_{name}", col)
 
     group = [*keys, _SEG]
-    last_of = F.struct(*order_by)
-    summary = rows.groupBy(*group).agg(
-        *[F.sum(f"_s_{n}").alias(f"_s_{n}") for n in sums],
-        *[F.max(f"_m_{n}").alias(f"_m_{n}") for n in maxs],
-        *([F.max_by(F.struct(*lags.values()), last_of).alias("_last")] if lags else []),
-    )
-    along = Window.partitionBy(*keys).orderBy(_SEG)
-    before = along.rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(
-        *group,
-        *[F.sum(f"_s_{n}").over(before).alias(f"_cs_{n}") for n in sums],
-        *[F.max(f"_m_{n}").over(before).alias(f"_cm_{n}") for n in maxs],
-        *([F.lag("_last").over(along).alias("_prev")] if lags else []),
-    )
-
     local = Window.partitionBy(*group).orderBy(*order_by)
     upto = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ahead = local.rowsBetween(Window.unboundedPreceding, -1)
@@ -146,19 +107,202 @@ def segmented_scan(
     inside = rows.repartition(*group).select(
         *kept,
         _SEG,
+        F.lead(F.lit(False), 1, True).over(local).alias("_ends"),
         *[F.sum(f"_s_{n}").over(upto).alias(f"_ls_{n}") for n in sums],
-        *[F.max(f"_m_{n}").over(ahead if n in earlier else upto).alias(f"_lm_{n}") for n in maxs],
+        *[F.max(f"_m_{n}").over(upto).alias(f"_lm_{n}") for n in maxs],
+        *[F.max(f"_m_{n}").over(ahead).alias(f"_la_{n}") for n in earlier],
         *([F.lag(F.struct(*lags.values())).over(local).alias("_lag")] if lags else []),
     )
+    inside = stored(inside, "scanned")
+    along = Window.partitionBy(*keys).orderBy(_SEG)
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    carry = (
+        inside.filter("_ends")
+        .select(
+            *group,
+            F.row_number().over(along).alias("_nth"),
+            *[F.sum(f"_ls_{n}").over(before).alias(f"_cs_{n}") for n in sums],
+            *[F.max(f"_lm_{n}").over(before).alias(f"_cm_{n}") for n in maxs],
+            *([F.lag(F.struct(*lags.values())).over(along).alias("_prev")] if lags else []),
+        )
+        .filter("_nth > 1")
+        .drop("_nth")
+    )
     previous = F.coalesce("_lag", "_prev") if lags else None
-    return join_null_safe(inside, carry, group, "left").select(
+    return join_small(inside, carry, group, "left", null_safe=True).select(
         *kept,
         *[(F.coalesce(f"_cs_{n}", F.lit(0)) + F.col(f"_ls_{n}")).alias(n) for n in sums],
-        *[F.greatest(f"_cm_{n}", f"_lm_{n}").alias(n) for n in maxs],
+        *[F.greatest(f"_cm_{n}", f"_la_{n}" if n in earlier else f"_lm_{n}").alias(n) for n in maxs],
         *[previous[c].alias(n) for n, c in lags.items()],
     )
 
 
+def chained_cuts(
+    df: DataFrame,
+    keys: Sequence[str],
+    position: str,
+    level: str,
+    until: str,
+    *,
+    through_limit: bool = False,
+    segment_rows: int = CUT_ROWS,
+) -> DataFrame:
+    """Cut each key's rows, in order of ``position``, into pieces; add ``piece`` (from 0) and ``piece_until``.
+
+    The first row starts a piece. A piece that starts at a row with limit ``until`` ends before the first later row
+    whose ``level`` reaches that limit, which starts the next one; with ``through_limit`` a row that meets the limit
+    exactly still belongs to it. ``piece_until`` is the limit of the piece's first row. ``level`` must not decrease
+    along the pieces' first rows: what a piece has not reached, no row before it has.
+
+    Which row a piece would end at is the same for a row whoever starts there, so every row gets a pointer to the
+    next start, and only those on the way from the first row are real. Inside a segment pointers are doubled on
+    arrays: where does each row's way leave the segment? The few rows by which ways leave are the nodes of a second,
+    small table of pointers between segments, which is doubled on stored tables, so the rounds grow with the
+    logarithm of the segments of a key. A segment is entered at most once; its own way follows from the entry.
+    """
+    group, kept = [*keys, _SEG], df.columns
+    rows = df.withColumn(_SEG, position_segment(position, segment_rows))
+    entry = F.struct(F.col(position).alias("p"), F.col(level).alias("l"), F.col(until).alias("u"), F.struct(*kept).alias("row"))
+    # The level of a row is the highest so far inside the segment.
+    local = Window.partitionBy(*group).orderBy(position)
+    rows = rows.repartition(*group).withColumn(level, F.max(level).over(local))
+    packed = rows.groupBy(*group).agg(F.sort_array(F.collect_list(entry)).alias("rows"))
+    packed = stored(
+        packed.select(
+            *group,
+            F.transform("rows", lambda r: r["row"]).alias("rows"),
+            F.transform("rows", lambda r: r["l"]).alias("levels"),
+            F.transform("rows", lambda r: r["u"]).alias("untils"),
+            F.size("rows").alias("n"),
+            F.expr("reverse(transform(sequence(0, length(bin(size(rows))) - 1), b -> shiftleft(1, b)))").alias("steps"),
+        ),
+        "packed",
+    )
+    n = F.col("n")
+
+    def first_reaching(u: Column) -> Column:
+        return F.aggregate(
+            "steps", F.lit(0), lambda at, s: F.when((at + s <= n) & (F.get("levels", at + s - 1) < u), at + s).otherwise(at)
+        )
+
+    def next_start(u: Column, at: Column) -> Column:
+        return at + F.when(F.get("levels", at) == u, 1).otherwise(0) if through_limit else at
+
+    pointers = F.transform("untils", lambda u, i: F.greatest(next_start(u, F.greatest(first_reaching(u), i)), i + 1))
+    # jumps[k][i]: where 2**k pointers lead from row i; n if out of the segment.
+    jumps = F.aggregate(
+        "steps",
+        F.array(pointers),
+        lambda done, _: F.concat(done, F.array(F.transform(F.get(done, F.size(done) - 1), lambda j: F.coalesce(F.get(F.get(done, F.size(done) - 1), j), n)))),
+    )
+    packed = packed.withColumn("jumps", F.reverse(jumps))
+
+    segments = packed.select(*group, F.get("levels", n - 1).alias("top"))
+    along = Window.partitionBy(*keys).orderBy(_SEG)
+    segments = stored(
+        segments.select(
+            *group,
+            F.max("top").over(along).alias("top"),
+            F.lead(_SEG).over(along).alias("following"),
+            (F.row_number().over(along) == 1).alias("opens"),
+        ),
+        "segments",
+    )
+    entries = segments.filter("opens").select(*group, F.lit(0).alias("entry"))
+    if not segments.filter("following is not null").isEmpty():
+        entries = stored(entries.unionByName(_entries(packed, segments, entries, keys, first_reaching, next_start)), "entries")
+
+    way = F.aggregate(
+        "jumps",
+        F.array("entry"),
+        lambda found, jump: F.concat(found, F.filter(F.transform(found, lambda j: F.get(jump, j)), lambda j: j < n)),
+    )
+    own = join_null_safe(packed, entries, group, "left").select(
+        *group, "rows", "untils", "n", F.when(F.col("entry").isNull(), F.array().cast("array<int>")).otherwise(F.sort_array(way)).alias("starts")
+    )
+    own = stored(own, "ways")
+    last_until = F.get("untils", F.get("starts", F.size("starts") - 1))
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    carried = own.select(*group, F.size("starts").alias("_n"), last_until.alias("_u")).select(
+        *group,
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+        F.last("_u", ignorenulls=True).over(before).alias("_until"),
+    )
+    starts, size = F.col("starts"), F.col("n")
+    ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts) - 1, F.lit(0))), F.array(size))
+    ranks = F.concat(
+        F.array_repeat(F.lit(0), F.coalesce(F.get(starts, 0), size)),
+        F.flatten(F.transform(starts, lambda a, k: F.array_repeat(k + 1, F.get(ends, k) - a))),
+    )
+    numbered = join_small(own.withColumn("ranks", ranks), carried, group, null_safe=True)
+    each = numbered.select("*", F.posexplode(F.arrays_zip("rows", "ranks")).alias("_i", "_r"))
+    rank = F.col("_r.ranks")
+    return each.select(
+        "_r.rows.*",
+        (F.col("_before") + rank - 1).cast("long").alias("piece"),
+        F.when(rank == 0, F.col("_until")).otherwise(F.get("untils", F.get("starts", rank - 1))).alias("piece_until"),
+    )
+
+
+def _entries(
+    packed: DataFrame, segments: DataFrame, opening: DataFrame, keys: Sequence[str], first_reaching: Callable, next_start: Callable
+) -> DataFrame:
+    """Where the real ways enter the segments after the first, for :func:`chained_cuts`."""
+    group, n = [*keys, _SEG], F.col("n")
+
+    def last_inside(i: Column) -> Column:
+        return F.aggregate("jumps", i, lambda at, jump: F.when(F.get(jump, at) < n, F.get(jump, at)).otherwise(at))
+
+    leaving = F.array_distinct(F.transform(F.sequence(F.lit(0), n - 1), last_inside))
+    nodes = packed.withColumn("node", F.explode(leaving)).withColumn("u", F.get("untils", F.col("node")))
+    met_here = F.greatest(first_reaching(F.col("u")), F.col("node")) < n
+    nodes = stored(nodes.select(*group, "node", "u", met_here.alias("met_here")), "nodes")
+    # A limit met by the last row of the node's own segment: the next start is the first row of the following one.
+    closing = join_null_safe(nodes.filter("met_here"), segments.filter("following is not null"), group).select(
+        *keys, F.col("following").alias(_SEG), F.col(_SEG).alias("_from"), "node", F.lit(0).alias("entry")
+    )
+    # Otherwise the first segment whose highest level reaches the limit.
+    marks = nodes.filter("not met_here").select(*group, "node", F.col("u").alias("v"), F.lit(None).cast("long").alias("_to")).unionByName(
+        segments.select(*group, F.lit(None).cast("int").alias("node"), F.col("top").alias("v"), F.col(_SEG).alias("_to"))
+    )
+    reaching = Window.partitionBy(*keys).orderBy("v").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    met = marks.select(*group, "node", F.col("v").alias("u"), F.min("_to").over(reaching).alias("_to"))
+    met = met.filter("node is not null and _to is not null").select(
+        *keys, F.col(_SEG).alias("_from"), "node", "u", F.col("_to").alias(_SEG)
+    )
+    held = join_null_safe(packed.select(*group, "levels", "steps", "n", "jumps"), segments.select(*group, "following"), group)
+    at = next_start(F.col("u"), first_reaching(F.col("u")))
+    hit = join_null_safe(held, met, group).select("*", at.alias("entry"))
+    # A start behind the last row of a segment is the first row of the next one.
+    inside = hit.filter("entry < n").select(*group, "_from", "node", "entry")
+    behind = hit.filter("entry >= n and following is not null").select(
+        *keys, F.col("following").alias(_SEG), "_from", "node", F.lit(0).alias("entry")
+    )
+    edges = inside.unionByName(behind).unionByName(closing)
+    edges = join_null_safe(packed.select(*group, "n", "jumps"), edges, group).select(
+        *keys, "_from", "node", F.col(_SEG).alias("_to"), "entry", last_inside(F.col("entry")).alias("to_node")
+    )
+    edges = stored(edges, "edges")
+    jumps = edges.select(*keys, "_from", "node", "_to", "to_node")
+    roots = join_null_safe(packed.select(*group, "n", "jumps"), opening, group)
+    reached = stored(roots.select(*keys, F.col(_SEG).alias("_from"), last_inside(F.col("entry")).alias("node")), "reached")
+    n_reached = -1
+    while (count := reached.count()) != n_reached:
+        n_reached = count
+        step = join_null_safe(reached, jumps, [*keys, "_from", "node"]).select(
+            *keys, F.col("_to").alias("_from"), F.col("to_node").alias("node")
+        )
+        reached = stored(reached.unionByName(step).distinct(), "reached")
+        onward = jumps.select(*keys, F.col("_from").alias("_first"), F.col("node").alias("first"), F.col("_to").alias("_from"), F.col("to_node").alias("node"))
+        jumps = stored(
+            join_null_safe(onward, jumps, [*keys, "_from", "node"]).select(
+                *keys, F.col("_first").alias("_from"), F.col("first").alias("node"), "_to", "to_node"
+            ),
+            "jumps",
+        )
+    return join_null_safe(edges, reached, [*keys, "_from", "node"], "left_semi").select(*keys, F.col("_to").alias(_SEG), "entry")
+
+
 SPECULATIVE_ROUNDS = 3
 
 

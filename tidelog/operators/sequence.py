@@ -4,22 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from tidelog.functions.times import SECOND
 from tidelog.model import ETP, NO_FRAMES_WARNING_SECS, PARTITION_INACTIVITY_SECS
 from tidelog.operators.joins import join_null_safe, join_small
 from tidelog.operators.offsets import number_rows
-from tidelog.operators.segments import (
-    CARRY_ROWS,
-    SEGMENT_ROWS,
-    carry_scan,
-    order_segment,
-    position_segment,
-    segmented_scan,
-)
+from tidelog.operators.segments import CUT_ROWS, SEGMENT_ROWS, chained_cuts, position_segment, segmented_scan
 
 
 def frame_gaps(
@@ -63,11 +55,7 @@ def frame_order(
     )
 
 
-def in_flight(
-    deltas: DataFrame,
-    segment_rows: int = SEGMENT_ROWS,
-    n_rows: int | None = None,
-) -> DataFrame:
+def in_flight(deltas: DataFrame, segments: int | None = None) -> DataFrame:
     """Running totals per stream from signed changes.
 
     ``deltas`` has stream_id, at (TIMESTAMP), seq (breaking ties) and signed
@@ -81,7 +69,7 @@ def in_flight(
         renamed,
         ["stream_id"],
         order,
-        order_segment(renamed, order, segment_rows, n_rows),
+        segments,
         running_sum={c: F.col(f"d_{c}") for c in totals},
     ).select("stream_id", *order, *totals)
 
@@ -178,48 +166,21 @@ def batches_by_count(
     return place.select(*log.columns, F.floor(F.col("_place") / batch_limit).cast("long").alias("batch_no"))
 
 
-_SPAN_STATE = T.StructType([T.StructField("anchor", T.LongType())])
-
-
 def batches_by_timespan(
     log: DataFrame,
     span_secs: int,
     *,
-    segment_rows: int = CARRY_ROWS,
+    segment_rows: int = CUT_ROWS,
 ) -> DataFrame:
     """Add ``batch_no``: a batch ends before the event that is more than ``span_secs``
     after the batch's first one.
 
-    Where a batch starts depends on the batches before, so segments of a partition run
-    as a carry scan; numbering the starts is a running sum.
+    An event that starts a batch is later than all before it, so an event received out of order starts none.
     """
-    span = span_secs * SECOND
-    rows = log.select(*ETP, "offset", F.unix_micros("received_at").alias("at"))
-    fields = [*[log.schema[k] for k in ETP], T.StructField("offset", T.LongType()), T.StructField("at", T.LongType())]
-
-    def cut(pdf: pd.DataFrame, entry: tuple | None) -> tuple[pd.DataFrame, tuple]:
-        anchor = None if entry is None else entry[0]
-        starts = []
-        for at in pdf["at"].tolist():
-            opens = anchor is None or at - anchor > span
-            if opens:
-                anchor = at
-            starts.append(int(opens))
-        return pdf[[*ETP, "offset", "at"]].assign(starts=starts), (anchor,)
-
-    starts = carry_scan(
-        rows,
-        ETP,
-        "offset",
-        cut,
-        _SPAN_STATE,
-        T.StructType([*fields, T.StructField("starts", T.LongType())]),
-        segment_rows=segment_rows,
-    )
-    numbered = segmented_scan(
-        starts, ETP, ["offset"], position_segment("offset", segment_rows), running_sum={"_no": F.col("starts")}
-    )
-    return numbered.select(*ETP, "offset", F.col("at").alias("received_us"), (F.col("_no") - 1).alias("batch_no"))
+    rows = log.select(*ETP, "offset", F.unix_micros("received_at").alias("received_us"))
+    rows = rows.withColumns({"_level": F.col("received_us"), "_until": F.col("received_us") + (span_secs * SECOND + 1)})
+    cut = chained_cuts(rows, ETP, "offset", "_level", "_until", segment_rows=segment_rows)
+    return cut.select(*ETP, "offset", "received_us", F.col("piece").alias("batch_no"))
 
 
 def order_inversions(
@@ -227,7 +188,7 @@ def order_inversions(
     order_keys: Sequence[str],
     *,
     segment_rows: int = SEGMENT_ROWS,
-    n_rows: int | None = None,
+    segments: int | None = None,
 ) -> DataFrame:
     """Place of each event by publish order and by the ordering keys of its event type.
 
@@ -235,7 +196,7 @@ def order_inversions(
     ordering keys. Information only; nothing is reordered.
     """
     order = [*order_keys, "partition", "offset"]
-    placed = number_rows(log, ["event_type"], order, "key_place", segment_rows=segment_rows, n_rows=n_rows)
+    placed = number_rows(log, ["event_type"], order, "key_place", segments=segments)
     scanned = segmented_scan(
         placed, ETP, ["offset"], position_segment("offset", segment_rows), running_max={"_max": F.col("key_place")}
     )

@@ -445,9 +445,7 @@ def _deltas(spark, sf_dir) -> DataFrame:
 
 @query
 def in_flight_totals(spark, sf_dir):
-    # At most three changes per frame, and a frame has at least one event or follows one.
-    n = 3 * tb.n_events(spark, sf_dir)
-    totals = sq.in_flight(_deltas(spark, sf_dir), n_rows=n)
+    totals = sq.in_flight(_deltas(spark, sf_dir))
     return totals.withColumn("at_us", _us("at")).drop("at")
 
 
@@ -467,8 +465,7 @@ def frame_order_per_assignment(spark, sf_dir):
     b = env.event_batches(_parsed(spark, sf_dir)).withColumn(
         "_at", _us("completed_at") + F.when(F.col("frame_id") % 17 == 0, 400_000_000_000).otherwise(0)
     )
-    n = tb.n_events(spark, sf_dir)
-    arrived = of.number_rows(b, ["stream_id"], ["_at", "frame_id"], "arrival", n_rows=n)
+    arrived = of.number_rows(b, ["stream_id"], ["_at", "frame_id"], "arrival")
     return sq.frame_order(arrived, ["stream_id", *ETP]).select(
         "stream_id", *ETP, "arrival", "frame_id", "previous_frame_id", "increasing"
     )
@@ -495,8 +492,7 @@ def batches_by_timespan(spark, sf_dir):
 @query
 def ordering_key_inversions(spark, sf_dir):
     log = tb.log(spark, sf_dir).withColumn("k", F.get_json_object("payload", "$.props.k").cast("long"))
-    n = tb.n_events(spark, sf_dir)
-    return sq.order_inversions(log, ["k", "key"], n_rows=n).select(*ETP, "offset", "key_place", "inverted")
+    return sq.order_inversions(log, ["k", "key"]).select(*ETP, "offset", "key_place", "inverted")
 
 
 # --- commits --------------------------------------------------------------------------
@@ -577,8 +573,7 @@ def _attempts(spark, sf_dir) -> DataFrame:
 
 
 def _outcomes(spark, sf_dir) -> DataFrame:
-    n = tb.n_events(spark, sf_dir)
-    return cm.commit_outcomes(_attempts(spark, sf_dir), ["at_us", "offset"], n_rows=n)
+    return cm.commit_outcomes(_attempts(spark, sf_dir), ["at_us", "offset"])
 
 
 @query

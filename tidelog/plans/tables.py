@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tidelog.functions.cursors import empty_as_null
 from tidelog.model import ETP
 from tidelog.operators.offsets import append_offsets, number_rows
-from tidelog.operators.segments import SEGMENT_ROWS
 from tidelog.session import scratch_path
 
 N_PARTITIONS = 8
@@ -74,7 +73,7 @@ def n_events(spark: SparkSession, sf_dir: str) -> int:
     return _count(spark.sparkContext.applicationId, sf_dir)
 
 
-def log(spark: SparkSession, sf_dir: str, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
+def log(spark: SparkSession, sf_dir: str, segments: int | None = None) -> DataFrame:
     """The event log, with offsets in order of (ts, event_id).
 
     It is written once for a session and source, as a broker would hold it, instead of
@@ -83,10 +82,8 @@ def log(spark: SparkSession, sf_dir: str, segment_rows: int = SEGMENT_ROWS) -> D
     rows = to_log_rows(events(spark, sf_dir))
     return _once(
         spark,
-        ("log", sf_dir, segment_rows),
-        lambda: append_offsets(
-            rows, ["received_at", "event_id"], segment_rows=segment_rows, n_rows=n_events(spark, sf_dir)
-        ),
+        ("log", sf_dir, segments),
+        lambda: append_offsets(rows, ["received_at", "event_id"], segments=segments),
     )
 
 
@@ -179,7 +176,7 @@ def batch_texts(log: DataFrame, corrupt: bool = False) -> DataFrame:
     )
 
 
-def frames(log: DataFrame, corrupt: bool = False, segment_rows: int = SEGMENT_ROWS, n_rows: int | None = None) -> DataFrame:
+def frames(log: DataFrame, corrupt: bool = False, segments: int | None = None) -> DataFrame:
     """Batch lines of four streams.
 
     Of each partition's batches every tenth is followed by a keep-alive line, every
@@ -205,7 +202,7 @@ def frames(log: DataFrame, corrupt: bool = False, segment_rows: int = SEGMENT_RO
     ).withColumn("started_at", F.timestamp_micros(F.unix_micros("started_at") + F.col("line_no") * 1_000_000))
     order = ["started_at", "event_type", "partition", "batch_no", "line_no"]
     # Lines are numbered without their texts, which stay where their partition is.
-    heads = number_rows(heads, ["stream_id"], order, "frame_id", segment_rows=segment_rows, n_rows=n_rows)
+    heads = number_rows(heads, ["stream_id"], order, "frame_id", segments=segments)
     rows = heads.join(texts, [*ETP, "batch_no"])
 
     token = F.concat(F.lit("token-"), F.col("offset").cast("string"))
@@ -236,7 +233,7 @@ def frames(log: DataFrame, corrupt: bool = False, segment_rows: int = SEGMENT_RO
 def lines(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> DataFrame:
     """The frames of the whole log, written once."""
     rows = log(spark, sf_dir)
-    return _once(spark, ("frames", sf_dir, corrupt), lambda: frames(rows, corrupt, n_rows=n_events(spark, sf_dir)))
+    return _once(spark, ("frames", sf_dir, corrupt), lambda: frames(rows, corrupt))
 
 
 def stats_rows(log: DataFrame, commits: DataFrame) -> DataFrame:
