@@ -48,7 +48,7 @@ def test_batch_lines(spark, info, events):
     assert got["problem"] is None
     assert got["kind"] == ("batch" if events else "keep_alive")
     assert got["has_info"] == (info is not None)
-    assert got["info"] == (json.dumps(info, separators=(",", ":")) if info else None)
+    assert got["info"] == (json.dumps(info) if info else None)
     assert got["n_events"] == len(events or [])
 
 
@@ -108,12 +108,12 @@ def test_decode_each_event_on_its_own(spark):
     got = [(r["pos"], r["error"], r["event"]) for r in decoded.orderBy("pos").collect()]
     assert [g[1] for g in got] == [
         None,
-        "does not match the schema",
+        "count: string instead of bigint",
         "missing count",
         "missing count",
-        "does not match the schema",
+        "event: bigint instead of struct",
     ]
-    assert got[1][2] == '{"count":"many"}'
+    assert got[1][2] == '{"count": "many"}'
     totals = env.decode_failures(decoded, ["event_type"]).first()
     assert (totals["n_failed"], totals["n_events"]) == (4, 5)
 
@@ -157,7 +157,7 @@ def test_metadata(spark):
 def test_texts_as_received(spark):
     events = [' {"value": 1.50,"n":12345678901234567890.12345 }', '"]"', "[ 1,\t2 ]", '{"é": "\\u00e9"}']
     text = '{ "info" : {"a": [1 , {}]}, "events":[%s ] ,"cursor":%s}' % (" ,".join(events), json.dumps(CURSOR))
-    parsed = env.parse_lines(spark.createDataFrame([(text,), (json.dumps({"cursor": CURSOR}),), ("{",), (None,)], "value string"), exact=True)
+    parsed = env.parse_lines(spark.createDataFrame([(text,), (json.dumps({"cursor": CURSOR}),), ("{",), (None,)], "value string"))
     got = parsed.collect()
     assert got[0]["events"] == [e.strip() for e in events] and got[0]["info"] == '{"a": [1 , {}]}'
     assert [g["kind"] for g in got] == ["batch", "keep_alive", "bad", "bad"]
@@ -171,6 +171,60 @@ def test_texts_as_received(spark):
 def test_offsets_that_are_no_numbers(spark):
     opaque = json.dumps({"cursor": CURSOR | {"offset": "001-0001-000000000000001207"}, "events": []})
     frames = spark.createDataFrame([(opaque,)], "value string")
-    assert [r["problem"] for r in env.quarantined_lines(env.parse_lines(frames)).collect()] == ["cursor offset is no number"]
-    kept = env.valid_lines(env.parse_lines(frames, numeric_offsets=False)).first()
+    assert [r["problem"] for r in env.quarantined_lines(env.parse_lines(frames, numeric_offsets=True)).collect()] == ["cursor offset is no number"]
+    kept = env.valid_lines(env.parse_lines(frames)).first()
     assert (kept["offset"], kept["offset_text"]) == (None, "001-0001-000000000000001207")
+
+
+DEEP = "[" * 150 + "]" * 150
+
+
+@pytest.mark.parametrize(
+    "events",
+    [
+        ['{"value":1.50}', '{"value":1234567890123456789012345.5}'],
+        ['"a\\\\"', '"]\\", {"', "null", "true", "-1.0E+2", "[ ]", "{}"],
+        ['{"events":[{"k":"\\u0041"}],"info":{"a":1}}', DEEP, '{"a":"' + "\\n" * 20_000 + '"}'],
+        [],
+    ],
+)
+@pytest.mark.parametrize("blank", ["", " \t"])
+@pytest.mark.parametrize("info", ['{"a":1.0}', '{"events":[1]}', '"text"', "7", "null", None])
+def test_parts_are_as_received(spark, events, blank, info):
+    b = blank
+    array = f"[{b}{f'{b},{b}'.join(events)}{b}]"
+    text = f'{b}{{{b}"cursor"{b}:{json.dumps(CURSOR)},{b}"events"{b}:{b}{array}{b}' + (f',{b}"info":{b}{info}{b}' if info else "") + "}"
+    got = env.byte_stats(line(spark, text)).first()
+    assert got["problem"] is None and got["events"] == events and got["n_events"] == len(events)
+    assert got["n_events_bytes"] == len(array.encode()) and got["n_bytes"] == len(text.encode())
+    assert got["info"] == (None if info == "null" else info)
+
+
+def test_odd_keys_and_depth(spark):
+    cursor = json.dumps(CURSOR)
+    odd = '{"cursor":%s,"ev\\u0065nts":[1.50],"events_":[2],"x":{"events":[3]}}' % cursor
+    twice = '{"events":[1],"cursor":%s,"events":[ 2.0]}' % cursor
+    deep = '{"cursor":%s,"events":[%s]}' % (cursor, "[ " * 300 + "]" * 300)
+    got = line(spark, odd, twice, deep).collect()
+    assert [g["events"] for g in got[:2]] == [["1.50"], ["2.0"]]
+    assert got[2]["problem"] == "nested deeper than 200"
+
+
+def test_reasons(spark):
+    fields = "a struct<b: int, t: timestamp>, n decimal(30,5), l array<int>, f boolean, s string"
+    schema = spark.createDataFrame([], fields).schema
+    texts = {
+        '{"a":{"b":1.5}}': "a.b: decimal instead of int",
+        '{"a":[1]}': "a: array instead of struct",
+        '{"a":{"t":"2024-01-01T00:00:00Z"},"n":"x"}': "n: string instead of decimal",
+        '{"a":{"t":"soon"}}': "a.t: no timestamp",
+        '{"l":{"k":1},"s":{"any":1}}': "l: object instead of array",
+        '{"f":"yes"}': "f: string instead of boolean",
+        "{": "not JSON",
+        "null": "event: void instead of struct",
+        '{"n":1234567890123456789012345.50}': None,
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "event string")
+    got = {r["event"]: r["error"] for r in env.decode_events(df, schema).collect()}
+    assert got | {"null": texts["null"]} == texts
+    assert got["null"] is not None

@@ -1,19 +1,16 @@
 """Batch lines: parse, classify, validate, explode, decode, assemble.
 
 A line is parsed once, into the cursor, the events as an array of JSON texts and the
-info text. Spark's JSON functions re-render nested values (whitespace goes, ``1.50``
-becomes ``1.5``, long numbers become doubles), so texts and byte counts of nested parts
-are exact for compact JSON with short numbers. With ``exact=True`` they are cut out of
-the line as they were received, at the price of a second pass in Arrow batches.
+info text, all as they were received. Spark's JSON functions re-render nested values
+(whitespace goes, ``1.50`` becomes ``1.5``, long numbers become doubles), so a rendered
+text is taken only if the line holds it letter by letter; from any other line the parts
+are cut out with patterns of balanced brackets.
 """
 
 from __future__ import annotations
 
-import json
-import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidelog.functions.cursors import offset_value
@@ -37,77 +34,103 @@ def _once(parsed: Column, *names: str) -> Column:
     return F.inline(F.array(parsed)).alias(*names)
 
 
-_BLANK = re.compile(r"[ \t\n\r]*")
-
-
-def _members(text: str, at: int, end: str) -> Iterator[tuple[str | None, int, int]]:
-    """Key (None in an array) and place of each member of the JSON object or array at ``at``."""
-    decode, key = json.JSONDecoder().raw_decode, None
-    at = _BLANK.match(text, at + 1).end()
-    while text[at] != end:
-        if end == "}":
-            key, at = decode(text, at)
-            at = _BLANK.match(text, _BLANK.match(text, at).end() + 1).end()
-        start, at = at, decode(text, at)[1]
-        yield key, start, at
-        at = _BLANK.match(text, at).end()
-        if text[at] == ",":
-            at = _BLANK.match(text, at + 1).end()
-
-
-def raw_parts(text: str | None) -> tuple[list[str] | None, str | None, int | None]:
-    """The events, the info and the size in bytes of the events array, as they stand in a line."""
-    events, info, size = None, None, None
-    try:
-        for key, start, end in _members(text, _BLANK.match(text).end(), "}"):
-            if key == "events" and text[start] == "[":
-                events = [text[a:b] for _, a, b in _members(text, start, "]")]
-                size = len(text[start:end].encode())
-            elif key == "info" and text[start:end] != "null":
-                info = text[start:end]
-    except (ValueError, IndexError, TypeError, RecursionError):
-        return None, None, None
-    return events, info, size
-
-
-_RAW = T.StructType(
-    [
-        T.StructField("events", T.ArrayType(T.StringType())),
-        T.StructField("info", T.StringType()),
-        T.StructField("events_bytes", T.IntegerType()),
-    ]
-)
+# Brackets nested deeper than this make a line a bad one.
+MAX_DEPTH = 200
+_STRING = r'"(?:[^"\\]++|\\.)*+"'
+_BLANKS = r"[ \t\n\r]*+"
+
+
+def _value_pattern(depth: int) -> str:
+    """One JSON value of a valid text. All loops are possessive, so matching takes linear time and no deep stack."""
+    inside = rf'[^{{}}\[\]"]++|{_STRING}'
+    balanced = inside
+    for _ in range(depth):
+        balanced = rf"{inside}|[{{\[](?:{balanced})*+[}}\]]"
+    return rf'[{{\[](?:{balanced})*+[}}\]]|{_STRING}|[^\s,:{{}}\[\]"]++'
+
+
+_VALUE = _value_pattern(MAX_DEPTH)
+_MEMBER = rf"({_STRING}){_BLANKS}:{_BLANKS}({_VALUE})"
+
+
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), then), 0)
+
 
+def _received_parts(text: Column) -> Column:
+    """events, info and the size in bytes of the events array, cut out of a line as they stand there.
 
-def _raw_parts(values: pd.Series) -> pd.DataFrame:
-    parts = [raw_parts(v) for v in values]
-    return pd.DataFrame(
-        {
-            "events": [p[0] for p in parts],
-            "info": [p[1] for p in parts],
-            "events_bytes": pd.Series([p[2] for p in parts], dtype="Int32"),
-        }
+    ``deep`` tells that brackets are nested deeper than MAX_DEPTH, so that the patterns leave something over.
+    """
+    body = F.regexp_replace(text, rf"^{_BLANKS}\{{", "")
+    members = F.struct(
+        F.arrays_zip(
+            F.regexp_extract_all(body, F.lit(_MEMBER), F.lit(1)).alias("key"),
+            F.regexp_extract_all(body, F.lit(_MEMBER), F.lit(2)).alias("text"),
+        ).alias("all"),
+        F.regexp_replace(body, _MEMBER, "").alias("rest"),
     )
 
+    def last(found: Column, name: str) -> Column:
+        key = lambda m: F.get_json_object(F.concat(F.lit('{"k":'), m["key"], F.lit("}")), "$.k") == name
+        return F.try_element_at(F.filter(found["all"], key), F.lit(-1))["text"]
+
+    def parts(found: Column) -> Column:
+        inner = F.regexp_replace(last(found, "events"), r"^\[", "")
+        deep = ~found["rest"].rlike(r"^[ ,\t\n\r]*\}[ \t\n\r]*$") | ~F.coalesce(
+            F.regexp_replace(inner, _VALUE, "").rlike(r"^[ ,\t\n\r]*\]$"), F.lit(True)
+        )
+        return F.struct(
+            F.regexp_extract_all(inner, F.lit(_VALUE), F.lit(0)).alias("events"),
+            last(found, "info").alias("info"),
+            F.octet_length(last(found, "events")).alias("events_bytes"),
+            deep.alias("deep"),
+        )
+
+    return _let(members, parts)
+
+
+def _exact_parts(text: Column, events: Column, info: Column) -> Column:
+    """The parts as received. What was rendered is exact if it stands in the line, under the only such key."""
+
+    def stands(name: str, rendered: Column) -> Column:
+        once = F.length(text) - F.length(F.replace(text, F.lit(f'"{name}"'), F.lit(""))) == len(name) + 2
+        return rendered.isNull() | (once & F.contains(text, F.concat(F.lit(f'"{name}":'), rendered)))
+
+    array = F.concat(F.lit("["), F.array_join(events, ",", "null"), F.lit("]"))
+    same = stands("events", array) & stands("info", info) & ~F.exists(F.coalesce(events, F.array().cast("array<string>")), F.isnull)
+    # A string is given without its quotes, so it doesn't stand as rendered.
+    whole = F.forall(F.coalesce(events, F.array().cast("array<string>")), lambda e: e.rlike(r"^[\[{\d-]")) & (
+        F.coalesce(info, F.lit("{")).rlike(r"^[\[{]")
+    )
+    rendered = F.struct(
+        events.alias("events"), info.alias("info"), F.octet_length(array).alias("events_bytes"), F.lit(False).alias("deep")
+    )
+    return F.when(F.coalesce(same & whole, F.lit(False)), rendered).otherwise(_received_parts(text))
 
-def parse_lines(
-    frames: DataFrame, value: str = "value", *, exact: bool = False, numeric_offsets: bool = True
-) -> DataFrame:
-    """Add cursor fields, ``events`` (JSON texts, NULL for a keep-alive), ``info``,
+
+def parse_lines(frames: DataFrame, value: str = "value", *, numeric_offsets: bool = False) -> DataFrame:
+    """Add cursor fields, ``events`` (JSON texts, NULL for a keep-alive), ``info``, ``events_bytes``,
     ``n_events``, ``kind``, ``has_info`` and ``problem`` (NULL for a valid line).
 
-    ``exact`` keeps the texts as received and adds ``events_bytes``. A broker may hand out
-    offsets that are no numbers: with ``numeric_offsets`` such a line has a problem,
-    otherwise it is valid, and :func:`valid_lines` keeps its text in ``offset_text``.
+    Texts are as received. So is the offset, which may be any text; with ``numeric_offsets`` one that is no number
+    is a problem of its line.
     """
     line = F.from_json(value, _LINE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
     parsed = frames.select("*", _once(line, "_cursor", "_events", "_info", "_broken"))
-    cursor, events, info = F.col("_cursor"), F.col("_events"), F.col("_info")
+    broken = F.col(value).isNull() | F.col("_broken").isNotNull()
+    parts = F.when(~broken, _exact_parts(F.col(value), F.col("_events"), F.col("_info")))
+    parsed = parsed.select("*", _once(parts, "_raw_events", "_raw_info", "_bytes", "_deep"))
+    cursor = F.col("_cursor")
+    events = F.when(F.col("_events").isNotNull(), F.col("_raw_events"))
+    info = F.when(F.col("_info").isNotNull(), F.col("_raw_info"))
     empty = F.array_compact(
         F.array(*[F.when(F.coalesce(cursor[f], F.lit("")) == "", F.lit(f)) for f in CURSOR_FIELDS])
     )
     problem = (
-        F.when(F.col(value).isNull() | F.col("_broken").isNotNull(), F.lit("not a JSON line"))
+        F.when(broken, F.lit("not a JSON line"))
+        .when(F.col("_deep"), F.lit(f"nested deeper than {MAX_DEPTH}"))
         .when(cursor.isNull(), F.lit("no cursor"))
         .when(F.size(empty) > 0, F.concat(F.lit("no cursor "), F.array_join(empty, ",")))
     )
@@ -118,16 +141,12 @@ def parse_lines(
         .when(events.isNull(), F.lit("keep_alive"))
         .otherwise(F.lit("batch"))
     )
-    if exact:
-        parsed = parsed.withColumn("_raw", F.pandas_udf(_raw_parts, _RAW)(F.col(value)))
-        events = F.when(events.isNotNull(), F.col("_raw.events"))
-        info = F.when(info.isNotNull(), F.col("_raw.info"))
     return parsed.select(
         *frames.columns,
         *[cursor[f].alias(f) for f in ("event_type", "partition", "offset", "cursor_token")],
         events.alias("events"),
         info.alias("info"),
-        *([F.col("_raw.events_bytes").alias("events_bytes")] if exact else []),
+        F.when(F.col("_events").isNotNull(), F.col("_bytes")).alias("events_bytes"),
         F.coalesce(F.array_size(events), F.lit(0)).alias("n_events"),
         kind.alias("kind"),
         info.isNotNull().alias("has_info"),
@@ -161,11 +180,10 @@ def event_batches(lines: DataFrame) -> DataFrame:
 
 
 def byte_stats(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Add n_bytes of the line and n_events_bytes of its events array."""
-    texts = F.aggregate("events", F.lit(0), lambda n, e: n + F.octet_length(e))
-    commas = F.greatest(F.array_size("events") - 1, F.lit(0))
-    size = F.col("events_bytes") if "events_bytes" in lines.columns else texts + commas + 2
-    return lines.withColumn("n_bytes", F.octet_length(value)).withColumn("n_events_bytes", F.coalesce(size, F.lit(0)))
+    """Add n_bytes of the line and n_events_bytes of its events array, both as received."""
+    return lines.withColumn("n_bytes", F.octet_length(value)).withColumn(
+        "n_events_bytes", F.coalesce(F.col("events_bytes"), F.lit(0))
+    )
 
 
 def explode_events(batches: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -190,13 +208,48 @@ def _required_missing(decoded: Column, schema: T.StructType, required: Sequence[
     return F.array_compact(F.array(*checks))
 
 
+#: Kinds of JSON values that a type takes; any for strings.
+_TAKES = {
+    **dict.fromkeys(("tinyint", "smallint", "int", "bigint"), ("BIGINT",)),
+    **dict.fromkeys(("float", "double", "decimal"), ("BIGINT", "DECIMAL", "DOUBLE")),
+    **dict.fromkeys(("timestamp", "timestamp_ntz", "date"), ("STRING",)),
+    **dict.fromkeys(("struct", "map"), ("OBJECT",)),
+    "boolean": ("BOOLEAN",),
+    "array": ("ARRAY",),
+}
+
+
+def _mismatch(event: Column, schema: T.StructType) -> Column:
+    """Why a text doesn't match: the first field of another kind, with what it is and what is wanted."""
+    value = F.try_parse_json(event)
+    reasons = []
+
+    def check(path: str, name: str, kind: T.DataType) -> None:
+        simple = kind.simpleString().split("<")[0].split("(")[0]
+        found = F.regexp_extract(F.schema_of_variant(F.try_variant_get(value, path, "variant")), "^[A-Z]+", 0)
+        said = F.concat(F.lit(f"{name}: "), F.lower(found), F.lit(f" instead of {simple}"))
+        if simple in _TAKES:
+            reasons.append(F.when(~found.isin(*_TAKES[simple], "VOID"), said))
+        if simple in ("timestamp", "timestamp_ntz", "date"):
+            bad = (found == "STRING") & F.try_variant_get(value, path, simple).isNull()
+            reasons.append(F.when(bad, F.lit(f"{name}: no {simple}")))
+        if isinstance(kind, T.StructType):
+            for f in kind.fields:
+                check(f"{path}['{f.name}']", f"{name}.{f.name}" if name != "event" else f.name, f.dataType)
+
+    check("$", "event", schema)
+    no_json = F.when(event.isNull(), F.lit("no event")).when(value.isNull(), F.lit("not JSON"))
+    return F.coalesce(no_json, *reasons, F.lit("does not match the schema"))
+
+
 def decode_events(
     rows: DataFrame, schema: T.StructType, required: Sequence[str] = (), event: str = "event"
 ) -> DataFrame:
     """Decode each event on its own into ``decoded``; ``error`` tells why it failed.
 
     The raw text stays in the row, so failures keep (raw value, error). PERMISSIVE
-    parsing neither fails on missing fields nor tells which: ``required`` does.
+    parsing neither fails on missing fields nor tells which: ``required`` does. The
+    reason for a failure is looked up in the text again, in failed rows only.
     """
     with_corrupt = T.StructType([*schema.fields, T.StructField("_broken", T.StringType())])
     parse = F.from_json(event, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
@@ -204,9 +257,8 @@ def decode_events(
     parsed = rows.select("*", _once(parse, *names, "_broken"))
     decoded = F.struct(*[F.col(n).alias(f.name) for n, f in zip(names, schema.fields)])
     missing = _required_missing(decoded, schema, required)
-    error = F.when(
-        F.col(event).isNull() | F.col("_broken").isNotNull(), F.lit("does not match the schema")
-    ).when(F.size(missing) > 0, F.concat(F.lit("missing "), F.array_join(missing, ",")))
+    no_object = F.col(event).isNull() | F.col("_broken").isNotNull() | (F.btrim(event) == "null")
+    error = F.when(no_object, _mismatch(F.col(event), schema)).when(F.size(missing) > 0, F.concat(F.lit("missing "), F.array_join(missing, ",")))
     return parsed.select(
         *rows.columns, error.alias("error"), F.when(error.isNull(), decoded).alias("decoded")
     )

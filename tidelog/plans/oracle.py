@@ -71,7 +71,8 @@ frame_events AS (
   FROM lines l JOIN log g ON l.line_kind = 'batch' AND g.event_type = l.event_type AND g."partition" = l."partition"
     AND g."offset" // 10 = l.batch_no),
 corrupt_events AS (
-  SELECT *, CASE WHEN event_id % 11 = 3 THEN 'does not match the schema'
+  SELECT *, CASE WHEN event_id % 11 = 3
+      THEN CASE WHEN event_type IN ('purchase', 'signup') THEN 'data.value' ELSE 'value' END || ': string instead of double'
     WHEN event_id % 13 = 5 THEN CASE WHEN event_type IN ('purchase', 'signup') THEN 'missing data.value' ELSE 'missing value' END
     END AS error
   FROM frame_events WHERE batch_no % 8 < 5),
@@ -94,7 +95,7 @@ to_publish AS (
   SELECT event_id // 50 AS batch_id, event_id % 50 AS pos, event_id, eid, us, event_type,
     CASE WHEN event_id % 503 = 1 THEN '99' ELSE "partition" END AS "partition",
     CASE WHEN event_id % 1009 = 7 THEN 'missing value'
-         WHEN event_id % 1013 = 11 THEN 'does not match the schema'
+         WHEN event_id % 1013 = 11 THEN 'value: string instead of double'
          WHEN event_id % 499 = 3 THEN 'event type is not the target' END AS invalid,
     CASE WHEN event_id % 997 = 5 THEN 'may not overwrite version' END AS overwrites,
     CASE WHEN event_id % 503 = 1 THEN 'unknown partition 99' END AS unplaced
