@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from tidelog.functions.times import SECOND
 from tidelog.model import BEGIN, ETP
-from tidelog.operators.joins import join_small
+from tidelog.operators.joins import join_null_safe, join_small
+from tidelog.operators.ranks import first_rows
 from tidelog.operators.segments import SEGMENT_ROWS, position_segment, segmented_scan
 
 
@@ -179,25 +181,36 @@ def retained(log: DataFrame, retention_ms: int, as_of: Column) -> DataFrame:
     return log.filter(F.unix_micros("received_at") >= F.unix_micros(as_of) - retention_ms * 1000)
 
 
-def compacted(log: DataFrame, key: str = "key") -> DataFrame:
+def compacted(
+    log: DataFrame, key: str = "key", *, base: DataFrame | None = None, leave: Column | None = None
+) -> DataFrame:
     """Keep the newest event of each key within its partition.
 
-    An aggregate, not a window: the copies of a hot key are reduced before the shuffle.
+    Events without a key stay, and so do those for which ``leave`` is true (of event types that aren't compacted,
+    or too recent for it), which replace nothing either. ``base`` is an already compacted part before the log's
+    events: of it goes what a key of the log replaces, without grouping it again.
+
+    The newest offset per key is a fixed-width aggregate, reduced before the shuffle; rows are kept by
+    (partition, key, offset), so the copies of a hot key don't meet in one task.
     """
-    rest = [c for c in log.columns if c not in (*ETP, key)]
-    newest = F.max_by(F.struct(*rest), "offset")
-    return log.groupBy(*ETP, key).agg(newest.alias("_r")).select(*ETP, key, "_r.*").select(*log.columns)
+    open_ = F.col(key).isNotNull()
+    if leave is not None:
+        open_ = open_ & ~F.coalesce(leave, F.lit(False))
+    newest = log.filter(open_).groupBy(*ETP, key).agg(F.max("offset").alias("offset"))
+    kept = join_null_safe(log.filter(open_), newest, [*ETP, key, "offset"], "left_semi").unionByName(log.filter(~open_))
+    if base is None:
+        return kept
+    return join_null_safe(base, newest, [*ETP, key], "left_anti").unionByName(kept)
 
 
 def first_reception(log: DataFrame, order_by: Sequence[str] = ("received_at", "event_type", "partition", "offset")) -> DataFrame:
-    """Keep one event per eid, the first received, reducing copies before the shuffle."""
-    rest = [c for c in log.columns if c != "eid"]
-    first = F.min_by(F.struct(*rest), F.struct(*order_by))
-    return log.groupBy("eid").agg(first.alias("_r")).select("eid", "_r.*").select(*log.columns)
+    """Keep one event per eid, the first received; copies go before the shuffle, where they lie."""
+    place = F.row_number().over(Window.partitionBy("eid").orderBy(*order_by))
+    return log.withColumn("_place", place).filter("_place = 1").drop("_place")
 
 
 def stream_limit(log: DataFrame, n: int) -> DataFrame:
     """At most ``n`` events over all partitions in order of reception; 0 means no limit."""
     if n == 0:
         return log
-    return log.orderBy("received_at", *ETP, "offset").limit(n)
+    return first_rows(log, F.unix_micros("received_at"), [*ETP, "offset"], n)

@@ -72,7 +72,8 @@ def assign_by_strategy(
 
     * ``hash``: equal values of ``key_fields`` give equal partitions; the paths are
       below ``data`` for data-change events,
-    * ``random``: even, and the same on every run because it follows from the eid,
+    * ``random``: even, and the same on every run because it follows from the eid; an event
+      without one is rejected,
     * ``user_defined``: the partition is given and must exist.
     """
     rejection = F.lit(None).cast("string")
@@ -82,8 +83,8 @@ def assign_by_strategy(
         prefix = "data." if category == "data" else ""
         assigned = partition_for_key(compound_key(*[F.col(prefix + f) for f in key_fields]), partitions)
     elif strategy == "random":
-        place = F.pmod(F.xxhash64(eid), F.lit(len(partitions))).cast("int")
-        assigned = F.get(F.array(*[F.lit(p) for p in partitions]), place)
+        assigned = partition_for_key(F.col(eid), partitions)
+        rejection = F.when(F.col(eid).isNull(), F.lit("no eid"))
     elif strategy == "user_defined":
         known = F.coalesce(F.col(given).isin(*partitions), F.lit(False))
         assigned = F.when(known, F.col(given))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidelog.model import ABORTED, FAILED, SUBMITTED
 from tidelog.operators.envelope import decode_events
+from tidelog.operators.joins import join_small
 from tidelog.operators.partitioning import assign_by_strategy
 from tidelog.session import stored
 
@@ -95,11 +96,12 @@ def verdict(events: DataFrame, write_failed: Column | None = None) -> DataFrame:
 
     An event turned down before writing fails and the rest of its batch is aborted
     (422). Otherwise only events for which the write failed fail (207); a batch
-    without failures is 200. Only batches with a failure are aggregated and joined back:
-    few, as a rule, so that the events themselves need no shuffle.
+    without failures is 200. What was judged so far is stored, as it is read twice. Only batches
+    with a failure are aggregated and joined back: few, as a rule, so that the events themselves
+    need no shuffle.
     """
     lost = F.coalesce(write_failed, F.lit(False)) if write_failed is not None else F.lit(False)
-    rows = events.withColumn("_lost", lost)
+    rows = stored(events.withColumn("_lost", lost), "judged")
     flags = (
         rows.filter(F.col("step").isNotNull() | F.col("_lost"))
         .groupBy("batch_id")
@@ -115,7 +117,7 @@ def verdict(events: DataFrame, write_failed: Column | None = None) -> DataFrame:
     code = F.when(F.col("_bad"), 422).when(F.col("_some_lost"), 207).otherwise(200)
     write_error = ~F.col("_bad") & F.col("_lost")
     return (
-        rows.join(flags, "batch_id", "left")
+        join_small(rows, flags, ["batch_id"], "left")
         .withColumn("_bad", F.coalesce("_bad", F.lit(False)))
         .withColumns(
             {

@@ -274,7 +274,14 @@ ORACLE: dict[str, str] = {
     "retained_events": _plain(
         f"""SELECT event_type, "partition", "offset", eid FROM log WHERE us >= {_AS_OF} - 7 * 86400000000"""
     ),
-    "compacted_log": _plain('SELECT event_type, "partition", key, "offset", eid FROM compacted'),
+    "compacted_log": _plain(
+        """SELECT event_type, "partition", key, "offset", eid FROM (
+          SELECT event_type, "partition", keyed AS key, "offset", eid,
+            max("offset") OVER (PARTITION BY event_type, "partition", keyed) AS newest
+          FROM (SELECT *, CASE WHEN event_id % 7 <> 0 THEN key END AS keyed FROM log))
+        WHERE key IS NULL OR event_type = 'view' OR "offset" = newest"""
+    ),
+    "compacted_increment": _plain('SELECT event_type, "partition", key, "offset", eid FROM compacted'),
     "first_receptions": _plain('SELECT eid, event_type, "partition", "offset", us AS received_us FROM log'),
     "limited_stream": _plain(
         """SELECT event_type, "partition", "offset" FROM log ORDER BY us, event_type, "partition", "offset" LIMIT 1000"""
@@ -349,7 +356,15 @@ ORACLE: dict[str, str] = {
             "event_id",
         ),
     ),
-    "random_partition_spread": _plain("SELECT count(*) AS n_events, 8::BIGINT AS n_partitions, true AS even FROM ev"),
+    "random_partition_spread": _sql(
+        """SELECT event_id, CASE WHEN event_id % 50 <> 0 THEN CAST(hash % 8 AS VARCHAR) END AS assigned,
+        CASE WHEN event_id % 50 = 0 THEN 'no eid' END AS rejection FROM hashed""",
+        _HASH,
+        _hashed("ev", "eid", "event_id"),
+    ),
+    "partitions_by_own_hash": _plain(
+        """SELECT event_id, CAST((length(key) * 31 + ascii(key) + ascii(right(key, 1))) % 12 AS VARCHAR) AS "partition" FROM ev"""
+    ),
     "user_defined_partitions": _plain(
         """SELECT event_id, CASE WHEN event_id % 50 <> 0 AND user_id % 10 < 8 THEN CAST(user_id % 10 AS VARCHAR) END AS assigned,
         CASE WHEN event_id % 50 = 0 THEN 'no partition given'
@@ -571,8 +586,9 @@ periods AS (
         FROM line_bytes GROUP BY ALL"""
     ),
     "event_type_registry": _plain(
-        """SELECT event_type AS name, CASE WHEN event_type IN ('purchase', 'signup') THEN 'data' ELSE 'business' END AS category,
-        min(us) AS created_us, count(*) AS n_events FROM ev GROUP BY event_type"""
+        """SELECT asked, event_type AS name, CASE WHEN event_type IN ('purchase', 'signup') THEN 'data' ELSE 'business' END AS category,
+        min(us) AS created_us, count(*) AS n_events FROM ev, (VALUES ('all'), ('purchase')) a(asked)
+        WHERE asked = 'all' OR event_type = asked GROUP BY asked, event_type"""
     ),
     "subscription_list": _plain(
         """SELECT 'sub-' || lpad(CAST(user_id AS VARCHAR), 8, '0') AS id, 'app-' || CAST(user_id % 3 AS VARCHAR) AS owning_application,

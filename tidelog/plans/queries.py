@@ -166,7 +166,18 @@ def retained_events(spark, sf_dir):
 
 @query
 def compacted_log(spark, sf_dir):
-    return of.compacted(tb.log(spark, sf_dir).select(*ETP, "key", "offset", "eid"))
+    """Every seventh event has no key, and views are of the category that isn't compacted."""
+    key = F.when(F.col("event_id") % 7 != 0, F.col("key"))
+    log = tb.log(spark, sf_dir).select(*ETP, key.alias("key"), "offset", "eid")
+    return of.compacted(log, leave=F.col("event_type") == "view")
+
+
+@query
+def compacted_increment(spark, sf_dir):
+    """A log compacted up to some offset, then with what came since."""
+    log = tb.log(spark, sf_dir).select(*ETP, "key", "offset", "eid")
+    old = F.col("offset") < 60
+    return of.compacted(log.filter(~old), base=of.compacted(log.filter(old)))
 
 
 @query
@@ -363,16 +374,21 @@ def partitions_by_compound_key(spark, sf_dir):
 
 @query
 def random_partition_spread(spark, sf_dir):
-    """Spread of the random strategy: every partition gets its share within a quarter."""
-    rows = tb.to_log_rows(tb.events(spark, sf_dir))
-    assigned = pt.assign_by_strategy(rows, "random", PARTITIONS)
-    counts = assigned.groupBy("assigned").agg(F.count(F.lit(1)).alias("n"))
-    share = F.sum("n") / len(PARTITIONS)
-    return counts.agg(
-        F.sum("n").cast("long").alias("n_events"),
-        F.count(F.lit(1)).alias("n_partitions"),
-        ((F.max("n") <= share * 1.25) & (F.min("n") >= share * 0.75)).alias("even"),
-    )
+    """The random strategy, with some events that have no eid."""
+    rows = tb.to_log_rows(tb.spread(tb.events(spark, sf_dir)))
+    rows = rows.withColumn("eid", F.when(F.col("event_id") % 50 != 0, F.col("eid")))
+    return pt.assign_by_strategy(rows, "random", PARTITIONS).select("event_id", "assigned", "rejection")
+
+
+@query
+def partitions_by_own_hash(spark, sf_dir):
+    """A hash function of the caller's own."""
+    rows = tb.to_log_rows(tb.spread(tb.events(spark, sf_dir)))
+    none = F.lit(None).cast("string")
+    events = rows.select("event_id", "key", F.struct(F.col("eid"), none.alias("partition")).alias("metadata"))
+    own = lambda key: F.length(key).cast("long") * 31 + F.ascii(key) + F.ascii(F.right(key, F.lit(1)))
+    assigned = pt.assign_partitions(events, F.col("key"), TWELVE, hasher=own)
+    return assigned.select("event_id", F.col("metadata.partition").alias("partition"))
 
 
 @query
@@ -825,8 +841,9 @@ def event_type_registry(spark, sf_dir):
         F.min("ts").alias("created_at"), F.count(F.lit(1)).alias("n_events")
     )
     category = F.when(F.col("name").isin(*tb.DATA_TYPES), "data").otherwise("business")
-    found = registry.event_types(table).withColumn("category", category)
-    return found.select("name", "category", _us("created_at").alias("created_us"), "n_events")
+    listed = registry.event_types(table).withColumn("asked", F.lit("all"))
+    found = listed.unionByName(registry.event_types(table, "purchase").withColumn("asked", F.lit("purchase")))
+    return found.withColumn("category", category).select("asked", "name", "category", _us("created_at").alias("created_us"), "n_events")
 
 
 @query

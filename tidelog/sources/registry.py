@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidelog.operators.ranks import rows_after
+
 
 def event_types(table: DataFrame, name: str | None = None) -> DataFrame:
     """All event types, or the one of that name."""
@@ -18,11 +20,13 @@ def subscriptions(
 ) -> DataFrame:
     """Subscriptions, newest first, filtered by event type and owner, from an offset on.
 
-    All of them: a page size only matters to a paged API.
+    All of them: a page size only matters to a paged API. What an offset leaves out is
+    found by rank, so no task holds the rows before it.
     """
     if event_type is not None:
         table = table.filter(F.array_contains("event_types", event_type))
     if owning_application is not None:
         table = table.filter(F.col("owning_application") == owning_application)
-    ordered = table.orderBy(F.col("created_at").desc(), "id")
-    return ordered.offset(offset) if offset else ordered
+    if offset:
+        table = rows_after(table, -F.unix_micros("created_at"), ["id"], offset)
+    return table.orderBy(F.col("created_at").desc(), "id")
