@@ -70,7 +70,7 @@ def random_files(seed):
 def test_files_in_micro_batches(spark, tmp_path, rounds, broadcast):
     files, labels = random_files(rounds)
     path = written(spark, tmp_path / "docs", files)
-    got = filter_audit.audit(spark, path, marks(spark, labels), rounds=rounds, broadcast_labels=broadcast, folder=str(tmp_path / "run"))
+    got = filter_audit.audit(spark, path, marks(spark, labels), rounds=rounds, broadcast_labels=broadcast, folder=str(tmp_path / "run"), bucket_texts=rounds * 9)
     assert answers(got, *COLUMNS) == plain(sum(files, []), labels)
     assert len([*(tmp_path / "run" / "counters").iterdir()]) > rounds
 

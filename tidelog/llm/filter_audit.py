@@ -8,8 +8,10 @@ from collections import Counter
 from collections.abc import Iterator
 from itertools import permutations
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -28,6 +30,10 @@ ROUNDS = 4
 #: Labels, of 10 bytes each, that are broadcast; more of them are joined by a shuffle, each id in so many parts.
 BROADCAST_LABELS, SALTS = 500_000, 16
 
+#: Texts that share one row of the keyed state, about; calls by key cost more than their work.
+BUCKET_TEXTS = 2000
+_HELD = np.dtype([("key", "V32"), ("least", "<i8"), ("kind", "<i4"), ("n", "<i8")])
+
 _KINDS = ["part", "mask", "good", "toxic"]
 _DELTAS = "part string, mask int, good boolean, toxic boolean, n long"
 #: A null id counts as larger than all others.
@@ -83,11 +89,12 @@ def labelled(rows: DataFrame, labels: DataFrame, broadcast_labels: int = BROADCA
     return joined.select("doc_id", "part", "key", "mask", good, toxic)
 
 
-def folded(rows: DataFrame) -> DataFrame:
+def folded(rows: DataFrame, buckets: int) -> DataFrame:
     """Rows of one Arrow batch folded before the shuffle, so that a text of very many rows has few of them.
 
     Of equal texts in a batch only those of the smallest id are candidates for the state; the others certainly
-    repeat a smaller id's text. They are counted here and pass under short keys, which have no state.
+    repeat a smaller id's text. They are counted here and pass under a short key, which has no state. The
+    leading bytes of the key deal the texts to ``buckets``.
     """
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -105,46 +112,72 @@ def folded(rows: DataFrame) -> DataFrame:
         made = [*zip(*counts, strict=True)] or [()] * 6
         kinds = (pa.binary(), pa.int64(), pa.string(), pa.int32(), pa.bool_(), pa.bool_())
         arrays = [pa.array(c, k) for c, k in zip(made, kinds, strict=True)]
-        return pa.RecordBatch.from_arrays([*arrays, pa.array(counts.values(), pa.int64())], ["key", "doc_id", *_KINDS, "n"])
+        dealt = [int.from_bytes(key[:8], "big") % buckets for key in made[0]]
+        columns = [pa.array(dealt, pa.int64()), *arrays, pa.array(counts.values(), pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["bucket", "key", "doc_id", *_KINDS, "n"])
+
+    return map_batches(rows, step, f"bucket long, key binary, doc_id long, {_DELTAS}")
+
+
+def _load(state: GroupState) -> dict[bytes, tuple[int, dict]]:
+    """Of each text of the bucket: the smallest id so far, and what its rows were counted as."""
+    held: dict[bytes, tuple[int, dict]] = {}
+    if state.exists:
+        texts, names = state.get
+        kinds = [tuple(k) for k in json.loads(names)]
+        for key, least, kind, n in np.frombuffer(texts, _HELD).tolist():
+            held.setdefault(key, (least, {}))[1][kinds[kind]] = n
+    return held
+
 
-    return map_batches(rows, step, f"key binary, doc_id long, {_DELTAS}")
+def _keep(state: GroupState, held: dict[bytes, tuple[int, dict]]) -> None:
+    kinds = {kind: k for k, kind in enumerate(dict.fromkeys(kind for _, own in held.values() for kind in own))}
+    rows = [(key, least, kinds[kind], n) for key, (least, own) in held.items() for kind, n in own.items()]
+    state.update((np.array(rows, _HELD).tobytes(), json.dumps([*kinds])))
 
 
-def settle(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Changes of the counters by the new rows of one text.
+def settle(bucket: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Changes of the counters by the new rows of the texts of one bucket.
 
-    The state holds the smallest id so far and what its rows were counted as. When a smaller id comes, those
-    counts are taken back and given again as repeated.
+    When a smaller id of a text comes, what the rows of the smallest id so far were counted as is taken back
+    and given again as repeated.
     """
     changes: Counter = Counter()
-    (text,) = key
-    least, held = None, {}
-    if len(text) > 1 and state.exists:
-        least, kept = state.get
-        held = {(part, mask, good, toxic): n for part, mask, good, toxic, n in json.loads(kept)}
+    held = _load(state)
     for frame in frames:
-        columns = [frame[c].tolist() for c in ("doc_id", *_KINDS, "n")]
-        for doc_id, part, mask, good, toxic, n in zip(*columns, strict=True):
+        columns = [frame[c].tolist() for c in ("key", "doc_id", *_KINDS, "n")]
+        for key, doc_id, part, mask, good, toxic, n in zip(*columns, strict=True):
             kind = (part, mask, good, toxic)
-            if len(text) == 1:
+            if len(key) == 1:
                 changes[kind] += n
-            elif least is not None and doc_id > least:
+                continue
+            least, own = held.get(key, (doc_id, {}))
+            if doc_id > least:
                 changes[part, mask | REPEATED, good, toxic] += n
-            else:
-                if least is not None and doc_id < least:
-                    for (was, bits, a, b), count in held.items():
-                        changes[was, bits, a, b] -= count
-                        changes[was, bits | REPEATED, a, b] += count
-                    held = {}
-                least = doc_id
-                held[kind] = held.get(kind, 0) + n
-                changes[kind] += n
-    if len(text) > 1:
-        state.update((least, json.dumps([[*kind, n] for kind, n in held.items()])))
+                continue
+            if doc_id < least:
+                for (was, bits, a, b), count in own.items():
+                    changes[was, bits, a, b] -= count
+                    changes[was, bits | REPEATED, a, b] += count
+                own = {}
+            own[kind] = own.get(kind, 0) + n
+            held[key] = (doc_id, own)
+            changes[kind] += n
+    _keep(state, held)
     rows = [(*kind, n) for kind, n in changes.items() if n]
     yield pd.DataFrame(rows, columns=[*_KINDS, "n"])
 
 
+def _buckets(spark: SparkSession, path: str, folder: str, bucket_texts: int) -> int:
+    """The number of buckets, which stays that of the first run in ``folder``."""
+    try:
+        return spark.read.parquet(f"{folder}/buckets").first()[0]
+    except AnalysisException:
+        n = spark.read.parquet(path).count() // bucket_texts + 1
+        spark.createDataFrame([(n,)], "buckets long").write.parquet(f"{folder}/buckets")
+        return n
+
+
 def counters(
     spark: SparkSession,
     path: str,
@@ -153,11 +186,13 @@ def counters(
     rounds: int = ROUNDS,
     folder: str | None = None,
     broadcast_labels: int = BROADCAST_LABELS,
+    bucket_texts: int = BUCKET_TEXTS,
 ) -> DataFrame:
     """(part, mask, n, n_good, n_toxic): documents of the Parquet table at ``path`` by part and failed filters.
 
-    The files are a stream, read in ``rounds`` micro-batches at most that are available now. A keyed state per text
-    knows its smallest id. Each micro-batch adds its changes to the counters as one folder, named by its number and
+    The files are a stream, read in ``rounds`` micro-batches at most that are available now. A keyed state
+    knows the smallest id of every text; texts share a row of it in buckets of about ``bucket_texts``, whose number
+    follows from that of the rows when the stream begins. Each micro-batch adds its changes to the counters as one folder, named by its number and
     replaced as a whole, so a batch that is run again after a failure counts once. ``folder`` (in storage that
     all executors share) keeps the checkpoint; with the same one a later run goes on where the last one stopped
     and also takes files that came meanwhile.
@@ -168,9 +203,9 @@ def counters(
     exact = f"{path[:-1]}[{path[-1]}]"
     schema = spark.read.parquet(path).select("doc_id", "lang", "text").schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max(1, -(-n_files // rounds))).parquet(exact)
-    rows = folded(labelled(judged(stream), labels, broadcast_labels))
-    changes = rows.groupBy("key").applyInPandasWithState(
-        settle, _DELTAS, "least long, held string", "append", GroupStateTimeout.NoTimeout
+    rows = folded(labelled(judged(stream), labels, broadcast_labels), _buckets(spark, path, folder, bucket_texts))
+    changes = rows.groupBy("bucket").applyInPandasWithState(
+        settle, _DELTAS, "texts binary, kinds string", "append", GroupStateTimeout.NoTimeout
     )
 
     def add(batch: DataFrame, batch_id: int) -> None:
