@@ -1,7 +1,9 @@
 import json
+import random
 import sys
 import time
 
+import pandas as pd
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -257,3 +259,27 @@ def test_stops_outlive_micro_batches_and_restarts(spark, tmp_path):
     assert got[2] == ("abort_stream", "stopped") and got[4] == got[6] == ("held_back", "held_back")
     assert all(got[i] == ("commit", "committed") for i in (0, 1, 3, 5, 7))
     assert rows(sc.committed(spark, out), "partition", "committed") == [("0", 0), ("1", 7)]
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_spans_are_a_monoid(seed):
+    rnd = random.Random(seed)
+    times, limit = [rnd.randrange(300) for _ in range(rnd.randrange(1, 60))], rnd.randrange(1, 20)
+    cut = rnd.randrange(len(times))
+    spans = ss.Spans(limit)
+    for part in (times[:cut], times[cut:]):
+        spans.add_times(pd.to_datetime(pd.Series(part, dtype="int64"), unit="us"))
+    want = []
+    for t in sorted(times):
+        if want and t - want[-1][1] < limit:
+            want[-1][1] = t
+        else:
+            want.append([t, t])
+    assert [*zip(spans.starts.tolist(), spans.ends.tolist())] == [*map(tuple, want)]
+    since = rnd.choice([None, rnd.randrange(300)])
+    known, quiet = since, []
+    for t in sorted(times):
+        if known is not None and t - known >= limit + 3:
+            quiet.append(known)
+        known = t if known is None else max(known, t)
+    assert spans.quiet(since, limit + 3) == quiet

@@ -71,7 +71,7 @@ def quiet_periods(
             )
         ).alias("p"),
     )
-    ends = rows.groupBy("stream_id").agg(F.max("_at").alias("f"), F.max("_batch_at").alias("e"))
+    ends = scanned.groupBy("stream_id").agg(F.max("_at").alias("f"), F.max("_batch_at").alias("e"))
     now = F.unix_micros(as_of)
     tail = ends.select(
         "stream_id",

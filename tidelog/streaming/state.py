@@ -1,8 +1,13 @@
 """Keyed state over streams: partition activity, stream liveness, handler slots.
 
 Every processor works on event time (replays, tests; timers fire as the watermark
-moves) or on processing time (live use). Rows of one key within a micro-batch are put
-in order first; the source's rate options bound how many that can be.
+moves) or on processing time (live use).
+
+Activity and liveness ask only for the quiet times between rows. Each Arrow batch of a key is
+reduced to the spans in which it was never quiet for long, and spans are merged as
+they come: in any order, and with no row kept. A handler slot calls a user function for
+each row in order, so it sorts a key's rows of a micro-batch, which the source's rate
+options bound.
 """
 
 from __future__ import annotations
@@ -10,6 +15,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -34,6 +40,40 @@ def _in_order(rows: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
     return pd.concat(list(rows), ignore_index=True).sort_values(order)
 
 
+class Spans:
+    """Stretches of time without a quiet time of ``limit`` microseconds or more; a monoid under :meth:`add`."""
+
+    def __init__(self, limit: int):
+        self._limit = limit
+        self.starts = self.ends = np.empty(0, np.int64)
+
+    def add(self, starts: np.ndarray, ends: np.ndarray) -> None:
+        starts, ends = np.concatenate((self.starts, starts)), np.concatenate((self.ends, ends))
+        order = np.argsort(starts, kind="stable")
+        starts, ends = starts[order], np.maximum.accumulate(ends[order])
+        opens = np.concatenate(([True], starts[1:] - ends[:-1] >= self._limit))[: len(starts)]
+        closes = np.concatenate((opens[1:], [True]))[: len(starts)]
+        self.starts, self.ends = starts[opens], ends[closes]
+
+    def add_times(self, times: pd.Series) -> None:
+        at = np.sort(pd.to_datetime(times).astype("datetime64[us]").astype("int64").to_numpy())
+        self.add(at, at)
+
+    @property
+    def last(self) -> int:
+        return int(self.ends[-1])
+
+    def quiet(self, since: int | None, limit: int) -> list[int]:
+        """Where quiet times of ``limit`` or more began; ``since`` is the last time heard before."""
+        ends, starts = self.ends, self.starts
+        if since is not None:
+            # What came late, before that time, was not quiet for it.
+            ends = np.maximum(np.concatenate(([since], ends)), since)
+        elif len(starts):
+            starts = starts[1:]
+        return ends[: len(starts)][starts - ends[: len(starts)] >= limit].tolist()
+
+
 def _due_ms(at_us: int) -> int:
     """First millisecond strictly after a time in microseconds."""
     return at_us // 1000 + 1
@@ -71,15 +111,18 @@ class PartitionActivity(_Timed):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         since, last = self._state.get() if self._state.exists() else (None, None)
+        spans = Spans(self._timeout + 1)
+        for part in rows:
+            spans.add_times(part[self._at])
         out = []
-        for at in sorted(t for part in rows for t in _micros(part[self._at])):
-            if last is not None and at - last > self._timeout:
+        for start, end in zip(spans.starts.tolist(), spans.ends.tolist()):
+            if last is not None and start - last > self._timeout:
                 out.append((*key, "deactivated", last, last - since))
                 since = None
             if since is None:
-                out.append((*key, "activated", at, None))
-                since = at
-            last = at if last is None else max(last, at)
+                out.append((*key, "activated", start, None))
+                since = start
+            last = end if last is None else max(last, end)
         self._state.update((since, last))
         self._rearm(_due_ms(last + self._timeout))
         yield self._frame(out)
@@ -138,20 +181,28 @@ class StreamLiveness(_Timed):
             self._handle.registerTimer(-(-min(due) // 1000))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        got = _in_order(rows, [self._at])
-        out: list[tuple] = []
-        last, told = None, 0
+        least = min(limit for _, _, limit in self._limits)
+        heard = {"frames": Spans(least), "events": Spans(least)}
+        for part in rows:
+            heard["frames"].add_times(part[self._at])
+            batches = part[self._at][part["kind"] == "batch"]
+            if len(batches):
+                heard["events"].add_times(batches)
+        first, now = int(heard["frames"].starts[0]), heard["frames"].last
+        # A stream is watched from its first frame on.
+        before, told = {"frames": first, "events": first}, 0
         if self._state.exists():
             frame, events, told = self._state.get()
-            last = {"frames": frame, "events": events}
-        for at, kind in zip(_micros(got[self._at]), got["kind"].tolist()):
-            last = last or {"frames": at, "events": at}
-            told = self._tell(key, last, told, at, out)
-            heard = ("frames", "events") if kind == "batch" else ("frames",)
-            for i, (_, missing, _) in enumerate(self._limits):
-                if missing in heard:
-                    told &= ~(1 << i)
-            last.update({h: max(at, last[h]) for h in heard})
+            before = {"frames": frame, "events": events}
+        last = {m: max(before[m], spans.last) if len(spans.ends) else before[m] for m, spans in heard.items()}
+        out: list[tuple] = []
+        for i, (severity, missing, limit) in enumerate(self._limits):
+            quiet = heard[missing].quiet(before[missing], limit)
+            # The period that was open before may have been told already.
+            out += [(key[0], severity, missing, at) for at in quiet if not (told >> i & 1 and at == before[missing])]
+            if len(heard[missing].ends):
+                told &= ~(1 << i)
+        told = self._tell(key, last, told, max(now, last["frames"]), out)
         self._keep(last, told)
         yield self._frame(out)
 
