@@ -100,6 +100,6 @@ def test_decode_error_hooks(spark):
     schema, count = business_event(PAYLOAD), lambda df: df.select("pos")
     assert rows(hd.typed_handler(lines, schema, count, ("count",), "drop")) == [(0,)]
     good, bad = hd.typed_handler(lines, schema, count, ("count",), "route")
-    assert (good.count(), rows(bad, "pos", "error")) == (1, [(1, "does not match the schema"), (2, "missing count")])
+    assert (good.count(), rows(bad, "pos", "error")) == (1, [(1, "count: string instead of bigint"), (2, "missing count")])
     with pytest.raises(Exception, match="event cannot be decoded"):
         hd.typed_handler(lines, schema, count, ("count",)).collect()
