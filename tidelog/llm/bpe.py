@@ -14,7 +14,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tidelog.llm.common import Rows, id_and_text
+from tidelog.llm.common import Rows, id_and_text, release_memory
 
 #: Fixed pattern of the vocabulary file: what is a word.
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -100,8 +100,8 @@ class WordBpe:
         self.chars = dict(enumerate(byte_chars()))
         self.forget()
 
-    def forget(self) -> None:
-        self.words, self.chunks = Memory(), Memory()
+    def forget(self, remembered: int = REMEMBERED) -> None:
+        self.words, self.chunks = Memory(remembered), Memory(remembered)
 
     def _pair_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a * self.n + b
@@ -269,9 +269,11 @@ def word_bpe(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", *, keep_text: bool = True) -> DataFrame:
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", *, keep_text: bool = True, remembered: int = REMEMBERED) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256, and with ``keep_text`` ids and decoded.
 
+    A task remembers the answers of so many words, which costs some 200 MB of its worker at the default.
+
     ``path`` is a vocabulary file that all executors have. Null and empty texts have no tokens. Each document
     stands alone, so repeated rows, ties and extra columns make no difference; an empty table gives no rows.
     """
@@ -301,10 +303,11 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     names = [c for c in kinds if keep_text or c not in ("ids", "decoded")]
 
     def run(batches: Rows) -> Rows:
+        word_bpe(path).forget(remembered)
         try:
             yield from map(step, batches)
         finally:
-            # Workers are used again by other tasks: what this one remembered goes with it.
             word_bpe(path).forget()
+            release_memory()
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in names))

@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from tidelog.llm.bpe import Memory, byte_chars
-from tidelog.llm.common import Rows, id_and_text
+from tidelog.llm.common import Rows, id_and_text, release_memory
 
 #: Fixed pattern of the rank files: what is encoded apart (a pre-token).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -181,7 +181,7 @@ def encode(
             for batch in batches:
                 yield step(tables, batch)
         finally:
-            # Workers are used again by other tasks: what this one remembered goes with it.
             tables.forget()
+            release_memory()
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, schema)

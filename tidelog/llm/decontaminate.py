@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidelog.llm.common import Rows, id_and_text, map_batches
+from tidelog.llm.common import Rows, id_and_text, map_batches, release_memory
 from tidelog.session import stored
 
 #: Words of a window.
@@ -70,6 +70,12 @@ def postings(docs: DataFrame, vocabulary: dict[bytes, int], terms: set[int], rea
     around = np.arange(1 - reach, reach)
 
     def run(batches: Rows) -> Rows:
+        try:
+            yield from index(batches)
+        finally:
+            release_memory()
+
+    def index(batches: Rows) -> Rows:
         known, wanted = shared.value
         row = TaskContext.get().partitionId() << 36
         for batch in batches:
