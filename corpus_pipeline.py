@@ -6,23 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm import bpe, decontaminate, exact_dedup, quality, simhash
-from tidelog.llm.common import ROW, keep_rows, keyed
+from tidelog.llm.common import ROW, keyed, without_rows
 from tidelog.llm.queries import VOCABULARIES, benchmark, labels
 from tidelog.session import scratch_path
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the quality classifier doesn't reject; it is fitted on the labelled documents among ``docs``."""
-    rows = keyed(docs)
-    scored = quality.score(rows, quality.train(docs, labels(spark, sf_dir)), ROW)
-    return keep_rows(rows, scored.where("predicted = 1").select("doc_id"))
+    return quality.good_rows(docs, quality.train(docs, labels(spark, sf_dir)))
 
 
 def first_of_each(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """The rows whose group (a row key in each of ``groups``'s rows) has none of smaller doc_id, of equal ids the first."""
+    """One row of each group (``groups`` names that of every row key): the smallest doc_id, of equal ids the first row."""
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", ROW)
-    best = groups.join(rows.select(ROW, "doc_id"), ROW).groupBy("group").agg(F.min(order).alias("best"))
-    return keep_rows(rows, best.select(f"best.{ROW}"))
+    members = groups.join(rows.select(ROW, "doc_id"), ROW)
+    best = members.groupBy("group").agg(F.min(order).alias("best"), F.count("*").alias("n")).where("n > 1")
+    return without_rows(rows, members.join(best, "group").where(F.col(ROW) != F.col(f"best.{ROW}")).select(ROW))
 
 
 def first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,12 +45,13 @@ def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Rows without a window of a benchmark item."""
     rows = keyed(docs)
     judged = decontaminate.contaminated(rows, benchmark(spark, sf_dir), ROW)
-    return keep_rows(rows, judged.where("not contaminated").select("doc_id"))
+    return without_rows(rows, judged.where("contaminated").select("doc_id"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Number and digest of the tokens of each document, and digest of the decoded text."""
-    return bpe.encode(docs, f"{VOCABULARIES}/word_bpe_49k.json", keep_text=False)
+    # Workers that other stages have used share the executor's memory with a heap that has grown.
+    return bpe.encode(docs, f"{VOCABULARIES}/word_bpe_49k.json", keep_text=False, remembered=100_000)
 
 
 STAGES = [
