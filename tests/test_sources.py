@@ -29,7 +29,7 @@ def test_frames_to_events(spark):
     line = {"cursor": {"partition": "0", "offset": "7", "event_type": "e", "cursor_token": "t"}, "events": [{"a": 1}, {"a": 2}]}
     frames = spark.createDataFrame([("s", 0, json.dumps(line)), ("s", 1, "junk")], "stream_id string, frame_id long, value string")
     got = fr.read_events(frames)
-    assert rows(got, "frame_id", "pos", "event", "offset") == [(0, 0, '{"a":1}', 7), (0, 1, '{"a":2}', 7)]
+    assert rows(got, "frame_id", "pos", "event", "offset") == [(0, 0, '{"a": 1}', 7), (0, 1, '{"a": 2}', 7)]
     decoded = fr.read_events(frames, spark.sql("select 1 as a").schema, ["a"])
     assert rows(decoded, "decoded.a") == [(1,), (2,)]
 
