@@ -1,4 +1,4 @@
-"""Removal of passages that occur in a smaller document, told in suffix order."""
+"""Removal of passages that occur in a smaller document, by longest previous factors."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +20,10 @@ MIN_BYTES = 50
 GRAM = 24
 #: Text of a group of documents, and anchors of a bucket, about.
 GROUP_BYTES, BUCKET_ANCHORS = 8_000_000, 1_000_000
+#: An anchor of about so many runs is hot: its passages are dealt to buckets by their own bytes.
+HOT_RUNS = 50_000
+#: Passages brought into suffix order at a time, about.
+PASSAGES = 500_000
 #: Documents are laid end to end in pieces of about this size to find their anchors.
 _PIECE = 1_000_000
 #: Null ids come after all others.
@@ -167,31 +172,39 @@ def _distinct(group: _Group) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _announce(table: pa.Table, plan: Plan) -> pa.Table:
-    """Tell each bucket the keys of a group."""
-    keys, several = _distinct(_group(table, plan))
-    rows = [(b, _pack(keys[i:j]), np.packbits(several[i:j]).tobytes()) for b, i, j in _cuts(plan.buckets(keys))]
+    """Tell each bucket the keys of a group, and of how many runs (the next power of two) each is the anchor."""
+    group = _group(table, plan)
+    keys, several = _distinct(group)
+    counts = np.unique(group.runs.key, return_counts=True)[1]
+    powers = np.ceil(np.log2(np.maximum(counts, 1))).astype(np.uint8)
+    rows = [
+        (b, _pack(keys[i:j]), np.packbits(several[i:j]).tobytes(), powers[i:j].tobytes())
+        for b, i, j in _cuts(plan.buckets(keys))
+    ]
     g = table.column("g")[0].as_py()
-    return pa.table(
-        [pa.array([r[0] for r in rows], pa.int64()), pa.array([g] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())],
-        ["bucket", "g", "keys", "several"],
-    )
+    kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
+    columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)]
+    return pa.table([columns[0], pa.array([g] * len(rows), pa.int64()), *columns[1:]], ["bucket", "g", "keys", "several", "powers"])
 
 
-def _answer(table: pa.Table) -> pa.Table:
-    """Tell each group which of its keys other documents have too."""
+def _answer(table: pa.Table, hot_runs: int) -> pa.Table:
+    """Tell each group which of its keys other documents have too, and which are hot."""
     parts = [_unpack(k) for k in table.column("keys").to_pylist()]
     several = [np.unpackbits(np.frombuffer(s, np.uint8), count=len(p)).astype(bool) for s, p in zip(table.column("several").to_pylist(), parts, strict=True)]
     flat = np.concatenate(parts)
+    powers = np.concatenate([np.frombuffer(p, np.uint8) for p in table.column("powers").to_pylist()])
     order = np.argsort(flat, kind="stable")
     ranked = flat[order]
     same = ranked[1:] == ranked[:-1]
     twice = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-    shared = np.empty(len(flat), bool)
+    shared, hot = np.empty(len(flat), bool), np.empty(len(flat), bool)
     shared[order] = twice
     shared |= np.concatenate(several)
+    stretch = np.cumsum(np.concatenate([[0], ~same]))
+    hot[order] = np.bincount(stretch, 2.0 ** powers[order])[stretch] > hot_runs
     cuts = np.cumsum([len(p) for p in parts])[:-1]
-    masks = [np.packbits(m).tobytes() for m in np.split(shared, cuts)]
-    return pa.table([table.column("g"), table.column("bucket"), pa.array(masks, pa.binary())], ["g", "bucket", "mask"])
+    masks, hots = ([np.packbits(m).tobytes() for m in np.split(x, cuts)] for x in (shared, hot & shared))
+    return pa.table([table.column("g"), table.column("bucket"), pa.array(masks, pa.binary()), pa.array(hots, pa.binary())], ["g", "bucket", "mask", "hot"])
 
 
 _RUN = np.dtype([("key", "<u8"), ("id", "<i8"), ("row", "<i4"), ("begin", "<i4"), ("size", "<i4")])
@@ -201,8 +214,10 @@ _SPAN = np.dtype([("row", "<i4"), ("begin", "<i4"), ("end", "<i4")])
 def _send(texts: pa.Table, masks: pa.Table, plan: Plan) -> pa.Table:
     """Send the runs with shared anchors to their buckets, with their bytes.
 
-    Of runs with the same bytes in a group only that of the smallest id is sent. The others, if their id is
-    larger, are repeats already; so a passage that fills a third of the table reaches its bucket once a group.
+    A run around a hot anchor is sent as its single passages, keyed by a hash of their bytes instead of the anchor: equal
+    passages still meet, but the anchor's runs are spread over all buckets. Of runs with the same bytes in a group only
+    that of the smallest id is sent. The others, if their id is larger, are repeats already; so a passage that fills
+    a third of the table reaches its bucket once a group.
     """
     empty = pa.schema([("bucket", pa.int64()), ("g", pa.int64()), ("runs", pa.binary()), ("data", pa.binary()), ("done", pa.binary())]).empty_table()
     if not texts.num_rows or not masks.num_rows:
@@ -211,92 +226,171 @@ def _send(texts: pa.Table, masks: pa.Table, plan: Plan) -> pa.Table:
     runs = group.runs
     keys, back = np.unique(runs.key, return_inverse=True)
     sizes = {b: j - i for b, i, j in _cuts(plan.buckets(keys))}
-    answers = sorted(zip(masks.column("bucket").to_pylist(), masks.column("mask").to_pylist(), strict=True))
-    shared = np.concatenate([np.unpackbits(np.frombuffer(m, np.uint8), count=sizes[b]) for b, m in answers]).astype(bool)
-    chosen = np.flatnonzero(shared[back])
-    # Documents are in the order of their ids, so the first run with some bytes has the smallest id.
+    answers = sorted(zip(*(masks.column(c).to_pylist() for c in ("bucket", "mask", "hot")), strict=True))
+    shared, hot = (
+        np.concatenate([np.unpackbits(np.frombuffer(a[k], np.uint8), count=sizes[a[0]]) for a in answers]).astype(bool)[back]
+        for k in (1, 2)
+    )
+    plain, spread = np.flatnonzero(shared & ~hot), np.flatnonzero(hot)
+    n = runs.count[spread]
+    inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    row = np.concatenate([runs.row[plain], np.repeat(runs.row[spread], n)])
+    begin = np.concatenate([runs.begin[plain], np.repeat(runs.begin[spread], n) + inner])
+    size = np.concatenate([runs.count[plain] + plan.min_bytes - 1, np.full(len(inner), plan.min_bytes)])
+    key = np.concatenate([runs.key[plain], np.zeros(len(inner), np.uint64)])
+    for i in range(len(plain), len(key)):
+        passage = group.texts[row[i]][begin[i] : begin[i] + plan.min_bytes]
+        key[i] = xxhash.xxh3_64_intdigest(passage) >> (64 - plan.bits)
+    # In the order of ids, so that the first run with some bytes has the smallest one.
+    order = np.lexsort((begin, row))
+    key, row, begin, size = key[order], row[order], begin[order], size[order]
     first: dict[tuple[int, bytes], int] = {}
-    sent: list[tuple] = []
-    done: list[tuple] = []
-    rows, begins = runs.row[chosen].tolist(), runs.begin[chosen].tolist()
-    ends = (runs.begin[chosen] + runs.count[chosen] + plan.min_bytes - 1).tolist()
-    for key, row, begin, end in zip(runs.key[chosen].tolist(), rows, begins, ends, strict=True):
-        data = group.texts[row][begin:end]
-        owner = first.setdefault((key, data), int(group.ids[row]))
-        if owner < group.ids[row]:
-            done.append((row, begin, end))
-        else:
-            sent.append((key, int(group.ids[row]), row, begin, end - begin, data))
-    g = texts.column("g")[0].as_py()
-    sent.sort(key=lambda r: r[0])
-    packed = np.array([r[:5] for r in sent], _RUN)
-    spans = np.array(done, _SPAN).tobytes()
+    texts_of = group.texts
+    owner = np.fromiter(
+        (
+            first.setdefault((k, texts_of[r][a : a + z]), i)
+            for i, (k, r, a, z) in enumerate(zip(key.tolist(), row.tolist(), begin.tolist(), size.tolist(), strict=True))
+        ),
+        np.int64,
+        len(key),
+    )
+    first.clear()
+    repeat = group.ids[row[owner]] < group.ids[row]
+    spans = np.zeros(int(repeat.sum()), _SPAN)
+    spans["row"], spans["begin"], spans["end"] = row[repeat], begin[repeat], begin[repeat] + size[repeat]
+    sent = np.flatnonzero(~repeat)
+    sent = sent[np.argsort(key[sent], kind="stable")]
+    packed = np.zeros(len(sent), _RUN)
+    packed["key"], packed["id"], packed["row"] = key[sent], group.ids[row[sent]], row[sent]
+    packed["begin"], packed["size"] = begin[sent], size[sent]
     out = []
     for bucket, i, j in _cuts(plan.buckets(packed["key"])):
-        out.append((bucket, packed[i:j].tobytes(), b"".join([r[5] for r in sent[i:j]]), b"" if out else spans))
+        part = packed[i:j]
+        data = b"".join([texts_of[r][a : a + z] for r, a, z in zip(part["row"].tolist(), part["begin"].tolist(), part["size"].tolist(), strict=True)])
+        out.append((bucket, part.tobytes(), data, b"" if out else spans.tobytes()))
     if not out:
         return empty
+    g = texts.column("g")[0].as_py()
     kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
     columns = [pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)]
     return pa.table([columns[0], pa.array([g] * len(out), pa.int64()), *columns[1:]], ["bucket", "g", "runs", "data", "done"])
 
 
 def suffix_order(data: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The suffixes at ``starts`` in the order of their first ``size`` bytes, and where the common prefix with
-    the suffix before is shorter than that (the longest common prefixes, cut at ``size``)."""
+    """The suffixes at ``starts`` in the order of their first ``size`` bytes (8 or more), and the length of the
+    common prefix of each with the one before (0 for the first), at most ``size``."""
     words = np.lib.stride_tricks.sliding_window_view(data, 8)
     offsets = sorted({*range(0, size - 7, 8), size - 8})
     columns = [np.ascontiguousarray(words[starts + o]).view(">u8").reshape(-1).astype(np.uint64) for o in offsets]
     order = np.lexsort(columns[::-1])
-    breaks = np.zeros(len(starts), bool)
-    breaks[:1] = True
-    for c in columns:
-        ranked = c[order]
-        breaks[1:] |= ranked[1:] != ranked[:-1]
-    return order, breaks
-
+    common = np.full(len(starts), size, np.int16)
+    common[:1] = 0
+    open_ = np.arange(1, len(starts))
+    for o, c in zip(offsets, columns, strict=True):
+        differ = c[order[open_]] ^ c[order[open_ - 1]]
+        ends = differ > 0
+        # The leading bytes that agree.
+        agree = sum((differ[ends] < np.uint64(1 << 8 * k)).astype(np.int16) for k in range(1, 8))
+        common[open_[ends]] = o + agree
+        open_ = open_[~ends]
+    return order, common
+
+
+def _before(ids: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """For suffixes in suffix order: the common prefix with the previous one of a smaller id; 0 without one.
+
+    All suffixes follow their pointers at once; what lies between a suffix and the one its pointer names has no
+    smaller id, so pointers of pointers may be taken. All steps together are at most one for each suffix.
+    """
+    at = np.arange(-1, len(ids) - 1)
+    least = common.copy()
+    walking = np.flatnonzero((least > 0) & (at >= 0))
+    walking = walking[ids[at[walking]] >= ids[walking]]
+    while len(walking):
+        over = at[walking]
+        shorter, further = np.minimum(least[walking], least[over]), at[over]
+        least[walking], at[walking] = shorter, further
+        walking = walking[(further >= 0) & (shorter > 0)]
+        walking = walking[ids[at[walking]] >= ids[walking]]
+    least[at < 0] = 0
+    return least
+
+
+def previous_factors(ids: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The array of longest previous factors: for suffixes in suffix order, with their common prefixes with the one
+    before, the longest prefix that also starts at a suffix of a smaller id.
+
+    It is the larger of the common prefixes with the previous and with the next smaller id in suffix order.
+    """
+    following = np.concatenate([[0], common[:0:-1]]).astype(common.dtype)[: len(ids)]
+    return np.maximum(_before(ids, common), _before(ids[::-1], following)[::-1])
 
-def previous_factors(ids: np.ndarray, breaks: np.ndarray) -> np.ndarray:
-    """For suffixes in suffix order: whether a smaller id has a factor of the full size in common.
 
-    Suffixes of one stretch between two breaks agree in their first ``size`` bytes. Running minima inside the
-    stretch, from both sides, tell whether it has a smaller id. The lengths of the factors aren't computed.
-    """
-    if not len(ids):
-        return np.zeros(0, bool)
-    stretch = np.cumsum(breaks) - 1
-    rank = np.unique(ids, return_inverse=True)[1].astype(np.int64)
-    wide = int(rank.max()) + 2
-    # Later stretches get lower numbers, so that a running minimum forgets what came before a break.
-    previous = np.minimum.accumulate(rank - stretch * wide) + stretch * wide < rank
-    following = np.minimum.accumulate((rank + stretch * wide)[::-1])[::-1] - stretch * wide < rank
-    return previous | following
+def _judge(runs: np.ndarray, begin: np.ndarray, data: np.ndarray, min_bytes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The repeated stretches of runs whose bytes start at ``begin`` of ``data``: number of the run, from, to."""
+    count = runs["size"].astype(np.int64) - min_bytes + 1
+    owner = np.repeat(np.arange(len(runs)), count)
+    inner = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    order, common = suffix_order(data, begin[owner] + inner, min_bytes)
+    repeated = np.zeros(len(owner), bool)
+    repeated[order] = previous_factors(runs["id"][owner[order]], common) >= min_bytes
+    edge = np.concatenate([[True], owner[1:] != owner[:-1]]) if len(owner) else np.zeros(0, bool)
+    before = np.concatenate([[False], repeated[:-1]]) & ~edge
+    after = np.concatenate([repeated[1:], [False]]) & ~np.concatenate([edge[1:], [True]])
+    heads, tails = np.flatnonzero(repeated & ~before), np.flatnonzero(repeated & ~after)
+    return owner[heads], inner[heads], inner[tails] + min_bytes
 
 
 def _factors(table: pa.Table, plan: Plan) -> pa.Table:
-    """The repeated spans among the runs of a bucket, for the groups they came from."""
+    """The repeated spans among the runs of a bucket, for the groups they came from.
+
+    Of runs with the same bytes those with larger ids are repeated whole. The others are judged by longest previous
+    factors, a number of keys at a time, unless their key has no other bytes.
+    """
     groups = table.column("g").to_pylist()
     parts = [np.frombuffer(r, _RUN) for r in table.column("runs").to_pylist()]
     runs = np.concatenate(parts)
     source = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-    data = np.frombuffer(b"".join(table.column("data").to_pylist()), np.uint8)
+    joined = b"".join(table.column("data").to_pylist())
+    data = np.frombuffer(joined, np.uint8)
     sizes = runs["size"].astype(np.int64)
     begin = np.cumsum(sizes) - sizes
-    count = sizes - plan.min_bytes + 1
-    owner = np.repeat(np.arange(len(runs)), count)
-    inner = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-    order, breaks = suffix_order(data, begin[owner] + inner, plan.min_bytes)
-    repeated = np.zeros(len(owner), bool)
-    repeated[order] = previous_factors(runs["id"][owner[order]], breaks)
-    edge = np.concatenate([[True], owner[1:] != owner[:-1]]) if len(owner) else np.zeros(0, bool)
-    before = np.concatenate([[False], repeated[:-1]]) & ~edge
-    after = np.concatenate([repeated[1:], [False]]) & ~np.concatenate([edge[1:], [True]])
-    heads, tails = np.flatnonzero(repeated & ~before), np.flatnonzero(repeated & ~after)
-    spans = np.zeros(len(heads), _SPAN)
-    spans["row"] = runs["row"][owner[heads]]
-    spans["begin"] = runs["begin"][owner[heads]] + inner[heads]
-    spans["end"] = runs["begin"][owner[heads]] + inner[tails] + plan.min_bytes
-    cuts = np.searchsorted(source[owner[heads]], np.arange(len(parts) + 1))
+    order = np.lexsort((runs["id"], runs["key"]))
+    runs, source, begin, sizes = runs[order], source[order], begin[order], sizes[order]
+    first: dict[tuple[int, bytes], int] = {}
+    owner = np.fromiter(
+        (
+            first.setdefault((k, joined[a : a + z]), i)
+            for i, (k, a, z) in enumerate(zip(runs["key"].tolist(), begin.tolist(), sizes.tolist(), strict=True))
+        ),
+        np.int64,
+        len(runs),
+    )
+    first.clear()
+    whole = runs["id"][owner] < runs["id"]
+    number = np.cumsum(np.concatenate([[0], runs["key"][1:] != runs["key"][:-1]])) if len(runs) else owner
+    texts_of_key = np.bincount(number[owner == np.arange(len(runs))], minlength=1)
+    judged = np.flatnonzero(~whole & (texts_of_key[number] > 1))
+    at, low, high = [np.flatnonzero(whole)], [np.zeros(int(whole.sum()), np.int64)], [sizes[whole]]
+    passages = np.cumsum(sizes[judged] - plan.min_bytes + 1)
+    start = 0
+    while start < len(judged):
+        done = passages[start - 1] if start else 0
+        stop = max(int(np.searchsorted(passages, done + PASSAGES)), start + 1)
+        # Up to the end of the last key.
+        stop = int(np.searchsorted(number[judged], number[judged[stop - 1]], "right"))
+        own = judged[start:stop]
+        k, a, b = _judge(runs[own], begin[own], data, plan.min_bytes)
+        at.append(own[k])
+        low.append(a)
+        high.append(b)
+        start = stop
+    at, low, high = (np.concatenate(x) for x in (at, low, high))
+    order = np.argsort(source[at], kind="stable")
+    at, low, high = at[order], low[order], high[order]
+    spans = np.zeros(len(at), _SPAN)
+    spans["row"], spans["begin"], spans["end"] = runs["row"][at], runs["begin"][at] + low, runs["begin"][at] + high
+    cuts = np.searchsorted(source[at], np.arange(len(parts) + 1))
     done = table.column("done").to_pylist()
     found = [spans[a:b].tobytes() + d for a, b, d in zip(cuts[:-1], cuts[1:], done, strict=True)]
     kept = [k for k, f in enumerate(found) if f]
@@ -338,17 +432,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     All passages of all documents take part, but only those come together that can be equal. A passage has an
     anchor, the gram of least hash inside it. The documents, dealt into groups by a hash, tell buckets of keys
     their anchors; the buckets answer which are shared; the runs of passages around shared anchors go to the
-    buckets with their bytes, where they are brought into suffix order and judged by whether a smaller
-    document has the same ``min_bytes`` bytes; the spans found go back to the groups. The text itself is shuffled once, and that exchange is read three times.
+    buckets with their bytes. There they are brought into suffix order; from the common prefixes of neighbours and the
+    previous and next smaller ids follow the longest previous factors, cut at ``min_bytes``, and those of
+    that length are repeats. The spans found go back to the groups. The passages of an anchor with more than
+    about ``HOT_RUNS`` runs go to buckets by their own bytes. The text itself is shuffled once, and that exchange is read three times.
     """
     if min_bytes < 8:
         raise ValueError("min_bytes must be 8 or more")
     rows = id_and_text(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("data"))
     plan = plan_for(rows.agg(F.sum(F.octet_length("data"))).first()[0] or 0, min_bytes)
-    rows = rows.withColumn("g", F.pmod(F.xxhash64("doc_id", F.octet_length("data")), F.lit(plan.groups)))
+    rows = rows.withColumn("g", F.pmod(F.xxhash64("doc_id", "data"), F.lit(plan.groups)))
     groups = rows.groupBy("g")
-    told = groups.applyInArrow(lambda t: _announce(t, plan), "bucket long, g long, keys binary, several binary")
-    masks = told.groupBy("bucket").applyInArrow(_answer, "g long, bucket long, mask binary")
+    told = groups.applyInArrow(lambda t: _announce(t, plan), "bucket long, g long, keys binary, several binary, powers binary")
+    hot_runs = HOT_RUNS
+    masks = told.groupBy("bucket").applyInArrow(lambda t: _answer(t, hot_runs), "g long, bucket long, mask binary, hot binary")
     sent = groups.cogroup(masks.groupBy("g")).applyInArrow(
         lambda a, b: _send(a, b, plan), "bucket long, g long, runs binary, data binary, done binary"
     )
