@@ -9,12 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidelog.llm.common import id_and_text
+from tidelog.operators.joins import join_small
 from tidelog.session import stored
 
 #: Distinct texts a bucket may hold before it is split.
 BUCKET_ENTRIES = 4096
 #: Directory bits beyond the even spread, for buckets that have to be split further than others.
 SPARE_BITS = 4
+#: Parts in which the copies of one text are folded before the owner of their bucket gets them.
+FOLDS = 16
+#: A text is hot if more than one row in so many has it; so there are fewer hot texts than this.
+HOT_SHARE = 1000
 
 
 def normalised(text: Column) -> Column:
@@ -24,12 +29,27 @@ def normalised(text: Column) -> Column:
 
 @dataclass(frozen=True)
 class HashIndex:
-    """``directory``: slot, bucket, depth. ``entries``: bucket, depth, key, chain_pos, chain_len, keep_id, n_rows,
-    sha256, n_chars; one for each distinct text."""
+    """``directory``: slot, bucket, depth. ``entries``: bucket, key, chain_pos, chain_len, keep_id, n_rows, sha256 and,
+    where texts share a key, text; one for each distinct text, the whole of a bucket in one file."""
 
     directory: DataFrame
     entries: DataFrame
     directory_bits: int
+    n_rows: int
+
+    def placed(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the bucket in which the directory has the slot of their ``key``."""
+        slots = self.directory.select("slot", "bucket")
+        found = rows.withColumn("slot", _slot(F.col("key"), self.directory_bits))
+        return join_small(found, slots, ["slot"], n_rows=slots.count()).drop("slot")
+
+    def met(self, rows: DataFrame, entries: DataFrame, on: list[str]) -> DataFrame:
+        """``rows`` with their entry; rows of hot texts meet theirs where they lie."""
+        is_hot = F.col("n_rows") * HOT_SHARE > self.n_rows
+        # Fewer than HOT_SHARE rows.
+        hot = F.broadcast(entries.where(is_hot))
+        others = rows.join(hot.select(*on), on, "left_anti")
+        return rows.join(hot, on).unionByName(others.join(entries.where(~is_hot), on))
 
 
 def _slot(key: Column, bits: int) -> Column:
@@ -43,7 +63,7 @@ def build_directory(keys: DataFrame, n_keys: int, bucket_entries: int = BUCKET_E
     more bit, doubling the directory where the bucket already used all its bits. All rounds work on a histogram
     of at most ``2 ** SPARE_BITS * 2 * n_keys / bucket_entries`` slots, never on the keys again.
     """
-    bits = min(24, max(0, (max(n_keys, 1) - 1) // bucket_entries).bit_length() + SPARE_BITS)
+    bits = min(60, max(0, (max(n_keys, 1) - 1) // bucket_entries).bit_length() + SPARE_BITS)
     slots = stored(keys.groupBy(_slot(F.col("key"), bits).alias("slot")).agg(F.count("*").alias("n")), "slots")
     pending, done = slots, None
     for depth in range(bits + 1):
@@ -66,36 +86,37 @@ def build_directory(keys: DataFrame, n_keys: int, bucket_entries: int = BUCKET_E
         pending = placed.where("over").select("slot", "n")
         if depth == bits or pending.isEmpty():
             break
-    return done, bits
+    return stored(done, "directory"), bits
 
 
-def build_index(rows: DataFrame, bucket_entries: int = BUCKET_ENTRIES) -> HashIndex:
-    """Index the distinct texts of ``rows`` (doc_id, text, key).
+def build_index(rows: DataFrame, keys: DataFrame, bucket_entries: int = BUCKET_ENTRIES) -> HashIndex:
+    """Index the distinct texts of ``rows`` (doc_id, text, key); ``keys`` has the (doc_id, key) of all rows.
 
-    Copies are folded before the shuffle by an aggregate on key and text, which compares whole texts; a text
-    that fills a third of the table reaches its reducer as one row per map task. That grouping
-    decides, and a window over the key numbers the texts that share one. The finished entries are then dealt by
-    key range, so that the files hold whole buckets; results don't depend on it.
+    The directory is made from the distinct keys. Copies are folded by the tasks that read them, and in ``FOLDS`` parts
+    by a shuffle, so that a text that fills a third of the table reaches its owner as a few rows. The directory
+    deals the folded texts to the owners of their buckets; an owner chains the texts under a key, whole texts compared.
     """
-    texts = rows.groupBy("key", "text").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("n_rows"))
-    sha = F.sha2("text", 256)
-    chain = Window.partitionBy("key")
-    entries = texts.select("key", "keep_id", "n_rows", sha.alias("sha256"), F.length("text").alias("n_chars"))
-    entries = stored(
-        entries.withColumn("chain_len", F.count("*").over(chain)).withColumn(
-            "chain_pos", F.row_number().over(chain.orderBy(F.col("keep_id").asc_nulls_last(), "sha256", "n_chars"))
-        ),
-        "entries",
-    )
-    directory, bits = build_directory(entries.select("key").distinct(), entries.count(), bucket_entries)
-    owned = (
-        entries.withColumn("slot", _slot(F.col("key"), bits))
-        .join(directory, "slot")
-        .repartitionByRange("bucket", "key")
-        .sortWithinPartitions("bucket", "key", "chain_pos")
-        .drop("slot")
-    )
-    return HashIndex(directory, stored(owned, "index"), bits)
+    distinct = stored(keys.select("key").distinct(), "distinct")
+    directory, bits = build_directory(distinct, distinct.count(), bucket_entries)
+    index = HashIndex(directory, distinct, bits, keys.count())
+    merged = (F.min("keep_id").alias("keep_id"), F.sum("n_rows").alias("n_rows"))
+    folds = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).alias("fold")
+    folded = rows.groupBy(folds, "key", "text").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("n_rows"))
+    # What an owner does needs no shuffle of its own: whole buckets are in one task.
+    owned = index.placed(folded).repartition("bucket").groupBy("bucket", "key", "text").agg(*merged)
+    chain = Window.partitionBy("bucket", "key")
+    place = F.row_number().over(chain.orderBy(F.col("keep_id").asc_nulls_last(), "text"))
+    entries = owned.select(
+        "bucket",
+        "key",
+        place.alias("chain_pos"),
+        F.count("*").over(chain).alias("chain_len"),
+        "keep_id",
+        "n_rows",
+        F.sha2("text", 256).alias("sha256"),
+        "text",
+    ).withColumn("text", F.when(F.col("chain_len") > 1, F.col("text")))
+    return HashIndex(directory, stored(entries, "index"), bits, index.n_rows)
 
 
 def exact_duplicates(
@@ -111,24 +132,22 @@ def exact_duplicates(
     Texts are equal when they are identical after :func:`normalised`; null counts as empty. ``keep_id`` is the
     smallest doc_id of the equal texts (null ids only where all are null), and every row that carries it is
     kept, so repeated rows with the same id and text stay together. An empty table gives an empty result.
+    A row finds its entry by the slot of its key, the bucket the directory has for it, and the chain of the key there.
     ``key_bits`` shortens the hash, for tests of the collision chains; results don't depend on it.
     """
     text = normalised(F.col("text"))
     key = F.xxhash64("text")
     rows = id_and_text(docs, id_col, text_col).select("doc_id", text.alias("text"))
     rows = rows.withColumn("key", F.shiftrightunsigned(key, 64 - key_bits) if key_bits < 64 else key)
-    index = build_index(rows, bucket_entries)
-    alone = index.entries.where("chain_len = 1").select("key", "keep_id", "n_rows", "sha256")
-    found = rows.select("doc_id", "key").join(alone, "key")
+    keys = stored(rows.select("doc_id", "key"), "keys")
+    index = build_index(rows, keys, bucket_entries)
+    answer = ["bucket", "key", "keep_id", "n_rows", "sha256"]
+    alone = index.entries.where("chain_len = 1").select(*answer)
+    found = index.met(index.placed(keys), alone, ["bucket", "key"])
     chained = index.entries.where("chain_len > 1")
     if not chained.isEmpty():
-        # Several texts under one key: the row's own text decides which entry of the chain it belongs to.
-        colliding = rows.join(chained.select("key").distinct(), "key", "left_semi")
-        owners = colliding.groupBy("key", "text").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("n_rows"))
-        by_text = colliding.join(owners, ["key", "text"])
-        found = found.unionByName(
-            by_text.select("key", "doc_id", "keep_id", "n_rows", F.sha2("text", 256).alias("sha256"))
-        )
+        # Several texts under one key: the row's own text finds its place in the chain.
+        found = found.unionByName(index.met(index.placed(rows), chained.select(*answer, "text"), ["bucket", "key", "text"]).drop("text"))
     return found.select(
         "doc_id",
         "keep_id",
