@@ -40,7 +40,8 @@ EXTRA_RULES = (
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[0-9A-Za-z_-]{35}"),
     Rule("stripe", r"[sr]k_live_[0-9A-Za-z]{16,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
+    # Only from the beginning of a part: repeated "eyJ" would be tried from each of them.
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
     Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
     Rule("url_login", r"://[^\s/:@]{1,64}:[^\s/:@]{3,64}@"),
 )
