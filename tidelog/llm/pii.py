@@ -17,10 +17,10 @@ from tidelog.session import stored
 
 Span = tuple[int, int, int]  # start, kind, end
 
-# Fixed patterns of the base kinds.
+# Fixed patterns of the base kinds. A match of _IP never begins inside a run of digits; saying so keeps long runs linear.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+_IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
@@ -215,7 +215,7 @@ def _listed(spans: list[Span]) -> str:
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans.
+    """One row per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans.
 
     Base spans always stay; of the other candidates those stay that overlap no base span and that the
     classifier finds likelier right than wrong. Spans are in code points, end exclusive. Null and empty texts
@@ -226,7 +226,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     shared = docs.sparkSession.sparkContext.broadcast(train(found))
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        model, base, spans, counts = shared.value, [], [], [[] for _ in BASE_KINDS]
+        model, base, spans, counts, n_spans = shared.value, [], [], [[] for _ in BASE_KINDS], []
         for row in batch.column("found").to_pylist():
             own = [(c["start"], c["kind"], c["end"]) for c in row if c["kind"] < len(BASE_KINDS)]
             more = [
@@ -238,10 +238,11 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             ]
             base.append(hashlib.sha256(_listed(own).encode()).hexdigest())
             spans.append(_listed(own + more))
+            n_spans.append(len(own + more))
             for k, n in enumerate(counts):
                 n.append(sum(s[1] == k for s in own))
-        columns = [batch.column("doc_id"), *(pa.array(n, pa.int64()) for n in counts), pa.array(base, pa.string()), pa.array(spans, pa.string())]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", *names, "base_sha256", "spans"])
+        columns = [batch.column("doc_id"), *(pa.array(n, pa.int64()) for n in counts), pa.array(base, pa.string()), pa.array(spans, pa.string()), pa.array(n_spans, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", *names, "base_sha256", "spans", "n_spans"])
 
     names = [f"n_{k}" for k in BASE_KINDS]
-    return map_batches(found, step, "doc_id long, " + ", ".join(f"{n} long" for n in names) + ", base_sha256 string, spans string")
+    return map_batches(found, step, "doc_id long, " + ", ".join(f"{n} long" for n in names) + ", base_sha256 string, spans string, n_spans long")
