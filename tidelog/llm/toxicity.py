@@ -25,104 +25,174 @@ PREFIXES = (4, 5, 6)
 #: An insulting stem follows at least so many different words in toxic texts, and is so much likelier there.
 MIN_CONTEXTS, MIN_LIFT = 6, 40.0
 
-# Word lists of the grammar, in the table's languages.
-TARGET = frozenset("you your yours yourself u tu toi vous te ton ta tes votre vos du dich dir dein deine sie euch ihr tú usted ustedes ti vosotros".split())
-NEGATION = frozenset("not no never nor without don doesn isn aren wasn n't ne pas jamais non sans nicht kein keine nie ohne nunca jamás ni sin".split())
-REPORT = frozenset("said says say told tells wrote writes claimed claims quoted quotes called calls dit disait écrit raconte sagte sagt schrieb schreibt behauptet dijo dice escribió cuenta".split())
-THREAT = frozenset("kill hurt destroy burn hang shoot stab beat punch crush die tuer frapper détruire brûler töten schlagen zerstören verbrennen matar golpear destruir quemar".split())
-
-_TOKEN = re.compile(r"[^\W\d_]+|[.!?;\n]")
+#: A threat weighs this much before labels say otherwise, which counts like so many clauses seen.
+THREAT_WEIGHT, THREAT_PRIOR = 1.0, 10
+
+# Word lists of the grammar, in the table's languages. Addressees strengthen insults.
+ADDRESSEES = "you your yours yourself u tu toi vous te ton ta tes votre vos du dich dir dein deine sie euch ihr tú usted ustedes ti vosotros"
+NEGATIONS = "not no never nor without don doesn isn aren wasn n't ne pas jamais non sans nicht kein keine nie ohne nunca jamás ni sin"
+REPORTS = "said says say told tells wrote writes claimed claims quoted quotes called calls dit disait écrit raconte sagte sagt schrieb schreibt behauptet dijo dice escribió cuenta"
+#: Of each language: whom a threat is aimed at, those of them that are always objects, words that announce an act, acts
+#: against somebody, acts with the announcement in their ending, and fates that need no object.
+THREATS = {
+    "en": {"target": "you u yourself", "object": "", "modal": "will shall ll going gonna must should", "harm": "kill hurt destroy burn hang shoot stab beat punch crush", "future": "", "fate": "die"},
+    "fr": {"target": "tu te toi vous", "object": "te toi", "modal": "vais va allons vont veux", "harm": "tuer frapper détruire brûler", "future": "tuerai tuerons frapperai détruirai brûlerai", "fate": "mourir crever"},
+    "de": {"target": "du dich dir sie euch ihr ihnen", "object": "dich dir euch", "modal": "werde werden wird wirst will muss", "harm": "töten schlagen zerstören verbrennen", "future": "", "fate": "sterben verrecken"},
+    "es": {"target": "te ti tú usted ustedes", "object": "te ti", "modal": "voy va vamos van vas quiero", "harm": "matar matarte golpear destruir quemar", "future": "mataré golpearé destruiré quemaré", "fate": "morir"},
+}
+#: Words that begin a clause of their own.
+BREAKS = frozenset("but mais aber sondern pero sino".split())
+
+
+def _marks() -> dict[str, tuple[str, ...]]:
+    """The marks of each word of the lists; a word may have several, of several languages."""
+    lists = {"addressee": ADDRESSEES, "negation": NEGATIONS, "report": REPORTS}
+    lists |= {f"{part}-{lang}": words for lang, parts in THREATS.items() for part, words in parts.items()}
+    found: dict[str, list[str]] = {}
+    for mark, words in lists.items():
+        for word in words.split():
+            found.setdefault(word, []).append(mark)
+    return {word: tuple(sorted(marks)) for word, marks in found.items()}
+
+
+MARKS = _marks()
+#: Words without which there is no threat, of each language.
+_ACTS = frozenset(w for w, marks in MARKS.items() if any(m.split("-")[0] in ("harm", "future", "fate") for m in marks))
+_TARGETS = frozenset(w for w, marks in MARKS.items() if any(m.startswith("target-") for m in marks))
+
+_TOKEN = re.compile(r"[^\W\d_]+|[.!?;,:\n]")
 _WORD = re.compile(r"[^\W\d_]+")
-_ENDS = frozenset(".!?;\n")
-OTHER, INSULT, THREATEN, TARGETED, NEGATED, REPORTED = "oihtnr"
+_ENDS, _PAUSES = frozenset(".!?;\n"), frozenset(",:")
+
+
+class Weakener:
+    """A transducer that weighs what follows its marks within ``scope`` words; ``lasting`` over the clause's end."""
+
+    begin = 0
+
+    def __init__(self, mark: str, scope: int, factor: float, lasting: bool = False):
+        self.mark, self.scope, self.factor, self.lasting = mark, scope, factor, lasting
+
+    def step(self, left: int, marks: tuple[str, ...]) -> tuple[int, float, int, int]:
+        if self.mark in marks:
+            return self.scope, 1.0, 0, 0
+        return max(left - 1, 0), self.factor if left else 1.0, 0, 0
+
 
+class Insult:
+    """The transducer of insulting words: it finds one at each."""
 
-class Transducer:
-    """Reads a clause's word classes; ``step`` gives the next state and the factor for a word it scores."""
+    begin, lasting = 0, False
 
-    def __init__(self, marks: str, scope: int, factor: float, scored: str = INSULT + THREATEN, need: str = ""):
-        self.marks, self.scope, self.factor, self.scored, self.need = marks, scope, factor, scored, need
+    def step(self, state: int, marks: tuple[str, ...]) -> tuple[int, float, int, int]:
+        return state, 1.0, int("insult" in marks), 0
 
-    def step(self, left: int, kind: str) -> tuple[int, float]:
-        if kind in self.marks:
-            return self.scope, 1.0
-        factor = 1.0
-        if kind in self.scored and left:
-            factor = self.factor
-        elif kind in self.need and not left:
-            factor = 0.0
-        return max(left - 1, 0), factor
 
+class Threat:
+    """The transducer of a language's threats: an announced act with its object, or a fate with its subject.
 
-#: Factors and scopes (in words): a target before an insult strengthens it and makes a threat one at all;
-#: negation and reported speech weaken what follows.
+    The object stands after the announcing word or behind the act, or is always one; its state counts the words for
+    which a target, an object, an announcement and an act still stand open.
+    """
+
+    begin, lasting = (0, 0, 0, 0), False
+
+    def __init__(self, lang: str):
+        self.part = {f"{part}-{lang}": part for part in THREATS[lang]}
+
+    def step(self, state: tuple[int, ...], marks: tuple[str, ...]) -> tuple[tuple[int, ...], float, int, int]:
+        own = {self.part[m] for m in marks if m in self.part}
+        target, object_, modal, act = state
+        after, found = [max(n - 1, 0) for n in state], 0
+        if "target" in own:
+            after[0] = 6
+            if act:
+                found, after[3] = 1, 0
+            if modal or "object" in own:
+                after[1] = 6
+        if "modal" in own:
+            after[2] = 4
+        if "future" in own or ("harm" in own and modal):
+            if object_:
+                found = 1
+            else:
+                after[3] = 3
+        if "fate" in own and modal and target:
+            found = 1
+        return tuple(after), 1.0, 0, found
+
+
+#: An addressee before an insult or threat strengthens it; negation and reported speech weaken what follows.
 PARTS = (
-    Transducer(TARGETED, 6, 1.5, need=THREATEN),
-    Transducer(NEGATED, 3, 0.5),
-    Transducer(REPORTED, 20, 0.6),
+    Insult(),
+    *map(Threat, THREATS),
+    Weakener("addressee", 6, 1.5),
+    Weakener("negation", 3, 0.5),
+    Weakener("report", 20, 0.6, lasting=True),
 )
+BEGIN = tuple(p.begin for p in PARTS)
+
 
+@lru_cache(maxsize=100_000)
+def step(state: tuple, marks: tuple[str, ...]) -> tuple[tuple, float, int, int]:
+    """The parts composed into one machine, whose states are made as they are reached: the next state, the product of
+    the factors, and the insults and threats found."""
+    each = [p.step(s, marks) for p, s in zip(PARTS, state, strict=True)]
+    factor = float(np.prod([e[1] for e in each]))
+    return tuple(e[0] for e in each), factor, sum(e[2] for e in each), min(1, sum(e[3] for e in each))
 
-@lru_cache(maxsize=1)
-def grammar() -> dict[tuple[tuple[int, ...], str], tuple[tuple[int, ...], float]]:
-    """The parts composed into one machine: its states are tuples of theirs, its factors the products."""
-    begin = (0,) * len(PARTS)
-    table, open_states, seen = {}, [begin], {begin}
-    while open_states:
-        state = open_states.pop()
-        for kind in (OTHER, INSULT, THREATEN, TARGETED, NEGATED, REPORTED):
-            steps = [p.step(s, kind) for p, s in zip(PARTS, state, strict=True)]
-            after, factor = tuple(s for s, _ in steps), float(np.prod([f for _, f in steps]))
-            table[state, kind] = after, factor
-            if after not in seen:
-                seen.add(after)
-                open_states.append(after)
-    return table
+
+def _paused(state: tuple) -> tuple:
+    """The state with which the next clause of a sentence begins."""
+    return tuple(s if p.lasting else p.begin for p, s in zip(PARTS, state, strict=True))
 
 
 @dataclass(frozen=True)
 class Toxicity:
-    """``stems``: insulting words (ending in ``$``) and beginnings, with weights. The rest calibrates scores."""
+    """``stems``: insulting words (ending in ``$``) and beginnings, with weights; ``threat``: the weight of a threat.
+    The rest calibrates scores."""
 
     stems: dict[str, float]
     scale: tuple[float, float, float, float]
+    threat: float = THREAT_WEIGHT
 
     def weight(self, word: str) -> float:
         find = self.stems.get
         return max(find(word + "$", 0.0), *(find(word[:n], 0.0) for n in PREFIXES))
 
-    def clauses(self, text: str) -> list[tuple[int, int, float]]:
-        """(start, end, score) of the clauses that the grammar matches."""
-        table, begin = grammar(), (0,) * len(PARTS)
-        found, state, total, start = [], begin, 0.0, 0
+    def _matches(self, text: str) -> list[tuple[int, int, float, int]]:
+        found, state, total, threats, start = [], BEGIN, 0.0, 0, 0
         for m in _TOKEN.finditer(text.lower()):
             word = m[0]
-            if word in _ENDS:
-                if total:
-                    found.append((start, m.start(), total))
-                state, total, start = begin, 0.0, m.end()
+            if word in _ENDS or word in _PAUSES or word in BREAKS:
+                if total or threats:
+                    found.append((start, m.start(), total, threats))
+                total, threats, start = 0.0, 0, m.start() if word in BREAKS else m.end()
+                state = BEGIN if word in _ENDS else _paused(state)
                 continue
-            weight, kind = self.weight(word), OTHER
+            weight, marks = self.weight(word), MARKS.get(word, ())
             if weight:
-                kind = INSULT
-            elif word in THREAT:
-                kind, weight = THREATEN, 1.0
-            elif word in TARGET:
-                kind = TARGETED
-            elif word in NEGATION:
-                kind = NEGATED
-            elif word in REPORT:
-                kind = REPORTED
-            state, factor = table[state, kind]
-            total += weight * factor
-        if total:
-            found.append((start, len(text), total))
+                marks += ("insult",)
+            if marks or state != BEGIN:
+                state, factor, insults, threat = step(state, marks)
+                total += (insults * weight + threat * self.threat) * factor
+                threats += threat
+        if total or threats:
+            found.append((start, len(text), total, threats))
         return found
 
+    def clauses(self, text: str) -> list[tuple[int, int, float]]:
+        """(start, end, score) of the clauses that the grammar matches."""
+        return [c[:3] for c in self._matches(text) if c[2]]
+
+    def has_threat(self, text: str) -> bool:
+        words = set(_WORD.findall(text.lower()))
+        return bool(words & _ACTS and words & _TARGETS) and any(c[3] for c in self._matches(text))
+
     def evidence(self, text: str) -> tuple[float, float]:
         """Sum and maximum of the clauses' scores. The grammar only runs over texts that have a word for it."""
         words = set(_WORD.findall(text.lower()))
-        if not any(self.weight(w) for w in words) and not (words & THREAT and words & TARGET):
+        if not any(self.weight(w) for w in words) and not (words & _ACTS and words & _TARGETS):
             return 0.0, 0.0
         scores = [s for _, _, s in self.clauses(text)]
         return (float(np.log1p(sum(scores))), float(np.log1p(max(scores)))) if scores else (0.0, 0.0)
@@ -163,6 +233,20 @@ def _stem_contexts(sample: DataFrame) -> DataFrame:
     )
 
 
+def threat_weight(counts: dict[tuple[int, bool], int]) -> float:
+    """The log ratio of threats in toxic and in clean texts, from counts by (label, has a threat).
+
+    It is drawn towards ``THREAT_WEIGHT``, which decides alone where no text has a threat; never below zero.
+    """
+    toxic, clean = counts.get((1, True), 0), counts.get((0, True), 0)
+    seen = toxic + clean
+    if not seen:
+        return THREAT_WEIGHT
+    shares = [(n + 0.5) / (n + counts.get((label, False), 0) + 1) for label, n in ((1, toxic), (0, clean))]
+    learned = float(np.log(shares[0] / shares[1]))
+    return max(0.0, (seen * learned + THREAT_PRIOR * THREAT_WEIGHT) / (seen + THREAT_PRIOR))
+
+
 def calibrate(evidence: Iterable[tuple[tuple[float, float], int]]) -> tuple[float, float, float, float]:
     """Logistic regression on (any match, sum, maximum) by Newton steps; its slopes are never negative."""
     counted = Counter(evidence)
@@ -183,7 +267,7 @@ def calibrate(evidence: Iterable[tuple[tuple[float, float], int]]) -> tuple[floa
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> Toxicity:
-    """Learn insulting stems and the calibration from at most ``sample_rows`` labelled rows that aren't held out.
+    """Learn insulting stems, the weight of threats and the calibration from at most ``sample_rows`` labelled rows that aren't held out.
 
     Of a repeated id one row is taken, by a hash of its text. Without toxic rows there are no stems, and all
     scores are low.
@@ -212,14 +296,22 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         .collect()
     )
     stems = {r["stem"]: r["weight"] for r in rows}
-    first = docs.sparkSession.sparkContext.broadcast(Toxicity(stems, (0.0,) * 4))
+    bare = Toxicity({}, (0.0,) * 4)
 
-    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def threats(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [bare.has_threat(t) for t in batch.column("text").to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column("label"), pa.array(found, pa.bool_())], ["label", "threat"])
+
+    counted = map_batches(sample, threats, "label int, threat boolean").groupBy("label", "threat").count().collect()
+    threat = threat_weight({(r["label"], r["threat"]): r["count"] for r in counted})
+    first = docs.sparkSession.sparkContext.broadcast(Toxicity(stems, (0.0,) * 4, threat))
+
+    def judge(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [first.value.evidence(t) for t in batch.column("text").to_pylist()]
         return pa.RecordBatch.from_arrays([pa.array([e[0] for e in found], pa.float64()), pa.array([e[1] for e in found], pa.float64()), batch.column("label")], ["total", "most", "label"])
 
-    evidence = map_batches(sample, step, "total double, most double, label int").collect()
-    return Toxicity(stems, calibrate(sorted(((round(r["total"], 3), round(r["most"], 3)), r["label"]) for r in evidence)))
+    evidence = map_batches(sample, judge, "total double, most double, label int").collect()
+    return Toxicity(stems, calibrate(sorted(((round(r["total"], 3), round(r["most"], 3)), r["label"]) for r in evidence)), threat)
 
 
 def score(docs: DataFrame, model: Toxicity, id_col: str = "doc_id", text_col: str = "text", *, threshold: float = THRESHOLD) -> DataFrame:
