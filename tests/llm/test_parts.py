@@ -45,6 +45,70 @@ def test_byte_bpe_equals_the_library(texts):
     assert [x.tolist() for x in own.encode(texts)] == want
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet="aZéß1.,'s-  \n\n\t\r", max_size=30), max_size=5))
+def test_byte_bpe_cuts_texts_where_the_library_does(texts):
+    own = token_files.byte_bpe(BYTES)
+    want = [e.ids for e in own.library.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in own.encode(texts)] == want
+
+
+class Counted:
+    """A tokenizer that counts the words it is given."""
+
+    def __init__(self, library):
+        self.library, self.words = library, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.words += sum(len(re.findall(r"\w+", t)) for t in texts)
+        return self.library.encode_batch_fast(texts, **options)
+
+
+def test_byte_bpe_asks_once_for_each_word():
+    own = token_files.ByteBpe(BYTES)
+    counted = {k: Counted(v) for k, v in vars(own).items() if hasattr(v, "encode_batch_fast")}
+    vars(own).update(counted)
+    words = [a + b for a in ("thon", "ere", "zü", "nd") for b in ("tion", "ly", "ñon", "st")]
+    rng = np.random.default_rng(2)
+    texts = ["".join(str(x) for w in rng.choice(words, 40) for x in (w, rng.choice([" ", ", ", ". ", ".\n", "\n"]))).strip() for _ in range(200)]
+    got = own.encode(texts) + own.encode(texts)
+    # With a blank and with a line end before it, and with what isn't cut off.
+    assert sum(c.words for c in counted.values()) <= 4 * len(words)
+    library = token_files.byte_bpe(BYTES).library
+    assert [x.tolist() for x in got] == 2 * [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_byte_bpe_forgets_words_and_asks_again(monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED", 20)
+    own = token_files.ByteBpe(BYTES)
+    for i in (0, 1, 2, 0, 1):
+        texts = [f"{a}é {a}.\n{b},  {b}" * (b % 2) + f"{a}x {b}y." for a in range(i, i + 3) for b in range(9)]
+        assert [x.tolist() for x in own.encode(texts)] == [e.ids for e in own.library.encode_batch(texts)]
+        assert len(own.words) < 150
+
+
+def test_byte_bpe_of_another_pattern_asks_for_whole_texts(tmp_path):
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    library = Tokenizer.from_file(BYTES)
+    library.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=True, use_regex=False)
+    library.save(f"{tmp_path}/other.json")
+    texts = ["", "the cat", "stop.\nThe cat, then.", " of  it\n"]
+    own = token_files.ByteBpe(f"{tmp_path}/other.json")
+    assert [x.tolist() for x in own.encode(texts)] == [e.ids for e in library.encode_batch(texts)]
+
+
+def test_slices_of_texts_hold_all_rows(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(token_files, "SLICE_BYTES", 10)
+    for texts in ([], [""], ["a" * 50], ["abcd"] * 9, ["", "a" * 30, "", "b", "c" * 9, "d" * 9]):
+        rows = pa.array(texts, pa.string())
+        cuts = list(token_files._slices(rows))
+        assert [x for a, b in cuts for x in texts[a:b]] == texts
+        assert all(sum(map(len, texts[a + 1 : b])) < 10 for a, b in cuts)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 65_534), max_size=50), st.integers(1, 300))
 def test_range_coder_round_trip(ids, times):

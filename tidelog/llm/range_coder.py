@@ -46,7 +46,10 @@ def _classes() -> tuple[np.ndarray, np.ndarray]:
 FIRST, LOGS = _classes()
 CLASS_OF = np.repeat(np.arange(len(FIRST)), np.minimum(1 << LOGS, (1 << 16) - FIRST)).astype(np.int64)
 #: Low ids were merged first, so they are likelier from the start.
-_PRIOR = 1 + (256 << LOGS) // (FIRST + 256)
+_PRIOR = (1 + (256 << LOGS) // (FIRST + 256)).astype(np.int32)
+#: An entry of the class tables holds the frequency, the sum of those before and the log of the size, from its low bits on.
+_CUM_AT, _LOG_AT = CLASS_BITS + 1, 2 * CLASS_BITS + 1
+_FREQ, _CUM = (1 << _CUM_AT) - 1, (1 << CLASS_BITS) - 1
 
 
 class _Model:
@@ -65,10 +68,10 @@ class _Model:
     def _tables(self) -> None:
         n = self.counts.shape[1]
         room = (1 << CLASS_BITS) - n
-        freq = 1 + self.counts * room // self.counts.sum(axis=1, keepdims=True)
-        freq[self.row, self.counts.argmax(axis=1)] += (1 << CLASS_BITS) - freq.sum(axis=1)
-        self.freq = freq.astype(_U).reshape(-1)
-        self.cum = (np.cumsum(freq, axis=1) - freq).astype(_U).reshape(-1)
+        freq = 1 + self.counts * np.int32(room) // self.counts.sum(axis=1, keepdims=True, dtype=np.int32)
+        freq[self.row, self.counts.argmax(axis=1)] += (1 << CLASS_BITS) - freq.sum(axis=1, dtype=np.int32)
+        cum = np.cumsum(freq, axis=1, dtype=np.int32) - freq
+        self.entries = (freq | cum << _CUM_AT | LOGS.astype(np.int32) << _LOG_AT).reshape(-1)
         self.flat_freq, self.n_classes = freq.reshape(-1), n
         weight = np.minimum((self.hits << WEIGHT_BITS) // self.seen, _MOST)
         weight[:, 0] = 0
@@ -78,24 +81,24 @@ class _Model:
         return np.repeat(np.tile(np.arange(self.n_classes, dtype=np.uint8), self.lanes), self.flat_freq)
 
     def contexts(self, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in the memories for the last id ``one`` and the id before it, ``two``."""
-        mask = (1 << SLOT_BITS) - 1
-        h1 = (one * 40503 >> 3) & mask
-        h2 = ((one * 40503 ^ two * 60493) >> 4) & mask
-        return self.slots + h1, self.slots + h2
+        """Places in the memories for the last id ``one`` and the id before it, ``two``, of 32 bits each."""
+        mask, h = np.uint32((1 << SLOT_BITS) - 1), one * np.uint32(40503)
+        return self.slots + (h >> np.uint32(3) & mask), self.slots + ((h ^ two * np.uint32(60493)) >> np.uint32(4) & mask)
 
     def predict(self, c1: np.ndarray, c2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The predicted id plus one (0: none), and how the orders agree."""
         p1, p2 = self.after1[c1], self.after2[c2]
-        state = (p1 > 0) + 2 * (p2 > 0) + ((p1 == p2) & (p1 > 0))
-        return np.where(p2 > 0, p2, p1), state
+        first, second = (p1 > 0).view(np.uint8), (p2 > 0).view(np.uint8)
+        state = first + second + second + (first & (p1 == p2).view(np.uint8))
+        return np.where(second.view(bool), p2, p1), state
 
     def update(self, ids: np.ndarray, c1: np.ndarray, c2: np.ndarray, state: np.ndarray, hit: np.ndarray) -> None:
         """Learn from one turn: arrays of (time, lane). Of repeated contexts the last in time stays."""
-        self.after1[c1.reshape(-1)] = (ids + 1).astype(np.uint16).reshape(-1)
-        self.after2[c2.reshape(-1)] = (ids + 1).astype(np.uint16).reshape(-1)
+        after = (ids + 1).astype(np.uint16).reshape(-1)
+        self.after1[c1.reshape(-1)] = after
+        self.after2[c2.reshape(-1)] = after
         where = (self.row * self.n_classes + CLASS_OF[ids]).reshape(-1)
-        self.counts += 24 * np.bincount(where, minlength=self.counts.size).reshape(self.counts.shape)
+        self.counts += (24 * np.bincount(where, minlength=self.counts.size)).astype(np.int32).reshape(self.counts.shape)
         where = (self.row * _STATES + state).reshape(-1)
         self.seen += np.bincount(where, minlength=self.seen.size).reshape(self.seen.shape)
         self.hits += np.bincount(where[hit.reshape(-1)], minlength=self.seen.size).reshape(self.seen.shape)
@@ -126,9 +129,9 @@ def _encode_lanes(ids: np.ndarray) -> list[tuple[int, int, bytes]]:
     words = np.zeros((steps + 3, lanes), _U)  # an id fills less than one word; word k of a lane in row k
     flat, at = words.reshape(-1), np.zeros(lanes, np.int64)
     low, width = np.zeros(lanes, _U), np.full(lanes, 2**63 - 1, _U)
-    before = np.zeros((2, lanes), np.int64)
+    before = np.zeros((2, lanes), np.uint32)
     for t0 in range(0, steps, TURN):
-        turn = table[t0 : t0 + TURN].astype(np.int64)
+        turn = table[t0 : t0 + TURN].astype(np.uint32)
         past = np.concatenate([before, turn])
         before = past[-2:]
         c1, c2 = model.contexts(past[1:-1], past[:-2])
@@ -136,9 +139,9 @@ def _encode_lanes(ids: np.ndarray) -> list[tuple[int, int, bytes]]:
         hit = (guess == turn + 1) & (state > 0)
         weight = model.weight[model.row * _STATES + state]
         kind = CLASS_OF[turn]
-        where = model.row * model.n_classes + kind
-        cum, freq = model.cum[where], model.freq[where]
-        log, off = LOGS[kind].astype(_U), (turn - FIRST[kind]).astype(_U)
+        entry = model.entries[model.row * model.n_classes + kind]
+        cum, freq = (entry >> _CUM_AT & _CUM).astype(_U), (entry & _FREQ).astype(_U)
+        log, off = (entry >> _LOG_AT).astype(_U), (turn - FIRST[kind]).astype(_U)
         for k in range(len(turn)):
             bound = (width >> _U(WEIGHT_BITS)) * weight[k]
             unit = (width - bound) >> _U(CLASS_BITS)
@@ -181,20 +184,20 @@ def _decode_lanes(blocks: list[tuple[int, int, bytes]]) -> np.ndarray:
         got = np.frombuffer(code, ">u4")
         words[i, : len(got)] = got
     code = (words[:, 0] << _U(31)) | (words[:, 1] >> _U(1))
-    more = (((words[:, 1:-1] & _U(1)) << _U(31)) | (words[:, 2:] >> _U(1))).reshape(-1)
+    more = (((words[:, 1:-1] & _U(1)) << _U(31)) | (words[:, 2:] >> _U(1))).astype(np.uint32).reshape(-1)
     at = np.arange(lanes) * (length - 2)
     end = at + length - 3  # a damaged block may ask for more than it has
     del words
     model = _Model(lanes)
     width = np.full(lanes, 2**63 - 1, _U)
-    result = np.zeros((steps, lanes), np.int64)
-    one, two = np.zeros((2, lanes), np.int64)
-    logs, sizes = LOGS.astype(_U), (_U(1) << LOGS.astype(_U)) - _U(1)
-    last = _U((1 << CLASS_BITS) - 1)
+    result = np.zeros((steps, lanes), np.uint16)
+    one, two = np.zeros((2, lanes), np.uint32)
+    firsts, last = FIRST.astype(np.uint32), _U((1 << CLASS_BITS) - 1)
     by_value, by_class, by_state = (model.row << CLASS_BITS, model.row * model.n_classes, model.row * _STATES)
+    c1s, c2s = np.zeros((2, TURN, lanes), np.int64)
+    states, hits = np.zeros((TURN, lanes), np.uint8), np.zeros((TURN, lanes), bool)
     for t0 in range(0, steps, TURN):
         inverse, n = model.inverse(), min(TURN, steps - t0)
-        c1s, c2s, states, hits = [], [], [], []
         for k in range(n):
             c1, c2 = model.contexts(one, two)
             guess, state = model.predict(c1, c2)
@@ -203,25 +206,23 @@ def _decode_lanes(blocks: list[tuple[int, int, bytes]]) -> np.ndarray:
             rest = code - bound
             unit = (width - bound) >> _U(CLASS_BITS)
             kind = inverse[by_value + np.minimum(rest // unit, last).view(np.int64)]
-            where = by_class + kind
-            rest -= unit * model.cum[where]
-            part = unit * model.freq[where] >> logs[kind]
-            off = np.minimum(rest // part, sizes[kind])
+            entry = model.entries[by_class + kind].astype(_U)
+            rest -= unit * (entry >> _U(_CUM_AT) & _U(_CUM))
+            log = entry >> _U(_LOG_AT)
+            part = unit * (entry & _U(_FREQ)) >> log
+            off = np.minimum(rest // part, (_U(1) << log) - _U(1))
             code = np.where(hit, code, rest - part * off)
             width = np.where(hit, bound, part)
             # Lanes that have ended may run on; what they make up is cut off below.
-            one, two = np.where(hit, guess.astype(np.int64) - 1, FIRST[kind] + off.view(np.int64)) & 0xFFFF, one
+            one, two = np.where(hit, guess - np.uint16(1), (firsts[kind] + off.astype(np.uint32)).astype(np.uint16)), one
+            c1s[k], c2s[k], states[k], hits[k], result[t0 + k] = c1, c2, state, hit, one
+            one = one.astype(np.uint32)
             full = np.flatnonzero(width < _LEAST)
             if len(full):
                 code[full] = (code[full] << _U(32)) | more[np.minimum(at[full], end[full])]
                 width[full] <<= _U(32)
                 at[full] += 1
-            result[t0 + k] = one
-            c1s.append(c1)
-            c2s.append(c2)
-            states.append(state)
-            hits.append(hit)
-        model.update(result[t0 : t0 + n], np.stack(c1s), np.stack(c2s), np.stack(states), np.stack(hits))
+        model.update(result[t0 : t0 + n], c1s[:n], c2s[:n], states[:n], hits[:n])
     rows = np.ascontiguousarray(result.T).astype("<u4")
     parts = []
     for i, (n, crc, _) in enumerate(blocks):
