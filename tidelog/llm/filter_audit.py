@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidelog.llm.common import map_batches
+from tidelog.operators.joins import join_shuffled
 from tidelog.session import scratch_path, stored
 
 #: The filters; bit k of a mask is set if filter k fails. The last one is given by the state.
@@ -73,7 +74,8 @@ def labelled(rows: DataFrame, labels: DataFrame, broadcast_labels: int = BROADCA
     """``rows`` with good (quality 1) and toxic (toxic 1); a repeated label counts if any of its rows says so.
 
     An id may hold any share of the rows: where labels are too many to be broadcast, each id is dealt to SALTS
-    parts, and rows without an id go anywhere.
+    parts, and rows without an id go anywhere. Then nothing is broadcast: labels of sequential ids take few bytes
+    in files, and Spark doesn't count what SALTS multiplies.
     """
     one = F.coalesce(F.max(F.col("quality") == 1), F.lit(False)), F.coalesce(F.max(F.col("toxic") == 1), F.lit(False))
     known = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -84,7 +86,7 @@ def labelled(rows: DataFrame, labels: DataFrame, broadcast_labels: int = BROADCA
         spread = F.xxhash64("key")
         salt = F.when(F.col("doc_id") == _LAST_ID, spread).otherwise(F.pmod(spread, F.lit(SALTS)))
         parts = known.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-        joined = rows.withColumn("salt", salt).join(parts, ["doc_id", "salt"], "left")
+        joined = join_shuffled(rows.withColumn("salt", salt), parts, ["doc_id", "salt"], "left")
     good, toxic = (F.coalesce(c, F.lit(False)).alias(c) for c in ("good", "toxic"))
     return joined.select("doc_id", "part", "key", "mask", good, toxic)
 
