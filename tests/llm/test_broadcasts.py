@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tests.llm.test_contracts import answers
-from tidelog.llm import filter_audit
+from tidelog.llm import filter_audit, simhash
 
 
 def broadcast_sides(df):
@@ -27,3 +27,14 @@ def test_labels_beyond_the_bound_are_not_broadcast(spark):
     assert len(broadcast_sides(few)) == 1
     assert answers(shuffled, "key", "good", "toxic") == answers(few, "key", "good", "toxic")
     assert shuffled.where("good").count() == 12 and shuffled.where(F.col("doc_id") == filter_audit._LAST_ID).count() == 1
+
+
+def test_balls_of_fingerprints_are_not_broadcast(spark):
+    fps = [*range(40), 1 << 40, (1 << 40) + 1, (1 << 40) + 14, -1, -(1 << 62) - 1]
+    table = spark.createDataFrame([(f,) for f in fps], "fp long")
+    close = {(a, b) for a in fps for b in fps if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 2}
+    for bucket in (1, 1000):
+        links = simhash.near_links(table, bucket)
+        assert [side for side in broadcast_sides(links) if "Generate" in side] == []
+        # Of full buckets only links to the smallest fingerprint around are made.
+        assert {*answers(links, "a", "b")} == close if bucket == 1000 else {*answers(links, "a", "b")} <= close

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from tidelog.llm.common import components, id_and_text, map_batches
+from tidelog.operators.joins import join_shuffled
 from tidelog.session import stored
 
 #: Words of a shingle and differing bits of a link. The two 32-bit segments below fit up to 2 bits.
@@ -68,6 +69,7 @@ def near_links(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
     ``bucket`` entries aren't paired there: each writes itself under all values within one bit of it, and those
     under the same value, which are at most 2 bits apart, are linked to the smallest. Two fingerprints share
     a value exactly if they are 2 bits apart or fewer, so no link is lost, at 65 rows each and without pairs.
+    The balls have 33 and 65 rows a fingerprint, which Spark's estimates leave out, so neither side is broadcast there.
     """
     high, low = F.shiftrightunsigned("fp", 32), F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))
     masks = F.array(*(F.lit(m).cast("long") for m in SEGMENT_BALL))
@@ -82,7 +84,7 @@ def near_links(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
     open_table = table.join(full, ["half", "value"], "left_anti") if some_full else table
     far = F.bit_count(F.col("fp").bitwiseXOR(F.col("met")))
     links = (
-        probes.join(open_table, ["half", "value"])
+        join_shuffled(probes, open_table, ["half", "value"])
         .where((F.col("fp") < F.col("met")) & (far <= MAX_BITS))
         .select(F.col("fp").alias("a"), F.col("met").alias("b"))
     )
@@ -91,7 +93,7 @@ def near_links(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
         balls = F.array(*(F.lit(m).cast("long") for m in FULL_BALL))
         around = meeting.select("fp", F.explode(F.transform(balls, lambda m: F.col("fp").bitwiseXOR(m))).alias("value"))
         least = around.groupBy("value").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1")
-        stars = around.join(least, "value").where("fp <> a").select("a", F.col("fp").alias("b"))
+        stars = join_shuffled(around, least, ["value"]).where("fp <> a").select("a", F.col("fp").alias("b"))
         links = links.unionByName(stars)
     return links.distinct()
 
